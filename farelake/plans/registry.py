@@ -308,3 +308,425 @@ JOIN dim_payment_type pay ON pay.payment_type_key = f.payment_type_key
 JOIN dim_vendor ven       ON ven.vendor_key       = f.vendor_key
 JOIN dim_rate_code rc     ON rc.rate_code_key     = f.rate_code_key
 ORDER BY f.trip_key LIMIT 10"""))
+
+# ---- lake: scans, plans, partitions, ledger (S01-S11) ------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from farelake import schemas as S  # noqa: E402
+from farelake.functions import rules as FR  # noqa: E402
+from farelake.operators import zones as Z  # noqa: E402
+from farelake.plans import pipeline as P  # noqa: E402
+from farelake.plans.star import (load_batch, reload_source, save_table, seed,  # noqa: E402
+                                 star_for)
+from farelake.session import scratch_path  # noqa: E402
+from farelake.sources import adapter as A  # noqa: E402
+from farelake.sources import lake as L  # noqa: E402
+from farelake.sources import zones as ZS  # noqa: E402
+
+RAW_COLS = ", ".join(S.RAW_COLUMNS)
+CLEANED_COLS = RAW_COLS + ", source_file, ingestion_year, ingestion_month"
+MONTH = (1996, 3)                       # the month read back or re-loaded
+MONTH_FILE = "yellow_tripdata_1996-03.parquet"
+CUTOFF = (2000, 1)                      # later months form the incremental batch
+ROW_CAP = 5000
+
+with_trips, with_cleaned = O.with_trips, O.with_cleaned
+
+
+@register("scan_raw", with_trips("SELECT * FROM trips"))
+def _scan_raw(spark, sf_dir):
+    """Raw trips landed as parquet and scanned with the pinned schema."""
+    b = star_for(spark, sf_dir)
+    path = f"{b.base}/raw_scan"
+    A.raw_trips(spark, sf_dir).write.mode("overwrite").parquet(path)
+    return L.read_raw(spark, path, T.StructType(S.RAW_TRIP.fields + [
+        T.StructField("source_file", T.StringType())]))
+
+
+@register("land_raw", with_trips("SELECT * FROM trips"))
+def _land_raw(spark, sf_dir):
+    b = star_for(spark, sf_dir)
+    return L.land_raw(A.raw_trips(spark, sf_dir), f"{b.base}/raw_landed")
+
+
+_SPAN = """span AS (
+  SELECT unnest(generate_series(date_trunc('month', min(tpep_pickup_datetime)),
+                                date_trunc('month', max(tpep_pickup_datetime)), INTERVAL 1 MONTH)) AS m
+  FROM trips)"""
+
+
+@register("month_plan", with_trips(f""", {_SPAN}
+SELECT CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month,
+       printf('yellow_tripdata_%04d-%02d.parquet', year(m), month(m)) AS file_name FROM span"""))
+def _month_plan(spark, sf_dir):
+    """Every month from the first to the last raw pickup month."""
+    return L.month_span(A.raw_trips(spark, sf_dir))
+
+
+@register("month_file_names", with_trips("""
+SELECT source_file, printf('yellow_tripdata_%04d-%02d.parquet', year(tpep_pickup_datetime),
+       month(tpep_pickup_datetime)) AS file_name, COUNT(*) AS trips
+FROM trips WHERE tpep_pickup_datetime IS NOT NULL GROUP BY 1, 2"""))
+def _month_file_names(spark, sf_dir):
+    """The file name of each pickup month next to the file a trip came from."""
+    from farelake.functions.text import month_file_name
+    t = A.raw_trips(spark, sf_dir).where(F.col("tpep_pickup_datetime").isNotNull())
+    return t.groupBy("source_file", month_file_name(F.year("tpep_pickup_datetime"),
+                                                    F.month("tpep_pickup_datetime")).alias("file_name")
+                     ).agg(F.count(F.lit(1)).alias("trips"))
+
+
+@register("write_cleaned_partitions", with_cleaned(
+    f"SELECT {CLEANED_COLS}, ingestion_year AS year, ingestion_month AS month FROM cleaned"))
+def _write_cleaned_partitions(spark, sf_dir):
+    """Cleaned partitions read from the root: year and month come back as ints."""
+    b = star_for(spark, sf_dir)
+    return spark.read.parquet(b.cleaned_path)
+
+
+@register("read_cleaned_month", with_cleaned(
+    f"SELECT {CLEANED_COLS} FROM cleaned WHERE ingestion_year = {MONTH[0]} AND ingestion_month = {MONTH[1]}"))
+def _read_cleaned_month(spark, sf_dir):
+    b = star_for(spark, sf_dir)
+    return L.read_cleaned(spark, b.cleaned_path, *MONTH)
+
+
+@register("row_cap", with_cleaned(
+    f"SELECT {CLEANED_COLS} FROM cleaned ORDER BY "
+    + ", ".join(c + " NULLS FIRST" for c in CLEANED_COLS.split(", ")) + f" LIMIT {ROW_CAP}"))
+def _row_cap(spark, sf_dir):
+    """EX2_MAX_ROWS as a top-k in a total order, materialised once."""
+    b = star_for(spark, sf_dir)
+    cleaned = b.cleaned(spark).select(*CLEANED_COLS.split(", "))
+    return save_table(L.row_cap(cleaned, ROW_CAP), b.base, "capped")
+
+
+@register("ingest_ledger", "WITH " + O.TRIPS + "," + O.CLEANED + f""", {_SPAN}
+SELECT CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month,
+       printf('yellow_tripdata_%04d-%02d.parquet', year(m), month(m)) AS file_name,
+       CASE WHEN c.n IS NULL THEN 'skipped' ELSE 'loaded' END AS status,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS rows,
+       CASE WHEN c.n IS NULL THEN 'no data for ' || printf('yellow_tripdata_%04d-%02d.parquet', year(m), month(m)) END AS error
+FROM span LEFT JOIN (SELECT ingestion_year, ingestion_month, count(*) AS n FROM cleaned GROUP BY 1, 2) c
+  ON c.ingestion_year = year(m) AND c.ingestion_month = month(m)""")
+def _ingest_ledger(spark, sf_dir):
+    """One status row per planned month."""
+    b = star_for(spark, sf_dir)
+    return L.ingest_ledger(L.month_span(A.raw_trips(spark, sf_dir)), b.cleaned(spark))
+
+
+@register("largest_file")
+def _largest_file(spark, sf_dir):
+    """The largest parquet file of the cleaned lake (S11); paths vary per run."""
+    return L.largest_file(spark, star_for(spark, sf_dir).cleaned_path)
+
+
+@register("dim_append", with_cleaned("""
+, seeds AS (SELECT * FROM (VALUES (1, 1), (2, 2)) s(vendor_key, vendor_id))
+SELECT vendor_key, vendor_id FROM seeds
+UNION ALL
+SELECT CAST(2 + row_number() OVER (ORDER BY vendor_id) AS INTEGER), vendor_id FROM (
+  SELECT DISTINCT CAST(VendorID AS INTEGER) AS vendor_id FROM cleaned
+  WHERE VendorID IS NOT NULL AND CAST(VendorID AS INTEGER) NOT IN (1, 2))"""))
+def _dim_append(spark, sf_dir):
+    """Reference rows first, then the trips' new vendors appended only when
+    there are any (S08, W02)."""
+    b = star_for(spark, sf_dir)
+    spec = W.DIM_BY_NAME["dim_vendor"]
+    path = scratch_path(spark, "dim_append", f"t{id(b)}-{len(QUERIES)}")
+    seeded = W.seed_dim(spec, spark.createDataFrame([], S.DIM_VENDOR))
+    seeded.write.mode("overwrite").parquet(path)
+    existing = spark.read.parquet(path)
+    new = W.dense_keys(W.new_members(b.cleaned(spark), spec.sources, existing, spec.id_col),
+                       [spec.id_col], spec.key_col, offset=W.max_key(existing, spec.key_col),
+                       key_type="int")
+    L.append_if_rows(new, path)
+    return spark.read.parquet(path)
+
+
+# ---- rules (F01-F09) ----------------------------------------------------------
+
+@register("clean_trips", with_cleaned(f"SELECT {RAW_COLS}, source_file FROM cleaned"))
+def _clean_trips(spark, sf_dir):
+    return FR.clean(A.raw_trips(spark, sf_dir))
+
+
+_REJECT_SQL = with_trips("\nUNION ALL\n".join(
+    f"SELECT {i + 1} AS rule_order, '{name}' AS rule, "
+    f"CAST(count(*) FILTER (WHERE NOT coalesce({cond}, false)) AS BIGINT) AS rejected FROM trips"
+    for i, (name, cond) in enumerate([
+        ("passenger_count_positive", "passenger_count > 0"),
+        ("trip_distance_positive", "trip_distance > 0"),
+        ("fare_amount_positive", "fare_amount > 0"),
+        ("pickup_present", "tpep_pickup_datetime IS NOT NULL"),
+        ("dropoff_present", "tpep_dropoff_datetime IS NOT NULL"),
+        ("pickup_before_dropoff", "tpep_pickup_datetime < tpep_dropoff_datetime"),
+        ("pu_location_present", "PULocationID IS NOT NULL"),
+        ("do_location_present", "DOLocationID IS NOT NULL")])))
+
+
+@register("clean_rejects", _REJECT_SQL)
+def _clean_rejects(spark, sf_dir):
+    return FR.reject_profile(A.raw_trips(spark, sf_dir))
+
+
+@register("provenance", with_cleaned(f"SELECT {CLEANED_COLS} FROM cleaned"))
+def _provenance(spark, sf_dir):
+    return FR.with_provenance(FR.clean(A.raw_trips(spark, sf_dir))).select(*CLEANED_COLS.split(", "))
+
+
+@register("coerce_ts", with_trips("""
+SELECT tpep_pickup_datetime, tpep_dropoff_datetime, total_amount FROM trips"""))
+def _coerce_ts(spark, sf_dir):
+    """Timestamps that arrive as text are parsed back; bad text gives null."""
+    t = A.raw_trips(spark, sf_dir).select(
+        F.date_format("tpep_pickup_datetime", "yyyy-MM-dd HH:mm:ss").alias("tpep_pickup_datetime"),
+        F.col("tpep_dropoff_datetime"), "total_amount")
+    return FR.coerce_ts(t, ["tpep_pickup_datetime", "tpep_dropoff_datetime"])
+
+
+_ML_NOT_NULL = " AND ".join(f"{c} IS NOT NULL" for c in FR.ML_REQUIRED)
+
+
+@register("drop_required_nulls", with_trips(f"SELECT * FROM trips WHERE {_ML_NOT_NULL}"))
+def _drop_required_nulls(spark, sf_dir):
+    return FR.drop_null_rows(A.raw_trips(spark, sf_dir))
+
+
+@register("ml_filter", with_trips(f"""
+SELECT * FROM trips WHERE {_ML_NOT_NULL} AND passenger_count > 0 AND trip_distance > 0
+  AND total_amount > 0 AND tpep_pickup_datetime < tpep_dropoff_datetime
+  AND trip_distance < 100 AND total_amount < 300"""))
+def _ml_filter(spark, sf_dir):
+    return FR.ml_filter(FR.drop_null_rows(A.raw_trips(spark, sf_dir)))
+
+
+WINDOW = ("1996-01-01", "1997-06-30")
+
+
+@register("date_window", star(f"""
+SELECT f.trip_key, d.ts AS pickup_ts FROM {PU}
+WHERE d.ts >= TIMESTAMP '{WINDOW[0]} 00:00:00' AND d.ts < TIMESTAMP '{WINDOW[1]} 00:00:00' + INTERVAL 1 DAY"""))
+def _date_window(spark, sf_dir):
+    """Facts in a half-open pickup-day window."""
+    wh = warehouse(spark, sf_dir)
+    f = R.trips(wh, *WINDOW)
+    return f.join(R.pickup_times(wh, *WINDOW).select(R.PU_KEY, F.col("ts").alias("pickup_ts")),
+                  R.PU_KEY).select("trip_key", "pickup_ts")
+
+
+report("daily_trips_window", R.daily_trips, star(f"""
+SELECT d.date AS day, COUNT(*) AS trips FROM {PU}
+WHERE d.ts >= TIMESTAMP '{WINDOW[0]} 00:00:00' AND d.ts < TIMESTAMP '{WINDOW[1]} 00:00:00' + INTERVAL 1 DAY
+GROUP BY 1"""), start=WINDOW[0], end=WINDOW[1])
+
+report("kpi_window", R.kpi, star(f"""
+SELECT COUNT(*) AS trips, {am('f.passenger_count')} AS avg_passengers,
+       {am('f.trip_distance')} AS avg_distance, {sm('f.total_amount')} AS total_revenue,
+       {am('f.fare_amount')} AS avg_fare, {am('f.tip_amount')} AS avg_tip
+FROM {PU}
+WHERE d.ts >= TIMESTAMP '{WINDOW[0]} 00:00:00' AND d.ts < TIMESTAMP '{WINDOW[1]} 00:00:00' + INTERVAL 1 DAY"""),
+       start=WINDOW[0], end=WINDOW[1])
+
+# ---- joins and warehouse jobs (J01, J02, W04, W08, W10) ----------------------
+
+_BATCH = f"(ingestion_year > {CUTOFF[0]} OR (ingestion_year = {CUTOFF[0]} AND ingestion_month >= {CUTOFF[1]}))"
+
+
+def _batch(cleaned):
+    y, m = F.col("ingestion_year"), F.col("ingestion_month")
+    is_new = (y > CUTOFF[0]) | ((y == CUTOFF[0]) & (m >= CUTOFF[1]))
+    return cleaned.where(is_new), cleaned.where(~is_new)
+
+
+def _new_members_sql(sources, ident, cast="INTEGER"):
+    def ids(where):
+        return " UNION ".join(f"SELECT CAST({s} AS {cast}) AS {ident} FROM cleaned WHERE {s} IS NOT NULL AND {where}"
+                              for s in sources)
+    return with_cleaned(f"""
+SELECT DISTINCT {ident} FROM ({ids(_BATCH)})
+WHERE {ident} NOT IN (SELECT {ident} FROM ({ids('NOT ' + _BATCH)}))""")
+
+
+def _new_members_query(sources, ident, cast="int"):
+    def run(spark, sf_dir):
+        """Members of the latest months' batch not in the dimension loaded from
+        the earlier months (J01)."""
+        batch, earlier = _batch(star_for(spark, sf_dir).cleaned(spark))
+        known = W.distinct_members(earlier, sources, ident, cast)
+        return W.new_members(batch, sources, known, ident, cast)
+    return run
+
+
+for _name, _src, _id, _cast, _sqlcast in [
+        ("vendor", ["VendorID"], "vendor_id", "int", "INTEGER"),
+        ("rate", ["RatecodeID"], "rate_code_id", "int", "INTEGER"),
+        ("payment", ["payment_type"], "payment_type_id", "int", "INTEGER"),
+        ("location", ["PULocationID", "DOLocationID"], "location_id", "int", "INTEGER"),
+        ("datetime", ["tpep_pickup_datetime", "tpep_dropoff_datetime"], "ts", "timestamp_ntz",
+         "TIMESTAMP")]:
+    register(f"new_members_{_name}", _new_members_sql(_src, _id, _sqlcast))(
+        _new_members_query(_src, _id, _cast))
+
+
+@register("fact_enrich", star("SELECT * FROM fact_base"))
+def _fact_enrich(spark, sf_dir):
+    """Seven left joins from natural ids to keys."""
+    b = star_for(spark, sf_dir)
+    return W.resolve_keys(b.cleaned(spark), b.wh)
+
+
+@register("seed_dims", star("""
+SELECT 'dim_vendor' AS dimension, vendor_key AS key, vendor_id AS id FROM dim_vendor WHERE vendor_id IN (1, 2)
+UNION ALL SELECT 'dim_rate_code', rate_code_key, rate_code_id FROM dim_rate_code WHERE rate_code_id BETWEEN 1 AND 6
+UNION ALL SELECT 'dim_payment_type', payment_type_key, payment_type_id FROM dim_payment_type
+  WHERE payment_type_id BETWEEN 1 AND 6"""))
+def _seed_dims(spark, sf_dir):
+    """The reference rows as loaded: seeded after the data, keys after the max.
+    Seeding twice adds nothing."""
+    wh = W.seed_dims(warehouse(spark, sf_dir))   # a second seed: repeat-safe
+    parts = []
+    for spec in W.SMALL_DIMS:
+        if spec.seeds:
+            d = getattr(wh, spec.name)
+            parts.append(d.where(F.col(spec.id_col).isin(*spec.seeds)).select(
+                F.lit(spec.name).alias("dimension"), F.col(spec.key_col).alias("key"),
+                F.col(spec.id_col).alias("id")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+_TABLE_COUNTS_SQL = SQL["table_counts"]
+
+
+@register("pipeline_full", _TABLE_COUNTS_SQL)
+def _pipeline_full(spark, sf_dir):
+    """q1 then q2 into a fresh folder: the same warehouse as full mode."""
+    base = scratch_path(spark, "pipeline", f"run{len(QUERIES)}-{id(spark)}")
+    raw = A.raw_trips(spark, sf_dir)
+    P.run(spark, raw, base, "q1")
+    res = P.run(spark, None, base, "q2")
+    return R.table_counts(res.warehouse)
+
+
+@register("reload_idempotent", star("""
+SELECT source_file, COUNT(*) AS trips, CAST(SUM(CAST(total_amount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue
+FROM fact_trip GROUP BY 1"""))
+def _reload_idempotent(spark, sf_dir):
+    """Re-loading a month replaces its facts instead of adding them twice."""
+    b = star_for(spark, sf_dir)
+    batch = b.cleaned(spark).where(F.col("source_file") == MONTH_FILE)
+    wh = reload_source(b.wh, batch, scratch_path(spark, "reload", f"r{id(b)}"))
+    return wh.fact_trip.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("decimal(18,2)").alias("revenue"))
+
+
+# ---- zones (S12-S14, J09, J12, A18, A23-A26, A37) -----------------------------
+
+def zone_report(name, fn, sql, **params):
+    def run(spark, sf_dir):
+        b = star_for(spark, sf_dir)
+        return fn(b.zones(spark), b.wh, **params)
+    QUERIES[name] = run
+    if sql is not None:
+        SQL[name] = sql
+
+
+zstar = lambda sql: O.star(sql, zones=True)
+
+register("zone_scan", O.with_zones("SELECT location_id, zone, borough, geometry FROM zones"))(
+    lambda spark, sf_dir: star_for(spark, sf_dir).zones(spark))
+
+register("zone_centroids", O.with_zones(
+    "SELECT location_id, zone, borough, centroid_lon, centroid_lat, n_rings, n_points FROM zone_centroids"))(
+    lambda spark, sf_dir: Z.zone_centroids(star_for(spark, sf_dir).zones(spark)))
+
+register("zone_ids_load", zstar("""
+SELECT DISTINCT location_id FROM zones WHERE location_id NOT IN (SELECT location_id FROM dim_location)"""))(
+    lambda spark, sf_dir: ZS.zone_ids_to_load(star_for(spark, sf_dir).zone_text(spark),
+                                              warehouse(spark, sf_dir).dim_location))
+
+
+@register("location_map", O.with_zones("SELECT location_id, zone FROM zones WHERE location_id IS NOT NULL"))
+def _location_map(spark, sf_dir):
+    """id -> zone JSON written and read back."""
+    b = star_for(spark, sf_dir)
+    path = f"{b.base}/location_map_json"
+    ZS.write_location_map(b.zones(spark), path)
+    return ZS.read_location_map(spark, path)
+
+
+_ZMAP = f"""zmap AS (
+  SELECT z.location_id, z.zone, z.borough, z.centroid_lon, z.centroid_lat,
+         CAST(coalesce(c.trips, 0) AS BIGINT) AS trips
+  FROM zone_centroids z LEFT JOIN (
+    SELECT CAST(l.location_id AS INTEGER) AS location_id, COUNT(*) AS trips
+    FROM {PU} JOIN dim_location l ON f.pu_location_key = l.location_key GROUP BY 1) c
+  ON c.location_id = z.location_id)"""
+
+zone_report("zone_map", Z.zone_map, zstar(f", {_ZMAP}\nSELECT * FROM zmap"))
+
+zone_report("zone_tiers", Z.zone_tiers, zstar(f""", {_ZMAP},
+zc AS (SELECT * FROM zmap WHERE centroid_lon IS NOT NULL AND centroid_lat IS NOT NULL),
+q AS (SELECT round(quantile_cont(CAST(trips AS DOUBLE), 0.9), 6) AS q90,
+             round(quantile_cont(CAST(trips AS DOUBLE), 0.98), 6) AS q98 FROM zc)
+SELECT location_id, trips, centroid_lon, centroid_lat,
+       CASE WHEN trips <= q90 THEN 'base' WHEN trips <= q98 THEN 'hot' ELSE 'peak' END AS tier
+FROM zc, q"""))
+
+zone_report("map_extent", Z.map_extent, zstar(f""", {_ZMAP},
+zc AS (SELECT * FROM zmap WHERE centroid_lon IS NOT NULL AND centroid_lat IS NOT NULL),
+ref AS (SELECT * FROM zc WHERE trips > 0 OR NOT EXISTS (SELECT 1 FROM zc WHERE trips > 0)),
+ext AS (SELECT quantile_cont(centroid_lon, 0.01) AS x0, quantile_cont(centroid_lon, 0.99) AS x1,
+             quantile_cont(centroid_lat, 0.01) AS y0, quantile_cont(centroid_lat, 0.99) AS y1 FROM ref)
+SELECT round(x0 - (x1 - x0) * 0.05, 6) AS x_min, round(x1 + (x1 - x0) * 0.05, 6) AS x_max,
+       round(y0 - (y1 - y0) * 0.05, 6) AS y_min, round(y1 + (y1 - y0) * 0.05, 6) AS y_max FROM ext"""))
+
+zone_report("borough_mix", Z.borough_mix, zstar(f""", {_ZMAP},
+bt AS (SELECT borough, CAST(sum(trips) AS BIGINT) AS trips FROM zmap WHERE borough IS NOT NULL
+       GROUP BY 1 ORDER BY trips DESC, borough LIMIT 6),
+tl AS (SELECT CAST(l.location_id AS INTEGER) AS location_id, {am('f.tip_amount')} AS avg_tip
+       FROM {PU} JOIN dim_location l ON f.pu_location_key = l.location_key GROUP BY 1),
+tb AS (SELECT z.borough, round(avg(tl.avg_tip), 6) AS avg_tip FROM zones z
+       LEFT JOIN tl ON tl.location_id = z.location_id WHERE z.borough IS NOT NULL GROUP BY 1)
+SELECT bt.borough, bt.trips, tb.avg_tip, format('{{:,}}', bt.trips) AS trips_text,
+       coalesce('$' || printf('%.2f', tb.avg_tip), '-') AS avg_tip_text
+FROM bt LEFT JOIN tb ON tb.borough = bt.borough"""))
+
+
+@register("zone_name_to_id", zstar("""
+, names AS (SELECT zone, max(location_id) AS location_id FROM zones
+            WHERE location_id IS NOT NULL AND zone IS NOT NULL GROUP BY 1),
+req AS (SELECT f.trip_key, pz.zone AS pu_zone, dz.zone AS do_zone
+        FROM fact_trip f
+        JOIN dim_location pl ON pl.location_key = f.pu_location_key
+        JOIN dim_location dl ON dl.location_key = f.do_location_key
+        LEFT JOIN zones pz ON pz.location_id = pl.location_id
+        LEFT JOIN zones dz ON dz.location_id = dl.location_id)
+SELECT req.trip_key, req.pu_zone, req.do_zone, pn.location_id AS PULocationID, dn.location_id AS DOLocationID
+FROM req LEFT JOIN names pn ON pn.zone = req.pu_zone LEFT JOIN names dn ON dn.zone = req.do_zone"""))
+def _zone_name_to_id(spark, sf_dir):
+    """Zone names of every trip's pickup and dropoff mapped back to ids."""
+    b = star_for(spark, sf_dir)
+    zones = b.zones(spark)
+    req = _zone_requests(b.wh, zones)
+    out = Z.zone_ids_for_names(req, zones, "pu_zone", "PULocationID")
+    out = Z.zone_ids_for_names(out, zones, "do_zone", "DOLocationID")
+    return out.select("trip_key", "pu_zone", "do_zone", "PULocationID", "DOLocationID")
+
+
+def _zone_requests(wh, zones):
+    """Per trip: pickup and dropoff zone names (a form request per trip)."""
+    loc = wh.dim_location
+    zn = Z.small(zones.select("location_id", "zone"))
+    pl = loc.select(F.col("location_key").alias("pu_location_key"), F.col("location_id").alias("pu_id"))
+    dl = loc.select(F.col("location_key").alias("do_location_key"), F.col("location_id").alias("do_id"))
+    f = (wh.fact_trip.select("trip_key", "pu_location_key", "do_location_key")
+         .join(F.broadcast(pl), "pu_location_key").join(F.broadcast(dl), "do_location_key"))
+    f = f.join(zn.select(F.col("location_id").alias("pu_id"), F.col("zone").alias("pu_zone")), "pu_id", "left")
+    return f.join(zn.select(F.col("location_id").alias("do_id"), F.col("zone").alias("do_zone")), "do_id", "left")

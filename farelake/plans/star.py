@@ -20,6 +20,7 @@ from farelake.functions.rules import clean, with_provenance
 from farelake.operators import warehouse as W
 from farelake.session import scratch_path
 from farelake.sources import adapter, lake
+from farelake.sources import zones as zone_src
 
 _seq = itertools.count()
 _lock = threading.Lock()
@@ -29,10 +30,20 @@ _STARS: dict[tuple[str, str], "StarBuild"] = {}
 class StarBuild:
     """Paths and tables of one materialised warehouse."""
 
-    def __init__(self, base: str, cleaned_path: str, wh: W.Warehouse):
+    def __init__(self, base: str, cleaned_path: str, wh: W.Warehouse, zones_path: str):
         self.base = base
         self.cleaned_path = cleaned_path
         self.wh = wh
+        self.zones_path = zones_path
+
+    def zones(self, spark: SparkSession) -> DataFrame:
+        return zone_src.read_zones(spark, self.zones_path)
+
+    def zone_text(self, spark: SparkSession) -> DataFrame:
+        return zone_src.read_zone_text(spark, self.zones_path)
+
+    def cleaned(self, spark: SparkSession) -> DataFrame:
+        return lake.read_cleaned(spark, self.cleaned_path)
 
 
 def save_table(df: DataFrame, base: str, name: str) -> DataFrame:
@@ -87,7 +98,9 @@ def build_star(spark: SparkSession, sf_dir: str, base: str | None = None) -> Sta
     cleaned = lake.read_cleaned(spark, cleaned_path)
     wh = load_batch(cleaned, W.empty_warehouse(spark), base)
     wh = seed(wh, base)
-    return StarBuild(base, cleaned_path, wh)
+    zones_path = f"{base}/zones_csv"
+    zone_src.write_zone_csv(adapter.zone_lookup(spark, sf_dir), zones_path)
+    return StarBuild(base, cleaned_path, wh, zones_path)
 
 
 def star_for(spark: SparkSession, sf_dir: str) -> StarBuild:
