@@ -730,3 +730,164 @@ def _zone_requests(wh, zones):
          .join(F.broadcast(pl), "pu_location_key").join(F.broadcast(dl), "do_location_key"))
     f = f.join(zn.select(F.col("location_id").alias("pu_id"), F.col("zone").alias("pu_zone")), "pu_id", "left")
     return f.join(zn.select(F.col("location_id").alias("do_id"), F.col("zone").alias("do_zone")), "do_id", "left")
+
+# ---- features and model (F05-F08, M01-M13) -----------------------------------
+
+from farelake.operators import features as FE  # noqa: E402
+from farelake.operators import model as MD  # noqa: E402
+
+_ML_WHERE = f"""{_ML_NOT_NULL} AND passenger_count > 0 AND trip_distance > 0 AND total_amount > 0
+  AND tpep_pickup_datetime < tpep_dropoff_datetime AND trip_distance < 100 AND total_amount < 300"""
+_HASH = ("CAST(epoch(tpep_pickup_datetime) AS BIGINT) * 1000003 + CAST(epoch(tpep_dropoff_datetime) AS BIGINT) * 10007"
+         " + CAST(round(total_amount * 100) AS BIGINT) * 7919 + CAST(PULocationID AS BIGINT) * 131"
+         " + CAST(DOLocationID AS BIGINT) + 42 * 104729")
+_CAT = ", ".join(f"coalesce(CAST(CAST({c} AS BIGINT) AS VARCHAR), 'None') AS {c}"
+                 for c in FE.CATEGORICAL_CANDIDATES)
+_MROWS = f"""mrows AS (
+  SELECT CAST(passenger_count AS DOUBLE) AS passenger_count, CAST(trip_distance AS DOUBLE) AS trip_distance,
+         CAST(hour(tpep_pickup_datetime) AS DOUBLE) AS pickup_hour,
+         CAST(isodow(tpep_pickup_datetime) - 1 AS DOUBLE) AS pickup_dayofweek,
+         CAST(month(tpep_pickup_datetime) AS DOUBLE) AS pickup_month, {_CAT},
+         CAST(total_amount AS DOUBLE) AS total_amount,
+         CASE WHEN (({_HASH}) % 1000 + 1000) % 1000 < 200 THEN 'test' ELSE 'train' END AS split
+  FROM cleaned WHERE {_ML_WHERE}),
+train AS (SELECT * FROM mrows WHERE split = 'train'),
+test AS (SELECT * FROM mrows WHERE split = 'test')"""
+
+
+def with_mrows(sql: str) -> str:
+    return "WITH " + O.TRIPS + "," + O.CLEANED + ",\n" + _MROWS + "\n" + sql
+
+
+def _cleaned(spark, sf_dir):
+    return star_for(spark, sf_dir).cleaned(spark)
+
+
+def _rows(spark, sf_dir):
+    return FE.model_rows(_cleaned(spark, sf_dir))
+
+
+@register("time_features", with_cleaned("""
+SELECT tpep_pickup_datetime, CAST(hour(tpep_pickup_datetime) AS INTEGER) AS pickup_hour,
+       CAST(isodow(tpep_pickup_datetime) - 1 AS INTEGER) AS pickup_dayofweek,
+       CAST(month(tpep_pickup_datetime) AS INTEGER) AS pickup_month FROM cleaned"""))
+def _time_features(spark, sf_dir):
+    return FE.time_features(_cleaned(spark, sf_dir)).select(
+        "tpep_pickup_datetime", "pickup_hour", "pickup_dayofweek", "pickup_month")
+
+
+@register("feature_matrix", with_mrows(
+    "SELECT * EXCLUDE (split) FROM mrows"))
+def _feature_matrix(spark, sf_dir):
+    return FE.feature_matrix(_cleaned(spark, sf_dir))[0]
+
+
+@register("train_test_split", with_mrows("SELECT * FROM mrows"))
+def _train_test_split(spark, sf_dir):
+    return _rows(spark, sf_dir)[0]
+
+
+@register("impute_median", with_mrows("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, round(quantile_cont({c}, 0.5), 6) AS median FROM train"
+    for c in FE.NUMERIC_CANDIDATES)))
+def _impute_median(spark, sf_dir):
+    rows, spec = _rows(spark, sf_dir)
+    return FE.fit_median(rows.where(F.col("split") == "train"), spec["numeric_cols"])
+
+
+@register("impute_mode", with_mrows("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, (SELECT v FROM (SELECT {c} AS v, count(*) AS n FROM train GROUP BY 1) "
+    f"ORDER BY n DESC, v LIMIT 1) AS mode" for c in FE.CATEGORICAL_CANDIDATES)))
+def _impute_mode(spark, sf_dir):
+    rows, spec = _rows(spark, sf_dir)
+    return FE.fit_mode(rows.where(F.col("split") == "train"), spec["categorical_cols"])
+
+
+@register("ordinal_encode", with_mrows("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code "
+    f"FROM (SELECT DISTINCT {c} AS value FROM train)" for c in FE.CATEGORICAL_CANDIDATES)))
+def _ordinal_encode(spark, sf_dir):
+    rows, spec = _rows(spark, sf_dir)
+    return FE.fit_ordinal(rows.where(F.col("split") == "train"), spec["categorical_cols"])
+
+
+@register("feature_quality", with_mrows("""
+SELECT count(*) AS rows, coalesce(bool_and(total_amount > 0), true) AS target_positive,
+       coalesce(bool_and(NOT (""" + " OR ".join(f"{c} IS NULL" for c in FE.NUMERIC_CANDIDATES
+                                                 + FE.CATEGORICAL_CANDIDATES) + """)), true) AS no_missing_features,
+       coalesce(bool_and(trip_distance > 0), true) AS distance_positive FROM mrows"""))
+def _feature_quality(spark, sf_dir):
+    X, spec = FE.feature_matrix(_cleaned(spark, sf_dir))
+    return FE.feature_quality(X, spec)
+
+
+@register("rmse", with_mrows(f"""
+SELECT round(sqrt(avg(power(t.total_amount - m.p, 2))), 6) AS rmse, count(*) AS rows
+FROM test t, (SELECT {am('total_amount')} AS p FROM train) m"""))
+def _rmse(spark, sf_dir):
+    """RMSE of the train-mean baseline on the test part."""
+    from farelake.functions.money import avg_money
+    rows, _ = _rows(spark, sf_dir)
+    mean = rows.where(F.col("split") == "train").agg(avg_money(TARGET_COL).alias("prediction"))
+    return MD.rmse(rows.where(F.col("split") == "test").crossJoin(F.broadcast(mean)))
+
+
+TARGET_COL = "total_amount"
+# Boosting rounds of the registered smoke queries; the library default is 300.
+QUERY_ROUNDS = 20
+_MODELS: dict = {}
+
+
+def _model(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        rows, spec = _rows(spark, sf_dir)
+        b = star_for(spark, sf_dir)
+        rows = save_table(rows, b.base, "model_rows")
+        m = MD.train(rows, spec, rounds=QUERY_ROUNDS)
+        m.rmse = MD.evaluate(m, rows)
+        MD.save(m, f"{b.base}/model", spark)
+        _MODELS[key] = (MD.load(f"{b.base}/model", spark), rows)
+    return _MODELS[key]
+
+
+@register("model_train")
+def _model_train(spark, sf_dir):
+    """Fit, evaluate on the test part, save and reload."""
+    m, rows = _model(spark, sf_dir)
+    return spark.createDataFrame([(float(m.rmse), QUERY_ROUNDS, MD.MAX_DEPTH, MD.LEARNING_RATE)],
+                                 "rmse double, rounds int, max_depth int, learning_rate double").crossJoin(
+        rows.where(F.col("split") == "test").agg(F.count(F.lit(1)).alias("test_rows")))
+
+
+@register("score_batch")
+def _score_batch(spark, sf_dir):
+    m, rows = _model(spark, sf_dir)
+    return MD.score(m, rows.where(F.col("split") == "test"), keep=(TARGET_COL,))
+
+
+@register("score_scenarios")
+def _score_scenarios(spark, sf_dir):
+    """What-if: every test trip at 8 miles with 2 passengers."""
+    m, rows = _model(spark, sf_dir)
+    base = rows.where(F.col("split") == "test")
+    return MD.score(m, MD.scenarios(base, {"trip_distance": 8.0, "passenger_count": 2.0}),
+                    keep=(TARGET_COL,))
+
+
+@register("score_requests")
+def _score_requests(spark, sf_dir):
+    """Form requests: zone names and pickup time per trip; vendor, rate and
+    payment left out (M12)."""
+    m, _ = _model(spark, sf_dir)
+    b = star_for(spark, sf_dir)
+    zones = b.zones(spark)
+    dt = b.wh.dim_datetime.select(F.col("datetime_key").alias("pickup_datetime_key"),
+                                  F.col("ts").alias("pickup_ts"))
+    req = _zone_requests(b.wh, zones).join(
+        b.wh.fact_trip.select("trip_key", "pickup_datetime_key", "passenger_count", "trip_distance"),
+        "trip_key").join(dt, "pickup_datetime_key")
+    req = Z.zone_ids_for_names(req, zones, "pu_zone", "PULocationID")
+    req = Z.zone_ids_for_names(req, zones, "do_zone", "DOLocationID")
+    req = FE.time_features(req, "pickup_ts")
+    return MD.score(m, req, keep=("trip_key",))
