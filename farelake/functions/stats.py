@@ -76,3 +76,61 @@ def percentile_over(df: DataFrame, col: str, probs: Sequence[float], names: Sequ
     (days, zones): one ``percentile`` aggregate."""
     return df.agg(*[F.round(F.percentile(F.col(col).cast("double"), float(p)), ndigits).alias(nm)
                     for p, nm in zip(probs, names)])
+
+
+def multi_value_ranks(df: DataFrame, cols: Sequence[str], num_partitions: int | None = None
+                      ) -> DataFrame:
+    """``value_ranks`` for several columns in one pass: (column, v, c, lo, hi).
+
+    One histogram over (column, value) pairs, one range partitioning and one
+    checkpoint; running counts restart per column. The offsets table has one
+    row per (partition, column): bounded by partitions x columns.
+    """
+    spark = df.sparkSession
+    checkpoint_base(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+                                for c in cols])).alias("p")
+    hist = (df.select(pairs).select("p.column", "p.v").where(F.col("v").isNotNull())
+              .groupBy("column", "v").agg(F.count(F.lit(1)).alias("c")))
+    ranged = (hist.repartitionByRange(n, "column", "v").sortWithinPartitions("column", "v")
+              .checkpoint(eager=True))
+    tagged = ranged.select("column", "v", "c", F.spark_partition_id().alias("_pid"))
+    totals = tagged.groupBy("column", "_pid").agg(F.sum("c").alias("_t"))
+    before = Window.partitionBy("column").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("column", "_pid", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("_pid", "column").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    run = tagged.select("column", "v", "c", "_pid", F.sum("c").over(within).alias("_cum"))
+    return run.join(F.broadcast(offsets), ["column", "_pid"]).select(
+        "column", "v", "c", (F.col("_off") + F.col("_cum") - F.col("c")).alias("lo"),
+        (F.col("_off") + F.col("_cum")).alias("hi"))
+
+
+def exact_quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                         names: Sequence[str], ndigits: int | None = 6) -> DataFrame:
+    """Exact quantiles of several columns in one pass: one row per column with
+    one field per probability (null for a column without values)."""
+    spark = df.sparkSession
+    ranks = multi_value_ranks(df, cols)
+    totals = ranks.groupBy("column").agg(F.sum("c").alias("n"))
+    targets = spark.createDataFrame([(c, i, float(p)) for c in cols for i, p in enumerate(probs)],
+                                    "column string, i int, p double")
+    t = (targets.join(F.broadcast(totals), "column")  # |cols| x |probs| rows
+         .select("column", "i", (F.col("p") * (F.col("n") - 1)).alias("pos"))
+         .select("column", "i", "pos", F.floor("pos").cast("bigint").alias("r_lo"),
+                 F.ceil("pos").cast("bigint").alias("r_hi")))
+    pick = t.select("column", "i", "pos", F.col("r_lo").alias("r"), F.lit(0).alias("side")).unionByName(
+        t.select("column", "i", "pos", F.col("r_hi").alias("r"), F.lit(1).alias("side")))
+    hit = ranks.join(F.broadcast(pick), ["column"]).where(
+        (F.col("lo") <= F.col("r")) & (F.col("r") < F.col("hi")))
+    per = hit.groupBy("column", "i").agg(
+        F.first("pos").alias("pos"),
+        F.max(F.when(F.col("side") == 0, F.col("v"))).alias("v_lo"),
+        F.max(F.when(F.col("side") == 1, F.col("v"))).alias("v_hi"))
+    val = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.floor("pos"))
+    if ndigits is not None:
+        val = F.round(val, ndigits)
+    per = per.select("column", "i", val.alias("q"))
+    cols_df = spark.createDataFrame([(c,) for c in cols], "column string")
+    return cols_df.join(per, "column", "left").groupBy("column").agg(
+        *[F.max(F.when(F.col("i") == k, F.col("q"))).alias(nm) for k, nm in enumerate(names)])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from farelake.functions.rules import (DROPOFF, ML_REQUIRED, PICKUP, TARGET, coerce_ts,
                                       drop_null_rows, ml_filter, require_columns)
-from farelake.functions.stats import exact_quantiles
+from farelake.functions.stats import exact_quantiles_long
 from farelake.operators.keys import dense_keys
 
 # The feature lists of the model.
@@ -101,12 +101,7 @@ def _feature_matrix_keep(d: DataFrame, keep: str) -> tuple[DataFrame, dict]:
 
 def fit_median(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Exact median of each column on the training rows (M05): (column, median)."""
-    parts = [exact_quantiles(train, c, [0.5], ["median"]).select(F.lit(c).alias("column"), "median")
-             for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return exact_quantiles_long(train, cols, [0.5], ["median"])
 
 
 def impute_median(df: DataFrame, medians: dict[str, float]) -> DataFrame:

@@ -423,23 +423,20 @@ def measure_summary(wh: Warehouse, n: int = 200000) -> DataFrame:
     Quartiles are exact and distributed (``exact_quantiles``); mean and std
     come from exact sums of the cent values.
     """
-    from farelake.functions.stats import exact_quantiles
+    from farelake.functions.stats import exact_quantiles_long
     d = dist_sample(wh, n)
-    parts = []
+    base = None
     for m in SUMMARY_MEASURES:
-        base = d.agg(
+        part = d.agg(
             F.count(m).alias("count"),
             M.avg_money(m).alias("mean"),
             F.round(F.stddev_samp(F.col(m).cast("decimal(18,2)")).cast("double"), 6).alias("std"),
             F.min(F.col(m).cast("double")).alias("min"),
-            F.max(F.col(m).cast("double")).alias("max"))
-        q = exact_quantiles(d, m, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
-        parts.append(base.crossJoin(q).select(F.lit(m).alias("measure"), "count", "mean", "std",
-                                              "min", "p25", "p50", "p75", "max"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            F.max(F.col(m).cast("double")).alias("max")).select(F.lit(m).alias("measure"), "*")
+        base = part if base is None else base.unionByName(part)
+    q = exact_quantiles_long(d, SUMMARY_MEASURES, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    return base.join(q.withColumnRenamed("column", "measure"), "measure").select(
+        "measure", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def clipped_histogram(wh: Warehouse, measure: str, cap: float, bins: int, n: int = 200000

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farelake import schemas as S
@@ -96,15 +96,59 @@ def upsert_dim(trips: DataFrame, spec: DimSpec, existing: DataFrame) -> DataFram
 
 def seed_dim(spec: DimSpec, existing: DataFrame) -> DataFrame:
     """Add the reference rows that are missing, keys after the max.
-    Running it again adds nothing."""
+    Running it again adds nothing. The seed list is a fixed handful of rows,
+    so a window numbers it."""
     spark = existing.sparkSession
     seeds = spark.createDataFrame([(i,) for i in spec.seeds], f"{spec.id_col} int")
     new = seeds.join(existing.select(spec.id_col), spec.id_col, "left_anti")
-    keyed = dense_keys(new, [spec.id_col], spec.key_col, offset=max_key(existing, spec.key_col),
-                       num_partitions=1, key_type="int")
+    start = max_key(existing, spec.key_col)
+    keyed = new.select((F.lit(start) + F.row_number().over(Window.orderBy(spec.id_col))).cast("int")
+                       .alias(spec.key_col), spec.id_col)
     return existing.select(spec.key_col, spec.id_col).unionByName(keyed)
 
 
+def upsert_small_dims(trips: DataFrame, wh: "Warehouse",
+                      max_rows: int = SMALL_DIM_MAX_ROWS) -> dict[str, DataFrame]:
+    """The four coded dimensions in one pass (W02): one distinct over
+    (dimension, id) pairs, one anti join against the known members.
+
+    New members are numbered per dimension with a window only after a count
+    shows they are few (one task per dimension then holds a bounded set);
+    otherwise each dimension is numbered with range partitions.
+    """
+    pairs = None
+    for spec in SMALL_DIMS:
+        for src in spec.sources:
+            p = trips.select(F.lit(spec.name).alias("dim"), F.col(src).cast("int").alias("id"))
+            pairs = p if pairs is None else pairs.unionByName(p)
+    known = None
+    for spec in SMALL_DIMS:
+        k = getattr(wh, spec.name).select(F.lit(spec.name).alias("dim"),
+                                          F.col(spec.id_col).alias("id"), F.col(spec.key_col).alias("key"))
+        known = k if known is None else known.unionByName(k)
+    new = pairs.dropna().distinct().join(known.select("dim", "id"), ["dim", "id"], "left_anti")
+    new = new.checkpoint(eager=True)
+    starts = known.groupBy("dim").agg(F.max("key").alias("start"))
+    out = {}
+    if new.count() <= max_rows:
+        w = Window.partitionBy("dim").orderBy("id")
+        numbered = (new.join(F.broadcast(starts), "dim", "left")  # one row per dimension
+                    .select("dim", "id", (F.coalesce("start", F.lit(0)) + F.row_number().over(w))
+                            .cast("int").alias("key")))
+        for spec in SMALL_DIMS:
+            fresh = numbered.where(F.col("dim") == spec.name).select(
+                F.col("key").alias(spec.key_col), F.col("id").alias(spec.id_col))
+            out[spec.name] = getattr(wh, spec.name).select(spec.key_col, spec.id_col).unionByName(fresh)
+        return out
+    for spec in SMALL_DIMS:
+        existing = getattr(wh, spec.name)
+        ids = new.where(F.col("dim") == spec.name).select(F.col("id").alias(spec.id_col))
+        keyed = dense_keys(ids, [spec.id_col], spec.key_col,
+                           offset=max_key(existing, spec.key_col), key_type="int")
+        out[spec.name] = existing.select(spec.key_col, spec.id_col).unionByName(keyed)
+    return out
+
+
 def datetime_attributes(ts) -> list:
     """date, year, month, day, hour, dow with Sunday = 1."""
     return [F.to_date(ts).alias("date"), F.year(ts).alias("year"), F.month(ts).alias("month"),
@@ -175,7 +219,7 @@ def load_fact(cleaned: DataFrame, wh: Warehouse, existing_fact: DataFrame | None
 
 def load_dims(cleaned: DataFrame, wh: Warehouse) -> Warehouse:
     """All five dimension upserts for one batch of cleaned trips."""
-    dims = {spec.name: upsert_dim(cleaned, spec, getattr(wh, spec.name)) for spec in SMALL_DIMS}
+    dims = upsert_small_dims(cleaned, wh)
     dims["dim_datetime"] = upsert_datetime(cleaned, wh.dim_datetime)
     return wh.replace(**dims)
 

@@ -48,7 +48,10 @@ def borough_mix(zones: DataFrame, wh: Warehouse, start=None, end=None, n: int =
               .orderBy(F.desc("trips"), "borough").limit(n))
     tips = (zones.select("location_id", "borough").where(F.col("borough").isNotNull())
             .join(R.tip_by_location(wh, start, end), "location_id", "left")
-            .groupBy("borough").agg(F.round(F.avg("avg_tip"), 6).alias("avg_tip")))
+            # Zone means have 6 decimals: summed exactly, divided once.
+            .groupBy("borough").agg(F.round(
+                F.sum(F.col("avg_tip").cast("decimal(18,6)")).cast("double") / F.count("avg_tip"), 6
+            ).alias("avg_tip")))
     j = trips.join(tips, "borough", "left")
     return j.select("borough", "trips", "avg_tip", fmt_num(F.col("trips"), 0).alias("trips_text"),
                     fmt_money(F.col("avg_tip")).alias("avg_tip_text")

@@ -692,7 +692,7 @@ bt AS (SELECT borough, CAST(sum(trips) AS BIGINT) AS trips FROM zmap WHERE borou
        GROUP BY 1 ORDER BY trips DESC, borough LIMIT 6),
 tl AS (SELECT CAST(l.location_id AS INTEGER) AS location_id, {am('f.tip_amount')} AS avg_tip
        FROM {PU} JOIN dim_location l ON f.pu_location_key = l.location_key GROUP BY 1),
-tb AS (SELECT z.borough, round(avg(tl.avg_tip), 6) AS avg_tip FROM zones z
+tb AS (SELECT z.borough, round(CAST(sum(CAST(tl.avg_tip AS DECIMAL(18,6))) AS DOUBLE) / count(tl.avg_tip), 6) AS avg_tip FROM zones z
        LEFT JOIN tl ON tl.location_id = z.location_id WHERE z.borough IS NOT NULL GROUP BY 1)
 SELECT bt.borough, bt.trips, tb.avg_tip, format('{{:,}}', bt.trips) AS trips_text,
        coalesce('$' || printf('%.2f', tb.avg_tip), '-') AS avg_tip_text

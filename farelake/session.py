@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -78,6 +79,16 @@ def checkpoint_base(spark: SparkSession) -> str:
     return base
 
 
+_RUN_TOKEN = uuid.uuid4().hex[:12]
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared folder, for tables written to cut lineage."""
-    return "/".join([checkpoint_base(spark)] + [p.strip("/") for p in parts])
+    """A path under the shared folder, for tables written to cut lineage.
+
+    The shared folder is shared by every job of the cluster, so paths are
+    namespaced by application and a per-process token: a run never reads or
+    overwrites another run's tables.
+    """
+    app = spark.sparkContext.applicationId.replace("/", "_")
+    return "/".join([checkpoint_base(spark), "farelake", f"{app}-{_RUN_TOKEN}"]
+                    + [p.strip("/") for p in parts])
