@@ -245,21 +245,28 @@ FK_CHECKS = (  # (foreign key, dimension, dimension key)
 def fk_orphans(wh: Warehouse) -> DataFrame:
     """Per foreign key: non-null fact keys with no dimension row.
 
-    Each check aggregates the fact keys first (one row per key value), then
-    anti-joins the dimension keys, so the join sees distinct keys only.
+    One scan of the fact: every row yields its (foreign key, value) pairs,
+    which are reduced to distinct pairs with counts (map-side combined) before
+    one anti join against the union of the dimensions' keys, tagged by the
+    foreign key that references them.
     """
     t = wh.tables()
-    parts = []
+    pairs = F.explode(F.array(*[F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("bigint").alias("k"))
+                                for fk, _, _ in FK_CHECKS])).alias("p")
+    keys = (t["fact_trip"].select(pairs).select("p.fk", "p.k").where(F.col("k").isNotNull())
+            .groupBy("fk", "k").agg(F.count(F.lit(1)).alias("n")))
+    known = None
     for fk, dim, dk in FK_CHECKS:
-        keys = (t["fact_trip"].where(F.col(fk).isNotNull())
-                .groupBy(F.col(fk).cast("bigint").alias("k")).agg(F.count(F.lit(1)).alias("n")))
-        orphan = keys.join(t[dim].select(F.col(dk).cast("bigint").alias("k")), "k", "left_anti")
-        parts.append(orphan.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphans"))
-                     .select(F.lit(fk).alias("foreign_key"), F.lit(dim).alias("dimension"), "orphans"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        d = t[dim].select(F.lit(fk).alias("fk"), F.col(dk).cast("bigint").alias("k"))
+        known = d if known is None else known.unionByName(d)
+    orphans = keys.join(known, ["fk", "k"], "left_anti").groupBy("fk").agg(
+        F.sum("n").cast("bigint").alias("orphans"))
+    checks = wh.fact_trip.sparkSession.createDataFrame(
+        [(fk, dim) for fk, dim, _ in FK_CHECKS], "foreign_key string, dimension string")
+    # One row per foreign key (7): a bounded broadcast.
+    return (checks.join(F.broadcast(orphans.withColumnRenamed("fk", "foreign_key")), "foreign_key", "left")
+                  .select("foreign_key", "dimension",
+                          F.coalesce(F.col("orphans"), F.lit(0).cast("bigint")).alias("orphans")))
 
 
 def constraint_violations(wh: Warehouse) -> DataFrame:

@@ -891,3 +891,14 @@ def _score_requests(spark, sf_dir):
     req = Z.zone_ids_for_names(req, zones, "do_zone", "DOLocationID")
     req = FE.time_features(req, "pickup_ts")
     return MD.score(m, req, keep=("trip_key",))
+
+
+@register("table_columns")
+def _table_columns(spark, sf_dir):
+    """Column name, type and position of every warehouse table, from the
+    saved tables' schemas (S15); catalogue metadata, rows only."""
+    wh = warehouse(spark, sf_dir)
+    rows = [(name, f.name, f.dataType.simpleString(), i + 1)
+            for name, df in wh.tables().items() for i, f in enumerate(df.schema.fields)]
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, "
+                                       "ordinal_position int")

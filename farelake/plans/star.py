@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import itertools
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,9 +55,15 @@ def save_table(df: DataFrame, base: str, name: str) -> DataFrame:
 
 
 def save_warehouse(wh: W.Warehouse, base: str, only: tuple[str, ...] | None = None) -> W.Warehouse:
-    out = {}
-    for name, df in wh.tables().items():
-        out[name] = save_table(df, base, name) if (only is None or name in only) else df
+    """Write the chosen tables; independent writes are submitted as concurrent
+    Spark jobs so small tables don't wait on each other."""
+    tables = wh.tables()
+    names = [n for n in tables if only is None or n in only]
+    out = dict(tables)
+    with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
+        futures = {n: pool.submit(save_table, tables[n], base, n) for n in names}
+        for n, f in futures.items():
+            out[n] = f.result()
     return W.Warehouse(**out)
 
 

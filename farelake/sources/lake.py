@@ -99,7 +99,10 @@ def write_cleaned(df: DataFrame, base: str, mode: str = "overwrite") -> None:
         raise ValueError(f"mode must be overwrite or append, got {mode}")
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    # On a new folder a plain overwrite is the same and skips the staging
+    # directory that dynamic overwrite commits through.
+    fresh = not path_exists(spark, base)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static" if fresh else "dynamic")
     try:
         # Cluster rows by partition so each task writes few files.
         out = _partition_cols(df).repartition("year", "month")
@@ -108,6 +111,13 @@ def write_cleaned(df: DataFrame, base: str, mode: str = "overwrite") -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on the cluster's file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_cleaned(spark: SparkSession, base: str, year: int | None = None,
                  month: int | None = None) -> DataFrame:
     """Read cleaned trips; with year and month, one month by partition pruning.

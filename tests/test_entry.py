@@ -14,7 +14,7 @@ def test_registry_and_oracle_keys():
     assert set(o) <= set(q)
     assert len(q) >= 90
     rows_only = set(q) - set(o)
-    assert rows_only == {"largest_file", "model_train", "score_batch", "score_scenarios",
+    assert rows_only == {"largest_file", "table_columns", "model_train", "score_batch", "score_scenarios",
                          "score_requests"}
 
 

@@ -73,3 +73,36 @@ def test_reports_edges(spark, raw):
     k = R.kpi_rounded(wh).first()
     assert str(k.avg_total) == "14.00"
     assert R.latest_trips(wh, n=2).count() == 2
+
+
+def test_pick_and_require():
+    cols = ["datetime_key", "ts", "date"]
+    assert R.pick(cols, ["date_time_key", "datetime_key"]) == "datetime_key"
+    assert R.pick(cols, ["nope"]) is None
+    import pytest
+    with pytest.raises(ValueError) as e:
+        R.require(cols, {"key": ["datetime_key"], "label": ["label", "name"], "loc": ["location_key"]})
+    assert "label" in str(e.value) and "location_key" in str(e.value)
+
+
+def test_saved_tables_keep_declared_schemas(spark, raw):
+    from farelake import schemas as S
+    wh, _, _ = _load(spark, raw, [trip()], "schemas")
+    declared = {"dim_vendor": S.DIM_VENDOR, "dim_datetime": S.DIM_DATETIME, "fact_trip": S.FACT_TRIP}
+    for name, schema in declared.items():
+        got = [(f.name, f.dataType) for f in getattr(wh, name).schema.fields]
+        assert got == [(f.name, f.dataType) for f in schema.fields]
+
+
+def test_load_modes_and_order(spark, raw):
+    import pytest
+    from farelake.plans import pipeline as P
+    base = scratch_path(spark, "test", "modes")
+    rows = raw([trip(), trip(pickup="2024-02-01 10:00:00", dropoff="2024-02-01 10:30:00")])
+    q1 = P.run(spark, rows, base, "Q1")
+    assert q1.warehouse is None and spark.read.parquet(q1.cleaned_path).count() == 2
+    q2 = P.run(spark, None, base, "q2", max_rows=1)
+    assert q2.warehouse.fact_trip.count() == 1
+    with pytest.raises(ValueError):
+        P.run(spark, rows, base, "q3")
+    assert P.STAGES.index("load") < P.STAGES.index("seed") < P.STAGES.index("reports")
