@@ -32,7 +32,7 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
     """
     spark = df.sparkSession
     checkpoint_base(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_partitions(df)
     order = _order(order_cols)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     # Fix partition contents and order: the range bounds come from a sample.
@@ -53,6 +53,22 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
                   .select(key.alias(key_col), *[F.col(c) for c in df.columns]))
 
 
+def range_partitions(df: DataFrame) -> int:
+    """Partitions for numbering: at least ``spark.sql.shuffle.partitions``,
+    and at least as many as the input has scan splits, so a range holds about
+    one input split of rows as the data grows. The split count is read only
+    when the plan has no shuffle (reading it then runs no job)."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        if "Exchange" not in plan:
+            n = max(n, df.rdd.getNumPartitions())
+    except Exception:  # noqa: BLE001 - the default count is always valid
+        pass
+    return n
+
+
 def max_key(df: DataFrame, key_col: str) -> int:
     """Current maximum key, 0 for an empty table (one scalar to the driver)."""
     v = df.agg(F.max(key_col)).first()[0]

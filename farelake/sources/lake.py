@@ -104,8 +104,10 @@ def write_cleaned(df: DataFrame, base: str, mode: str = "overwrite") -> None:
     fresh = not path_exists(spark, base)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static" if fresh else "dynamic")
     try:
-        # Cluster rows by partition so each task writes few files.
-        out = _partition_cols(df).repartition("year", "month")
+        # Rows of a month go to the same tasks, so each task writes few
+        # files; AQE splits a month larger than the advisory partition size
+        # over several tasks, so no month is written by one task.
+        out = _partition_cols(df).hint("rebalance", "year", "month")
         out.write.mode(mode).partitionBy("year", "month").parquet(base)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
