@@ -24,10 +24,11 @@ def value_ranks(df: DataFrame, col: str, num_partitions: int | None = None) -> D
     0-based rank range [lo, hi) it covers in sorted order."""
     spark = df.sparkSession
     checkpoint_base(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions  # None: default count, coalesced by AQE
     hist = (df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
               .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    ranged = hist.repartitionByRange(n, "v").sortWithinPartitions("v").checkpoint(eager=True)
+    ranged = (hist.repartitionByRange(n, "v") if n else hist.repartitionByRange("v"))
+    ranged = ranged.sortWithinPartitions("v").checkpoint(eager=True)
     tagged = ranged.select("v", "c", F.spark_partition_id().alias("_pid"))
     totals = tagged.groupBy("_pid").agg(F.sum("c").alias("_t"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -88,13 +89,14 @@ def multi_value_ranks(df: DataFrame, cols: Sequence[str], num_partitions: int |
     """
     spark = df.sparkSession
     checkpoint_base(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions  # None: default count, coalesced by AQE
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
                                 for c in cols])).alias("p")
     hist = (df.select(pairs).select("p.column", "p.v").where(F.col("v").isNotNull())
               .groupBy("column", "v").agg(F.count(F.lit(1)).alias("c")))
-    ranged = (hist.repartitionByRange(n, "column", "v").sortWithinPartitions("column", "v")
-              .checkpoint(eager=True))
+    ranged = (hist.repartitionByRange(n, "column", "v") if n
+              else hist.repartitionByRange("column", "v"))
+    ranged = ranged.sortWithinPartitions("column", "v").checkpoint(eager=True)
     tagged = ranged.select("column", "v", "c", F.spark_partition_id().alias("_pid"))
     totals = tagged.groupBy("column", "_pid").agg(F.sum("c").alias("_t"))
     before = Window.partitionBy("column").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -34,7 +34,10 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
     checkpoint_base(spark)
     n = num_partitions or range_partitions(df)
     order = _order(order_cols)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count AQE may merge adjacent small ranges; merged
+    # ranges stay contiguous and in order, so the numbering still holds.
+    ranged = (df.repartitionByRange(n, *order) if n else df.repartitionByRange(*order))
+    ranged = ranged.sortWithinPartitions(*order)
     # Fix partition contents and order: the range bounds come from a sample.
     fixed = ranged.checkpoint(eager=True)
     tagged = fixed.select(
@@ -53,20 +56,23 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
                   .select(key.alias(key_col), *[F.col(c) for c in df.columns]))
 
 
-def range_partitions(df: DataFrame) -> int:
-    """Partitions for numbering: at least ``spark.sql.shuffle.partitions``,
-    and at least as many as the input has scan splits, so a range holds about
-    one input split of rows as the data grows. The split count is read only
-    when the plan has no shuffle (reading it then runs no job)."""
+def range_partitions(df: DataFrame) -> int | None:
+    """Partitions for numbering. ``None`` (the default count, which AQE may
+    coalesce) unless the input has more scan splits than
+    ``spark.sql.shuffle.partitions``; then one range per input split, so a
+    range holds about one split of rows as the data grows. The split count is
+    read only when the plan has no shuffle (reading it then runs no job)."""
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
         plan = df._jdf.queryExecution().sparkPlan().toString()
         if "Exchange" not in plan:
-            n = max(n, df.rdd.getNumPartitions())
+            splits = df.rdd.getNumPartitions()
+            if splits > n:
+                return splits
     except Exception:  # noqa: BLE001 - the default count is always valid
         pass
-    return n
+    return None
 
 
 def max_key(df: DataFrame, key_col: str) -> int:

@@ -49,3 +49,15 @@ def test_exact_quantiles_long_several_columns(spark):
 def test_exact_quantiles_no_values(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, "x", [0.5], ["m"]).first()["m"] is None
+
+
+def test_dense_keys_default_partitions_with_many_shuffle_partitions(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        df = spark.range(0, 2000).selectExpr("id * 7 % 2003 AS a").distinct()
+        got = dense_keys(df, ["a"], "k")
+        ref = df.select("a", F.row_number().over(Window.orderBy("a")).alias("r"))
+        assert got.join(ref, "a").where(F.col("k") != F.col("r")).count() == 0
+        assert got.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
