@@ -735,6 +735,7 @@ def _zone_requests(wh, zones):
 
 from farelake.operators import features as FE  # noqa: E402
 from farelake.operators import model as MD  # noqa: E402
+import os  # noqa: E402
 
 _ML_WHERE = f"""{_ML_NOT_NULL} AND passenger_count > 0 AND trip_distance > 0 AND total_amount > 0
   AND tpep_pickup_datetime < tpep_dropoff_datetime AND trip_distance < 100 AND total_amount < 300"""
@@ -839,15 +840,25 @@ _MODELS: dict = {}
 
 
 def _model(spark, sf_dir):
+    """The smoke model of ``sf_dir``: trained once and published next to the
+    warehouse it was trained from, so later runs load it."""
+    from farelake.plans.star import publish_json, read_json
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        rows, spec = _rows(spark, sf_dir)
         b = star_for(spark, sf_dir)
-        rows = save_table(rows, b.base, "model_rows")
-        m = MD.train(rows, spec, rounds=QUERY_ROUNDS)
-        m.rmse = MD.evaluate(m, rows)
-        MD.save(m, f"{b.base}/model", spark)
-        _MODELS[key] = (MD.load(f"{b.base}/model", spark), rows)
+        manifest = f"{b.base}/model-r{QUERY_ROUNDS}.json"
+        m = read_json(spark, manifest)
+        if m is None:
+            rows, spec = _rows(spark, sf_dir)
+            rows = save_table(rows, b.base, "model_rows")
+            fit = MD.train(rows, spec, rounds=QUERY_ROUNDS)
+            fit.rmse = MD.evaluate(fit, rows)
+            path = scratch_path(spark, "model", f"r{QUERY_ROUNDS}")
+            MD.save(fit, path, spark)
+            m = {"model": path, "rows": os.path.dirname(rows.inputFiles()[0])}
+            publish_json(spark, manifest, m)
+            m = read_json(spark, manifest)
+        _MODELS[key] = (MD.load(m["model"], spark), spark.read.parquet(m["rows"]))
     return _MODELS[key]
 
 

@@ -9,7 +9,11 @@ of the load is cut.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
+import json
+import os
+import uuid
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
@@ -19,7 +23,7 @@ from pyspark.sql import functions as F
 from farelake import schemas as S
 from farelake.functions.rules import clean, with_provenance
 from farelake.operators import warehouse as W
-from farelake.session import scratch_path
+from farelake.session import checkpoint_base, scratch_path
 from farelake.sources import adapter, lake
 from farelake.sources import zones as zone_src
 
@@ -110,13 +114,90 @@ def build_star(spark: SparkSession, sf_dir: str, base: str | None = None) -> Sta
     return StarBuild(base, cleaned_path, wh, zones_path)
 
 
-def star_for(spark: SparkSession, sf_dir: str) -> StarBuild:
-    """The warehouse of ``sf_dir``, built once per application."""
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of a build: the library's source and the input tables' size and
+    modification time, read through the cluster file system."""
+    h = hashlib.sha256()
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for root, _, files in sorted(os.walk(pkg)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                h.update(f.encode())
+                with open(os.path.join(root, f), "rb") as fh:
+                    h.update(fh.read())
+    for name in adapter.INPUT_TABLES:
+        fs, p = _fs(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        st = fs.getFileStatus(p)
+        h.update(f"{name}:{fs.getContentSummary(p).getLength()}:{st.getModificationTime()}".encode())
+    return h.hexdigest()[:24]
+
+
+def _table_dir(df: DataFrame) -> str:
+    return os.path.dirname(df.inputFiles()[0])
+
+
+def publish_json(spark: SparkSession, path: str, payload: dict) -> None:
+    """Write a small JSON manifest through a rename: readers see all of it or
+    nothing. If another run published first, its manifest is kept."""
+    fs, final = _fs(spark, path)
+    _, tmp = _fs(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, True)
+    out.write(bytearray(json.dumps(payload).encode("utf-8")))
+    out.close()
+    if not fs.rename(tmp, final):
+        fs.delete(tmp, False)
+
+
+def read_json(spark: SparkSession, path: str) -> dict | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _publish(spark: SparkSession, manifest: str, b: StarBuild) -> None:
+    publish_json(spark, manifest, {
+        "base": b.base, "cleaned_path": b.cleaned_path, "zones_path": b.zones_path,
+        "tables": {n: _table_dir(df) for n, df in b.wh.tables().items()}})
+
+
+def _load_published(spark: SparkSession, manifest: str) -> StarBuild | None:
+    m = read_json(spark, manifest)
+    if m is None:
+        return None
+    wh = W.Warehouse(**{n: spark.read.parquet(path) for n, path in m["tables"].items()})
+    return StarBuild(m["base"], m["cleaned_path"], wh, m["zones_path"])
+
+
+def star_for(spark: SparkSession, sf_dir: str, reuse: bool = True) -> StarBuild:
+    """The warehouse of ``sf_dir``: built once per application, and reused
+    across applications from the shared folder when the same library source
+    and the same input files built it."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _lock:
-        if key not in _STARS:
-            _STARS[key] = build_star(spark, sf_dir)
-        return _STARS[key]
+        if key in _STARS:
+            return _STARS[key]
+        build = None
+        manifest = None
+        if reuse:
+            manifest = f"{checkpoint_base(spark)}/farelake-builds/{fingerprint(spark, sf_dir)}/manifest.json"
+            build = _load_published(spark, manifest)
+        if build is None:
+            build = build_star(spark, sf_dir)
+            if manifest:
+                _publish(spark, manifest, build)
+        _STARS[key] = build
+        return build
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> W.Warehouse:

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from farelake.functions.text import month_file_name
 
 
+# The driver tables the adapters read.
+INPUT_TABLES = ("lineitem", "orders", "part", "nation", "region")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
