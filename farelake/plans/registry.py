@@ -913,3 +913,17 @@ def _table_columns(spark, sf_dir):
             for name, df in wh.tables().items() for i, f in enumerate(df.schema.fields)]
     return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, "
                                        "ordinal_position int")
+
+
+# The notebook's top-15 variants of A19: no date window, fifteen rows.
+_LOC_ALL = """SELECT CAST(l.location_id AS INTEGER) AS location_id, COUNT(*) AS trips
+FROM fact_trip f JOIN dim_location l ON f.{k} = l.location_key GROUP BY 1
+ORDER BY trips DESC, location_id LIMIT 15"""
+report("top_pickups_15", R.top_pickups, star(_LOC_ALL.format(k="pu_location_key")), n=15)
+report("top_dropoffs_15", R.top_dropoffs, star(_LOC_ALL.format(k="do_location_key")), n=15)
+
+# The donut shows the top 6 payment groups, the bar chart the top 4.
+for _n in (6, 4):
+    report(f"payment_mix_fact_top{_n}", R.payment_mix_fact, star(f"""
+SELECT CAST(f.payment_type_key AS VARCHAR) AS payment, COUNT(*) AS trips FROM {PU}
+GROUP BY 1 ORDER BY trips DESC, payment NULLS FIRST LIMIT {_n}"""), n=_n)
