@@ -280,16 +280,20 @@ def rate_mix_fact(wh: Warehouse, start=None, end=None, n: int | None = 5) -> Dat
 
 def rate_top_other(wh: Warehouse, start=None, end=None, n: int = 5) -> DataFrame:
     """Top n rate codes plus ``Other`` for the rest of the full ranking.
-    The ranking has one row per rate code."""
-    from pyspark.sql import Window
+
+    The top n come from a distributed top-k (n rows); every other code is
+    labelled ``Other`` through a null-safe join against them.
+    """
     c = rate_mix_fact(wh, start, end, n=None)
-    w = Window.orderBy(F.desc("trips"), F.asc_nulls_first("rate_code"))
-    r = c.withColumn("_rank", F.row_number().over(w))
-    label = F.when(F.col("_rank") <= n, F.coalesce(F.col("rate_code"), F.lit("None"))).otherwise(
+    top = c.orderBy(F.desc("trips"), F.asc_nulls_first("rate_code")).limit(n).select(
+        F.col("rate_code").alias("_top"), F.lit(True).alias("_is_top"))
+    j = c.join(F.broadcast(top), c["rate_code"].eqNullSafe(top["_top"]), "left")
+    label = F.when(F.col("_is_top"), F.coalesce(F.col("rate_code"), F.lit("None"))).otherwise(
         F.lit("Other"))
-    return (r.groupBy(label.alias("rate_code"))
-             .agg(F.sum("trips").cast("bigint").alias("trips"), F.min("_rank").alias("_r"))
-             .orderBy("_r").drop("_r"))
+    return (j.groupBy(label.alias("rate_code"))
+             .agg(F.sum("trips").cast("bigint").alias("trips"),
+                  F.max(F.coalesce(F.col("_is_top"), F.lit(False))).alias("_t"))
+             .orderBy(F.desc("_t"), F.desc("trips"), "rate_code").drop("_t"))
 
 
 def _stats_by_natural_id(wh: Warehouse, start, end, key: str, dim: DataFrame, ident: str,

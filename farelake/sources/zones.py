@@ -40,21 +40,29 @@ def zone_ids_to_load(zone_text: DataFrame, dim_location: DataFrame) -> DataFrame
     return ids.join(dim_location.select("location_id"), "location_id", "left_anti")
 
 
+# Ids per JSON object of the location map: the lookup is written as one
+# object per block of ids, so no group grows with the lookup.
+MAP_BLOCK = 10_000
+
+
 def location_map_json(zones: DataFrame) -> DataFrame:
-    """One row, one JSON object id -> zone name (S14). Bounded by the lookup."""
+    """JSON objects id -> zone name (S14), one per block of ids. A repeated id
+    keeps one name (the largest), so the map has unique keys."""
     entries = (zones.where(F.col("location_id").isNotNull())
-               .select(F.struct(F.col("location_id").cast("string").alias("k"),
+               .groupBy("location_id").agg(F.max("zone").alias("zone"))
+               .select((F.col("location_id") / MAP_BLOCK).cast("bigint").alias("block"),
+                       F.struct(F.col("location_id").cast("string").alias("k"),
                                 F.col("zone").alias("v")).alias("e")))
-    return entries.agg(F.to_json(F.map_from_entries(
-        F.array_sort(F.collect_list("e")))).alias("location_map"))
+    return entries.groupBy("block").agg(F.to_json(F.map_from_entries(
+        F.array_sort(F.collect_list("e")))).alias("location_map")).select("location_map")
 
 
 def write_location_map(zones: DataFrame, path: str) -> None:
-    location_map_json(zones).coalesce(1).write.mode("overwrite").text(path)
+    location_map_json(zones).write.mode("overwrite").text(path)
 
 
 def read_location_map(spark: SparkSession, path: str) -> DataFrame:
-    """(location_id, zone) rows from a written location map."""
+    """(location_id, zone) rows from a written location map (all its objects)."""
     m = spark.read.text(path).select(
         F.from_json("value", "map<string,string>").alias("m"))
     return m.select(F.explode("m").alias("k", "zone")).select(
