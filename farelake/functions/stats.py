@@ -47,10 +47,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
     spark = df.sparkSession
     ranks = value_ranks(df, col)
-    total = ranks.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"))
+    total = ranks.agg(F.coalesce(F.sum("c"), F.lit(0))).scalar()  # a scalar subquery
     targets = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "i int, p double")
-    t = (targets.crossJoin(total)  # |probs| x 1 rows
-         .select("i", (F.col("p") * (F.col("n") - 1)).alias("pos"), "n")
+    t = (targets.select("i", (F.col("p") * (total - 1)).alias("pos"), total.alias("n"))
          .where(F.col("n") > 0)
          .select("i", "pos", F.floor("pos").cast("bigint").alias("r_lo"),
                  F.ceil("pos").cast("bigint").alias("r_hi")))

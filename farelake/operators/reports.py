@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelake.functions import money as M
+from farelake.functions.joins import bounded
 from farelake.functions.rules import date_window
 from farelake.functions.text import passenger_group, short_label, weekday_label
 from farelake.operators.warehouse import Warehouse
@@ -161,10 +162,10 @@ def daily_trimmed(wh: Warehouse, start=None, end=None, floor: float = 1000.0,
     """Days with trips >= max(floor, share * median day) (A07). The median is
     exact over the daily rows (one per day: a bounded table)."""
     d = daily_metrics(wh, start, end)
-    med = d.agg(F.percentile(F.col("trips").cast("double"), 0.5).alias("_med"))
-    cut = F.greatest(F.lit(float(floor)), F.coalesce(F.col("_med"), F.lit(0.0)) * float(share))
-    # One-row scalar: broadcast cross join.
-    return d.crossJoin(F.broadcast(med)).where(F.col("trips") >= cut).drop("_med").orderBy("day")
+    # Scalar subquery: the median is computed once and compared as a value.
+    med = d.agg(F.percentile(F.col("trips").cast("double"), 0.5)).scalar()
+    cut = F.greatest(F.lit(float(floor)), F.coalesce(med, F.lit(0.0)) * float(share))
+    return d.where(F.col("trips") >= cut).orderBy("day")
 
 
 def daily_scaled(wh: Warehouse, start=None, end=None, floor: float = 1000.0,
@@ -172,12 +173,12 @@ def daily_scaled(wh: Warehouse, start=None, end=None, floor: float = 1000.0,
     """Trend series on one scale (A31): revenue to max(revenue, 1) x max trips,
     fare x 10000, tip x 16000, over the trimmed days."""
     d = daily_trimmed(wh, start, end, floor, share)
-    mx = d.agg(F.max(F.col("revenue").cast("double")).alias("_mr"), F.max("trips").alias("_mt"))
-    j = d.crossJoin(F.broadcast(mx))
-    return j.select(
+    max_rev = d.agg(F.max(F.col("revenue").cast("double"))).scalar()
+    max_trips = d.agg(F.max("trips")).scalar()
+    return d.select(
         "day", "trips",
-        F.round(F.col("revenue").cast("double") / F.greatest(F.col("_mr"), F.lit(1.0))
-                * F.col("_mt"), 6).alias("revenue_scaled"),
+        F.round(F.col("revenue").cast("double") / F.greatest(max_rev, F.lit(1.0))
+                * max_trips, 6).alias("revenue_scaled"),
         F.round(F.col("avg_fare") * 10000, 6).alias("avg_fare_scaled"),
         F.round(F.col("avg_tip") * 16000, 6).alias("avg_tip_scaled")).orderBy("day")
 
@@ -249,7 +250,7 @@ def payment_mix(wh: Warehouse, start=None, end=None) -> DataFrame:
     does (no label column exists); null payment keys drop out (J04)."""
     c = _count_by_key(wh, start, end, "payment_type_key")
     d = wh.dim_payment_type.select("payment_type_key")
-    return (c.join(F.broadcast(d), "payment_type_key")
+    return (c.join(bounded(d, wh.dim_payment_type), "payment_type_key")
              .select(F.col("payment_type_key").alias("payment_type"), "trips")
              .orderBy(F.desc("trips"), "payment_type"))
 
@@ -266,7 +267,7 @@ def rate_mix(wh: Warehouse, start=None, end=None, n: int = 10) -> DataFrame:
     """Top rate codes by trips, labelled by the dimension key."""
     c = _count_by_key(wh, start, end, "rate_code_key")
     d = wh.dim_rate_code.select("rate_code_key")
-    return (c.join(F.broadcast(d), "rate_code_key")
+    return (c.join(bounded(d, wh.dim_rate_code), "rate_code_key")
              .select(F.col("rate_code_key").alias("rate_code"), "trips")
              .orderBy(F.desc("trips"), "rate_code").limit(n))
 
@@ -300,7 +301,7 @@ def _stats_by_natural_id(wh: Warehouse, start, end, key: str, dim: DataFrame, id
                          measures: Sequence[str]) -> DataFrame:
     f = trips(wh, start, end)
     partial = f.groupBy(key).agg(*_measure_partials(measures))
-    j = partial.join(F.broadcast(dim.select(key, ident)), key)
+    j = partial.join(bounded(dim.select(key, ident), dim), key)
     g = j.groupBy(ident).agg(*_measure_finals(measures))
     return g.select(ident, F.col("_n").alias("trips"),
                     *[_avg_numeric(m).alias(f"avg_{m.split('_')[0]}") for m in measures]
@@ -326,7 +327,7 @@ def _location_counts(wh: Warehouse, start, end, role: str) -> DataFrame:
     key = {"pickup": "pu_location_key", "dropoff": "do_location_key"}[role]
     c = _count_by_key(wh, start, end, key)
     d = wh.dim_location.select(F.col("location_key").alias(key), "location_id")
-    return c.join(F.broadcast(d), key).select(F.col("location_id").cast("int").alias("location_id"),
+    return c.join(bounded(d, wh.dim_location), key).select(F.col("location_id").cast("int").alias("location_id"),
                                               "trips")
 
 
@@ -354,7 +355,7 @@ def top_tip_locations(wh: Warehouse, start=None, end=None, n: int = 5) -> DataFr
     f = trips(wh, start, end)
     s = f.groupBy("pu_location_key").agg(M.sum_dec("tip_amount").alias("_s"))
     d = wh.dim_location.select(F.col("location_key").alias("pu_location_key"), "location_id")
-    return (s.join(F.broadcast(d), "pu_location_key")
+    return (s.join(bounded(d, wh.dim_location), "pu_location_key")
              .groupBy(F.col("location_id").cast("string").alias("pickup_location"))
              .agg(F.sum("_s").cast(M.MONEY).alias("total_tips"))
              .orderBy(F.desc("total_tips"), "pickup_location").limit(n))
@@ -365,7 +366,7 @@ def tip_by_location(wh: Warehouse, start=None, end=None) -> DataFrame:
     f = trips(wh, start, end)
     s = f.groupBy("pu_location_key").agg(*_measure_partials(["tip_amount"]))
     d = wh.dim_location.select(F.col("location_key").alias("pu_location_key"), "location_id")
-    g = s.join(F.broadcast(d), "pu_location_key").groupBy(
+    g = s.join(bounded(d, wh.dim_location), "pu_location_key").groupBy(
         F.col("location_id").cast("int").alias("location_id")).agg(*_measure_finals(["tip_amount"]))
     return g.select("location_id", _avg("tip_amount").alias("avg_tip")).orderBy("location_id")
 
@@ -386,10 +387,9 @@ def passenger_mix(wh: Warehouse, start=None, end=None) -> DataFrame:
 
 
 def with_share(df: DataFrame, count_col: str = "trips") -> DataFrame:
-    """Share of the total per row (A30), via a one-row total."""
-    tot = df.agg(F.sum(count_col).alias("_tot"))
-    return (df.crossJoin(F.broadcast(tot))
-              .withColumn("share", F.round(F.col(count_col) / F.col("_tot"), 6)).drop("_tot"))
+    """Share of the total per row (A30); the total is a scalar subquery."""
+    tot = df.agg(F.sum(count_col)).scalar()
+    return df.withColumn("share", F.round(F.col(count_col) / tot, 6))
 
 
 def payment_share(wh: Warehouse, start=None, end=None) -> DataFrame:
@@ -448,11 +448,12 @@ def clipped_histogram(wh: Warehouse, measure: str, cap: float, bins: int, n: int
     """Equal-width bins from min to max of least(x, cap); last bin closed."""
     d = dist_sample(wh, n).select(F.least(F.col(measure).cast("double"), F.lit(float(cap))).alias("x"))
     d = d.where(F.col("x").isNotNull())
-    mm = d.agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
-    width = F.col("_hi") - F.col("_lo")
+    # Scalar subqueries: the bounds are computed once and used as values.
+    lo, hi = d.agg(F.min("x")).scalar(), d.agg(F.max("x")).scalar()
+    width = hi - lo
     idx = F.when(width <= 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("x") - F.col("_lo")) / width * bins), F.lit(bins - 1)))
-    j = d.crossJoin(F.broadcast(mm)).select(idx.cast("int").alias("bin"), "_lo", "_hi")
+        F.least(F.floor((F.col("x") - lo) / width * bins), F.lit(bins - 1)))
+    j = d.select(idx.cast("int").alias("bin"), lo.alias("_lo"), hi.alias("_hi"))
     return (j.groupBy("bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))
              .select("bin",
                      F.round(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("bin") / bins, 6
@@ -481,12 +482,14 @@ def time_bounds(wh: Warehouse) -> DataFrame:
     the facts (A27). Facts are reduced to distinct keys before each join."""
     dt = wh.dim_datetime.select("datetime_key", "ts")
 
-    def role(key: str, prefix: str) -> DataFrame:
+    def role(key: str, prefix: str) -> list[Column]:
         keys = wh.fact_trip.select(F.col(key).alias("datetime_key")).distinct()
-        return keys.join(dt, "datetime_key").agg(F.min("ts").alias(f"min_{prefix}_ts"),
-                                                 F.max("ts").alias(f"max_{prefix}_ts"))
-    allt = dt.agg(F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"))
-    return role(PU_KEY, "pickup").crossJoin(role("dropoff_datetime_key", "dropoff")).crossJoin(allt)
+        times = keys.join(dt, "datetime_key")
+        # Scalar subqueries; Spark merges the two over the same join into one.
+        return [times.agg(F.min("ts")).scalar().alias(f"min_{prefix}_ts"),
+                times.agg(F.max("ts")).scalar().alias(f"max_{prefix}_ts")]
+    return dt.agg(F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts")).select(
+        *role(PU_KEY, "pickup"), *role("dropoff_datetime_key", "dropoff"), "min_ts", "max_ts")
 
 
 def table_counts(wh: Warehouse) -> DataFrame:
@@ -521,9 +524,9 @@ def trip_sample(wh: Warehouse, n: int = 10) -> DataFrame:
     Inner joins: a fact with a null payment, vendor or rate key drops out."""
     f = wh.fact_trip
     dt = wh.dim_datetime.select("datetime_key", "ts")
-    j = (f.join(F.broadcast(wh.dim_payment_type), "payment_type_key")
-          .join(F.broadcast(wh.dim_vendor), "vendor_key")
-          .join(F.broadcast(wh.dim_rate_code), "rate_code_key"))
+    j = (f.join(bounded(wh.dim_payment_type), "payment_type_key")
+          .join(bounded(wh.dim_vendor), "vendor_key")
+          .join(bounded(wh.dim_rate_code), "rate_code_key"))
     top = j.orderBy("trip_key").limit(n)
     top = (top.join(dt.select(F.col("datetime_key").alias(PU_KEY), F.col("ts").alias("pickup_ts")),
                     PU_KEY)

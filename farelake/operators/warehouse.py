@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farelake import schemas as S
+from farelake.functions.joins import bounded
 from farelake.operators.keys import dense_keys, max_key
 
 
@@ -166,9 +167,11 @@ def upsert_datetime(trips: DataFrame, existing: DataFrame) -> DataFrame:
     return existing.select(*S.DIM_DATETIME.fieldNames()).unionByName(out)
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int = SMALL_DIM_MAX_ROWS) -> DataFrame:
-    """Broadcast a dimension only after counting it below ``max_rows``."""
-    return F.broadcast(dim) if dim.count() <= max_rows else dim
+def checked_broadcast(dim: DataFrame, max_rows: int = SMALL_DIM_MAX_ROWS,
+                      source: DataFrame | None = None) -> DataFrame:
+    """Broadcast a dimension only after counting it (or ``source``, the table
+    it is projected from) below ``max_rows``."""
+    return bounded(dim, source, max_rows)
 
 
 def resolve_keys(cleaned: DataFrame, wh: Warehouse, broadcast_max_rows: int = SMALL_DIM_MAX_ROWS
@@ -191,16 +194,18 @@ def resolve_keys(cleaned: DataFrame, wh: Warehouse, broadcast_max_rows: int = SM
         *[F.col(m).cast("double").alias(m) for m in S.MEASURES],
         F.col("source_file"),
     )
-    b = lambda d: checked_broadcast(d, broadcast_max_rows)
+    b = lambda d, src=None: checked_broadcast(d, broadcast_max_rows, src)
     loc = wh.dim_location
     dt = wh.dim_datetime.select("datetime_key", "ts")
     f = (f.join(b(wh.dim_vendor), "vendor_id", "left")
           .join(b(wh.dim_rate_code), "rate_code_id", "left")
           .join(b(wh.dim_payment_type), "payment_type_id", "left")
           .join(b(loc.select(F.col("location_id").alias("pu_location_id"),
-                             F.col("location_key").alias("pu_location_key"))), "pu_location_id", "left")
+                             F.col("location_key").alias("pu_location_key")), loc),
+                "pu_location_id", "left")
           .join(b(loc.select(F.col("location_id").alias("do_location_id"),
-                             F.col("location_key").alias("do_location_key"))), "do_location_id", "left")
+                             F.col("location_key").alias("do_location_key")), loc),
+                "do_location_id", "left")
           .join(dt.select(F.col("ts").alias("pickup_ts"),
                           F.col("datetime_key").alias("pickup_datetime_key")), "pickup_ts", "left")
           .join(dt.select(F.col("ts").alias("dropoff_ts"),

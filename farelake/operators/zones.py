@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelake.functions.joins import bounded
 from farelake.functions.text import fmt_money, fmt_num
 from farelake.functions.wkt import centroid
 from farelake.operators import reports as R
@@ -19,7 +20,7 @@ from farelake.sources.zones import ZONE_BROADCAST_MAX_ROWS, zone_name_index
 
 
 def small(df: DataFrame, max_rows: int = ZONE_BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return bounded(df, max_rows=max_rows)
 
 
 def zone_centroids(zones: DataFrame) -> DataFrame:
@@ -63,12 +64,12 @@ def zone_tiers(zones: DataFrame, wh: Warehouse, start=None, end=None) -> DataFra
     hot (p90..p98], peak (> p98) (A25). Exact percentiles over the zones."""
     m = zone_map(zones, wh, start, end).where(F.col("centroid_lon").isNotNull()
                                             & F.col("centroid_lat").isNotNull())
-    q = m.agg(F.round(F.percentile(F.col("trips").cast("double"), 0.9), 6).alias("q90"),
-              F.round(F.percentile(F.col("trips").cast("double"), 0.98), 6).alias("q98"))
-    t = m.crossJoin(F.broadcast(q))
-    tier = (F.when(F.col("trips") <= F.col("q90"), "base")
-             .when(F.col("trips") <= F.col("q98"), "hot").otherwise("peak"))
-    return t.select("location_id", "trips", "centroid_lon", "centroid_lat", tier.alias("tier"))
+    # Scalar subqueries: each percentile is computed once and used as a value.
+    q90 = m.agg(F.round(F.percentile(F.col("trips").cast("double"), 0.9), 6)).scalar()
+    q98 = m.agg(F.round(F.percentile(F.col("trips").cast("double"), 0.98), 6)).scalar()
+    tier = (F.when(F.col("trips") <= q90, "base")
+             .when(F.col("trips") <= q98, "hot").otherwise("peak"))
+    return m.select("location_id", "trips", "centroid_lon", "centroid_lat", tier.alias("tier"))
 
 
 def map_extent(zones: DataFrame, wh: Warehouse, start=None, end=None) -> DataFrame:

@@ -316,6 +316,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 from farelake import schemas as S  # noqa: E402
 from farelake.functions import rules as FR  # noqa: E402
+from farelake.functions.joins import bounded  # noqa: E402
 from farelake.operators import zones as Z  # noqa: E402
 from farelake.plans import pipeline as P  # noqa: E402
 from farelake.plans.star import (load_batch, reload_source, save_table, seed,  # noqa: E402
@@ -727,7 +728,7 @@ def _zone_requests(wh, zones):
     pl = loc.select(F.col("location_key").alias("pu_location_key"), F.col("location_id").alias("pu_id"))
     dl = loc.select(F.col("location_key").alias("do_location_key"), F.col("location_id").alias("do_id"))
     f = (wh.fact_trip.select("trip_key", "pu_location_key", "do_location_key")
-         .join(F.broadcast(pl), "pu_location_key").join(F.broadcast(dl), "do_location_key"))
+         .join(bounded(pl, loc), "pu_location_key").join(bounded(dl, loc), "do_location_key"))
     f = f.join(zn.select(F.col("location_id").alias("pu_id"), F.col("zone").alias("pu_zone")), "pu_id", "left")
     return f.join(zn.select(F.col("location_id").alias("do_id"), F.col("zone").alias("do_zone")), "do_id", "left")
 
@@ -829,8 +830,8 @@ def _rmse(spark, sf_dir):
     """RMSE of the train-mean baseline on the test part."""
     from farelake.functions.money import avg_money
     rows, _ = _rows(spark, sf_dir)
-    mean = rows.where(F.col("split") == "train").agg(avg_money(TARGET_COL).alias("prediction"))
-    return MD.rmse(rows.where(F.col("split") == "test").crossJoin(F.broadcast(mean)))
+    mean = rows.where(F.col("split") == "train").agg(avg_money(TARGET_COL)).scalar()
+    return MD.rmse(rows.where(F.col("split") == "test").withColumn("prediction", mean))
 
 
 TARGET_COL = "total_amount"
@@ -866,9 +867,10 @@ def _model(spark, sf_dir):
 def _model_train(spark, sf_dir):
     """Fit, evaluate on the test part, save and reload."""
     m, rows = _model(spark, sf_dir)
-    return spark.createDataFrame([(float(m.rmse), QUERY_ROUNDS, MD.MAX_DEPTH, MD.LEARNING_RATE)],
-                                 "rmse double, rounds int, max_depth int, learning_rate double").crossJoin(
-        rows.where(F.col("split") == "test").agg(F.count(F.lit(1)).alias("test_rows")))
+    return rows.where(F.col("split") == "test").agg(F.count(F.lit(1)).alias("test_rows")).select(
+        F.lit(float(m.rmse)).alias("rmse"), F.lit(QUERY_ROUNDS).alias("rounds"),
+        F.lit(MD.MAX_DEPTH).alias("max_depth"), F.lit(float(MD.LEARNING_RATE)).alias("learning_rate"),
+        "test_rows")
 
 
 @register("score_batch")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelake.functions.joins import bounded
 from farelake.functions.text import month_file_name
 
 
@@ -90,9 +91,10 @@ def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.lit("), ((-70.5 41.5, -70.6 41.6)))")))
          .when(loc % 13 == 0, F.lit("MULTIPOLYGON (((-74 40, -75 41, -75 40)))"))
          .otherwise(F.concat(F.lit("MULTIPOLYGON (("), F.col("ring"), F.lit("))"))))
-    # nation (25 rows) and region (5 rows) are fixed-size reference tables.
-    return (t.join(F.broadcast(nation), nation.n_nationkey == loc % 25)
-             .join(F.broadcast(region), region.r_regionkey == loc % 5)
+    # nation (25 rows) and region (5 rows) are fixed-size reference tables;
+    # they are broadcast after a checked count all the same.
+    return (t.join(bounded(nation), nation.n_nationkey == loc % 25)
+             .join(bounded(region), region.r_regionkey == loc % 5)
              .select(
                  loc,
                  F.concat(F.col("n_name"), F.lit(" "), s(loc)).alias("zone"),
