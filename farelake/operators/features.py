@@ -108,17 +108,23 @@ def impute_median(df: DataFrame, medians: dict[str, float]) -> DataFrame:
     return df.fillna({c: float(v) for c, v in medians.items() if v is not None})
 
 
+def _value_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, v): every non-null value of the columns as text, in one scan."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v"))
+                                for c in cols])).alias("p")
+    return df.select(pairs).select("p.column", "p.v").where(F.col("v").isNotNull())
+
+
 def fit_mode(train: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Most frequent value of each column; ties go to the smallest value."""
-    parts = []
-    for c in cols:
-        counts = train.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).count()
-        parts.append(counts.agg(F.min_by("v", F.struct(-F.col("count"), F.col("v"))).alias("mode"))
-                     .select(F.lit(c).alias("column"), "mode"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Most frequent value of each column; ties go to the smallest value.
+
+    One scan for all columns: (column, value) counts are combined map-side,
+    then each column keeps its top value."""
+    counts = _value_pairs(train, cols).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    modes = counts.groupBy("column").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("mode"))
+    # One row per column, null for a column without values.
+    names = train.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(modes, "column", "left")
 
 
 def impute_mode(df: DataFrame, modes: dict[str, str]) -> DataFrame:
@@ -127,16 +133,11 @@ def impute_mode(df: DataFrame, modes: dict[str, str]) -> DataFrame:
 
 def fit_ordinal(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per column, the sorted distinct training values with codes 0..k-1 (M07):
-    (column, value, code). Numbered with range partitions, never in one task."""
-    parts = []
-    for c in cols:
-        vals = train.select(F.col(c).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
-        keyed = dense_keys(vals, ["value"], "code", offset=-1, key_type="int")
-        parts.append(keyed.select(F.lit(c).alias("column"), "value", "code"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    (column, value, code). One scan and one range-partitioned numbering for
+    all columns; codes restart per column, never numbered in one task."""
+    vals = _value_pairs(train, cols).select("column", F.col("v").alias("value")).distinct()
+    return dense_keys(vals, ["value"], "code", offset=-1, key_type="int", group_cols=["column"]
+                      ).select("column", "value", "code")
 
 
 def encode(df: DataFrame, dictionary: DataFrame, cols: Sequence[str],

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from farelake.functions.joins import bounded
 from farelake.session import checkpoint_base
 
 
@@ -24,16 +25,22 @@ def _order(cols: Sequence[str | Column]) -> list[Column]:
 
 def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
                offset: int = 0, num_partitions: int | None = None,
-               key_type: str = "bigint") -> DataFrame:
+               key_type: str = "bigint", group_cols: Sequence[str] = ()) -> DataFrame:
     """Number the rows 1..n (plus ``offset``) in the total order of ``order_cols``.
 
-    The order must be total (no duplicate rows on the order columns), else ties
-    get distinct numbers in an arbitrary order.
+    With ``group_cols`` the numbering restarts at 1 (plus ``offset``) in each
+    group, still in one range-partitioned pass: rows are ranged on the group
+    and order columns, so a partition holds contiguous runs of groups and a
+    large group spans several partitions.
+
+    The order must be total within a group (no duplicate rows on the order
+    columns), else ties get distinct numbers in an arbitrary order.
     """
     spark = df.sparkSession
     checkpoint_base(spark)
+    groups = list(group_cols)
     n = num_partitions or range_partitions(df)
-    order = _order(order_cols)
+    order = _order([*groups, *order_cols])
     # Without an explicit count AQE may merge adjacent small ranges; merged
     # ranges stay contiguous and in order, so the numbering still holds.
     ranged = (df.repartitionByRange(n, *order) if n else df.repartitionByRange(*order))
@@ -43,16 +50,21 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
     tagged = fixed.select(
         "*",
         F.spark_partition_id().alias("_fl_pid"),
-        # Lower 33 bits: the row's position inside its partition.
+        # Increases by one per row inside a partition.
         F.monotonically_increasing_id().alias("_fl_mid"),
     )
-    counts = tagged.groupBy("_fl_pid").agg(F.count(F.lit(1)).alias("_fl_n"))
-    # One row per partition: a bounded window and a bounded broadcast.
-    before = Window.orderBy("_fl_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_fl_pid", F.coalesce(F.sum("_fl_n").over(before), F.lit(0)).alias("_fl_start"))
-    pos = F.col("_fl_mid") - F.shiftleft(F.col("_fl_pid").cast("bigint"), 33)
+    counts = tagged.groupBy("_fl_pid", *groups).agg(F.count(F.lit(1)).alias("_fl_n"),
+                                                   F.min("_fl_mid").alias("_fl_first"))
+    before = Window.partitionBy(*groups).orderBy("_fl_pid").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = counts.select("_fl_pid", *groups, "_fl_first",
+                            F.coalesce(F.sum("_fl_n").over(before), F.lit(0)).alias("_fl_start"))
+    # Without groups: one row per partition, a bounded broadcast. With groups:
+    # at most partitions + groups - 1 rows, broadcast after a checked count.
+    offsets = bounded(offsets) if groups else F.broadcast(offsets)
+    pos = F.col("_fl_mid") - F.col("_fl_first")
     key = (F.lit(offset).cast("bigint") + F.col("_fl_start") + pos + 1).cast(key_type)
-    return (tagged.join(F.broadcast(offsets), "_fl_pid")
+    return (tagged.join(offsets, ["_fl_pid", *groups])
                   .select(key.alias(key_col), *[F.col(c) for c in df.columns]))
 
 

@@ -115,7 +115,7 @@ def upsert_small_dims(trips: DataFrame, wh: "Warehouse",
 
     New members are numbered per dimension with a window only after a count
     shows they are few (one task per dimension then holds a bounded set);
-    otherwise each dimension is numbered with range partitions.
+    otherwise all four are numbered in one range-partitioned pass.
     """
     pairs = None
     for spec in SMALL_DIMS:
@@ -141,12 +141,15 @@ def upsert_small_dims(trips: DataFrame, wh: "Warehouse",
                 F.col("key").alias(spec.key_col), F.col("id").alias(spec.id_col))
             out[spec.name] = getattr(wh, spec.name).select(spec.key_col, spec.id_col).unionByName(fresh)
         return out
+    # Many new members: one range-partitioned numbering for all four
+    # dimensions, restarting per dimension, then shifted past each maximum.
+    keyed = dense_keys(new, ["id"], "_pos", group_cols=["dim"])
+    numbered = keyed.join(F.broadcast(starts), "dim", "left").select(  # one row per dimension
+        "dim", "id", (F.coalesce("start", F.lit(0)) + F.col("_pos")).cast("int").alias("key"))
     for spec in SMALL_DIMS:
-        existing = getattr(wh, spec.name)
-        ids = new.where(F.col("dim") == spec.name).select(F.col("id").alias(spec.id_col))
-        keyed = dense_keys(ids, [spec.id_col], spec.key_col,
-                           offset=max_key(existing, spec.key_col), key_type="int")
-        out[spec.name] = existing.select(spec.key_col, spec.id_col).unionByName(keyed)
+        fresh = numbered.where(F.col("dim") == spec.name).select(
+            F.col("key").alias(spec.key_col), F.col("id").alias(spec.id_col))
+        out[spec.name] = getattr(wh, spec.name).select(spec.key_col, spec.id_col).unionByName(fresh)
     return out
 
 

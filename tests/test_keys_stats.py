@@ -61,3 +61,41 @@ def test_dense_keys_default_partitions_with_many_shuffle_partitions(spark):
         assert got.count() == 2000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_dense_keys_restart_per_group_with_hot_group(spark):
+    # Group "hot" holds a third of the rows and spans several range partitions.
+    rnd = random.Random(11)
+    rows = [("hot" if i % 3 == 0 else f"g{rnd.randint(0, 40)}", rnd.random()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double").distinct()
+    got = dense_keys(df, ["v"], "k", offset=-1, num_partitions=9, group_cols=["g"])
+    ref = df.select("g", "v", (F.row_number().over(Window.partitionBy("g").orderBy("v")) - 1).alias("r"))
+    j = got.join(ref, ["g", "v"])
+    assert j.count() == df.count()
+    assert j.where(F.col("k") != F.col("r")).count() == 0
+    hot_parts = (got.where(F.col("g") == "hot").repartitionByRange(9, "g", "v")
+                 .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert hot_parts > 1
+
+
+def test_small_dims_range_branch_matches_window_branch(spark, raw):
+    from conftest import trip
+    from farelake.operators import warehouse as W
+    trips = raw([trip(vendor=v, rate=r, pay=p, pu=pu, do=do)
+                 for v, r, p, pu, do in [(1, 1, 1, 10, 20), (2, 3, 2, 11, 21), (7, 5, None, 12, 10),
+                                         (None, 2, 4, 30, 31), (5, 1, 3, 99, 1)]])
+    wh = W.empty_warehouse(spark)
+    by_window = W.upsert_small_dims(trips, wh)
+    by_ranges = W.upsert_small_dims(trips, wh, max_rows=0)
+    for name, df in by_window.items():
+        assert sorted(df.collect()) == sorted(by_ranges[name].collect()), name
+
+
+def test_bounded_broadcast_hint_follows_count(spark):
+    from farelake.functions.joins import bounded, fits
+    small = spark.range(10)
+    big = spark.range(1000)
+    assert fits(small, 10) and not fits(big, 10)
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(spark.range(5).join(bounded(small, max_rows=10), "id")).lower()
+    assert "broadcast" not in plan(spark.range(5).join(bounded(big, max_rows=10), "id")).lower()
