@@ -33,17 +33,20 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
     and order columns, so a partition holds contiguous runs of groups and a
     large group spans several partitions.
 
-    The order must be total within a group (no duplicate rows on the order
-    columns), else ties get distinct numbers in an arbitrary order.
+    Rows that tie on the order columns get distinct numbers in an arbitrary
+    order; for exact duplicates that is the same result. A row id is the last
+    sort column, so a run of ties (however many) is split across ranges
+    instead of landing in one task.
     """
     spark = df.sparkSession
     checkpoint_base(spark)
     groups = list(group_cols)
     n = num_partitions or range_partitions(df)
-    order = _order([*groups, *order_cols])
+    order = _order([*groups, *order_cols]) + [F.col("_fl_tie")]
     # Without an explicit count AQE may merge adjacent small ranges; merged
     # ranges stay contiguous and in order, so the numbering still holds.
-    ranged = (df.repartitionByRange(n, *order) if n else df.repartitionByRange(*order))
+    tied = df.withColumn("_fl_tie", F.monotonically_increasing_id())
+    ranged = (tied.repartitionByRange(n, *order) if n else tied.repartitionByRange(*order))
     ranged = ranged.sortWithinPartitions(*order)
     # Fix partition contents and order: the range bounds come from a sample.
     fixed = ranged.checkpoint(eager=True)

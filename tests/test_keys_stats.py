@@ -99,3 +99,20 @@ def test_bounded_broadcast_hint_follows_count(spark):
     plan = lambda df: df._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan(spark.range(5).join(bounded(small, max_rows=10), "id")).lower()
     assert "broadcast" not in plan(spark.range(5).join(bounded(big, max_rows=10), "id")).lower()
+
+
+def test_dense_keys_split_a_third_of_duplicate_rows(spark):
+    # A third of the rows are the same row: they still get keys 1..n and are
+    # spread over several range partitions.
+    rows = [(1, "same")] * 1500 + [(i, f"r{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "a int, b string")
+    got = dense_keys(df, ["a", "b"], "k", num_partitions=6)
+    stats = got.agg(F.count("k").alias("n"), F.count_distinct("k").alias("d"),
+                    F.min("k").alias("lo"), F.max("k").alias("hi")).first()
+    assert (stats.n, stats.d, stats.lo, stats.hi) == (4500, 4500, 1, 4500)
+    ranked = df.select("a", "b", F.row_number().over(Window.orderBy("a", "b")).alias("r"))
+    assert sorted(got.select("k", "a", "b").collect()) == sorted(ranked.select("r", "a", "b").collect())
+    tied = df.withColumn("t", F.monotonically_increasing_id())
+    parts = (tied.repartitionByRange(6, "a", "b", "t").where(F.col("b") == "same")
+             .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts > 1
