@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake.functions import money as M
@@ -26,6 +26,13 @@ from farelake.operators.warehouse import Warehouse
 
 PU_KEY = "pickup_datetime_key"
 
+# A window over a whole table. Used only on tables whose size has a bound
+# that does not grow with the trips (days of the calendar span, a handful of
+# payment or passenger groups, the zones of the lookup, an n-row sample):
+# the table is read in one task, in the same pass that built it, instead of
+# aggregating the fact again for a scalar.
+WHOLE = Window.partitionBy()
+
 
 def pick(columns: Sequence[str], candidates: Sequence[str]) -> str | None:
     """First candidate that exists."""
@@ -136,12 +143,15 @@ def daily_trips(wh: Warehouse, start=None, end=None) -> DataFrame:
     return g.select("day", F.col("_n").alias("trips")).orderBy("day")
 
 
-def daily_metrics(wh: Warehouse, start=None, end=None) -> DataFrame:
+def _daily_metric_rows(wh: Warehouse, start=None, end=None) -> DataFrame:
     ms = ["total_amount", "fare_amount", "tip_amount"]
     g = by_pickup_time(wh, start, end, [F.col("date").alias("day")], ms)
     return g.select("day", F.col("_n").alias("trips"), _sum("total_amount").alias("revenue"),
-                    _avg("fare_amount").alias("avg_fare"), _avg("tip_amount").alias("avg_tip")
-                    ).orderBy("day")
+                    _avg("fare_amount").alias("avg_fare"), _avg("tip_amount").alias("avg_tip"))
+
+
+def daily_metrics(wh: Warehouse, start=None, end=None) -> DataFrame:
+    return _daily_metric_rows(wh, start, end).orderBy("day")
 
 
 def daily_rounded(wh: Warehouse, start=None, end=None) -> DataFrame:
@@ -161,20 +171,24 @@ def daily_trimmed(wh: Warehouse, start=None, end=None, floor: float = 1000.0,
                   share: float = 0.02) -> DataFrame:
     """Days with trips >= max(floor, share * median day) (A07). The median is
     exact over the daily rows (one per day: a bounded table)."""
-    d = daily_metrics(wh, start, end)
-    # Scalar subquery: the median is computed once and compared as a value.
-    med = d.agg(F.percentile(F.col("trips").cast("double"), 0.5)).scalar()
+    return _trimmed_days(wh, start, end, floor, share).orderBy("day")
+
+
+def _trimmed_days(wh: Warehouse, start, end, floor: float, share: float) -> DataFrame:
+    # One row per day: the median is a window over the daily table.
+    med = F.percentile(F.col("trips").cast("double"), 0.5).over(WHOLE)
     cut = F.greatest(F.lit(float(floor)), F.coalesce(med, F.lit(0.0)) * float(share))
-    return d.where(F.col("trips") >= cut).orderBy("day")
+    return (_daily_metric_rows(wh, start, end).withColumn("_cut", cut)
+            .where(F.col("trips") >= F.col("_cut")).drop("_cut"))
 
 
 def daily_scaled(wh: Warehouse, start=None, end=None, floor: float = 1000.0,
                  share: float = 0.02) -> DataFrame:
     """Trend series on one scale (A31): revenue to max(revenue, 1) x max trips,
     fare x 10000, tip x 16000, over the trimmed days."""
-    d = daily_trimmed(wh, start, end, floor, share)
-    max_rev = d.agg(F.max(F.col("revenue").cast("double"))).scalar()
-    max_trips = d.agg(F.max("trips")).scalar()
+    d = _trimmed_days(wh, start, end, floor, share)
+    max_rev = F.max(F.col("revenue").cast("double")).over(WHOLE)
+    max_trips = F.max("trips").over(WHOLE)
     return d.select(
         "day", "trips",
         F.round(F.col("revenue").cast("double") / F.greatest(max_rev, F.lit(1.0))
@@ -387,9 +401,9 @@ def passenger_mix(wh: Warehouse, start=None, end=None) -> DataFrame:
 
 
 def with_share(df: DataFrame, count_col: str = "trips") -> DataFrame:
-    """Share of the total per row (A30); the total is a scalar subquery."""
-    tot = df.agg(F.sum(count_col)).scalar()
-    return df.withColumn("share", F.round(F.col(count_col) / tot, 6))
+    """Share of the total per row (A30). ``df`` is a grouped mix (a handful
+    of groups): the total is a window over it."""
+    return df.withColumn("share", F.round(F.col(count_col) / F.sum(count_col).over(WHOLE), 6))
 
 
 def payment_share(wh: Warehouse, start=None, end=None) -> DataFrame:
@@ -448,12 +462,13 @@ def clipped_histogram(wh: Warehouse, measure: str, cap: float, bins: int, n: int
     """Equal-width bins from min to max of least(x, cap); last bin closed."""
     d = dist_sample(wh, n).select(F.least(F.col(measure).cast("double"), F.lit(float(cap))).alias("x"))
     d = d.where(F.col("x").isNotNull())
-    # Scalar subqueries: the bounds are computed once and used as values.
-    lo, hi = d.agg(F.min("x")).scalar(), d.agg(F.max("x")).scalar()
-    width = hi - lo
+    # The sample holds at most n rows in one partition (the top-k's merge):
+    # its bounds are a window over it, not a second top-k over the fact.
+    d = d.select("x", F.min("x").over(WHOLE).alias("_lo"), F.max("x").over(WHOLE).alias("_hi"))
+    width = F.col("_hi") - F.col("_lo")
     idx = F.when(width <= 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("x") - lo) / width * bins), F.lit(bins - 1)))
-    j = d.select(idx.cast("int").alias("bin"), lo.alias("_lo"), hi.alias("_hi"))
+        F.least(F.floor((F.col("x") - F.col("_lo")) / width * bins), F.lit(bins - 1)))
+    j = d.select(idx.cast("int").alias("bin"), "_lo", "_hi")
     return (j.groupBy("bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))
              .select("bin",
                      F.round(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("bin") / bins, 6

@@ -64,11 +64,11 @@ def zone_tiers(zones: DataFrame, wh: Warehouse, start=None, end=None) -> DataFra
     hot (p90..p98], peak (> p98) (A25). Exact percentiles over the zones."""
     m = zone_map(zones, wh, start, end).where(F.col("centroid_lon").isNotNull()
                                             & F.col("centroid_lat").isNotNull())
-    # Scalar subqueries: each percentile is computed once and used as a value.
-    q90 = m.agg(F.round(F.percentile(F.col("trips").cast("double"), 0.9), 6)).scalar()
-    q98 = m.agg(F.round(F.percentile(F.col("trips").cast("double"), 0.98), 6)).scalar()
-    tier = (F.when(F.col("trips") <= q90, "base")
-             .when(F.col("trips") <= q98, "hot").otherwise("peak"))
+    # One row per zone of the lookup: the percentiles are a window over it.
+    q = lambda p: F.round(F.percentile(F.col("trips").cast("double"), p).over(R.WHOLE), 6)
+    m = m.withColumn("_q90", q(0.9)).withColumn("_q98", q(0.98))
+    tier = (F.when(F.col("trips") <= F.col("_q90"), "base")
+             .when(F.col("trips") <= F.col("_q98"), "hot").otherwise("peak"))
     return m.select("location_id", "trips", "centroid_lon", "centroid_lat", tier.alias("tier"))
 
 
