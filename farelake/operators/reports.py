@@ -26,12 +26,13 @@ from farelake.operators.warehouse import Warehouse
 
 PU_KEY = "pickup_datetime_key"
 
-# A window over a whole table. Used only on tables whose size has a bound
-# that does not grow with the trips (days of the calendar span, a handful of
-# payment or passenger groups, the zones of the lookup, an n-row sample):
-# the table is read in one task, in the same pass that built it, instead of
-# aggregating the fact again for a scalar.
-WHOLE = Window.partitionBy()
+def whole() -> Window:
+    """A window over a whole table. Used only on tables whose size has a bound
+    that does not grow with the trips (days of the calendar span, a handful
+    of payment or passenger groups, the zones of the lookup, an n-row
+    sample): the table is read in one task, in the same pass that built it,
+    instead of aggregating the fact again for a scalar."""
+    return Window.partitionBy()
 
 
 def pick(columns: Sequence[str], candidates: Sequence[str]) -> str | None:
@@ -176,7 +177,7 @@ def daily_trimmed(wh: Warehouse, start=None, end=None, floor: float = 1000.0,
 
 def _trimmed_days(wh: Warehouse, start, end, floor: float, share: float) -> DataFrame:
     # One row per day: the median is a window over the daily table.
-    med = F.percentile(F.col("trips").cast("double"), 0.5).over(WHOLE)
+    med = F.percentile(F.col("trips").cast("double"), 0.5).over(whole())
     cut = F.greatest(F.lit(float(floor)), F.coalesce(med, F.lit(0.0)) * float(share))
     return (_daily_metric_rows(wh, start, end).withColumn("_cut", cut)
             .where(F.col("trips") >= F.col("_cut")).drop("_cut"))
@@ -187,8 +188,8 @@ def daily_scaled(wh: Warehouse, start=None, end=None, floor: float = 1000.0,
     """Trend series on one scale (A31): revenue to max(revenue, 1) x max trips,
     fare x 10000, tip x 16000, over the trimmed days."""
     d = _trimmed_days(wh, start, end, floor, share)
-    max_rev = F.max(F.col("revenue").cast("double")).over(WHOLE)
-    max_trips = F.max("trips").over(WHOLE)
+    max_rev = F.max(F.col("revenue").cast("double")).over(whole())
+    max_trips = F.max("trips").over(whole())
     return d.select(
         "day", "trips",
         F.round(F.col("revenue").cast("double") / F.greatest(max_rev, F.lit(1.0))
@@ -403,7 +404,7 @@ def passenger_mix(wh: Warehouse, start=None, end=None) -> DataFrame:
 def with_share(df: DataFrame, count_col: str = "trips") -> DataFrame:
     """Share of the total per row (A30). ``df`` is a grouped mix (a handful
     of groups): the total is a window over it."""
-    return df.withColumn("share", F.round(F.col(count_col) / F.sum(count_col).over(WHOLE), 6))
+    return df.withColumn("share", F.round(F.col(count_col) / F.sum(count_col).over(whole()), 6))
 
 
 def payment_share(wh: Warehouse, start=None, end=None) -> DataFrame:
@@ -464,7 +465,7 @@ def clipped_histogram(wh: Warehouse, measure: str, cap: float, bins: int, n: int
     d = d.where(F.col("x").isNotNull())
     # The sample holds at most n rows in one partition (the top-k's merge):
     # its bounds are a window over it, not a second top-k over the fact.
-    d = d.select("x", F.min("x").over(WHOLE).alias("_lo"), F.max("x").over(WHOLE).alias("_hi"))
+    d = d.select("x", F.min("x").over(whole()).alias("_lo"), F.max("x").over(whole()).alias("_hi"))
     width = F.col("_hi") - F.col("_lo")
     idx = F.when(width <= 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - F.col("_lo")) / width * bins), F.lit(bins - 1)))

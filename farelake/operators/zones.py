@@ -65,7 +65,7 @@ def zone_tiers(zones: DataFrame, wh: Warehouse, start=None, end=None) -> DataFra
     m = zone_map(zones, wh, start, end).where(F.col("centroid_lon").isNotNull()
                                             & F.col("centroid_lat").isNotNull())
     # One row per zone of the lookup: the percentiles are a window over it.
-    q = lambda p: F.round(F.percentile(F.col("trips").cast("double"), p).over(R.WHOLE), 6)
+    q = lambda p: F.round(F.percentile(F.col("trips").cast("double"), p).over(R.whole()), 6)
     m = m.withColumn("_q90", q(0.9)).withColumn("_q98", q(0.98))
     tier = (F.when(F.col("trips") <= F.col("_q90"), "base")
              .when(F.col("trips") <= F.col("_q98"), "hot").otherwise("peak"))
