@@ -169,11 +169,19 @@ def ingest_ledger(plan: DataFrame, cleaned: DataFrame) -> DataFrame:
 
 
 def largest_file(spark: SparkSession, path: str) -> DataFrame:
-    """The largest parquet file under ``path`` and its size (S11), from the
-    scan's file metadata: one aggregate, no listing on the driver."""
-    df = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size")
-    return df.groupBy("file_path").agg(F.max("file_size").alias("file_size")).agg(
-        F.max_by("file_path", "file_size").alias("file_path"), F.max("file_size").alias("file_size"))
+    """The largest parquet file under ``path`` and its size.
+
+    The ``binaryFile`` source lists the files with their lengths, one row per
+    file, and reads no content when ``content`` is not selected: the work
+    grows with the number of files, not with the rows in them. Ties go to
+    the smallest path. Raises when there is no parquet file.
+    """
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", "true").load(path).select("path", "length"))
+    if files.isEmpty():
+        raise FileNotFoundError(f"No parquet found under {path}")
+    return files.agg(F.min_by("path", F.struct(-F.col("length"), F.col("path"))).alias("file_path"),
+                     F.max("length").alias("file_size"))
 
 
 def months_between_dates(lo: _dt.date, hi: _dt.date) -> list[tuple[int, int]]:

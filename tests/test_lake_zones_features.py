@@ -101,3 +101,15 @@ def test_model_trains_scores_and_beats_mean(spark):
     MD.save(m, path, spark)
     back = MD.load(path, spark)
     assert back.spec == m.spec and abs(back.rmse - rmse) < 1e-12
+
+
+def test_largest_file_lists_files_without_reading_rows(spark):
+    from farelake.sources import lake as L
+    base = scratch_path(spark, "test", "largest_file")
+    spark.range(10).write.parquet(f"{base}/year=2024/month=01")
+    spark.range(50000).selectExpr("id", "uuid() AS u").write.parquet(f"{base}/year=2024/month=02")
+    row = L.largest_file(spark, base).first()
+    assert "month=02" in row.file_path and row.file_size > 100000
+    with pytest.raises(FileNotFoundError):
+        spark.range(1).write.json(f"{base}-json")
+        L.largest_file(spark, f"{base}-json")
