@@ -2,10 +2,13 @@
 
 The reference ingests month files one by one in a driver loop. As a stream,
 newly landed files are picked up by Spark's file source, which records the
-files it has processed in the checkpoint. Each micro-batch is cleaned with the
-same rules and written to the ``year=/month=`` lake with dynamic partition
-overwrite, so a retried batch rewrites the same months instead of adding rows
-twice. Provenance comes from the path of the file each row was read from.
+files it has processed in the checkpoint. A micro-batch names the months that
+got new files; each of those months is then rebuilt whole from the landing
+folder (a partition-pruned read of just those month folders), cleaned with
+the same rules and written to the ``year=/month=`` lake with dynamic partition
+overwrite. So a month whose files arrive over several batches ends up
+complete, and a retried batch writes the same rows again instead of adding
+them twice. Provenance comes from the month folder a row was read from.
 """
 
 from __future__ import annotations
@@ -25,32 +28,46 @@ def land_month_files(raw: DataFrame, raw_dir: str) -> None:
     """Land raw trips as one folder per month file, in one job.
 
     ``raw`` needs a ``source_file`` column naming the month file of each row.
+    The rebalance hint groups a month's rows into few tasks and lets AQE split
+    a large month over several, so no month is written by a single task.
     """
-    (raw.repartition("source_file").write.mode("overwrite")
+    (raw.hint("rebalance", "source_file").write.mode("overwrite")
         .partitionBy("source_file").parquet(raw_dir))
 
 
-def _file_provenance(path: Column) -> list[Column]:
-    return [F.regexp_extract(path, FILE_MONTH, 0).alias("source_file"),
-            F.regexp_extract(path, FILE_MONTH, 1).cast("int").alias("ingestion_year"),
-            F.regexp_extract(path, FILE_MONTH, 2).cast("int").alias("ingestion_month")]
+def _file_provenance(name: Column) -> list[Column]:
+    return [F.regexp_extract(name, FILE_MONTH, 0).alias("source_file"),
+            F.regexp_extract(name, FILE_MONTH, 1).cast("int").alias("ingestion_year"),
+            F.regexp_extract(name, FILE_MONTH, 2).cast("int").alias("ingestion_month")]
 
 
 def month_stream(spark: SparkSession, raw_dir: str, files_per_batch: int = 1) -> DataFrame:
-    """Cleaned trips of newly landed month files, with provenance from the path."""
+    """Month file names of newly landed files. No data column is selected, so
+    the scan reads no column values."""
     src = (spark.readStream.schema(S.RAW_TRIP)
            .option("maxFilesPerTrigger", files_per_batch)
            .option("recursiveFileLookup", "true")
            .parquet(raw_dir))
-    rows = src.select(*S.RAW_COLUMNS, *_file_provenance(F.col("_metadata.file_path")))
-    return clean(rows)
+    return src.select(F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH, 0).alias("source_file"))
+
+
+def months_from_landing(spark: SparkSession, raw_dir: str, months: list[str]) -> DataFrame:
+    """Cleaned trips of whole months, read from their landing folders only."""
+    raw = spark.read.schema(S.RAW_TRIP).parquet(raw_dir)   # source_file: partition column
+    rows = raw.where(F.col("source_file").isin(months))    # partition pruning
+    return clean(rows.select(*S.RAW_COLUMNS, *_file_provenance(F.col("source_file"))))
 
 
 def start_ingest(spark: SparkSession, raw_dir: str, cleaned_base: str, checkpoint: str,
                  available_now: bool = True, files_per_batch: int = 1) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what is landed and stops."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        lake.write_cleaned(batch, cleaned_base, mode="overwrite")
+        # The months touched by this batch: at most one name per file of the
+        # batch, and bounded by the calendar.
+        months = [r.source_file for r in batch.distinct().collect() if r.source_file]
+        if months:
+            lake.write_cleaned(months_from_landing(batch.sparkSession, raw_dir, months),
+                               cleaned_base, mode="overwrite")
 
     writer = (month_stream(spark, raw_dir, files_per_batch).writeStream
               .foreachBatch(write_batch)
