@@ -61,11 +61,23 @@ def pickup_times(wh: Warehouse, start=None, end=None) -> DataFrame:
     return date_window(wh.dim_datetime, "ts", start, end).withColumnRenamed("datetime_key", PU_KEY)
 
 
+def _in_key_range(wh: Warehouse, start, end) -> DataFrame:
+    """Facts whose pickup key lies between the smallest and largest key of the
+    window's datetime rows: a superset of the window, decided per row by a
+    comparison with two scalars (one merged subquery). Keys follow time
+    within a load, so this drops most out-of-window facts before any shuffle;
+    the exact window is applied by the join that follows."""
+    keys = pickup_times(wh, start, end).select(PU_KEY)
+    lo, hi = keys.agg(F.min(PU_KEY)).scalar(), keys.agg(F.max(PU_KEY)).scalar()
+    return wh.fact_trip.where(F.col(PU_KEY).between(lo, hi))
+
+
 def trips(wh: Warehouse, start=None, end=None) -> DataFrame:
     """Facts whose pickup time falls in the window."""
     if start is None and end is None:
         return wh.fact_trip
-    return wh.fact_trip.join(pickup_times(wh, start, end).select(PU_KEY), PU_KEY, "left_semi")
+    return _in_key_range(wh, start, end).join(pickup_times(wh, start, end).select(PU_KEY), PU_KEY,
+                                              "left_semi")
 
 
 def _measure_partials(measures: Sequence[str]) -> list[Column]:
@@ -88,7 +100,8 @@ def by_pickup_time(wh: Warehouse, start, end, attrs: Sequence[Column],
 
     Returns the attribute columns plus ``_n``, ``_s_<m>``, ``_c_<m>``.
     """
-    partial = wh.fact_trip.groupBy(PU_KEY).agg(*_measure_partials(measures))
+    facts = wh.fact_trip if start is None and end is None else _in_key_range(wh, start, end)
+    partial = facts.groupBy(PU_KEY).agg(*_measure_partials(measures))
     times = pickup_times(wh, start, end).select(PU_KEY, *attrs)
     names = [a for a in times.columns if a != PU_KEY]
     return partial.join(times, PU_KEY).groupBy(*names).agg(*_measure_finals(measures))

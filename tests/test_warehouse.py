@@ -106,3 +106,20 @@ def test_load_modes_and_order(spark, raw):
     with pytest.raises(ValueError):
         P.run(spark, rows, base, "q3")
     assert P.STAGES.index("load") < P.STAGES.index("seed") < P.STAGES.index("reports")
+
+
+def test_window_reports_after_a_load_of_earlier_times(spark, raw):
+    # The second batch has earlier pickups, so its datetime keys are larger
+    # than the first batch's while its times are smaller: the key-range
+    # prefilter of windowed reports must still keep every in-window trip.
+    first = [trip(pickup="2024-03-01 10:00:00", dropoff="2024-03-01 10:10:00"),
+             trip(pickup="2024-03-05 11:00:00", dropoff="2024-03-05 11:30:00")]
+    later = [trip(pickup="2024-02-10 09:00:00", dropoff="2024-02-10 09:20:00"),
+             trip(pickup="2024-03-02 07:00:00", dropoff="2024-03-02 07:15:00", pu=8)]
+    wh, _, base = _load(spark, raw, first, "window_keys")
+    wh = ST.load_batch(with_provenance(clean(raw(later))), wh, base)
+    got = {r.day.isoformat(): r.trips for r in R.daily_trips(wh, "2024-02-01", "2024-03-02").collect()}
+    assert got == {"2024-02-10": 1, "2024-03-01": 1, "2024-03-02": 1}
+    k = R.kpi(wh, "2024-03-02", "2024-03-05").first()
+    assert k.trips == 2
+    assert R.kpi(wh, "2025-01-01", "2025-01-31").first().trips == 0
