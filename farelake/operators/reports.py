@@ -389,14 +389,20 @@ def top_tip_locations(wh: Warehouse, start=None, end=None, n: int = 5) -> DataFr
              .orderBy(F.desc("total_tips"), "pickup_location").limit(n))
 
 
-def tip_by_location(wh: Warehouse, start=None, end=None) -> DataFrame:
-    """Average tip per pickup location id."""
+def pickup_location_stats(wh: Warehouse, start=None, end=None) -> DataFrame:
+    """Per pickup location id: trips and the average tip, from one
+    aggregation of the fact by location key."""
     f = trips(wh, start, end)
     s = f.groupBy("pu_location_key").agg(*_measure_partials(["tip_amount"]))
     d = wh.dim_location.select(F.col("location_key").alias("pu_location_key"), "location_id")
     g = s.join(bounded(d, wh.dim_location), "pu_location_key").groupBy(
         F.col("location_id").cast("int").alias("location_id")).agg(*_measure_finals(["tip_amount"]))
-    return g.select("location_id", _avg("tip_amount").alias("avg_tip")).orderBy("location_id")
+    return g.select("location_id", F.col("_n").alias("trips"), _avg("tip_amount").alias("avg_tip"))
+
+
+def tip_by_location(wh: Warehouse, start=None, end=None) -> DataFrame:
+    """Average tip per pickup location id."""
+    return pickup_location_stats(wh, start, end).select("location_id", "avg_tip").orderBy("location_id")
 
 
 def source_files(wh: Warehouse, start=None, end=None, n: int = 10) -> DataFrame:

@@ -43,20 +43,19 @@ def zone_map(zones: DataFrame, wh: Warehouse, start=None, end=None) -> DataFrame
 
 def borough_mix(zones: DataFrame, wh: Warehouse, start=None, end=None, n: int = 6) -> DataFrame:
     """Top n boroughs by trips, with the unweighted mean of their zones'
-    average tips (J10, A24). A null borough is dropped."""
-    m = zone_map(zones, wh, start, end).where(F.col("borough").isNotNull())
-    trips = (m.groupBy("borough").agg(F.sum("trips").cast("bigint").alias("trips"))
-              .orderBy(F.desc("trips"), "borough").limit(n))
-    tips = (zones.select("location_id", "borough").where(F.col("borough").isNotNull())
-            .join(R.tip_by_location(wh, start, end), "location_id", "left")
-            # Zone means have 6 decimals: summed exactly, divided once.
-            .groupBy("borough").agg(F.round(
-                F.sum(F.col("avg_tip").cast("decimal(18,6)")).cast("double") / F.count("avg_tip"), 6
-            ).alias("avg_tip")))
-    j = trips.join(tips, "borough", "left")
-    return j.select("borough", "trips", "avg_tip", fmt_num(F.col("trips"), 0).alias("trips_text"),
-                    fmt_money(F.col("avg_tip")).alias("avg_tip_text")
-                    ).orderBy(F.desc("trips"), "borough")
+    average tips (J10, A24). A null borough is dropped. One aggregation of
+    the fact by pickup location feeds both measures."""
+    per_zone = (zones.select("location_id", "borough").where(F.col("borough").isNotNull())
+                .join(R.pickup_location_stats(wh, start, end), "location_id", "left"))
+    b = per_zone.groupBy("borough").agg(
+        F.sum(F.coalesce(F.col("trips"), F.lit(0))).cast("bigint").alias("trips"),
+        # Zone means have 6 decimals: summed exactly, divided once.
+        F.round(F.sum(F.col("avg_tip").cast("decimal(18,6)")).cast("double") / F.count("avg_tip"), 6
+                ).alias("avg_tip"))
+    top = b.orderBy(F.desc("trips"), "borough").limit(n)
+    return top.select("borough", "trips", "avg_tip", fmt_num(F.col("trips"), 0).alias("trips_text"),
+                      fmt_money(F.col("avg_tip")).alias("avg_tip_text")
+                      ).orderBy(F.desc("trips"), "borough")
 
 
 def zone_tiers(zones: DataFrame, wh: Warehouse, start=None, end=None) -> DataFrame:
