@@ -514,17 +514,22 @@ def hist_tip(wh: Warehouse) -> DataFrame:
 
 def time_bounds(wh: Warehouse) -> DataFrame:
     """min/max of the dimension's time, and min/max pickup and dropoff times of
-    the facts (A27). Facts are reduced to distinct keys before each join."""
+    the facts (A27). One scan of the fact yields (role, key) pairs, reduced to
+    distinct pairs before the one join to the dimension."""
     dt = wh.dim_datetime.select("datetime_key", "ts")
-
-    def role(key: str, prefix: str) -> list[Column]:
-        keys = wh.fact_trip.select(F.col(key).alias("datetime_key")).distinct()
-        times = keys.join(dt, "datetime_key")
-        # Scalar subqueries; Spark merges the two over the same join into one.
-        return [times.agg(F.min("ts")).scalar().alias(f"min_{prefix}_ts"),
-                times.agg(F.max("ts")).scalar().alias(f"max_{prefix}_ts")]
-    return dt.agg(F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts")).select(
-        *role(PU_KEY, "pickup"), *role("dropoff_datetime_key", "dropoff"), "min_ts", "max_ts")
+    pairs = F.explode(F.array(
+        F.struct(F.lit("pickup").alias("role"), F.col(PU_KEY).alias("datetime_key")),
+        F.struct(F.lit("dropoff").alias("role"), F.col("dropoff_datetime_key").alias("datetime_key"))
+    )).alias("p")
+    keys = wh.fact_trip.select(pairs).select("p.role", "p.datetime_key").distinct()
+    per_role = keys.join(dt, "datetime_key").groupBy("role").agg(F.min("ts").alias("lo"),
+                                                                 F.max("ts").alias("hi"))
+    by = lambda role, c: F.max(F.when(F.col("role") == role, F.col(c)))
+    return per_role.agg(
+        by("pickup", "lo").alias("min_pickup_ts"), by("pickup", "hi").alias("max_pickup_ts"),
+        by("dropoff", "lo").alias("min_dropoff_ts"), by("dropoff", "hi").alias("max_dropoff_ts"),
+    ).select("*", dt.agg(F.min("ts")).scalar().alias("min_ts"),
+             dt.agg(F.max("ts")).scalar().alias("max_ts"))
 
 
 def table_counts(wh: Warehouse) -> DataFrame:
