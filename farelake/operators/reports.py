@@ -458,23 +458,27 @@ SUMMARY_MEASURES = ["trip_distance", "total_amount", "tip_amount", "passenger_co
 def measure_summary(wh: Warehouse, n: int = 200000) -> DataFrame:
     """count, mean, std, min, quartiles, max of four measures.
 
-    Quartiles are exact and distributed (``exact_quantiles``); mean and std
-    come from exact sums of the cent values.
+    The sample (at most n rows) feeds two aggregations, so it is checkpointed
+    once: the top-k over the fact runs once. The four measures are unpivoted
+    into (measure, x) pairs and summarised by one grouped aggregate; mean and
+    std come from exact decimal sums. Quartiles are exact and distributed
+    (``exact_quantiles_long``, one pass for all four).
     """
     from farelake.functions.stats import exact_quantiles_long
-    d = dist_sample(wh, n)
-    base = None
-    for m in SUMMARY_MEASURES:
-        part = d.agg(
-            F.count(m).alias("count"),
-            M.avg_money(m).alias("mean"),
-            F.round(F.stddev_samp(F.col(m).cast("decimal(18,2)")).cast("double"), 6).alias("std"),
-            F.min(F.col(m).cast("double")).alias("min"),
-            F.max(F.col(m).cast("double")).alias("max")).select(F.lit(m).alias("measure"), "*")
-        base = part if base is None else base.unionByName(part)
+    d = dist_sample(wh, n).checkpoint(eager=True)
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("x"))
+                                for m in SUMMARY_MEASURES])).alias("p")
+    stats = d.select(pairs).select("p.measure", "p.x").groupBy("measure").agg(
+        F.count("x").alias("count"),
+        M.avg_money("x").alias("mean"),
+        F.round(F.stddev_samp(F.col("x").cast("decimal(18,2)")).cast("double"), 6).alias("std"),
+        F.min("x").alias("min"),
+        F.max("x").alias("max"))
     q = exact_quantiles_long(d, SUMMARY_MEASURES, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
-    return base.join(q.withColumnRenamed("column", "measure"), "measure").select(
-        "measure", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    # One row per measure, also for an empty sample.
+    return (q.withColumnRenamed("column", "measure").join(stats, "measure", "left")
+             .select("measure", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
+                     "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
 def clipped_histogram(wh: Warehouse, measure: str, cap: float, bins: int, n: int = 200000
