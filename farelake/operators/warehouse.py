@@ -177,13 +177,30 @@ def checked_broadcast(dim: DataFrame, max_rows: int = SMALL_DIM_MAX_ROWS,
     return bounded(dim, source, max_rows)
 
 
-def resolve_keys(cleaned: DataFrame, wh: Warehouse, broadcast_max_rows: int = SMALL_DIM_MAX_ROWS
-                 ) -> DataFrame:
+# The datetime rows a batch can match lie inside the batch's own time span.
+# For month-at-a-time loads (the reference's unit) that slice is bounded: a
+# month has at most 2,678,400 seconds, plus dropoffs just past its end.
+DATETIME_SLICE_MAX_ROWS = 4_000_000
+
+
+def datetime_slice(trips: DataFrame, dim_datetime: DataFrame) -> DataFrame:
+    """(datetime_key, ts) rows between the batch's first and last pickup or
+    dropoff time; the bounds are scalar subqueries over the batch."""
+    lo = trips.agg(F.least(F.min("pickup_ts"), F.min("dropoff_ts"))).scalar()
+    hi = trips.agg(F.greatest(F.max("pickup_ts"), F.max("dropoff_ts"))).scalar()
+    return dim_datetime.select("datetime_key", "ts").where(F.col("ts").between(lo, hi))
+
+
+def resolve_keys(cleaned: DataFrame, wh: Warehouse, broadcast_max_rows: int = SMALL_DIM_MAX_ROWS,
+                 datetime_max_rows: int = DATETIME_SLICE_MAX_ROWS) -> DataFrame:
     """Seven left joins from natural ids to keys, then the 17 fact columns.
 
-    The four coded dimensions are broadcast after a size check; the datetime
-    dimension grows with the data, so its two role joins shuffle (AQE splits
-    skewed partitions).
+    The four coded dimensions are broadcast after a size check. The datetime
+    dimension grows with the data; only its slice inside the batch's time
+    span can match, and that slice is broadcast when a count shows it within
+    ``datetime_max_rows`` (a month's load), so the two role joins don't
+    shuffle the fact. Otherwise they are shuffle joins (AQE splits skewed
+    partitions).
     """
     f = cleaned.select(
         F.col("VendorID").cast("int").alias("vendor_id"),
@@ -199,7 +216,7 @@ def resolve_keys(cleaned: DataFrame, wh: Warehouse, broadcast_max_rows: int = SM
     )
     b = lambda d, src=None: checked_broadcast(d, broadcast_max_rows, src)
     loc = wh.dim_location
-    dt = wh.dim_datetime.select("datetime_key", "ts")
+    dt = bounded(datetime_slice(f, wh.dim_datetime), max_rows=datetime_max_rows)
     f = (f.join(b(wh.dim_vendor), "vendor_id", "left")
           .join(b(wh.dim_rate_code), "rate_code_id", "left")
           .join(b(wh.dim_payment_type), "payment_type_id", "left")

@@ -49,3 +49,22 @@ def test_dense_keys_with_a_third_tied_on_the_first_column(spark):
     got = dense_keys(df, ["a", "b"], "k", num_partitions=6)
     ref = df.select("a", "b", F.row_number().over(Window.orderBy("a", "b")).alias("r"))
     assert got.join(ref, ["a", "b"]).where(F.col("k") != F.col("r")).count() == 0
+
+
+def test_datetime_roles_same_by_broadcast_slice_and_by_shuffle(spark, raw):
+    rows = []
+    for i in range(240):
+        pickup = "2024-03-01 08:00:00" if i % 3 == 0 else (
+            dt.datetime(2024, 3, 1) + dt.timedelta(minutes=11 * i)).isoformat(sep=" ")
+        dropoff = (dt.datetime.fromisoformat(pickup) + dt.timedelta(minutes=3 + i % 7)).isoformat(sep=" ")
+        rows.append(trip(pickup=pickup, dropoff=dropoff, pu=1 + i % 4))
+    cleaned = with_provenance(clean(raw(rows)))
+    base = scratch_path(spark, "test", "dt_roles")
+    wh = ST.load_batch(cleaned, W.empty_warehouse(spark), base)
+    by_slice = W.resolve_keys(cleaned, wh)
+    by_shuffle = W.resolve_keys(cleaned, wh, datetime_max_rows=0)
+    plan = by_shuffle._jdf.queryExecution().analyzed().toString().lower()
+    assert plan.count("broadcast") == 5          # only the coded dimensions
+    a, b = by_slice.collect(), by_shuffle.collect()
+    assert len(a) == 240 and sorted(a) == sorted(b)
+    assert all(r.pickup_datetime_key is not None and r.dropoff_datetime_key is not None for r in a)
