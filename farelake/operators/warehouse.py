@@ -153,6 +153,22 @@ def upsert_small_dims(trips: DataFrame, wh: "Warehouse",
     return out
 
 
+# The datetime rows a batch can match lie inside the batch's own time span.
+# For month-at-a-time loads (the reference's unit) that slice is bounded: a
+# month has at most 2,678,400 seconds, plus dropoffs just past its end.
+DATETIME_SLICE_MAX_ROWS = 4_000_000
+
+
+def datetime_slice(trips: DataFrame, dim_datetime: DataFrame,
+                   ts_cols: tuple[str, str] = ("pickup_ts", "dropoff_ts")) -> DataFrame:
+    """(datetime_key, ts) rows between the batch's first and last pickup or
+    dropoff time; the bounds are scalar subqueries over the batch."""
+    p, d = ts_cols
+    lo = trips.agg(F.least(F.min(p), F.min(d)).cast("timestamp_ntz")).scalar()
+    hi = trips.agg(F.greatest(F.max(p), F.max(d)).cast("timestamp_ntz")).scalar()
+    return dim_datetime.select("datetime_key", "ts").where(F.col("ts").between(lo, hi))
+
+
 def datetime_attributes(ts) -> list:
     """date, year, month, day, hour, dow with Sunday = 1."""
     return [F.to_date(ts).alias("date"), F.year(ts).alias("year"), F.month(ts).alias("month"),
@@ -160,11 +176,15 @@ def datetime_attributes(ts) -> list:
             F.dayofweek(ts).alias("dow")]
 
 
-def upsert_datetime(trips: DataFrame, existing: DataFrame) -> DataFrame:
+def upsert_datetime(trips: DataFrame, existing: DataFrame,
+                    slice_max_rows: int = DATETIME_SLICE_MAX_ROWS) -> DataFrame:
     """One row per distinct pickup or dropoff second (W03). It grows with the
-    facts, so it is numbered with range partitions, never in one task."""
-    new = new_members(trips, ("tpep_pickup_datetime", "tpep_dropoff_datetime"), existing, "ts",
-                      cast="timestamp_ntz")
+    facts, so it is numbered with range partitions, never in one task. Known
+    seconds can only lie in the batch's time span: the anti join reads that
+    slice of the dimension (broadcast after a checked count), not all of it."""
+    ts_cols = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
+    known = bounded(datetime_slice(trips, existing, ts_cols), max_rows=slice_max_rows)
+    new = new_members(trips, ts_cols, known, "ts", cast="timestamp_ntz")
     keyed = dense_keys(new, ["ts"], "datetime_key", offset=max_key(existing, "datetime_key"))
     out = keyed.select("datetime_key", "ts", *datetime_attributes(F.col("ts")))
     return existing.select(*S.DIM_DATETIME.fieldNames()).unionByName(out)
@@ -177,20 +197,6 @@ def checked_broadcast(dim: DataFrame, max_rows: int = SMALL_DIM_MAX_ROWS,
     return bounded(dim, source, max_rows)
 
 
-# The datetime rows a batch can match lie inside the batch's own time span.
-# For month-at-a-time loads (the reference's unit) that slice is bounded: a
-# month has at most 2,678,400 seconds, plus dropoffs just past its end.
-DATETIME_SLICE_MAX_ROWS = 4_000_000
-
-
-def datetime_slice(trips: DataFrame, dim_datetime: DataFrame) -> DataFrame:
-    """(datetime_key, ts) rows between the batch's first and last pickup or
-    dropoff time; the bounds are scalar subqueries over the batch."""
-    lo = trips.agg(F.least(F.min("pickup_ts"), F.min("dropoff_ts"))).scalar()
-    hi = trips.agg(F.greatest(F.max("pickup_ts"), F.max("dropoff_ts"))).scalar()
-    return dim_datetime.select("datetime_key", "ts").where(F.col("ts").between(lo, hi))
-
-
 def resolve_keys(cleaned: DataFrame, wh: Warehouse, broadcast_max_rows: int = SMALL_DIM_MAX_ROWS,
                  datetime_max_rows: int = DATETIME_SLICE_MAX_ROWS) -> DataFrame:
     """Seven left joins from natural ids to keys, then the 17 fact columns.

@@ -123,3 +123,18 @@ def test_window_reports_after_a_load_of_earlier_times(spark, raw):
     k = R.kpi(wh, "2024-03-02", "2024-03-05").first()
     assert k.trips == 2
     assert R.kpi(wh, "2025-01-01", "2025-01-31").first().trips == 0
+
+
+def test_second_load_shares_seconds_without_duplicates(spark, raw):
+    first = [trip(pickup="2024-03-01 10:00:00", dropoff="2024-03-01 10:10:00")]
+    second = [trip(pickup="2024-03-01 10:00:00", dropoff="2024-03-01 10:20:00"),   # known pickup
+              trip(pickup="2023-12-31 23:59:00", dropoff="2024-03-01 10:10:00")]   # known dropoff
+    wh, _, base = _load(spark, raw, first, "dt_overlap")
+    wh = ST.load_batch(with_provenance(clean(raw(second))), wh, base)
+    ts = sorted(r.ts.isoformat() for r in wh.dim_datetime.collect())
+    assert ts == ["2023-12-31T23:59:00", "2024-03-01T10:00:00", "2024-03-01T10:10:00",
+                  "2024-03-01T10:20:00"]
+    keys = {r.ts.isoformat(): r.datetime_key for r in wh.dim_datetime.collect()}
+    assert keys["2024-03-01T10:00:00"] == 1 and keys["2024-03-01T10:10:00"] == 2
+    assert all(r.violations == 0 for r in W.constraint_violations(wh).collect())
+    assert all(r.orphans == 0 for r in W.fk_orphans(wh).collect())
