@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, fields
+from dataclasses import replace as _replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -53,14 +54,14 @@ class Warehouse:
     dim_location: DataFrame
     dim_datetime: DataFrame
     fact_trip: DataFrame
+    # Root of the saved fact table (partitioned by source_file), if saved.
+    fact_path: str | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "fact_path"}
 
     def replace(self, **kw) -> "Warehouse":
-        t = self.tables()
-        t.update(kw)
-        return Warehouse(**t)
+        return _replace(self, **kw)
 
 
 def empty_warehouse(spark: SparkSession) -> Warehouse:

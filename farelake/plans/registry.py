@@ -6,6 +6,7 @@ or the warehouse Spark derives from them, over whole tables.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -614,14 +615,22 @@ def _pipeline_full(spark, sf_dir):
     return R.table_counts(res.warehouse)
 
 
+_RELOADS = itertools.count()
+
+
 @register("reload_idempotent", star("""
 SELECT source_file, COUNT(*) AS trips, CAST(SUM(CAST(total_amount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue
 FROM fact_trip GROUP BY 1"""))
 def _reload_idempotent(spark, sf_dir):
-    """Re-loading a month replaces its facts instead of adding them twice."""
+    """Re-loading a month replaces its facts instead of adding them twice.
+
+    The reload changes the fact table in place, so it runs on a warehouse of
+    its own, loaded from the same cleaned months as the shared one."""
     b = star_for(spark, sf_dir)
-    batch = b.cleaned(spark).where(F.col("source_file") == MONTH_FILE)
-    wh = reload_source(b.wh, batch, scratch_path(spark, "reload", f"r{id(b)}"))
+    base = scratch_path(spark, "reload", f"r{id(b)}-{next(_RELOADS)}")
+    cleaned = b.cleaned(spark)
+    wh = load_batch(cleaned, W.empty_warehouse(spark), base)
+    wh = reload_source(wh, cleaned.where(F.col("source_file") == MONTH_FILE), base)
     return wh.fact_trip.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("trips"),
         F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("decimal(18,2)").alias("revenue"))

@@ -63,22 +63,44 @@ def save_warehouse(wh: W.Warehouse, base: str, only: tuple[str, ...] | None = No
     Spark jobs so small tables don't wait on each other."""
     tables = wh.tables()
     names = [n for n in tables if only is None or n in only]
-    out = dict(tables)
+    out = {}
     with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
         futures = {n: pool.submit(save_table, tables[n], base, n) for n in names}
         for n, f in futures.items():
             out[n] = f.result()
-    return W.Warehouse(**out)
+    return wh.replace(**out)
 
 
-def load_batch(cleaned: DataFrame, wh: W.Warehouse, base: str) -> W.Warehouse:
+def read_facts(spark: SparkSession, root: str) -> DataFrame:
+    """The fact table; ``source_file`` is its partition column."""
+    return spark.read.schema(S.FACT_TRIP).parquet(root)
+
+
+def write_facts(facts: DataFrame, root: str, replace: bool = False) -> None:
+    """Add facts to the table under ``root``, partitioned by ``source_file``.
+
+    Append writes new files only: a load never rewrites the facts already
+    there. With ``replace`` the month files in ``facts`` overwrite their own
+    partitions (dynamic partition overwrite) and no other partition. Rows
+    stay in trip-key order inside each file (numbering ranges follow pickup
+    time, so a task holds one or two months), which keeps parquet min/max
+    statistics on the keys tight.
+    """
+    out = facts.select(*S.FACT_TRIP.fieldNames()).sortWithinPartitions("source_file", "trip_key")
+    lake.write_partitions(out, root, ["source_file"], "overwrite" if replace else "append")
+
+
+def load_batch(cleaned: DataFrame, wh: W.Warehouse, base: str, replace: bool = False
+               ) -> W.Warehouse:
     """Load one batch of cleaned trips onto a warehouse: dimensions first,
-    saved, then facts resolved against the saved dimensions."""
+    saved, then facts resolved against the saved dimensions and added to the
+    fact table (appended, or replacing the batch's month files)."""
     dims = save_warehouse(W.load_dims(cleaned, wh), base,
                           only=tuple(n for n in S.STAR_TABLES if n != "fact_trip"))
     new_facts = W.load_fact(cleaned, dims, wh.fact_trip)
-    fact = wh.fact_trip.unionByName(new_facts)
-    return save_warehouse(dims.replace(fact_trip=fact), base, only=("fact_trip",))
+    root = wh.fact_path or f"{base}/fact_trip"
+    write_facts(new_facts, root, replace)
+    return dims.replace(fact_trip=read_facts(cleaned.sparkSession, root), fact_path=root)
 
 
 def seed(wh: W.Warehouse, base: str) -> W.Warehouse:
@@ -87,13 +109,12 @@ def seed(wh: W.Warehouse, base: str) -> W.Warehouse:
 
 
 def reload_source(wh: W.Warehouse, cleaned: DataFrame, base: str) -> W.Warehouse:
-    """Idempotent re-load (W10): facts of the batch's source files are replaced,
-    not appended twice. Dimension members are kept (upserts add nothing twice)."""
-    files = cleaned.select("source_file").distinct()
-    # One row per month file; AQE broadcasts it once its runtime size is known.
-    kept = wh.fact_trip.join(files, "source_file", "left_anti")
-    kept = save_table(kept.select(*S.FACT_TRIP.fieldNames()), base, "fact_trip")
-    return load_batch(cleaned, wh.replace(fact_trip=kept), base)
+    """Idempotent re-load (W10): the facts of the batch's month files replace
+    those files' partitions, so nothing is appended twice and no other month
+    is rewritten. New trip keys continue after the current maximum, as a
+    database sequence does after deletes. Dimension members are kept
+    (upserts add nothing twice)."""
+    return load_batch(cleaned, wh, base, replace=True)
 
 
 def cleaned_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,16 +187,18 @@ def read_json(spark: SparkSession, path: str) -> dict | None:
 
 
 def _publish(spark: SparkSession, manifest: str, b: StarBuild) -> None:
+    tables = {n: _table_dir(df) for n, df in b.wh.tables().items() if n != "fact_trip"}
     publish_json(spark, manifest, {
         "base": b.base, "cleaned_path": b.cleaned_path, "zones_path": b.zones_path,
-        "tables": {n: _table_dir(df) for n, df in b.wh.tables().items()}})
+        "tables": tables, "fact_path": b.wh.fact_path})
 
 
 def _load_published(spark: SparkSession, manifest: str) -> StarBuild | None:
     m = read_json(spark, manifest)
     if m is None:
         return None
-    wh = W.Warehouse(**{n: spark.read.parquet(path) for n, path in m["tables"].items()})
+    wh = W.Warehouse(**{n: spark.read.parquet(path) for n, path in m["tables"].items()},
+                     fact_trip=read_facts(spark, m["fact_path"]), fact_path=m["fact_path"])
     return StarBuild(m["base"], m["cleaned_path"], wh, m["zones_path"])
 
 

@@ -97,18 +97,25 @@ def write_cleaned(df: DataFrame, base: str, mode: str = "overwrite") -> None:
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be overwrite or append, got {mode}")
+    # Rows of a month go to the same tasks, so each task writes few files;
+    # AQE splits a month larger than the advisory partition size over several
+    # tasks, so no month is written by one task.
+    out = _partition_cols(df).hint("rebalance", "year", "month")
+    write_partitions(out, base, ["year", "month"], mode)
+
+
+def write_partitions(df: DataFrame, path: str, cols: Sequence[str], mode: str) -> None:
+    """Write ``df`` partitioned by ``cols``. ``overwrite`` replaces only the
+    partitions present in ``df`` (dynamic partition overwrite); ``append``
+    adds files and leaves every existing file in place."""
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     # On a new folder a plain overwrite is the same and skips the staging
     # directory that dynamic overwrite commits through.
-    fresh = not path_exists(spark, base)
+    fresh = not path_exists(spark, path)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static" if fresh else "dynamic")
     try:
-        # Rows of a month go to the same tasks, so each task writes few
-        # files; AQE splits a month larger than the advisory partition size
-        # over several tasks, so no month is written by one task.
-        out = _partition_cols(df).hint("rebalance", "year", "month")
-        out.write.mode(mode).partitionBy("year", "month").parquet(base)
+        df.write.mode(mode).partitionBy(*cols).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 

@@ -45,11 +45,13 @@ def test_reload_is_idempotent(spark, raw):
     rows = [trip(), trip(pickup="2024-02-01 10:00:00", dropoff="2024-02-01 10:30:00", total=20.0)]
     wh, cleaned, base = _load(spark, raw, rows, "reload")
     jan = cleaned.where(F.col("source_file") == "yellow_tripdata_2024-01.parquet")
-    twice = ST.reload_source(ST.reload_source(wh, jan, base), jan, base)
+    # The fact table is updated in place: read the state before reloading.
     before = {r.source_file: r["count"] for r in wh.fact_trip.groupBy("source_file").count().collect()}
+    n_times = wh.dim_datetime.count()
+    twice = ST.reload_source(ST.reload_source(wh, jan, base), jan, base)
     after = {r.source_file: r["count"] for r in twice.fact_trip.groupBy("source_file").count().collect()}
     assert before == after
-    assert twice.dim_datetime.count() == wh.dim_datetime.count()
+    assert twice.dim_datetime.count() == n_times
     keys = [r.trip_key for r in twice.fact_trip.collect()]
     assert len(set(keys)) == len(keys)
 
@@ -138,3 +140,27 @@ def test_second_load_shares_seconds_without_duplicates(spark, raw):
     assert keys["2024-03-01T10:00:00"] == 1 and keys["2024-03-01T10:10:00"] == 2
     assert all(r.violations == 0 for r in W.constraint_violations(wh).collect())
     assert all(r.orphans == 0 for r in W.fk_orphans(wh).collect())
+
+
+def _fact_files(spark, root):
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", "true").load(root).select("path").collect())
+    return {r.path for r in files}
+
+
+def test_loads_and_reloads_touch_only_their_own_month_files(spark, raw):
+    rows = [trip(), trip(pickup="2024-02-01 10:00:00", dropoff="2024-02-01 10:30:00", total=20.0)]
+    wh, cleaned, base = _load(spark, raw, rows, "reload_files")
+    root = wh.fact_path
+    first = _fact_files(spark, root)
+    march = [trip(pickup="2024-03-03 10:00:00", dropoff="2024-03-03 10:30:00")]
+    wh = ST.load_batch(with_provenance(clean(raw(march))), wh, base)
+    appended = _fact_files(spark, root)
+    assert first < appended                                   # append: old files kept as they are
+    jan = cleaned.where(F.col("source_file") == "yellow_tripdata_2024-01.parquet")
+    wh = ST.reload_source(wh, jan, base)
+    reloaded = _fact_files(spark, root)
+    is_jan = lambda p: "yellow_tripdata_2024-01" in p          # noqa: E731
+    assert {p for p in appended if not is_jan(p)} == {p for p in reloaded if not is_jan(p)}
+    assert {p for p in appended if is_jan(p)}.isdisjoint({p for p in reloaded if is_jan(p)})
+    assert wh.fact_trip.count() == 3
