@@ -54,11 +54,14 @@ class Warehouse:
     dim_location: DataFrame
     dim_datetime: DataFrame
     fact_trip: DataFrame
-    # Root of the saved fact table (partitioned by source_file), if saved.
+    # Roots of the tables that loads add to in place, once saved: the fact
+    # (partitioned by source_file) and the datetime dimension.
     fact_path: str | None = None
+    datetime_path: str | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "fact_path"}
+        return {f.name: getattr(self, f.name) for f in fields(self)
+                if f.name not in ("fact_path", "datetime_path")}
 
     def replace(self, **kw) -> "Warehouse":
         return _replace(self, **kw)
@@ -177,18 +180,25 @@ def datetime_attributes(ts) -> list:
             F.dayofweek(ts).alias("dow")]
 
 
-def upsert_datetime(trips: DataFrame, existing: DataFrame,
-                    slice_max_rows: int = DATETIME_SLICE_MAX_ROWS) -> DataFrame:
-    """One row per distinct pickup or dropoff second (W03). It grows with the
-    facts, so it is numbered with range partitions, never in one task. Known
-    seconds can only lie in the batch's time span: the anti join reads that
-    slice of the dimension (broadcast after a checked count), not all of it."""
+def new_datetime_rows(trips: DataFrame, existing: DataFrame,
+                      slice_max_rows: int = DATETIME_SLICE_MAX_ROWS) -> DataFrame:
+    """Datetime rows for the batch's seconds that the dimension lacks, keyed
+    after its maximum (W03). The dimension grows with the facts, so the new
+    rows are numbered with range partitions, never in one task. Known seconds
+    can only lie in the batch's time span: the anti join reads that slice of
+    the dimension (broadcast after a checked count), not all of it."""
     ts_cols = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
     known = bounded(datetime_slice(trips, existing, ts_cols), max_rows=slice_max_rows)
     new = new_members(trips, ts_cols, known, "ts", cast="timestamp_ntz")
     keyed = dense_keys(new, ["ts"], "datetime_key", offset=max_key(existing, "datetime_key"))
-    out = keyed.select("datetime_key", "ts", *datetime_attributes(F.col("ts")))
-    return existing.select(*S.DIM_DATETIME.fieldNames()).unionByName(out)
+    return keyed.select("datetime_key", "ts", *datetime_attributes(F.col("ts")))
+
+
+def upsert_datetime(trips: DataFrame, existing: DataFrame,
+                    slice_max_rows: int = DATETIME_SLICE_MAX_ROWS) -> DataFrame:
+    """The dimension with the batch's new seconds added."""
+    return existing.select(*S.DIM_DATETIME.fieldNames()).unionByName(
+        new_datetime_rows(trips, existing, slice_max_rows))
 
 
 def checked_broadcast(dim: DataFrame, max_rows: int = SMALL_DIM_MAX_ROWS,

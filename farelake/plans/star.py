@@ -90,13 +90,33 @@ def write_facts(facts: DataFrame, root: str, replace: bool = False) -> None:
     lake.write_partitions(out, root, ["source_file"], "overwrite" if replace else "append")
 
 
+def read_datetimes(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(S.DIM_DATETIME).parquet(root)
+
+
+def load_dims(cleaned: DataFrame, wh: W.Warehouse, base: str) -> W.Warehouse:
+    """The five dimension upserts of a batch, saved. The four coded
+    dimensions (small) are written whole to fresh folders; the datetime
+    dimension grows with the data, so only its new seconds are appended to
+    its folder and existing rows are never rewritten. The writes run as
+    concurrent jobs."""
+    spark = cleaned.sparkSession
+    small = wh.replace(**W.upsert_small_dims(cleaned, wh))
+    new_dt = W.new_datetime_rows(cleaned, wh.dim_datetime)
+    dt_root = wh.datetime_path or f"{base}/dim_datetime"
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        appended = pool.submit(lambda: new_dt.write.mode("append").parquet(dt_root))
+        small = save_warehouse(small, base, only=tuple(d.name for d in W.SMALL_DIMS))
+        appended.result()
+    return small.replace(dim_datetime=read_datetimes(spark, dt_root), datetime_path=dt_root)
+
+
 def load_batch(cleaned: DataFrame, wh: W.Warehouse, base: str, replace: bool = False
                ) -> W.Warehouse:
     """Load one batch of cleaned trips onto a warehouse: dimensions first,
     saved, then facts resolved against the saved dimensions and added to the
     fact table (appended, or replacing the batch's month files)."""
-    dims = save_warehouse(W.load_dims(cleaned, wh), base,
-                          only=tuple(n for n in S.STAR_TABLES if n != "fact_trip"))
+    dims = load_dims(cleaned, wh, base)
     new_facts = W.load_fact(cleaned, dims, wh.fact_trip)
     root = wh.fact_path or f"{base}/fact_trip"
     write_facts(new_facts, root, replace)
@@ -187,10 +207,11 @@ def read_json(spark: SparkSession, path: str) -> dict | None:
 
 
 def _publish(spark: SparkSession, manifest: str, b: StarBuild) -> None:
-    tables = {n: _table_dir(df) for n, df in b.wh.tables().items() if n != "fact_trip"}
+    tables = {n: _table_dir(df) for n, df in b.wh.tables().items()
+              if n not in ("fact_trip", "dim_datetime")}
     publish_json(spark, manifest, {
         "base": b.base, "cleaned_path": b.cleaned_path, "zones_path": b.zones_path,
-        "tables": tables, "fact_path": b.wh.fact_path})
+        "tables": tables, "fact_path": b.wh.fact_path, "datetime_path": b.wh.datetime_path})
 
 
 def _load_published(spark: SparkSession, manifest: str) -> StarBuild | None:
@@ -198,7 +219,9 @@ def _load_published(spark: SparkSession, manifest: str) -> StarBuild | None:
     if m is None:
         return None
     wh = W.Warehouse(**{n: spark.read.parquet(path) for n, path in m["tables"].items()},
-                     fact_trip=read_facts(spark, m["fact_path"]), fact_path=m["fact_path"])
+                     dim_datetime=read_datetimes(spark, m["datetime_path"]),
+                     fact_trip=read_facts(spark, m["fact_path"]),
+                     fact_path=m["fact_path"], datetime_path=m["datetime_path"])
     return StarBuild(m["base"], m["cleaned_path"], wh, m["zones_path"])
 
 

@@ -153,10 +153,13 @@ def test_loads_and_reloads_touch_only_their_own_month_files(spark, raw):
     wh, cleaned, base = _load(spark, raw, rows, "reload_files")
     root = wh.fact_path
     first = _fact_files(spark, root)
+    first_dt = _fact_files(spark, wh.datetime_path)
     march = [trip(pickup="2024-03-03 10:00:00", dropoff="2024-03-03 10:30:00")]
     wh = ST.load_batch(with_provenance(clean(raw(march))), wh, base)
     appended = _fact_files(spark, root)
     assert first < appended                                   # append: old files kept as they are
+    assert first_dt < _fact_files(spark, wh.datetime_path)    # new seconds appended, old kept
+    assert wh.dim_datetime.count() == 6
     jan = cleaned.where(F.col("source_file") == "yellow_tripdata_2024-01.parquet")
     wh = ST.reload_source(wh, jan, base)
     reloaded = _fact_files(spark, root)
