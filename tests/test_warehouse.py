@@ -167,3 +167,18 @@ def test_loads_and_reloads_touch_only_their_own_month_files(spark, raw):
     assert {p for p in appended if not is_jan(p)} == {p for p in reloaded if not is_jan(p)}
     assert {p for p in appended if is_jan(p)}.isdisjoint({p for p in reloaded if is_jan(p)})
     assert wh.fact_trip.count() == 3
+
+
+def test_dist_sample_key_bound_matches_plain_ordered_limit(spark):
+    # Only every 7th trip has a distance, so the bound has to grow past n.
+    fact = spark.range(1, 5001).select(
+        F.col("id").alias("trip_key"),
+        F.when(F.col("id") % 7 == 0, F.col("id") / 10).alias("trip_distance"),
+        (F.col("id") % 50 + 1.0).alias("total_amount"),
+        F.lit(1.0).alias("tip_amount"), F.lit(1).alias("passenger_count"))
+    wh = W.Warehouse(*([fact] * 6))
+    for n in (1, 30, 500, 10000):
+        got = R.dist_sample(wh, n).collect()
+        want = (fact.where(F.col("trip_distance").isNotNull() & F.col("total_amount").isNotNull())
+                .orderBy("trip_key").limit(n).collect())
+        assert got == want, n
