@@ -445,24 +445,29 @@ def distance_buckets(wh: Warehouse, start=None, end=None, low: float = 0.0, high
                                                          ).orderBy("bucket")
 
 
-def dist_sample(wh: Warehouse, n: int = 200000) -> DataFrame:
-    """Rows with distance and total present, at most n in trip-key order.
+def first_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The n rows of ``df`` with the smallest ``key`` (an ordered limit).
 
-    An ordered limit over the whole fact ends in one task that merges up to n
+    An ordered limit over a large table ends in one task that merges up to n
     rows from every input split. Trip keys are dense and the fact is written
-    in key order, so a key bound holding the first n qualifying rows is found
-    first: count the qualifying rows under the bound (files past it are
-    skipped by their min/max statistics), growing it 4x until it holds n or
-    passes the largest key, as ``take`` scales up. The ordered limit then
-    runs only on rows under the bound. The rows are the same either way.
+    in key order, so a key bound holding the first n rows is found first:
+    count the rows under the bound (files past it are skipped by their
+    min/max statistics), growing it 4x until it holds n or passes the largest
+    key, as ``take`` scales up. The ordered limit then runs only on rows
+    under the bound. The rows are the same either way.
     """
-    f = wh.fact_trip.where(F.col("trip_distance").isNotNull() & F.col("total_amount").isNotNull())
-    top = f.agg(F.max("trip_key")).first()[0]
+    top = df.agg(F.max(key)).first()[0]
     bound = max(int(n), 1)
-    while top is not None and bound < top and f.where(F.col("trip_key") <= bound).count() < n:
+    while top is not None and bound < top and df.where(F.col(key) <= bound).count() < n:
         bound *= 4
-    return (f.where(F.col("trip_key") <= bound).orderBy("trip_key").limit(n)
-             .select("trip_key", "trip_distance", "total_amount", "tip_amount", "passenger_count"))
+    return df.where(F.col(key) <= bound).orderBy(key).limit(n)
+
+
+def dist_sample(wh: Warehouse, n: int = 200000) -> DataFrame:
+    """Rows with distance and total present, at most n in trip-key order."""
+    f = wh.fact_trip.where(F.col("trip_distance").isNotNull() & F.col("total_amount").isNotNull())
+    return first_by_key(f, "trip_key", n).select(
+        "trip_key", "trip_distance", "total_amount", "tip_amount", "passenger_count")
 
 
 SUMMARY_MEASURES = ["trip_distance", "total_amount", "tip_amount", "passenger_count"]
@@ -584,7 +589,7 @@ def trip_sample(wh: Warehouse, n: int = 10) -> DataFrame:
     j = (f.join(bounded(wh.dim_payment_type), "payment_type_key")
           .join(bounded(wh.dim_vendor), "vendor_key")
           .join(bounded(wh.dim_rate_code), "rate_code_key"))
-    top = j.orderBy("trip_key").limit(n)
+    top = first_by_key(j, "trip_key", n)
     top = (top.join(dt.select(F.col("datetime_key").alias(PU_KEY), F.col("ts").alias("pickup_ts")),
                     PU_KEY)
               .join(dt.select(F.col("datetime_key").alias("dropoff_datetime_key"),
