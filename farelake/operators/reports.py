@@ -452,15 +452,17 @@ def first_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
     rows from every input split. Trip keys are dense and the fact is written
     in key order, so a key bound holding the first n rows is found first:
     count the rows under the bound (files past it are skipped by their
-    min/max statistics), growing it 4x until it holds n or passes the largest
-    key, as ``take`` scales up. The ordered limit then runs only on rows
+    min/max statistics), widening it 4x from the smallest key until it holds
+    n or passes the largest key, as ``take`` scales up. The ordered limit then runs only on rows
     under the bound. The rows are the same either way.
     """
-    top = df.agg(F.max(key)).first()[0]
-    bound = max(int(n), 1)
-    while top is not None and bound < top and df.where(F.col(key) <= bound).count() < n:
-        bound *= 4
-    return df.where(F.col(key) <= bound).orderBy(key).limit(n)
+    lo, top = df.agg(F.min(key), F.max(key)).first()
+    if lo is None:
+        return df.limit(0)
+    span = max(int(n), 1)               # the bound covers keys lo .. lo + span - 1
+    while lo + span - 1 < top and df.where(F.col(key) < lo + span).count() < n:
+        span *= 4
+    return df.where(F.col(key) < lo + span).orderBy(key).limit(n)
 
 
 def dist_sample(wh: Warehouse, n: int = 200000) -> DataFrame:

@@ -182,3 +182,11 @@ def test_dist_sample_key_bound_matches_plain_ordered_limit(spark):
         want = (fact.where(F.col("trip_distance").isNotNull() & F.col("total_amount").isNotNull())
                 .orderBy("trip_key").limit(n).collect())
         assert got == want, n
+
+
+def test_first_by_key_with_keys_starting_high(spark):
+    df = spark.range(10**9, 10**9 + 3000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("v"))
+    df = df.where(F.col("v") == 0)
+    for n in (1, 7, 999, 1000, 5000):
+        assert R.first_by_key(df, "k", n).collect() == df.orderBy("k").limit(n).collect(), n
+    assert R.first_by_key(df.where(F.col("k") < 0), "k", 5).count() == 0
