@@ -77,15 +77,19 @@ def range_partitions(df: DataFrame) -> int | None:
     ``spark.sql.shuffle.partitions``; then one range per input split, so a
     range holds about one split of rows as the data grows. The split count is
     read only when the plan has no shuffle (reading it then runs no job)."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    splits = input_splits(df)
+    return splits if splits is not None and splits > n else None
+
+
+def input_splits(df: DataFrame) -> int | None:
+    """The number of scan splits of a plan without a shuffle (reading it then
+    runs no job); ``None`` when the plan shuffles or the count is unknown."""
     try:
         plan = df._jdf.queryExecution().sparkPlan().toString()
         if "Exchange" not in plan:
-            splits = df.rdd.getNumPartitions()
-            if splits > n:
-                return splits
-    except Exception:  # noqa: BLE001 - the default count is always valid
+            return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - callers fall back to a default
         pass
     return None
 

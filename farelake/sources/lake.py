@@ -150,13 +150,31 @@ def append_if_rows(df: DataFrame, path: str) -> bool:
     return True
 
 
-def row_cap(df: DataFrame, n: int, order: Sequence[str] | None = None) -> DataFrame:
+# A top-k ends in one task that merges up to n rows from every split; above
+# this many merged rows the cap numbers the rows with range partitions instead.
+TOP_K_MERGE_MAX_ROWS = 20_000_000
+
+
+def row_cap(df: DataFrame, n: int, order: Sequence[str] | None = None,
+            merge_max_rows: int = TOP_K_MERGE_MAX_ROWS) -> DataFrame:
     """At most ``n`` rows in a total order (S09): the same rows on every
-    evaluation. Spark plans it as a top-k (TakeOrderedAndProject)."""
+    evaluation.
+
+    While n x splits stays under ``merge_max_rows`` Spark's top-k
+    (TakeOrderedAndProject) does it. Beyond that the rows are numbered in the
+    order with range partitions (``dense_keys``: no task sees more than its
+    range) and the first n numbers are kept; the rows are the same.
+    """
+    from farelake.operators.keys import dense_keys, input_splits
     if n is None or n <= 0:
         raise ValueError(f"EX2_MAX_ROWS must be > 0, got: {n}")
     cols = list(order or df.columns)
-    return df.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(int(n))
+    spark = df.sparkSession
+    splits = input_splits(df) or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if int(n) * splits <= merge_max_rows:
+        return df.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(int(n))
+    keyed = dense_keys(df, cols, "_cap_k")
+    return keyed.where(F.col("_cap_k") <= int(n)).drop("_cap_k")
 
 
 def ingest_ledger(plan: DataFrame, cleaned: DataFrame) -> DataFrame:

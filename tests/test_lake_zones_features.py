@@ -113,3 +113,13 @@ def test_largest_file_lists_files_without_reading_rows(spark):
     with pytest.raises(FileNotFoundError):
         spark.range(1).write.json(f"{base}-json")
         L.largest_file(spark, f"{base}-json")
+
+
+def test_row_cap_numbering_path_matches_top_k(spark):
+    rows = [(i % 13, None if i % 5 == 0 else f"s{i % 17}", float(i % 7)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a int, b string, c double").repartition(6)
+    for n in (1, 40, 333, 5000):
+        by_top_k = lake.row_cap(df, n).collect()
+        by_ranges = lake.row_cap(df, n, merge_max_rows=0).collect()
+        assert sorted(by_top_k, key=str) == sorted(by_ranges, key=str), n
+        assert len(by_top_k) == min(n, 2000)
