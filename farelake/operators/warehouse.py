@@ -75,12 +75,10 @@ def empty_warehouse(spark: SparkSession) -> Warehouse:
 
 def distinct_members(df: DataFrame, sources: Sequence[str], id_col: str,
                      cast: str = "int") -> DataFrame:
-    """Distinct non-null ids over one or more columns."""
-    parts = [df.select(F.col(c).cast(cast).alias(id_col)) for c in sources]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.dropna().distinct()
+    """Distinct non-null ids over one or more columns (A35), from one scan:
+    each row yields its ids through ``explode``, not one scan per column."""
+    ids = F.explode(F.array(*[F.col(c).cast(cast) for c in sources])).alias(id_col)
+    return df.select(ids).dropna().distinct()
 
 
 def new_members(df: DataFrame, sources: Sequence[str], dim: DataFrame, id_col: str,
@@ -121,11 +119,10 @@ def upsert_small_dims(trips: DataFrame, wh: "Warehouse",
     shows they are few (one task per dimension then holds a bounded set);
     otherwise all four are numbered in one range-partitioned pass.
     """
-    pairs = None
-    for spec in SMALL_DIMS:
-        for src in spec.sources:
-            p = trips.select(F.lit(spec.name).alias("dim"), F.col(src).cast("int").alias("id"))
-            pairs = p if pairs is None else pairs.unionByName(p)
+    # Every row yields its (dimension, id) pairs in one scan.
+    pairs = trips.select(F.explode(F.array(*[
+        F.struct(F.lit(spec.name).alias("dim"), F.col(src).cast("int").alias("id"))
+        for spec in SMALL_DIMS for src in spec.sources])).alias("p")).select("p.dim", "p.id")
     known = None
     for spec in SMALL_DIMS:
         k = getattr(wh, spec.name).select(F.lit(spec.name).alias("dim"),
