@@ -1,22 +1,25 @@
 """Dense surrogate keys without pulling a table into one task.
 
 ``row_number() over (order by ...)`` with no partition runs in a single task.
-Here the rows are range-partitioned on the ordering columns, sorted within each
-partition and checkpointed, so partition contents are fixed. Each row's number
-is its position inside its partition plus the row count of all earlier
-partitions. The offsets table has one row per partition; that is its size
-bound, and the reason it may be broadcast.
+Here the rows are range-partitioned on the ordering columns and sorted within
+each partition; every row is written, with its range and its position in the
+range, to a table in the shared folder. That fixes the contents (the range
+bounds come from a sample) and cuts the lineage. Each row's number is its
+position plus the row count of all earlier ranges, and the counts read one
+column of the written table. The offsets table has one row per range; that
+is its size bound, and the reason it may be broadcast.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake.functions.joins import bounded
-from farelake.session import checkpoint_base
+from farelake.session import scratch_path
 
 
 def _order(cols: Sequence[str | Column]) -> list[Column]:
@@ -39,7 +42,6 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
     instead of landing in one task.
     """
     spark = df.sparkSession
-    checkpoint_base(spark)
     groups = list(group_cols)
     n = num_partitions or range_partitions(df)
     order = _order([*groups, *order_cols]) + [F.col("_fl_tie")]
@@ -48,27 +50,28 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
     tied = df.withColumn("_fl_tie", F.monotonically_increasing_id())
     ranged = (tied.repartitionByRange(n, *order) if n else tied.repartitionByRange(*order))
     ranged = ranged.sortWithinPartitions(*order)
-    # Fix partition contents and order: the range bounds come from a sample.
-    fixed = ranged.checkpoint(eager=True)
-    tagged = fixed.select(
-        "*",
-        F.spark_partition_id().alias("_fl_pid"),
-        # Increases by one per row inside a partition.
-        F.monotonically_increasing_id().alias("_fl_mid"),
-    )
-    counts = tagged.groupBy("_fl_pid", *groups).agg(F.count(F.lit(1)).alias("_fl_n"),
-                                                   F.min("_fl_mid").alias("_fl_first"))
+    pid = F.spark_partition_id()
+    placed = ranged.select(
+        *[F.col(c) for c in df.columns],
+        pid.alias("_fl_pid"),
+        # The row's position in its sorted range.
+        (F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias("_fl_pos"))
+    path = scratch_path(spark, "numbering", uuid.uuid4().hex)
+    placed.write.parquet(path)
+    fixed = spark.read.parquet(path)
+    counts = fixed.groupBy("_fl_pid", *groups).agg(F.count(F.lit(1)).alias("_fl_n"),
+                                                   F.min("_fl_pos").alias("_fl_first"))
     before = Window.partitionBy(*groups).orderBy("_fl_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.select("_fl_pid", *groups, "_fl_first",
                             F.coalesce(F.sum("_fl_n").over(before), F.lit(0)).alias("_fl_start"))
-    # Without groups: one row per partition, a bounded broadcast. With groups:
-    # at most partitions + groups - 1 rows, broadcast after a checked count.
+    # Without groups: one row per range, a bounded broadcast. With groups:
+    # at most ranges + groups - 1 rows, broadcast after a checked count.
     offsets = bounded(offsets) if groups else F.broadcast(offsets)
-    pos = F.col("_fl_mid") - F.col("_fl_first")
+    pos = F.col("_fl_pos") - F.col("_fl_first")
     key = (F.lit(offset).cast("bigint") + F.col("_fl_start") + pos + 1).cast(key_type)
-    return (tagged.join(offsets, ["_fl_pid", *groups])
-                  .select(key.alias(key_col), *[F.col(c) for c in df.columns]))
+    return (fixed.join(offsets, ["_fl_pid", *groups])
+                 .select(key.alias(key_col), *[F.col(c) for c in df.columns]))
 
 
 def range_partitions(df: DataFrame) -> int | None:
