@@ -58,7 +58,7 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
         (F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias("_fl_pos"))
     path = scratch_path(spark, "numbering", uuid.uuid4().hex)
     placed.write.parquet(path)
-    fixed = spark.read.parquet(path)
+    fixed = spark.read.schema(placed.schema).parquet(path)
     counts = fixed.groupBy("_fl_pid", *groups).agg(F.count(F.lit(1)).alias("_fl_n"),
                                                    F.min("_fl_pos").alias("_fl_first"))
     before = Window.partitionBy(*groups).orderBy("_fl_pid").rowsBetween(
