@@ -31,6 +31,21 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return seen[max_rows]
 
 
+def fits_all(dfs: list[DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> None:
+    """Check several tables in one job (a union of the limited counts) and
+    remember each answer, so later ``fits``/``bounded`` calls run no job."""
+    todo = [d for d in dfs if max_rows not in _FITS.get(d, {})]
+    if not todo:
+        return
+    union = None
+    for i, d in enumerate(todo):
+        part = d.limit(max_rows + 1).select(F.lit(i).alias("_i"))
+        union = part if union is None else union.unionByName(part)
+    counts = {r["_i"]: r["n"] for r in union.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for i, d in enumerate(todo):
+        _FITS.setdefault(d, {})[max_rows] = counts.get(i, 0) <= max_rows
+
+
 def bounded(side: DataFrame, source: DataFrame | None = None,
             max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``side`` with a broadcast hint when ``source`` (default ``side``) is

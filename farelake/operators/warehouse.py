@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farelake import schemas as S
-from farelake.functions.joins import bounded
+from farelake.functions.joins import bounded, fits_all
 from farelake.operators.keys import dense_keys, max_key
 
 
@@ -230,6 +230,7 @@ def resolve_keys(cleaned: DataFrame, wh: Warehouse, broadcast_max_rows: int = SM
     )
     b = lambda d, src=None: checked_broadcast(d, broadcast_max_rows, src)
     loc = wh.dim_location
+    fits_all([wh.dim_vendor, wh.dim_rate_code, wh.dim_payment_type, loc], broadcast_max_rows)
     dt = bounded(datetime_slice(f, wh.dim_datetime), max_rows=datetime_max_rows)
     f = (f.join(b(wh.dim_vendor), "vendor_id", "left")
           .join(b(wh.dim_rate_code), "rate_code_id", "left")

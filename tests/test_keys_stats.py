@@ -116,3 +116,11 @@ def test_dense_keys_split_a_third_of_duplicate_rows(spark):
     parts = (tied.repartitionByRange(6, "a", "b", "t").where(F.col("b") == "same")
              .select(F.spark_partition_id().alias("p")).distinct().count())
     assert parts > 1
+
+
+def test_fits_all_one_job_same_answers(spark):
+    from farelake.functions.joins import _FITS, fits, fits_all
+    a, b, c = spark.range(3), spark.range(50), spark.range(0)
+    fits_all([a, b, c], 10)
+    assert all(10 in _FITS[d] for d in (a, b, c))
+    assert (fits(a, 10), fits(b, 10), fits(c, 10)) == (True, False, True)
