@@ -27,7 +27,7 @@ def _order(cols: Sequence[str | Column]) -> list[Column]:
 
 
 def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
-               offset: int = 0, num_partitions: int | None = None,
+               offset: int | Column = 0, num_partitions: int | None = None,
                key_type: str = "bigint", group_cols: Sequence[str] = ()) -> DataFrame:
     """Number the rows 1..n (plus ``offset``) in the total order of ``order_cols``.
 
@@ -69,7 +69,8 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
     # at most ranges + groups - 1 rows, broadcast after a checked count.
     offsets = bounded(offsets) if groups else F.broadcast(offsets)
     pos = F.col("_fl_pos") - F.col("_fl_first")
-    key = (F.lit(offset).cast("bigint") + F.col("_fl_start") + pos + 1).cast(key_type)
+    start = offset if isinstance(offset, Column) else F.lit(offset)
+    key = (start.cast("bigint") + F.col("_fl_start") + pos + 1).cast(key_type)
     return (fixed.join(offsets, ["_fl_pid", *groups])
                  .select(key.alias(key_col), *[F.col(c) for c in df.columns]))
 
@@ -101,3 +102,9 @@ def max_key(df: DataFrame, key_col: str) -> int:
     """Current maximum key, 0 for an empty table (one scalar to the driver)."""
     v = df.agg(F.max(key_col)).first()[0]
     return int(v) if v is not None else 0
+
+
+def max_key_value(df: DataFrame, key_col: str) -> Column:
+    """Current maximum key, 0 for an empty table, as a scalar subquery: it is
+    computed inside the job that uses it, with no round trip of its own."""
+    return df.agg(F.coalesce(F.max(key_col).cast("bigint"), F.lit(0).cast("bigint"))).scalar()

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from farelake import schemas as S
 from farelake.functions.joins import bounded, fits_all
-from farelake.operators.keys import dense_keys, max_key
+from farelake.operators.keys import dense_keys, max_key, max_key_value
 
 
 @dataclass(frozen=True)
@@ -104,8 +104,8 @@ def seed_dim(spec: DimSpec, existing: DataFrame) -> DataFrame:
     spark = existing.sparkSession
     seeds = spark.createDataFrame([(i,) for i in spec.seeds], f"{spec.id_col} int")
     new = seeds.join(existing.select(spec.id_col), spec.id_col, "left_anti")
-    start = max_key(existing, spec.key_col)
-    keyed = new.select((F.lit(start) + F.row_number().over(Window.orderBy(spec.id_col))).cast("int")
+    start = max_key_value(existing, spec.key_col)
+    keyed = new.select((start + F.row_number().over(Window.orderBy(spec.id_col))).cast("int")
                        .alias(spec.key_col), spec.id_col)
     return existing.select(spec.key_col, spec.id_col).unionByName(keyed)
 
@@ -187,7 +187,7 @@ def new_datetime_rows(trips: DataFrame, existing: DataFrame,
     ts_cols = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
     known = bounded(datetime_slice(trips, existing, ts_cols), max_rows=slice_max_rows)
     new = new_members(trips, ts_cols, known, "ts", cast="timestamp_ntz")
-    keyed = dense_keys(new, ["ts"], "datetime_key", offset=max_key(existing, "datetime_key"))
+    keyed = dense_keys(new, ["ts"], "datetime_key", offset=max_key_value(existing, "datetime_key"))
     return keyed.select("datetime_key", "ts", *datetime_attributes(F.col("ts")))
 
 
@@ -252,7 +252,7 @@ def load_fact(cleaned: DataFrame, wh: Warehouse, existing_fact: DataFrame | None
     """New facts, numbered after the current max trip key in the order of all
     fact columns (W05). Returns the new rows only."""
     resolved = resolve_keys(cleaned, wh)
-    start = max_key(existing_fact, "trip_key") if existing_fact is not None else 0
+    start = max_key_value(existing_fact, "trip_key") if existing_fact is not None else 0
     return dense_keys(resolved, S.FACT_COLUMNS, "trip_key", offset=start).select(
         *S.FACT_TRIP.fieldNames())
 
