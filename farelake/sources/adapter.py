@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.functions.joins import bounded
+from farelake.functions.joins import bounded, fits_all
 from farelake.functions.text import month_file_name
 
 
@@ -92,7 +92,8 @@ def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(loc % 13 == 0, F.lit("MULTIPOLYGON (((-74 40, -75 41, -75 40)))"))
          .otherwise(F.concat(F.lit("MULTIPOLYGON (("), F.col("ring"), F.lit("))"))))
     # nation (25 rows) and region (5 rows) are fixed-size reference tables;
-    # they are broadcast after a checked count all the same.
+    # they are broadcast after a checked count all the same (one job for both).
+    fits_all([nation, region])
     return (t.join(bounded(nation), nation.n_nationkey == loc % 25)
              .join(bounded(region), region.r_regionkey == loc % 5)
              .select(
