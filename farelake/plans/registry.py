@@ -319,7 +319,7 @@ from farelake import schemas as S  # noqa: E402
 from farelake.functions import rules as FR  # noqa: E402
 from farelake.functions.joins import bounded  # noqa: E402
 from farelake.operators import zones as Z  # noqa: E402
-from farelake.plans import pipeline as P  # noqa: E402
+from farelake.plans import modes as P  # noqa: E402
 from farelake.plans.star import (load_batch, reload_source, save_table, seed,  # noqa: E402
                                  star_for)
 from farelake.session import scratch_path  # noqa: E402
@@ -605,10 +605,10 @@ def _seed_dims(spark, sf_dir):
 _TABLE_COUNTS_SQL = SQL["table_counts"]
 
 
-@register("pipeline_full", _TABLE_COUNTS_SQL)
-def _pipeline_full(spark, sf_dir):
+@register("load_modes_full", _TABLE_COUNTS_SQL)
+def _load_modes_full(spark, sf_dir):
     """q1 then q2 into a fresh folder: the same warehouse as full mode."""
-    base = scratch_path(spark, "pipeline", f"run{len(QUERIES)}-{id(spark)}")
+    base = scratch_path(spark, "load_modes", f"run{len(QUERIES)}-{id(spark)}")
     raw = A.raw_trips(spark, sf_dir)
     P.run(spark, raw, base, "q1")
     res = P.run(spark, None, base, "q2")

@@ -1,6 +1,6 @@
 """Build the star from cleaned trips and materialise it.
 
-Stage order follows the reference pipeline: clean and write the month
+Stage order follows the reference: clean and write the month
 partitions, read them back (the materialisation point), load dimensions, load
 facts, then add the reference rows. Every table is written as parquet in the
 shared folder and read back, so reports read a fixed warehouse and the lineage

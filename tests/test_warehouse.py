@@ -98,7 +98,7 @@ def test_saved_tables_keep_declared_schemas(spark, raw):
 
 def test_load_modes_and_order(spark, raw):
     import pytest
-    from farelake.plans import pipeline as P
+    from farelake.plans import modes as P
     base = scratch_path(spark, "test", "modes")
     rows = raw([trip(), trip(pickup="2024-02-01 10:00:00", dropoff="2024-02-01 10:30:00")])
     q1 = P.run(spark, rows, base, "Q1")
