@@ -478,14 +478,15 @@ SUMMARY_MEASURES = ["trip_distance", "total_amount", "tip_amount", "passenger_co
 def measure_summary(wh: Warehouse, n: int = 200000) -> DataFrame:
     """count, mean, std, min, quartiles, max of four measures.
 
-    The sample (at most n rows) feeds two aggregations, so it is checkpointed
-    once: the top-k over the fact runs once. The four measures are unpivoted
-    into (measure, x) pairs and summarised by one grouped aggregate; mean and
-    std come from exact decimal sums. Quartiles are exact and distributed
+    The sample (at most n rows) is a scan below a key bound (files past it
+    are skipped) and a top-k over a bounded input, so the two aggregations
+    below read it without a checkpoint. The four measures are unpivoted into
+    (measure, x) pairs and summarised by one grouped aggregate; mean and std
+    come from exact decimal sums. Quartiles are exact and distributed
     (``exact_quantiles_long``, one pass for all four).
     """
     from farelake.functions.stats import exact_quantiles_long
-    d = dist_sample(wh, n).checkpoint(eager=True)
+    d = dist_sample(wh, n)
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("x"))
                                 for m in SUMMARY_MEASURES])).alias("p")
     stats = d.select(pairs).select("p.measure", "p.x").groupBy("measure").agg(
