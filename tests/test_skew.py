@@ -68,3 +68,13 @@ def test_datetime_roles_same_by_broadcast_slice_and_by_shuffle(spark, raw):
     a, b = by_slice.collect(), by_shuffle.collect()
     assert len(a) == 240 and sorted(a) == sorted(b)
     assert all(r.pickup_datetime_key is not None and r.dropoff_datetime_key is not None for r in a)
+
+
+def test_fact_load_joins_do_not_shuffle_the_fact_when_the_slice_fits(spark, raw):
+    rows = [trip(pickup=f"2024-03-0{1 + i % 5} 0{i % 9}:00:00", dropoff=f"2024-03-0{1 + i % 5} 0{i % 9}:30:00")
+            for i in range(40)]
+    cleaned = with_provenance(clean(raw(rows)))
+    wh = ST.load_batch(cleaned, W.empty_warehouse(spark), scratch_path(spark, "test", "no_shuffle"))
+    plan = W.resolve_keys(cleaned, wh)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 7
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
