@@ -42,13 +42,15 @@ def _file_provenance(name: Column) -> list[Column]:
 
 
 def month_stream(spark: SparkSession, raw_dir: str, files_per_batch: int = 1) -> DataFrame:
-    """Month file names of newly landed files. No data column is selected, so
-    the scan reads no column values."""
-    src = (spark.readStream.schema(S.RAW_TRIP)
+    """Month file names of newly landed parquet files: a ``binaryFile`` stream
+    without its ``content`` column gives one row per file and reads no data."""
+    src = (spark.readStream.format("binaryFile")
+           .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
+           .option("pathGlobFilter", "*.parquet")
            .option("maxFilesPerTrigger", files_per_batch)
            .option("recursiveFileLookup", "true")
-           .parquet(raw_dir))
-    return src.select(F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH, 0).alias("source_file"))
+           .load(raw_dir))
+    return src.select(F.regexp_extract(F.col("path"), FILE_MONTH, 0).alias("source_file"))
 
 
 def months_from_landing(spark: SparkSession, raw_dir: str, months: list[str]) -> DataFrame:
