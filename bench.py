@@ -3,6 +3,7 @@ reports. Prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Each query runs to completion through the no-op sink (nothing is collected).
+A failing query is recorded as null with its error, and the line is still printed.
 """
 
 from __future__ import annotations
@@ -31,19 +32,33 @@ def main() -> None:
 
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
                       extra={"spark.driver.memory": "16g"})
-    times: dict[str, float] = {}
-    t0 = time.time()
-    star.star_for(spark, sf_dir, reuse=False)     # the load is measured, never reused
-    times["load_star"] = round(time.time() - t0, 3)
-    for name in HEADLINE:
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
+
+    def timed(name: str, run) -> None:
         t = time.time()
-        registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t, 3)
-    total = round(sum(times.values()), 3)
-    sf = sf_dir.rsplit("sf", 1)[-1]
-    print(json.dumps({"metric": "warehouse_load_plus_reports_wall", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus}))
-    spark.stop()
+        try:
+            run()
+            times[name] = round(time.time() - t, 3)
+        except Exception as e:  # noqa: BLE001 - record it, keep measuring the rest
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {e}"[:300]
+
+    try:
+        # The load is measured, never reused.
+        timed("load_star", lambda: star.star_for(spark, sf_dir, reuse=False))
+        for name in HEADLINE:
+            timed(name, lambda name=name: registry.QUERIES[name](spark, sf_dir)
+                  .write.format("noop").mode("overwrite").save())
+    finally:
+        total = round(sum(v for v in times.values() if v is not None), 3)
+        sf = sf_dir.rsplit("sf", 1)[-1]
+        out = {"metric": "warehouse_load_plus_reports_wall", "value": total, "unit": "sec",
+               "queries": times, "sf": sf, "cpus": cpus}
+        if errors:
+            out["errors"] = errors
+        print(json.dumps(out))
+        spark.stop()
 
 
 if __name__ == "__main__":
