@@ -570,16 +570,30 @@ def table_counts(wh: Warehouse) -> DataFrame:
 def latest_trips(wh: Warehouse, start=None, end=None, n: int = 200) -> DataFrame:
     """The n newest trips by pickup time, ties by trip key.
 
-    The n latest pickup seconds that have trips are found on distinct keys and
-    broadcast (n rows), so the fact is not shuffled.
+    The newest trips lie in the latest pickup seconds. The candidates are the
+    k latest seconds of the (windowed) datetime dimension, a top-k; k grows
+    4x until the facts have trips at n of them (one scan of the pickup key
+    against a broadcast of k keys, no shuffle) or the dimension is used up.
+    Every trip newer than the oldest candidate then has its second among the
+    candidates, so the trips there (a broadcast join, k rows) hold the n
+    newest.
     """
-    keys = wh.fact_trip.select(PU_KEY).distinct()
     times = pickup_times(wh, start, end).select(PU_KEY, F.col("ts").alias("pickup_time"))
-    top = keys.join(times, PU_KEY).orderBy(F.desc("pickup_time"), PU_KEY).limit(n)
+    keys = wh.fact_trip.select(PU_KEY)
+    n_times = times.count()
+    k = max(int(n), 1)
+    while True:
+        cand = times.orderBy(F.desc("pickup_time"), PU_KEY).limit(k)
+        if k >= n_times:
+            break
+        hit = keys.join(F.broadcast(cand.select(PU_KEY)), PU_KEY, "left_semi").distinct().count()
+        if hit >= n:
+            break
+        k *= 4
     cols = ["trip_key", "passenger_count", "trip_distance"]
     if "tip_amount" in wh.fact_trip.columns:
         cols.append("tip_amount")
-    f = wh.fact_trip.select(PU_KEY, *cols).join(F.broadcast(top), PU_KEY)
+    f = wh.fact_trip.select(PU_KEY, *cols).join(F.broadcast(cand), PU_KEY)   # k rows
     return (f.orderBy(F.desc("pickup_time"), "trip_key").limit(n)
              .select("trip_key", "pickup_time", *cols[1:]))
 

@@ -190,3 +190,20 @@ def test_first_by_key_with_keys_starting_high(spark):
     for n in (1, 7, 999, 1000, 5000):
         assert R.first_by_key(df, "k", n).collect() == df.orderBy("k").limit(n).collect(), n
     assert R.first_by_key(df.where(F.col("k") < 0), "k", 5).count() == 0
+
+
+def test_latest_trips_when_the_latest_seconds_are_dropoffs(spark, raw):
+    # Every dropoff is later than every pickup, so the newest seconds of the
+    # datetime dimension have no pickups and the candidate set has to grow.
+    rows = [trip(pickup=f"2024-03-01 0{i // 6}:{i % 6}0:00", dropoff=f"2024-03-02 0{i // 6}:{i % 6}0:00",
+                 total=10.0 + i) for i in range(60)]
+    rows += [trip(pickup="2024-03-01 05:50:00", dropoff="2024-03-02 07:00:00", total=99.0)]  # a tie
+    wh, _, _ = _load(spark, raw, rows, "latest")
+    dt = wh.dim_datetime.select(F.col("datetime_key").alias("pickup_datetime_key"),
+                                F.col("ts").alias("pickup_time"))
+    for n in (1, 3, 5, 40, 100):
+        got = R.latest_trips(wh, n=n).select("trip_key", "pickup_time").collect()
+        want = (wh.fact_trip.join(dt, "pickup_datetime_key")
+                .orderBy(F.desc("pickup_time"), "trip_key").limit(n)
+                .select("trip_key", "pickup_time").collect())
+        assert got == want, n
