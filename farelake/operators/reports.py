@@ -567,12 +567,14 @@ def table_counts(wh: Warehouse) -> DataFrame:
     return out.orderBy(F.desc("count"), "table_name")
 
 
-def latest_trips(wh: Warehouse, start=None, end=None, n: int = 200) -> DataFrame:
+def latest_trips(wh: Warehouse, start=None, end=None, n: int = 200,
+                 first_k: int | None = None) -> DataFrame:
     """The n newest trips by pickup time, ties by trip key.
 
     The newest trips lie in the latest pickup seconds. The candidates are the
-    k latest seconds of the (windowed) datetime dimension, a top-k; k grows
-    4x until the facts have trips at n of them (one scan of the pickup key
+    k latest seconds of the (windowed) datetime dimension, a top-k; k starts
+    at max(16 n, 4096) (the newest seconds are mostly dropoffs) and grows 16x
+    until the facts have trips at n of them (one scan of the pickup key
     against a broadcast of k keys, no shuffle) or the dimension is used up.
     Every trip newer than the oldest candidate then has its second among the
     candidates, so the trips there (a broadcast join, k rows) hold the n
@@ -581,7 +583,7 @@ def latest_trips(wh: Warehouse, start=None, end=None, n: int = 200) -> DataFrame
     times = pickup_times(wh, start, end).select(PU_KEY, F.col("ts").alias("pickup_time"))
     keys = wh.fact_trip.select(PU_KEY)
     n_times = times.count()
-    k = max(int(n), 1)
+    k = first_k or max(16 * int(n), 4096)
     while True:
         cand = times.orderBy(F.desc("pickup_time"), PU_KEY).limit(k)
         if k >= n_times:
@@ -589,7 +591,7 @@ def latest_trips(wh: Warehouse, start=None, end=None, n: int = 200) -> DataFrame
         hit = keys.join(F.broadcast(cand.select(PU_KEY)), PU_KEY, "left_semi").distinct().count()
         if hit >= n:
             break
-        k *= 4
+        k *= 16
     cols = ["trip_key", "passenger_count", "trip_distance"]
     if "tip_amount" in wh.fact_trip.columns:
         cols.append("tip_amount")
