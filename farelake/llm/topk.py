@@ -123,7 +123,7 @@ def search_block(qid, q, qd, xid, x, xd, start, k: int) -> Iterator[tuple[int, n
 
 def _searcher(pivot_ids: np.ndarray, pivots: np.ndarray, k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        dim, np_ = pivots.shape
+        np_, dim = pivots.shape
         for pdf in batches:
             for r in pdf.itertuples(index=False):
                 qid, xid = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.ids, np.int64)
