@@ -22,7 +22,7 @@ from farelake.functions.joins import bounded
 
 #: Spellings that licence matching treats as equal.
 SPELLINGS = [
-    ("licence", "license"), ("licenced", "licensed"), ("licences", "licenses"), ("sub licence", "sublicense"),
+    ("licence", "license"), ("licenced", "licensed"), ("licences", "licenses"), ("sublicence", "sublicense"), ("sub licence", "sublicense"),
     ("sub license", "sublicense"), ("copyright holder", "copyright owner"),
     ("copyright holders", "copyright owners"), ("per cent", "percent"), ("favour", "favor"),
     ("organisation", "organization"), ("recognised", "recognized"), ("utilisation", "utilization"),

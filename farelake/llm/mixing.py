@@ -67,32 +67,32 @@ def poisson_mix(spark: SparkSession, docs: DataFrame, targets: DataFrame | None
     """
     rates = source_rates(spark, docs, targets, total, tau, source)
     step = F.greatest(F.ceil(F.col("rate") / CHUNK), F.lit(1)).cast("int")
-    first = F.struct(F.exp(-F.col("_r")).alias("p"), F.exp(-F.col("_r")).alias("s"),
-                     F.array(F.exp(-F.col("_r"))).alias("cdf"))
+    first = F.struct(F.exp(-F.col("__llm_r")).alias("p"), F.exp(-F.col("__llm_r")).alias("s"),
+                     F.array(F.exp(-F.col("__llm_r"))).alias("cdf"))
 
     def term(acc, j):
-        p = acc["p"] * F.col("_r") / j
+        p = acc["p"] * F.col("__llm_r") / j
         return F.struct(p.alias("p"), (acc["s"] + p).alias("s"),
                         F.concat(acc["cdf"], F.array(acc["s"] + p)).alias("cdf"))
 
-    rates = (rates.withColumn("_parts", step).withColumn("_r", F.col("rate") / F.col("_parts"))
-             .withColumn("_cdf", F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), first, term,
+    rates = (rates.withColumn("__llm_parts", step).withColumn("__llm_r", F.col("rate") / F.col("__llm_parts"))
+             .withColumn("__llm_cdf", F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), first, term,
                                              lambda acc: acc["cdf"]))
-             .select(F.col("source").alias("_source"), "_parts", "_cdf"))
+             .select(F.col("source").alias("__llm_source"), "__llm_parts", "__llm_cdf"))
     docs = docs.drop("mix_copy", "mix_order")
     row_key = F.coalesce(F.col(key).cast("string"), F.md5(F.coalesce(F.col(text), F.lit(""))))
 
     def draws(acc, part):
-        u = hashed_unit(F.col("_key"), seed, part.cast("string"))
-        return acc + F.size(F.filter("_cdf", lambda c: c <= u))
-
-    joined = docs.withColumn("_key", row_key).join(
-        bounded(rates, max_rows=SOURCES_MAX), F.col(source).eqNullSafe(F.col("_source")))
-    counted = joined.withColumn("_n", F.aggregate(
-        F.sequence(F.lit(1), F.col("_parts")), F.lit(0), draws)).where("_n > 0")
-    copies = counted.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+        u = hashed_unit(F.col("__llm_key"), seed, part.cast("string"))
+        return acc + F.size(F.filter("__llm_cdf", lambda c: c <= u))
+
+    joined = docs.withColumn("__llm_key", row_key).join(
+        bounded(rates, max_rows=SOURCES_MAX), F.col(source).eqNullSafe(F.col("__llm_source")))
+    counted = joined.withColumn("__llm_n", F.aggregate(
+        F.sequence(F.lit(1), F.col("__llm_parts")), F.lit(0), draws)).where("__llm_n > 0")
+    copies = counted.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("__llm_n"))))
     order = F.conv(F.substring(F.md5(F.concat_ws(
-        ":", "_key", F.lit(str(seed)), F.lit("order"), F.col("mix_copy").cast("string"))), 1, 15), 16, 10)
+        ":", "__llm_key", F.lit(str(seed)), F.lit("order"), F.col("mix_copy").cast("string"))), 1, 15), 16, 10)
     return (copies.withColumn("mix_order", order.cast("long"))
             .select(*docs.columns, "mix_copy", "mix_order").orderBy("mix_order", "mix_copy"))
 

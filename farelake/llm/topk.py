@@ -100,8 +100,7 @@ def search_block(qid, q, qd, xid, x, xd, start, k: int) -> Iterator[tuple[int, n
     for i in range(len(q)):
         low = np.abs(xd - qd[i]).max(axis=1)
         bound = (qn[i] + xn - np.maximum(low - SLACK, 0) ** 2) / 2 + SLACK
-        bound[xid == qid[i]] = -np.inf
-        order = np.flatnonzero(bound >= start[i])
+        order = np.flatnonzero((bound >= start[i]) & (xid != qid[i]))
         order = order[np.argsort(-bound[order], kind="stable")]
         kth, pos, got, step, at = start[i], [], [], 4 * k, 0
         while at < len(order) and bound[order[at]] >= kth:
