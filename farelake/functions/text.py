@@ -36,8 +36,8 @@ def fmt_num(c: Column, ndigits: int = 2) -> Column:
 
 
 def fmt_money(c: Column, ndigits: int = 2) -> Column:
-    """``$1,234.56``; ``-`` for null."""
-    return F.coalesce(F.concat(F.lit("$"), F.format_number(c, ndigits)), F.lit("-"))
+    """``$1234.56``, without separators; ``-`` for null."""
+    return F.coalesce(F.format_string(f"$%.{ndigits}f", c.cast("double")), F.lit("-"))
 
 
 def passenger_group(c: Column) -> Column:

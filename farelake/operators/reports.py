@@ -1,22 +1,25 @@
 """The report library (A01-A36, J08): one function per report.
 
 Signature: ``name(wh, start=None, end=None, **params) -> DataFrame``. The date
-window is half-open on the pickup time (F09). Without a window the pickup join
-of the reference keeps every fact (each pickup key resolves; ``fk_orphans``
-checks it), so reports that need no time attribute read the fact alone.
-
-Reports grouped by a time attribute aggregate the fact by pickup key first and
-join the datetime dimension after: the join then sees one row per distinct
-pickup second instead of one per trip, and a hot second is combined map-side.
-Money follows ``farelake.functions.money``.
+window is half-open on the pickup time (F09). The stored fact keeps each
+trip's pickup and dropoff time, so a window is a filter that reaches the scan
+and a time attribute is computed from the fact: no report joins the datetime
+dimension to learn a time. A fact without a pickup time (an orphan; the load
+makes none and ``fk_orphans`` checks it) counts in reports without a window or
+time attribute only.
+
+Time reports aggregate by the attribute with map-side partial sums, so a hot
+second is combined before the shuffle. Money follows ``farelake.functions.money``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farelake.functions import money as M
 from farelake.functions.joins import bounded
@@ -26,6 +29,7 @@ from farelake.operators.warehouse import Warehouse
 
 PU_KEY = "pickup_datetime_key"
 
+
 def whole() -> Window:
     """A window over a whole table. Used only on tables whose size has a bound
     that does not grow with the trips (days of the calendar span, a handful
@@ -35,49 +39,35 @@ def whole() -> Window:
     return Window.partitionBy()
 
 
-def pick(columns: Sequence[str], candidates: Sequence[str]) -> str | None:
-    """First candidate that exists."""
-    for c in candidates:
-        if c in columns:
-            return c
-    return None
-
-
-def require(columns: Sequence[str], needed: dict[str, Sequence[str]]) -> dict[str, str]:
-    """Resolve every role to a column; raise listing every missing one."""
-    out, missing = {}, []
-    for role, cands in needed.items():
-        c = pick(columns, cands)
-        if c is None:
-            missing.append(f"{role} ({' | '.join(cands)})")
-        out[role] = c
-    if missing:
-        raise ValueError("Missing required columns:\n- " + "\n- ".join(missing))
-    return out
-
+@dataclass(frozen=True)
+class Role:
+    """A part that a column can play: the names it goes by, and whether the
+    first timestamp column may stand in."""
 
-def pickup_times(wh: Warehouse, start=None, end=None) -> DataFrame:
-    """The datetime rows inside the window, keyed for the pickup role."""
-    return date_window(wh.dim_datetime, "ts", start, end).withColumnRenamed("datetime_key", PU_KEY)
+    names: tuple[str, ...]
+    any_timestamp: bool = False
+    optional: bool = False
 
 
-def _in_key_range(wh: Warehouse, start, end) -> DataFrame:
-    """Facts whose pickup key lies between the smallest and largest key of the
-    window's datetime rows: a superset of the window, decided per row by a
-    comparison with two scalars (one merged subquery). Keys follow time
-    within a load, so this drops most out-of-window facts before any shuffle;
-    the exact window is applied by the join that follows."""
-    keys = pickup_times(wh, start, end).select(PU_KEY)
-    lo, hi = keys.agg(F.min(PU_KEY)).scalar(), keys.agg(F.max(PU_KEY)).scalar()
-    return wh.fact_trip.where(F.col(PU_KEY).between(lo, hi))
+def resolve_columns(schema: T.StructType, roles: dict[str, Role]) -> dict[str, str | None]:
+    """The column of every role (S16): the first of its names that the schema
+    has, else for ``any_timestamp`` the schema's first timestamp column. One
+    error names all roles that stay open; optional ones become None."""
+    times = [f.name for f in schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+    found = {}
+    for role, want in roles.items():
+        options = [n for n in want.names if n in schema.fieldNames()] + (times if want.any_timestamp else [])
+        found[role] = options[0] if options else None
+    open_roles = [f"{r} (one of {', '.join(roles[r].names)})" for r, c in found.items()
+                  if c is None and not roles[r].optional]
+    if open_roles:
+        raise ValueError("no column for " + "; ".join(open_roles))
+    return found
 
 
 def trips(wh: Warehouse, start=None, end=None) -> DataFrame:
-    """Facts whose pickup time falls in the window."""
-    if start is None and end is None:
-        return wh.fact_trip
-    return _in_key_range(wh, start, end).join(pickup_times(wh, start, end).select(PU_KEY), PU_KEY,
-                                              "left_semi")
+    """Facts whose pickup time falls in the window (J03): a pushed filter."""
+    return date_window(wh.fact_trip, "pickup_ts", start, end)
 
 
 def _measure_partials(measures: Sequence[str]) -> list[Column]:
@@ -87,24 +77,22 @@ def _measure_partials(measures: Sequence[str]) -> list[Column]:
     return out
 
 
-def _measure_finals(measures: Sequence[str]) -> list[Column]:
-    out = [F.sum("_n").cast("bigint").alias("_n")]
-    for m in measures:
-        out += [F.sum(f"_s_{m}").alias(f"_s_{m}"), F.sum(f"_c_{m}").alias(f"_c_{m}")]
-    return out
-
-
 def by_pickup_time(wh: Warehouse, start, end, attrs: Sequence[Column],
                    measures: Sequence[str] = ()) -> DataFrame:
-    """Counts and exact sums per time attribute(s) of the pickup.
+    """Counts and exact sums per time attribute(s) of the pickup, in one
+    aggregation of the fact. ``attrs`` are expressions of ``ts``, the pickup time.
 
     Returns the attribute columns plus ``_n``, ``_s_<m>``, ``_c_<m>``.
     """
-    facts = wh.fact_trip if start is None and end is None else _in_key_range(wh, start, end)
-    partial = facts.groupBy(PU_KEY).agg(*_measure_partials(measures))
-    times = pickup_times(wh, start, end).select(PU_KEY, *attrs)
-    names = [a for a in times.columns if a != PU_KEY]
-    return partial.join(times, PU_KEY).groupBy(*names).agg(*_measure_finals(measures))
+    facts = trips(wh, start, end).withColumn("ts", F.col("pickup_ts"))
+    return facts.groupBy(*attrs).agg(*_measure_partials(measures))
+
+
+def _measure_finals(measures: Sequence[str]) -> list[Column]:
+    out = [F.sum("_n").cast("bigint").alias("_n")]
+    for m in measures:
+        out += [F.sum(f"_s_{m}").alias(f"_s_{m}"), F.sum(f"_c_{m}").alias(f"_c_{m}")]
+    return out
 
 
 def _avg(m: str) -> Column:
@@ -124,17 +112,16 @@ def _avg_numeric(m: str, p: int = 10) -> Column:
 # ---- KPIs (A01, A02) --------------------------------------------------------
 
 def kpi(wh: Warehouse, start=None, end=None) -> DataFrame:
-    cols = wh.fact_trip.columns
-    f = trips(wh, start, end)
-    aggs = [F.count(F.lit(1)).alias("trips"), M.avg_money("passenger_count").alias("avg_passengers"),
-            M.avg_money("trip_distance").alias("avg_distance")]
-    if pick(cols, ["total_amount"]):
-        aggs.append(M.sum_money("total_amount").alias("total_revenue"))
-    if pick(cols, ["fare_amount"]):
-        aggs.append(M.avg_money("fare_amount").alias("avg_fare"))
-    if pick(cols, ["tip_amount"]):
-        aggs.append(M.avg_money("tip_amount").alias("avg_tip"))
-    return f.agg(*aggs)
+    have = resolve_columns(wh.fact_trip.schema, {
+        "passengers": Role(("passenger_count",)), "distance": Role(("trip_distance",)),
+        "revenue": Role(("total_amount",), optional=True), "fare": Role(("fare_amount",), optional=True),
+        "tip": Role(("tip_amount",), optional=True)})
+    aggs = [F.count(F.lit(1)).alias("trips"), M.avg_money(have["passengers"]).alias("avg_passengers"),
+            M.avg_money(have["distance"]).alias("avg_distance")]
+    if have["revenue"]:
+        aggs.append(M.sum_money(have["revenue"]).alias("total_revenue"))
+    aggs += [M.avg_money(have[r]).alias(f"avg_{r}") for r in ("fare", "tip") if have[r]]
+    return trips(wh, start, end).agg(*aggs)
 
 
 def kpi_rounded(wh: Warehouse, start=None, end=None) -> DataFrame:
@@ -153,13 +140,13 @@ def kpi_rounded(wh: Warehouse, start=None, end=None) -> DataFrame:
 # ---- days (A03-A07, A31) ----------------------------------------------------
 
 def daily_trips(wh: Warehouse, start=None, end=None) -> DataFrame:
-    g = by_pickup_time(wh, start, end, [F.col("date").alias("day")])
+    g = by_pickup_time(wh, start, end, [F.to_date("ts").alias("day")])
     return g.select("day", F.col("_n").alias("trips")).orderBy("day")
 
 
 def _daily_metric_rows(wh: Warehouse, start=None, end=None) -> DataFrame:
     ms = ["total_amount", "fare_amount", "tip_amount"]
-    g = by_pickup_time(wh, start, end, [F.col("date").alias("day")], ms)
+    g = by_pickup_time(wh, start, end, [F.to_date("ts").alias("day")], ms)
     return g.select("day", F.col("_n").alias("trips"), _sum("total_amount").alias("revenue"),
                     _avg("fare_amount").alias("avg_fare"), _avg("tip_amount").alias("avg_tip"))
 
@@ -170,14 +157,14 @@ def daily_metrics(wh: Warehouse, start=None, end=None) -> DataFrame:
 
 def daily_rounded(wh: Warehouse, start=None, end=None) -> DataFrame:
     ms = ["total_amount", "trip_distance"]
-    g = by_pickup_time(wh, start, end, [F.col("date").alias("day")], ms)
+    g = by_pickup_time(wh, start, end, [F.to_date("ts").alias("day")], ms)
     return g.select("day", F.col("_n").alias("trips"),
                     _sum("total_amount").cast("decimal(18,2)").alias("revenue"),
                     _avg_numeric("trip_distance").alias("avg_distance")).orderBy("day")
 
 
 def daily_distance(wh: Warehouse, start=None, end=None) -> DataFrame:
-    g = by_pickup_time(wh, start, end, [F.col("date").alias("day")], ["trip_distance"])
+    g = by_pickup_time(wh, start, end, [F.to_date("ts").alias("day")], ["trip_distance"])
     return g.select("day", _avg("trip_distance").alias("avg_distance")).orderBy("day")
 
 
@@ -226,7 +213,7 @@ def hourly_fares(wh: Warehouse, start=None, end=None) -> DataFrame:
 
 
 def hourly_rounded(wh: Warehouse, start=None, end=None) -> DataFrame:
-    g = by_pickup_time(wh, start, end, [F.col("hour").cast("int").alias("hour")], ["total_amount"])
+    g = by_pickup_time(wh, start, end, [F.hour("ts").alias("hour")], ["total_amount"])
     return g.select("hour", F.col("_n").alias("trips"),
                     _avg_numeric("total_amount").alias("avg_total")).orderBy("hour")
 
@@ -244,7 +231,7 @@ def dow_trips(wh: Warehouse, start=None, end=None) -> DataFrame:
 
 def dow_rounded(wh: Warehouse, start=None, end=None) -> DataFrame:
     """Weekday from the dimension, 1..7 with Sunday = 1."""
-    g = by_pickup_time(wh, start, end, [F.col("dow").cast("int").alias("dow")], ["total_amount"])
+    g = by_pickup_time(wh, start, end, [F.dayofweek("ts").alias("dow")], ["total_amount"])
     return g.select("dow", F.col("_n").alias("trips"),
                     _avg_numeric("total_amount").alias("avg_total")).orderBy("dow")
 
@@ -259,8 +246,7 @@ HOURS = list(range(24))
 
 def dow_hour_matrix(wh: Warehouse, start=None, end=None) -> DataFrame:
     """Weekday (dimension, 1..7) by hour, every hour a column, missing cells 0."""
-    g = by_pickup_time(wh, start, end, [F.col("dow").cast("int").alias("dow"),
-                                        F.col("hour").cast("int").alias("hour")])
+    g = by_pickup_time(wh, start, end, [F.dayofweek("ts").alias("dow"), F.hour("ts").alias("hour")])
     # Pivot values are given, so no extra job lists them.
     p = g.groupBy("dow").pivot("hour", HOURS).agg(F.sum("_n"))
     return p.select("dow", *[F.coalesce(F.col(str(h)), F.lit(0)).cast("bigint").alias(f"h{h:02d}")
@@ -475,18 +461,25 @@ def dist_sample(wh: Warehouse, n: int = 200000) -> DataFrame:
 SUMMARY_MEASURES = ["trip_distance", "total_amount", "tip_amount", "passenger_count"]
 
 
-def measure_summary(wh: Warehouse, n: int = 200000) -> DataFrame:
-    """count, mean, std, min, quartiles, max of four measures.
+def measured_trips(wh: Warehouse, n: int | None = None) -> DataFrame:
+    """The trips with distance and total present; with ``n`` the sample F12 of them."""
+    if n is not None:
+        return dist_sample(wh, n)
+    f = wh.fact_trip.where(F.col("trip_distance").isNotNull() & F.col("total_amount").isNotNull())
+    return f.select("trip_distance", "total_amount", "tip_amount", "passenger_count")
+
+
+def measure_summary(wh: Warehouse, n: int | None = None) -> DataFrame:
+    """count, mean, std, min, quartiles, max of four measures (A33), over the
+    whole fact (with ``n``: over the sample F12).
 
-    The sample (at most n rows) is a scan below a key bound (files past it
-    are skipped) and a top-k over a bounded input, so the two aggregations
-    below read it without a checkpoint. The four measures are unpivoted into
-    (measure, x) pairs and summarised by one grouped aggregate; mean and std
-    come from exact decimal sums. Quartiles are exact and distributed
-    (``exact_quantiles_long``, one pass for all four).
+    The four measures are unpivoted into (measure, x) pairs and summarised by
+    one grouped aggregate; mean and std come from exact decimal sums.
+    Quartiles are exact and distributed (``exact_quantiles_long``, one pass
+    for all four).
     """
     from farelake.functions.stats import exact_quantiles_long
-    d = dist_sample(wh, n)
+    d = measured_trips(wh, n)
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("x"))
                                 for m in SUMMARY_MEASURES])).alias("p")
     stats = d.select(pairs).select("p.measure", "p.x").groupBy("measure").agg(
@@ -496,20 +489,21 @@ def measure_summary(wh: Warehouse, n: int = 200000) -> DataFrame:
         F.min("x").alias("min"),
         F.max("x").alias("max"))
     q = exact_quantiles_long(d, SUMMARY_MEASURES, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
-    # One row per measure, also for an empty sample.
+    # One row per measure, also for an empty fact.
     return (q.withColumnRenamed("column", "measure").join(stats, "measure", "left")
              .select("measure", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
                      "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
-def clipped_histogram(wh: Warehouse, measure: str, cap: float, bins: int, n: int = 200000
+def clipped_histogram(wh: Warehouse, measure: str, cap: float, bins: int, n: int | None = None
                       ) -> DataFrame:
-    """Equal-width bins from min to max of least(x, cap); last bin closed."""
-    d = dist_sample(wh, n).select(F.least(F.col(measure).cast("double"), F.lit(float(cap))).alias("x"))
+    """Equal-width bins from min to max of least(x, cap); last bin closed (A34),
+    over the whole fact (with ``n``: over the sample F12). The bounds are
+    scalar subqueries; bins are counted with map-side partial counts."""
+    d = measured_trips(wh, n).select(F.least(F.col(measure).cast("double"), F.lit(float(cap))).alias("x"))
     d = d.where(F.col("x").isNotNull())
-    # The sample holds at most n rows in one partition (the top-k's merge):
-    # its bounds are a window over it, not a second top-k over the fact.
-    d = d.select("x", F.min("x").over(whole()).alias("_lo"), F.max("x").over(whole()).alias("_hi"))
+    lo, hi = d.agg(F.min("x")).scalar(), d.agg(F.max("x")).scalar()
+    d = d.select("x", lo.alias("_lo"), hi.alias("_hi"))
     width = F.col("_hi") - F.col("_lo")
     idx = F.when(width <= 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - F.col("_lo")) / width * bins), F.lit(bins - 1)))
@@ -539,22 +533,12 @@ def hist_tip(wh: Warehouse) -> DataFrame:
 
 def time_bounds(wh: Warehouse) -> DataFrame:
     """min/max of the dimension's time, and min/max pickup and dropoff times of
-    the facts (A27). One scan of the fact yields (role, key) pairs, reduced to
-    distinct pairs before the one join to the dimension."""
-    dt = wh.dim_datetime.select("datetime_key", "ts")
-    pairs = F.explode(F.array(
-        F.struct(F.lit("pickup").alias("role"), F.col(PU_KEY).alias("datetime_key")),
-        F.struct(F.lit("dropoff").alias("role"), F.col("dropoff_datetime_key").alias("datetime_key"))
-    )).alias("p")
-    keys = wh.fact_trip.select(pairs).select("p.role", "p.datetime_key").distinct()
-    per_role = keys.join(dt, "datetime_key").groupBy("role").agg(F.min("ts").alias("lo"),
-                                                                 F.max("ts").alias("hi"))
-    by = lambda role, c: F.max(F.when(F.col("role") == role, F.col(c)))
-    return per_role.agg(
-        by("pickup", "lo").alias("min_pickup_ts"), by("pickup", "hi").alias("max_pickup_ts"),
-        by("dropoff", "lo").alias("min_dropoff_ts"), by("dropoff", "hi").alias("max_dropoff_ts"),
-    ).select("*", dt.agg(F.min("ts")).scalar().alias("min_ts"),
-             dt.agg(F.max("ts")).scalar().alias("max_ts"))
+    the facts (A27): one aggregate of two stored columns of the fact."""
+    dt = wh.dim_datetime
+    bounds = [f(F.col(f"{role}_ts")).alias(f"{name}_{role}_ts")
+              for role in ("pickup", "dropoff") for name, f in (("min", F.min), ("max", F.max))]
+    return wh.fact_trip.agg(*bounds).select(
+        "*", dt.agg(F.min("ts")).scalar().alias("min_ts"), dt.agg(F.max("ts")).scalar().alias("max_ts"))
 
 
 def table_counts(wh: Warehouse) -> DataFrame:
@@ -567,52 +551,24 @@ def table_counts(wh: Warehouse) -> DataFrame:
     return out.orderBy(F.desc("count"), "table_name")
 
 
-def latest_trips(wh: Warehouse, start=None, end=None, n: int = 200,
-                 first_k: int | None = None) -> DataFrame:
-    """The n newest trips by pickup time, ties by trip key.
-
-    The newest trips lie in the latest pickup seconds. The candidates are the
-    k latest seconds of the (windowed) datetime dimension, a top-k; k starts
-    at max(16 n, 4096) (the newest seconds are mostly dropoffs) and grows 16x
-    until the facts have trips at n of them (one scan of the pickup key
-    against a broadcast of k keys, no shuffle) or the dimension is used up.
-    Every trip newer than the oldest candidate then has its second among the
-    candidates, so the trips there (a broadcast join, k rows) hold the n
-    newest.
-    """
-    times = pickup_times(wh, start, end).select(PU_KEY, F.col("ts").alias("pickup_time"))
-    keys = wh.fact_trip.select(PU_KEY)
-    n_times = times.count()
-    k = first_k or max(16 * int(n), 4096)
-    while True:
-        cand = times.orderBy(F.desc("pickup_time"), PU_KEY).limit(k)
-        if k >= n_times:
-            break
-        hit = keys.join(F.broadcast(cand.select(PU_KEY)), PU_KEY, "left_semi").distinct().count()
-        if hit >= n:
-            break
-        k *= 16
-    cols = ["trip_key", "passenger_count", "trip_distance"]
-    if "tip_amount" in wh.fact_trip.columns:
-        cols.append("tip_amount")
-    f = wh.fact_trip.select(PU_KEY, *cols).join(F.broadcast(cand), PU_KEY)   # k rows
-    return (f.orderBy(F.desc("pickup_time"), "trip_key").limit(n)
-             .select("trip_key", "pickup_time", *cols[1:]))
+def latest_trips(wh: Warehouse, start=None, end=None, n: int = 200) -> DataFrame:
+    """The n newest trips by pickup time, ties by trip key (A36): a top-k over
+    the fact's own pickup time, n rows from each task."""
+    have = resolve_columns(wh.fact_trip.schema, {
+        "time": Role(("pickup_ts", "pickup_time"), any_timestamp=True), "tip": Role(("tip_amount",), optional=True)})
+    cols = ["passenger_count", "trip_distance"] + ([have["tip"]] if have["tip"] else [])
+    return (trips(wh, start, end).select("trip_key", F.col(have["time"]).alias("pickup_time"), *cols)
+            .orderBy(F.desc("pickup_time"), "trip_key").limit(n))
 
 
 def trip_sample(wh: Warehouse, n: int = 10) -> DataFrame:
-    """Facts with five dimension roles resolved, first n by trip key.
+    """Facts with three dimension roles and both times resolved, first n by trip key.
     Inner joins: a fact with a null payment, vendor or rate key drops out."""
     f = wh.fact_trip
-    dt = wh.dim_datetime.select("datetime_key", "ts")
     j = (f.join(bounded(wh.dim_payment_type), "payment_type_key")
           .join(bounded(wh.dim_vendor), "vendor_key")
           .join(bounded(wh.dim_rate_code), "rate_code_key"))
     top = first_by_key(j, "trip_key", n)
-    top = (top.join(dt.select(F.col("datetime_key").alias(PU_KEY), F.col("ts").alias("pickup_ts")),
-                    PU_KEY)
-              .join(dt.select(F.col("datetime_key").alias("dropoff_datetime_key"),
-                              F.col("ts").alias("dropoff_ts")), "dropoff_datetime_key"))
     return top.select("trip_key", "pickup_ts", "dropoff_ts", "passenger_count", "trip_distance",
                       "fare_amount", "total_amount", "tip_amount", "payment_type_id", "vendor_id",
                       "rate_code_id", "source_file").orderBy("trip_key")

@@ -73,6 +73,12 @@ FACT_TRIP = T.StructType([
     T.StructField("source_file", T.StringType()),
 ])
 
+# The stored fact also keeps the trip's own times, so time windows and time
+# attributes need no join to the datetime dimension.
+FACT_TIMES = ["pickup_ts", "dropoff_ts"]
+FACT_STORED = T.StructType(FACT_TRIP.fields[:-1] + [T.StructField(c, T.TimestampNTZType()) for c in FACT_TIMES]
+                           + FACT_TRIP.fields[-1:])
+
 # Fact columns without the trip key, in load order (F10); also the total order
 # that numbers trips.
 FACT_COLUMNS = [f.name for f in FACT_TRIP.fields if f.name != "trip_key"]
