@@ -64,19 +64,28 @@ def reject_profile(df: DataFrame, rules: Sequence[tuple[str, Column]] | None = N
     return wide.select(F.inline(pairs))
 
 
+# The month file a row came from names its year and month.
+FILE_MONTH = r"(\d{4})-(\d{2})\.parquet$"
+
+
 def with_provenance(df: DataFrame, file_name: str | None = None, year: int | None = None,
-                    month: int | None = None, ts_col: str = PICKUP) -> DataFrame:
+                    month: int | None = None) -> DataFrame:
     """Add source_file, ingestion_year, ingestion_month.
 
-    With literals, as for one landed month; without, derived from the pickup
-    month, which is how the test trips are assigned to month files.
+    Provenance belongs to the file, not to the trip: with ``year`` and
+    ``month`` (and, if it differs from the usual name, ``file_name``) it is that
+    month's; otherwise ``df`` must carry ``source_file``, and year and month are
+    read from its name. A trip whose pickup lies in another month stays with
+    its file.
     """
     if year is not None and month is not None:
         y, m = F.lit(int(year)), F.lit(int(month))
         name = F.lit(file_name) if file_name else month_file_name(y, m)
+    elif "source_file" in df.columns:
+        name = F.col("source_file")
+        y, m = (F.nullif(F.regexp_extract(name, FILE_MONTH, g), F.lit("")) for g in (1, 2))
     else:
-        y, m = F.year(ts_col), F.month(ts_col)
-        name = month_file_name(y, m)
+        raise ValueError("provenance needs year and month, or a source_file column")
     cols = [c for c in df.columns if c not in ("source_file", "ingestion_year", "ingestion_month")]
     return df.select(*cols, name.alias("source_file"), y.cast("int").alias("ingestion_year"),
                      m.cast("int").alias("ingestion_month"))
@@ -84,9 +93,9 @@ def with_provenance(df: DataFrame, file_name: str | None = None, year: int | Non
 
 def require_columns(df: DataFrame, cols: Sequence[str]) -> None:
     """Raise naming every missing column."""
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+    absent = [c for c in cols if c not in df.columns]
+    if absent:
+        raise ValueError("the input lacks " + ", ".join(absent))
 
 
 def coerce_ts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -101,6 +110,7 @@ def coerce_ts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out
 
 
+# The columns the model input must have.
 ML_REQUIRED = [PICKUP, DROPOFF, "passenger_count", "trip_distance", TARGET,
                "PULocationID", "DOLocationID"]
 

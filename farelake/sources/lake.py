@@ -7,13 +7,15 @@ as the text of the partition directory. Reading the root gives ``year`` and
 
 from __future__ import annotations
 
-import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farelake import schemas as S
+from farelake.functions.rules import clean, with_provenance
 from farelake.functions.text import month_file_name
 
 MODES = ("single_month", "one_year", "year_range", "months")
@@ -30,9 +32,9 @@ def parse_months(raw: str | None) -> list[int]:
         try:
             m = int(token)
         except ValueError as e:
-            raise ValueError(f"Invalid month in MONTHS: {token}") from e
+            raise ValueError(f"{token!r} in the month list is not a number") from e
         if not 1 <= m <= 12:
-            raise ValueError(f"Invalid month in MONTHS: {token}")
+            raise ValueError(f"the month list holds {m}; months run from 1 to 12")
         out.append(m)
     return out
 
@@ -43,18 +45,18 @@ def month_plan(spark: SparkSession, mode: str, year: int | None = None, month: i
     """(year, month, file_name) rows for a plan; arguments validated first."""
     if mode == "single_month":
         if month is None or not 1 <= month <= 12:
-            raise ValueError(f"Invalid month: {month}")
+            raise ValueError(f"single_month needs a month from 1 to 12, got {month}")
         pairs = [(int(year), int(month))]
     elif mode == "one_year":
         pairs = [(int(year), m) for m in range(1, 13)]
     elif mode == "year_range":
         if start_year is None or end_year is None or start_year > end_year:
-            raise ValueError(f"Invalid year range: {start_year}-{end_year}")
+            raise ValueError(f"year_range needs start_year <= end_year, got {start_year} and {end_year}")
         pairs = [(y, m) for y in range(start_year, end_year + 1) for m in range(1, 13)]
     elif mode == "months":
         pairs = [(int(year), m) for m in parse_months(months)]
     else:
-        raise ValueError(f"Unknown MODE: {mode}")
+        raise ValueError(f"plan mode {mode!r} is none of {', '.join(MODES)}")
     df = spark.createDataFrame(pairs, "year int, month int")
     return df.select("year", "month", month_file_name(F.col("year"), F.col("month")).alias("file_name"))
 
@@ -108,16 +110,14 @@ def write_partitions(df: DataFrame, path: str, cols: Sequence[str], mode: str) -
     """Write ``df`` partitioned by ``cols``. ``overwrite`` replaces only the
     partitions present in ``df`` (dynamic partition overwrite); ``append``
     adds files and leaves every existing file in place."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    # On a new folder a plain overwrite is the same and skips the staging
-    # directory that dynamic overwrite commits through.
-    fresh = not path_exists(spark, path)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static" if fresh else "dynamic")
-    try:
-        df.write.mode(mode).partitionBy(*cols).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this library on the cluster's file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -138,7 +138,7 @@ def read_cleaned(spark: SparkSession, base: str, year: int | None = None,
     if year is not None and month is not None:
         df = df.where((F.col("year") == int(year)) & (F.col("month") == int(month)))
         if df.isEmpty():
-            raise FileNotFoundError(f"No parquet files under {base}/year={year:04d}/month={month:02d}/")
+            raise FileNotFoundError(f"{base} has no rows for {year:04d}-{month:02d}")
     return df.drop("year", "month")
 
 
@@ -165,32 +165,66 @@ def row_cap(df: DataFrame, n: int, order: Sequence[str] | None = None,
     order with range partitions (``dense_keys``: no task sees more than its
     range) and the first n numbers are kept; the rows are the same.
     """
-    from farelake.operators.keys import dense_keys, input_splits
+    from farelake.operators.keys import dense_keys
     if n is None or n <= 0:
-        raise ValueError(f"EX2_MAX_ROWS must be > 0, got: {n}")
+        raise ValueError(f"the row cap must be positive, got {n}")
     cols = list(order or df.columns)
-    spark = df.sparkSession
-    splits = input_splits(df) or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Files are cut into about this many splits by the scan, or fewer after a shuffle.
+    splits = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), scan_splits(df))
     if int(n) * splits <= merge_max_rows:
         return df.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(int(n))
     keyed = dense_keys(df, cols, "_cap_k")
     return keyed.where(F.col("_cap_k") <= int(n)).drop("_cap_k")
 
 
-def ingest_ledger(plan: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """One status row per planned month (S10): rows loaded, or skipped when the
-    month has no data. Months are processed in one job; a month that fails on
-    its own is recorded rather than stopping the others."""
-    counts = cleaned.groupBy(F.col("ingestion_year").alias("year"),
-                             F.col("ingestion_month").alias("month")).agg(
-        F.count(F.lit(1)).alias("rows"))
-    j = plan.join(counts, ["year", "month"], "left")
-    return j.select(
-        "year", "month", "file_name",
-        F.when(F.col("rows").isNull(), F.lit("skipped")).otherwise(F.lit("loaded")).alias("status"),
-        F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("rows"),
-        F.when(F.col("rows").isNull(), F.concat(F.lit("no data for "), F.col("file_name")))
-         .alias("error"))
+def scan_splits(df: DataFrame) -> int:
+    """Upper estimate of the splits that read ``df``'s source, from the optimizer's size of the plan
+    (file sizes, so no job runs)."""
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    per = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return max(1, -(-size // max(1, int(per))))
+
+
+LEDGER = "year int, month int, file_name string, status string, rows bigint, error string"
+
+
+def ingest_months(spark: SparkSession, plan: DataFrame, load_month: Callable[[int, int, str], int | None],
+                  threads: int = 4) -> DataFrame:
+    """Load the planned months one by one and keep a ledger.
+
+    ``load_month(year, month, file_name)`` loads a month as jobs of its own and
+    returns its row count, or None when there is nothing to load. A month that
+    raises is recorded as ``failed`` with its error, one without data as
+    ``skipped``; the others go on. The plan is a list of calendar months, so
+    the loop is short; independent months run on ``threads`` threads.
+    """
+    def one(r):
+        try:
+            rows = load_month(r.year, r.month, r.file_name)
+        except Exception as e:  # noqa: BLE001 - the ledger's purpose: one month's failure stops no other
+            return r.year, r.month, r.file_name, "failed", 0, f"{type(e).__name__}: {e}"[:2000]
+        if rows is None:
+            return r.year, r.month, r.file_name, "skipped", 0, f"no data for {r.file_name}"
+        return r.year, r.month, r.file_name, "loaded", int(rows), None
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        rows = list(pool.map(one, plan.orderBy("year", "month").collect()))
+    return spark.createDataFrame(rows, LEDGER)
+
+
+def clean_month(spark: SparkSession, raw_root: str, cleaned: str, year: int, month: int, file_name: str,
+                folder: str | None = None) -> int | None:
+    """Clean one landed month file (``raw_root/folder``, by default its file name)
+    into the lake (S05); its row count, or None without rows."""
+    path = f"{raw_root}/{folder or file_name}"
+    if not path_exists(spark, path):
+        return None
+    rows = with_provenance(clean(read_raw(spark, path)), file_name, year, month)
+    write_cleaned(rows, cleaned)
+    stored = spark.read.schema(T.StructType(S.CLEANED_TRIP.fields + [
+        T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])).parquet(cleaned)
+    return stored.where((F.col("year") == year) & (F.col("month") == month)).count() or None
 
 
 def largest_file(spark: SparkSession, path: str) -> DataFrame:
@@ -204,20 +238,6 @@ def largest_file(spark: SparkSession, path: str) -> DataFrame:
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
              .option("recursiveFileLookup", "true").load(path).select("path", "length"))
     if files.isEmpty():
-        raise FileNotFoundError(f"No parquet found under {path}")
+        raise FileNotFoundError(f"{path} holds no parquet file")
     return files.agg(F.min_by("path", F.struct(-F.col("length"), F.col("path"))).alias("file_path"),
                      F.max("length").alias("file_size"))
-
-
-def months_between_dates(lo: _dt.date, hi: _dt.date) -> list[tuple[int, int]]:
-    out, y, m = [], lo.year, lo.month
-    while (y, m) <= (hi.year, hi.month):
-        out.append((y, m))
-        m += 1
-        if m == 13:
-            y, m = y + 1, 1
-    return out
-
-
-def as_columns(*names: str) -> list[Column]:
-    return [F.col(n) for n in names]

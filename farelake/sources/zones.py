@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelake.functions.joins import fits
 from farelake.schemas import ZONE_CSV_HEADER
 
 # The lookup has one row per taxi zone (a few hundred); it is broadcast only
@@ -13,10 +14,12 @@ ZONE_BROADCAST_MAX_ROWS = 100_000
 
 
 def write_zone_csv(zones: DataFrame, path: str) -> None:
-    """Write (location_id, zone, borough, geometry) as the published CSV layout."""
+    """Write (location_id, zone, borough, geometry) as the published CSV layout:
+    one file while the lookup is of its known size, else one per task."""
     out = zones.select(*[F.col(c).cast("string").alias(h) for c, h in
                          zip(["location_id", "zone", "borough", "geometry"], ZONE_CSV_HEADER)])
-    out.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    out = out.coalesce(1) if fits(zones, ZONE_BROADCAST_MAX_ROWS) else out
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_zone_text(spark: SparkSession, path: str) -> DataFrame:
