@@ -70,14 +70,6 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     return row
 
 
-def percentile_over(df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str],
-                    ndigits: int = 6) -> DataFrame:
-    """Exact percentiles of a column of a small, already aggregated table
-    (days, zones): one ``percentile`` aggregate."""
-    return df.agg(*[F.round(F.percentile(F.col(col).cast("double"), float(p)), ndigits).alias(nm)
-                    for p, nm in zip(probs, names)])
-
-
 def multi_value_ranks(df: DataFrame, cols: Sequence[str], num_partitions: int | None = None
                       ) -> DataFrame:
     """``value_ranks`` for several columns in one pass: (column, v, c, lo, hi).

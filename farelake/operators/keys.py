@@ -28,7 +28,8 @@ def _order(cols: Sequence[str | Column]) -> list[Column]:
 
 def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
                offset: int | Column = 0, num_partitions: int | None = None,
-               key_type: str = "bigint", group_cols: Sequence[str] = ()) -> DataFrame:
+               key_type: str = "bigint", group_cols: Sequence[str] = (),
+               scratch: list[str] | None = None) -> DataFrame:
     """Number the rows 1..n (plus ``offset``) in the total order of ``order_cols``.
 
     With ``group_cols`` the numbering restarts at 1 (plus ``offset``) in each
@@ -40,10 +41,15 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
     order; for exact duplicates that is the same result. A row id is the last
     sort column, so a run of ties (however many) is split across ranges
     instead of landing in one task.
+
+    The ranges are as many as ``spark.sql.shuffle.partitions`` (or
+    ``num_partitions``); AQE merges small neighbours. Choosing them runs no
+    job. The path of the numbering table is appended to ``scratch``, for the
+    caller to remove once the result is written.
     """
     spark = df.sparkSession
     groups = list(group_cols)
-    n = num_partitions or range_partitions(df)
+    n = num_partitions
     order = _order([*groups, *order_cols]) + [F.col("_fl_tie")]
     # Without an explicit count AQE may merge adjacent small ranges; merged
     # ranges stay contiguous and in order, so the numbering still holds.
@@ -57,6 +63,8 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
         # The row's position in its sorted range.
         (F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias("_fl_pos"))
     path = scratch_path(spark, "numbering", uuid.uuid4().hex)
+    if scratch is not None:
+        scratch.append(path)
     placed.write.parquet(path)
     fixed = spark.read.schema(placed.schema).parquet(path)
     counts = fixed.groupBy("_fl_pid", *groups).agg(F.count(F.lit(1)).alias("_fl_n"),
@@ -75,29 +83,6 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
                  .select(key.alias(key_col), *[F.col(c) for c in df.columns]))
 
 
-def range_partitions(df: DataFrame) -> int | None:
-    """Partitions for numbering. ``None`` (the default count, which AQE may
-    coalesce) unless the input has more scan splits than
-    ``spark.sql.shuffle.partitions``; then one range per input split, so a
-    range holds about one split of rows as the data grows. The split count is
-    read only when the plan has no shuffle (reading it then runs no job)."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    splits = input_splits(df)
-    return splits if splits is not None and splits > n else None
-
-
-def input_splits(df: DataFrame) -> int | None:
-    """The number of scan splits of a plan without a shuffle (reading it then
-    runs no job); ``None`` when the plan shuffles or the count is unknown."""
-    try:
-        plan = df._jdf.queryExecution().sparkPlan().toString()
-        if "Exchange" not in plan:
-            return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - callers fall back to a default
-        pass
-    return None
-
-
 def max_key(df: DataFrame, key_col: str) -> int:
     """Current maximum key, 0 for an empty table (one scalar to the driver)."""
     v = df.agg(F.max(key_col)).first()[0]

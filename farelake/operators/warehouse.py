@@ -9,8 +9,9 @@ dimensions with left joins, so a null id keeps a null key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field, fields
 from dataclasses import replace as _replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from farelake import schemas as S
 from farelake.functions.joins import bounded, fits_all
 from farelake.operators.keys import dense_keys, max_key, max_key_value
+from farelake.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -58,10 +60,12 @@ class Warehouse:
     # (partitioned by source_file) and the datetime dimension.
     fact_path: str | None = None
     datetime_path: str | None = None
+    # Folders of the saved tables that are rewritten whole.
+    paths: dict[str, str] = field(default_factory=dict)
 
     def tables(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)
-                if f.name not in ("fact_path", "datetime_path")}
+                if f.name not in ("fact_path", "datetime_path", "paths")}
 
     def replace(self, **kw) -> "Warehouse":
         return _replace(self, **kw)
@@ -70,7 +74,7 @@ class Warehouse:
 def empty_warehouse(spark: SparkSession) -> Warehouse:
     e = lambda s: spark.createDataFrame([], s)
     return Warehouse(e(S.DIM_VENDOR), e(S.DIM_RATE_CODE), e(S.DIM_PAYMENT_TYPE),
-                     e(S.DIM_LOCATION), e(S.DIM_DATETIME), e(S.FACT_TRIP))
+                     e(S.DIM_LOCATION), e(S.DIM_DATETIME), e(S.FACT_STORED))
 
 
 def distinct_members(df: DataFrame, sources: Sequence[str], id_col: str,
@@ -89,14 +93,6 @@ def new_members(df: DataFrame, sources: Sequence[str], dim: DataFrame, id_col: s
         dim.select(id_col), id_col, "left_anti")
 
 
-def upsert_dim(trips: DataFrame, spec: DimSpec, existing: DataFrame) -> DataFrame:
-    """Existing members plus the new ones, numbered after the current max."""
-    new = new_members(trips, spec.sources, existing, spec.id_col)
-    keyed = dense_keys(new, [spec.id_col], spec.key_col, offset=max_key(existing, spec.key_col),
-                       key_type="int")
-    return existing.select(spec.key_col, spec.id_col).unionByName(keyed)
-
-
 def seed_dim(spec: DimSpec, existing: DataFrame) -> DataFrame:
     """Add the reference rows that are missing, keys after the max.
     Running it again adds nothing. The seed list is a fixed handful of rows,
@@ -191,13 +187,6 @@ def new_datetime_rows(trips: DataFrame, existing: DataFrame,
     return keyed.select("datetime_key", "ts", *datetime_attributes(F.col("ts")))
 
 
-def upsert_datetime(trips: DataFrame, existing: DataFrame,
-                    slice_max_rows: int = DATETIME_SLICE_MAX_ROWS) -> DataFrame:
-    """The dimension with the batch's new seconds added."""
-    return existing.select(*S.DIM_DATETIME.fieldNames()).unionByName(
-        new_datetime_rows(trips, existing, slice_max_rows))
-
-
 def checked_broadcast(dim: DataFrame, max_rows: int = SMALL_DIM_MAX_ROWS,
                       source: DataFrame | None = None) -> DataFrame:
     """Broadcast a dimension only after counting it (or ``source``, the table
@@ -207,7 +196,8 @@ def checked_broadcast(dim: DataFrame, max_rows: int = SMALL_DIM_MAX_ROWS,
 
 def resolve_keys(cleaned: DataFrame, wh: Warehouse, broadcast_max_rows: int = SMALL_DIM_MAX_ROWS,
                  datetime_max_rows: int = DATETIME_SLICE_MAX_ROWS) -> DataFrame:
-    """Seven left joins from natural ids to keys, then the 17 fact columns.
+    """Seven left joins from natural ids to keys, then the 17 fact columns and
+    the trip's own pickup and dropoff time (J02, F10).
 
     The four coded dimensions are broadcast after a size check. The datetime
     dimension grows with the data; only its slice inside the batch's time
@@ -245,23 +235,28 @@ def resolve_keys(cleaned: DataFrame, wh: Warehouse, broadcast_max_rows: int = SM
                           F.col("datetime_key").alias("pickup_datetime_key")), "pickup_ts", "left")
           .join(dt.select(F.col("ts").alias("dropoff_ts"),
                           F.col("datetime_key").alias("dropoff_datetime_key")), "dropoff_ts", "left"))
-    return f.select(*S.FACT_COLUMNS)
+    return f.select(*S.FACT_COLUMNS, *S.FACT_TIMES)
 
 
-def load_fact(cleaned: DataFrame, wh: Warehouse, existing_fact: DataFrame | None = None) -> DataFrame:
+def load_fact(cleaned: DataFrame, wh: Warehouse, existing_fact: DataFrame | None = None,
+              scratch: list[str] | None = None) -> DataFrame:
     """New facts, numbered after the current max trip key in the order of all
-    fact columns (W05). Returns the new rows only."""
+    fact columns (W05). Returns the new rows only.
+
+    The resolved facts are written once, so the seven joins run once: the
+    numbering samples and shuffles the written table. Paths to remove after
+    the facts are saved are appended to ``scratch``.
+    """
+    spark = cleaned.sparkSession
     resolved = resolve_keys(cleaned, wh)
+    path = scratch_path(spark, "resolved", uuid.uuid4().hex)
+    resolved.write.parquet(path)
+    if scratch is not None:
+        scratch.append(path)
+    resolved = spark.read.schema(resolved.schema).parquet(path)
     start = max_key_value(existing_fact, "trip_key") if existing_fact is not None else 0
-    return dense_keys(resolved, S.FACT_COLUMNS, "trip_key", offset=start).select(
-        *S.FACT_TRIP.fieldNames())
-
-
-def load_dims(cleaned: DataFrame, wh: Warehouse) -> Warehouse:
-    """All five dimension upserts for one batch of cleaned trips."""
-    dims = upsert_small_dims(cleaned, wh)
-    dims["dim_datetime"] = upsert_datetime(cleaned, wh.dim_datetime)
-    return wh.replace(**dims)
+    return dense_keys(resolved, S.FACT_COLUMNS, "trip_key", offset=start, scratch=scratch).select(
+        *S.FACT_STORED.fieldNames())
 
 
 def seed_dims(wh: Warehouse) -> Warehouse:
@@ -309,42 +304,49 @@ def fk_orphans(wh: Warehouse) -> DataFrame:
                           F.coalesce(F.col("orphans"), F.lit(0).cast("bigint")).alias("orphans")))
 
 
+def constraint_checks() -> list[tuple[str, list[str], list[str]]]:
+    """(table, unique columns, non-null columns)."""
+    small = [(d.name, [d.id_col, d.key_col], [d.key_col, d.id_col]) for d in SMALL_DIMS]
+    return small + [
+        ("dim_datetime", ["ts", "datetime_key"], S.DIM_DATETIME.fieldNames()),
+        ("fact_trip", ["trip_key"], ["trip_key", "pickup_datetime_key", "dropoff_datetime_key"])]
+
+
 def constraint_violations(wh: Warehouse) -> DataFrame:
     """Unique ids and timestamps, non-null columns, non-null datetime keys.
 
-    One row per check: (table_name, check_name, violations).
+    One row per check: (table_name, check_name, violations). Every table is
+    scanned once: a row yields the values of its unique columns, and of the
+    other checked columns only nulls; one grouped count over all tables
+    (combined map-side) then has every duplicate and every null.
     """
     t = wh.tables()
-    checks: list[DataFrame] = []
-
-    def dup(table: str, col: str) -> DataFrame:
-        d = (t[table].groupBy(col).count().where(F.col("count") > 1)
-             .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint").alias("violations")))
-        return d.select(F.lit(table).alias("table_name"), F.lit(f"unique_{col}").alias("check_name"),
-                        "violations")
-
-    def nulls(table: str, cols: Sequence[str]) -> DataFrame:
-        aggs = [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("bigint").alias(c) for c in cols]
-        wide = t[table].agg(*aggs)
-        pairs = F.array(*[F.struct(F.lit(table).alias("table_name"),
-                                   F.lit(f"not_null_{c}").alias("check_name"),
-                                   F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias("violations"))
-                          for c in cols])
-        return wide.select(F.inline(pairs))
-
-    for spec in SMALL_DIMS:
-        checks.append(dup(spec.name, spec.id_col))
-        checks.append(dup(spec.name, spec.key_col))
-        checks.append(nulls(spec.name, [spec.key_col, spec.id_col]))
-    checks.append(dup("dim_datetime", "ts"))
-    checks.append(dup("dim_datetime", "datetime_key"))
-    checks.append(nulls("dim_datetime", S.DIM_DATETIME.fieldNames()))
-    checks.append(dup("fact_trip", "trip_key"))
-    checks.append(nulls("fact_trip", ["trip_key", "pickup_datetime_key", "dropoff_datetime_key"]))
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out
+    values, rows = None, []
+    for table, unique, required in constraint_checks():
+        rows += [(table, f"unique_{c}", c, True) for c in unique]
+        rows += [(table, f"not_null_{c}", c, False) for c in required]
+        types = dict(t[table].dtypes)
+
+        def value(c: str, types=types):
+            v = F.unix_micros(F.col(c).cast("timestamp")) if types[c].startswith("timestamp") else F.col(c).cast("bigint")
+            return F.struct(F.lit(c).alias("col"), v.alias("v"))
+
+        always = [value(c) for c in unique]
+        nulls = [F.when(F.col(c).isNull(), F.struct(F.lit(c).alias("col"), F.lit(None).cast("bigint").alias("v")))
+                 for c in required if c not in unique]
+        found = F.explode(F.filter(F.array(*always, *nulls), lambda x: x.isNotNull())).alias("p")
+        part = t[table].select(found).select(F.lit(table).alias("table_name"), "p.col", "p.v")
+        values = part if values is None else values.unionByName(part)
+    counts = values.groupBy("table_name", "col", "v").agg(F.count(F.lit(1)).alias("n"))
+    sums = counts.groupBy("table_name", "col").agg(
+        F.sum(F.col("n") - 1).alias("repeats"), F.sum(F.when(F.col("v").isNull(), F.col("n"))).alias("nulls"))
+    checks = wh.fact_trip.sparkSession.createDataFrame(
+        rows, "table_name string, check_name string, col string, unique boolean")
+    # One row per checked column: a bounded broadcast.
+    return (checks.join(F.broadcast(sums), ["table_name", "col"], "left")
+            .select("table_name", "check_name", F.coalesce(
+                F.when(F.col("unique"), F.col("repeats")).otherwise(F.col("nulls")), F.lit(0)
+            ).cast("bigint").alias("violations")))
 
 
 def key_ranges(wh: Warehouse) -> DataFrame:
