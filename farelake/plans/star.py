@@ -51,11 +51,16 @@ class StarBuild:
         return lake.read_cleaned(spark, self.cleaned_path)
 
 
+def save_path(df: DataFrame, base: str, name: str) -> str:
+    """Write a table to a fresh folder; its path."""
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return path
+
+
 def save_table(df: DataFrame, base: str, name: str) -> DataFrame:
     """Write a table to a fresh folder and read it back."""
-    path = f"{base}/{name}-{next(_seq)}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(save_path(df, base, name))
 
 
 def save_warehouse(wh: W.Warehouse, base: str, only: tuple[str, ...] | None = None) -> W.Warehouse:
@@ -63,17 +68,16 @@ def save_warehouse(wh: W.Warehouse, base: str, only: tuple[str, ...] | None = No
     Spark jobs so small tables don't wait on each other."""
     tables = wh.tables()
     names = [n for n in tables if only is None or n in only]
-    out = {}
     with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
-        futures = {n: pool.submit(save_table, tables[n], base, n) for n in names}
-        for n, f in futures.items():
-            out[n] = f.result()
-    return wh.replace(**out)
+        futures = {n: pool.submit(save_path, tables[n], base, n) for n in names}
+        paths = {n: f.result() for n, f in futures.items()}
+    spark = wh.dim_vendor.sparkSession
+    return wh.replace(**{n: spark.read.parquet(path) for n, path in paths.items()}, paths={**wh.paths, **paths})
 
 
 def read_facts(spark: SparkSession, root: str) -> DataFrame:
     """The fact table; ``source_file`` is its partition column."""
-    return spark.read.schema(S.FACT_TRIP).parquet(root)
+    return spark.read.schema(S.FACT_STORED).parquet(root)
 
 
 def write_facts(facts: DataFrame, root: str, replace: bool = False) -> None:
@@ -86,7 +90,7 @@ def write_facts(facts: DataFrame, root: str, replace: bool = False) -> None:
     time, so a task holds one or two months), which keeps parquet min/max
     statistics on the keys tight.
     """
-    out = facts.select(*S.FACT_TRIP.fieldNames()).sortWithinPartitions("source_file", "trip_key")
+    out = facts.select(*S.FACT_STORED.fieldNames()).sortWithinPartitions("source_file", "trip_key")
     lake.write_partitions(out, root, ["source_file"], "overwrite" if replace else "append")
 
 
@@ -114,18 +118,45 @@ def load_dims(cleaned: DataFrame, wh: W.Warehouse, base: str) -> W.Warehouse:
 def load_batch(cleaned: DataFrame, wh: W.Warehouse, base: str, replace: bool = False
                ) -> W.Warehouse:
     """Load one batch of cleaned trips onto a warehouse: dimensions first,
-    saved, then facts resolved against the saved dimensions and added to the
-    fact table (appended, or replacing the batch's month files)."""
+    saved, then facts resolved against the saved dimensions and written to the
+    fact table: added to it, or with ``replace`` in place of what the table
+    holds of the batch's month files, so loading a month again adds nothing twice.
+
+    The manifest of the new dimensions is published before the facts are
+    written, so no stored fact has a key that an opened warehouse lacks. The
+    resolved and numbering tables are removed afterwards.
+    """
+    spark = cleaned.sparkSession
     dims = load_dims(cleaned, wh, base)
-    new_facts = W.load_fact(cleaned, dims, wh.fact_trip)
     root = wh.fact_path or f"{base}/fact_trip"
+    out = dims.replace(fact_path=root)
+    scratch: list[str] = []
+    new_facts = W.load_fact(cleaned, dims, wh.fact_trip, scratch)
+    publish_warehouse(spark, out, base)
     write_facts(new_facts, root, replace)
-    return dims.replace(fact_trip=read_facts(cleaned.sparkSession, root), fact_path=root)
+    for path in scratch:
+        lake.remove(spark, path)
+    return out.replace(fact_trip=read_facts(spark, root))
 
 
 def seed(wh: W.Warehouse, base: str) -> W.Warehouse:
-    return save_warehouse(W.seed_dims(wh), base,
-                          only=tuple(d.name for d in W.SMALL_DIMS if d.seeds))
+    """Add the reference rows that are missing (W04) and publish."""
+    out = save_warehouse(W.seed_dims(wh), base, only=tuple(d.name for d in W.SMALL_DIMS if d.seeds))
+    publish_warehouse(wh.dim_vendor.sparkSession, out, base)
+    return out
+
+
+def load_zone_ids(wh: W.Warehouse, zone_text: DataFrame, base: str) -> W.Warehouse:
+    """Add the lookup's numeric ids that ``dim_location`` lacks, numbered after
+    its maximum, and publish (S13). Loading them again adds nothing."""
+    spec = W.DIM_BY_NAME["dim_location"]
+    new = zone_src.zone_ids_to_load(zone_text, wh.dim_location)
+    keyed = W.dense_keys(new, [spec.id_col], spec.key_col,
+                         offset=W.max_key_value(wh.dim_location, spec.key_col), key_type="int")
+    out = wh.replace(dim_location=wh.dim_location.unionByName(keyed.select(spec.key_col, spec.id_col)))
+    out = save_warehouse(out, base, only=("dim_location",))
+    publish_warehouse(wh.dim_vendor.sparkSession, out, base)
+    return out
 
 
 def reload_source(wh: W.Warehouse, cleaned: DataFrame, base: str) -> W.Warehouse:
@@ -179,10 +210,6 @@ def fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return h.hexdigest()[:24]
 
 
-def _table_dir(df: DataFrame) -> str:
-    return os.path.dirname(df.inputFiles()[0])
-
-
 def publish_json(spark: SparkSession, path: str, payload: dict) -> None:
     """Write a small JSON manifest through a rename: readers see all of it or
     nothing. If another run published first, its manifest is kept."""
@@ -206,23 +233,63 @@ def read_json(spark: SparkSession, path: str) -> dict | None:
         stream.close()
 
 
+MANIFESTS = "_warehouse"
+
+
+def _manifests(spark: SparkSession, base: str) -> list[str]:
+    fs, p = _fs(spark, f"{base}/{MANIFESTS}")
+    if not fs.exists(p):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(p)]
+    return sorted(n for n in names if n.endswith(".json"))
+
+
+def publish_warehouse(spark: SparkSession, wh: W.Warehouse, base: str) -> None:
+    """Record where the tables of the warehouse under ``base`` are. Each load
+    adds a numbered manifest; a rename makes it visible as a whole."""
+    have = _manifests(spark, base)
+    number = int(have[-1].split(".")[0]) + 1 if have else 1
+    publish_json(spark, f"{base}/{MANIFESTS}/{number:08d}.json", {
+        "tables": wh.paths, "fact_path": wh.fact_path, "datetime_path": wh.datetime_path})
+
+
+def open_warehouse(spark: SparkSession, base: str) -> W.Warehouse | None:
+    """The warehouse saved under ``base`` (S07), by its latest manifest; None
+    when there is none. A folder that holds a fact or datetime table without a
+    manifest is refused: loading onto it would mix two warehouses."""
+    have = _manifests(spark, base)
+    if not have:
+        for name in ("fact_trip", "dim_datetime"):
+            if lake.path_exists(spark, f"{base}/{name}"):
+                raise ValueError(f"{base} holds a {name} table that no manifest describes")
+        return None
+    m = read_json(spark, f"{base}/{MANIFESTS}/{have[-1]}")
+    wh = W.empty_warehouse(spark).replace(**{n: spark.read.parquet(p) for n, p in m["tables"].items()},
+                                          paths=m["tables"])
+    if m["datetime_path"]:
+        wh = wh.replace(dim_datetime=read_datetimes(spark, m["datetime_path"]), datetime_path=m["datetime_path"])
+    if m["fact_path"] and lake.path_exists(spark, m["fact_path"]):
+        wh = wh.replace(fact_trip=read_facts(spark, m["fact_path"]))
+    return wh.replace(fact_path=m["fact_path"])
+
+
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """One table of the warehouse saved under ``base``."""
+    wh = open_warehouse(spark, base)
+    if wh is None or name not in wh.tables():
+        raise FileNotFoundError(f"{base} has no warehouse table {name}")
+    return wh.tables()[name]
+
+
 def _publish(spark: SparkSession, manifest: str, b: StarBuild) -> None:
-    tables = {n: _table_dir(df) for n, df in b.wh.tables().items()
-              if n not in ("fact_trip", "dim_datetime")}
-    publish_json(spark, manifest, {
-        "base": b.base, "cleaned_path": b.cleaned_path, "zones_path": b.zones_path,
-        "tables": tables, "fact_path": b.wh.fact_path, "datetime_path": b.wh.datetime_path})
+    publish_json(spark, manifest, {"base": b.base, "cleaned_path": b.cleaned_path, "zones_path": b.zones_path})
 
 
 def _load_published(spark: SparkSession, manifest: str) -> StarBuild | None:
     m = read_json(spark, manifest)
     if m is None:
         return None
-    wh = W.Warehouse(**{n: spark.read.parquet(path) for n, path in m["tables"].items()},
-                     dim_datetime=read_datetimes(spark, m["datetime_path"]),
-                     fact_trip=read_facts(spark, m["fact_path"]),
-                     fact_path=m["fact_path"], datetime_path=m["datetime_path"])
-    return StarBuild(m["base"], m["cleaned_path"], wh, m["zones_path"])
+    return StarBuild(m["base"], m["cleaned_path"], open_warehouse(spark, m["base"]), m["zones_path"])
 
 
 def star_for(spark: SparkSession, sf_dir: str, reuse: bool = True) -> StarBuild:
