@@ -39,23 +39,29 @@ def category_text(c: Column) -> Column:
     return F.coalesce(c.try_cast("bigint").cast("string"), c.cast("string"), F.lit(NULL_TEXT))
 
 
-def feature_matrix(df: DataFrame) -> tuple[DataFrame, dict]:
-    """Checked, filtered rows with the feature columns and the target.
+def feature_columns(d: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, dict]:
+    """The feature columns and the target of checked rows, plus ``keep``.
 
     Fare, tip and extra are left out: they are parts of the target.
     """
-    require_columns(df, ML_REQUIRED)
-    d = coerce_ts(df, [PICKUP, DROPOFF])
-    d = ml_filter(drop_null_rows(d))
     d = time_features(d)
     numeric = [c for c in NUMERIC_CANDIDATES if c in d.columns]
-    categorical = [c for c in CATEGORICAL_CANDIDATES if c in df.columns]
-    cols = ([F.col(c).cast("double").alias(c) for c in numeric]
-            + [category_text(F.col(c)).alias(c) for c in categorical]
-            + [F.col(TARGET).cast("double").alias(TARGET)])
+    categorical = [c for c in CATEGORICAL_CANDIDATES if c in d.columns]
     spec = {"numeric_cols": numeric, "categorical_cols": categorical,
             "feature_cols": numeric + categorical, "target": TARGET}
-    return d.select(*cols), spec
+    return d.select(*[F.col(c).cast("double").alias(c) for c in numeric],
+                    *[category_text(F.col(c)).alias(c) for c in categorical],
+                    F.col(TARGET).cast("double").alias(TARGET), *keep), spec
+
+
+def checked_rows(df: DataFrame) -> DataFrame:
+    """Rows fit for the model: required columns, times, no nulls, in range."""
+    require_columns(df, ML_REQUIRED)
+    return ml_filter(drop_null_rows(coerce_ts(df, [PICKUP, DROPOFF])))
+
+
+def feature_matrix(df: DataFrame) -> tuple[DataFrame, dict]:
+    return feature_columns(checked_rows(df))
 
 
 SPLIT_BUCKETS = 1000
@@ -81,22 +87,7 @@ def with_split(df: DataFrame, test_size: float = 0.2, seed: int = 42) -> DataFra
 
 def model_rows(df: DataFrame, test_size: float = 0.2, seed: int = 42) -> tuple[DataFrame, dict]:
     """Feature matrix plus the split label."""
-    require_columns(df, ML_REQUIRED)
-    d = ml_filter(drop_null_rows(coerce_ts(df, [PICKUP, DROPOFF])))
-    d = with_split(d, test_size, seed)
-    return _feature_matrix_keep(d, "split")
-
-
-def _feature_matrix_keep(d: DataFrame, keep: str) -> tuple[DataFrame, dict]:
-    d = time_features(d)
-    numeric = [c for c in NUMERIC_CANDIDATES if c in d.columns]
-    categorical = [c for c in CATEGORICAL_CANDIDATES if c in d.columns]
-    cols = ([F.col(c).cast("double").alias(c) for c in numeric]
-            + [category_text(F.col(c)).alias(c) for c in categorical]
-            + [F.col(TARGET).cast("double").alias(TARGET), F.col(keep)])
-    spec = {"numeric_cols": numeric, "categorical_cols": categorical,
-            "feature_cols": numeric + categorical, "target": TARGET}
-    return d.select(*cols), spec
+    return feature_columns(with_split(checked_rows(df), test_size, seed), ["split"])
 
 
 def fit_median(train: DataFrame, cols: Sequence[str]) -> DataFrame:

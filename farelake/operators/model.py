@@ -95,12 +95,20 @@ def evaluate(m: FareModel, rows: DataFrame) -> float:
                                metricName="rmse").evaluate(pred)
 
 
-def scenarios(base: DataFrame, overrides: dict) -> DataFrame:
-    """Rows with some features overridden."""
-    out = base
-    for k, v in overrides.items():
-        out = out.withColumn(k, F.lit(v))
-    return out
+def scenarios(spark: SparkSession, spec: dict, overrides: dict[str, dict]) -> DataFrame:
+    """What-if rows (M11): a base record of zeros with some features overridden,
+    one row per named scenario, as (scenario, features...)."""
+    cols = spec["feature_cols"]
+    rows = [(name, *[float(o[c]) if c in spec["numeric_cols"] and c in o else str(o[c]) if c in o
+                     else 0.0 if c in spec["numeric_cols"] else "0" for c in cols])
+            for name, o in sorted(overrides.items())]
+    types = ", ".join(f"{c} {'double' if c in spec['numeric_cols'] else 'string'}" for c in cols)
+    return spark.createDataFrame(rows, f"scenario string, {types}")
+
+
+def scenario_grid(base: DataFrame, overrides: dict) -> DataFrame:
+    """Given rows with some features overridden."""
+    return base.withColumns({k: F.lit(v) for k, v in overrides.items()})
 
 
 def save(m: FareModel, path: str, spark: SparkSession) -> None:
