@@ -10,6 +10,8 @@ dimensions and the pickup-time join.
 
 from __future__ import annotations
 
+from farelake.functions.wkt import RING_PATTERN
+
 TRIPS = """
 b AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey, l.l_partkey, l.l_quantity, l.l_shipdate,
@@ -116,7 +118,6 @@ fact_trip AS (
          {', '.join(FACT_COLS)}
   FROM fact_base)"""
 
-RING_PATTERN = r"\((-?\d+\.\d+\s+-?\d+\.\d+(?:\s*,\s*-?\d+\.\d+\s+-?\d+\.\d+)*)\)"
 
 ZONES = f"""
 zid AS (SELECT DISTINCT CAST(p_partkey % 265 + 1 AS INT) AS location_id FROM part),
