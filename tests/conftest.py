@@ -36,6 +36,8 @@ def trip(vendor=1, rate=1, pay=1, pu=10, do=20, pickup="2024-01-01 10:00:00",
 
 @pytest.fixture
 def raw(spark):
-    def make(rows):
-        return spark.createDataFrame(rows, RAW_DDL)
+    def make(rows, file=None):
+        """Raw trips with the month file they came from: ``file``, or the pickup's month."""
+        name = lambda r: file or f"yellow_tripdata_{(r[5] or ts('2024-01-01')):%Y-%m}.parquet"
+        return spark.createDataFrame([(*r, name(r)) for r in rows], RAW_DDL + ", source_file string")
     return make

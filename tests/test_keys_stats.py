@@ -124,3 +124,18 @@ def test_fits_all_one_job_same_answers(spark):
     fits_all([a, b, c], 10)
     assert all(10 in _FITS[d] for d in (a, b, c))
     assert (fits(a, 10), fits(b, 10), fits(c, 10)) == (True, False, True)
+
+
+def test_choosing_the_ranges_starts_no_job(spark):
+    from farelake.functions.joins import fits  # noqa: F401 - the module's counts are not under test
+    left = spark.range(2000).withColumn("g", F.col("id") % 7)
+    shuffled = left.repartition(3, "g").groupBy("g").agg(F.sum("id").alias("s"))
+    sc = spark.sparkContext
+    sc.setJobGroup("numbering", "dense_keys")
+    scratch = []
+    got = dense_keys(shuffled, ["g"], "k", scratch=scratch)
+    jobs = len(sc.statusTracker().getJobIdsForGroup("numbering"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    # The write: the aggregation's shuffle (run once), the sample of the range bounds, the range shuffle, the write.
+    assert jobs <= 4 and len(scratch) == 1
+    assert [r.k for r in got.orderBy("g").collect()] == list(range(1, 8))

@@ -27,13 +27,16 @@ def test_clean_keeps_only_rows_passing_every_rule(raw):
     assert prof["pu_location_present"] == 1
 
 
-def test_provenance_literal_and_derived(raw):
-    df = raw([trip()])
-    lit = R.with_provenance(df, year=2024, month=1).first()
-    assert (lit.source_file, lit.ingestion_year, lit.ingestion_month) == (
-        "yellow_tripdata_2024-01.parquet", 2024, 1)
-    der = R.with_provenance(df).first()
-    assert der.source_file == "yellow_tripdata_2024-01.parquet"
+def test_provenance_is_that_of_the_file(raw):
+    stray = trip(pickup="2024-02-01 00:03:00", dropoff="2024-02-01 00:20:00")
+    got = lambda df: (df.source_file, df.ingestion_year, df.ingestion_month)
+    jan = ("yellow_tripdata_2024-01.parquet", 2024, 1)
+    df = raw([stray], file=jan[0])
+    assert got(R.with_provenance(df).first()) == jan
+    assert got(R.with_provenance(df.drop("source_file"), year=2024, month=1).first()) == jan
+    assert got(R.with_provenance(df, "other.parquet", 2024, 1).first()) == ("other.parquet", 2024, 1)
+    with pytest.raises(ValueError):
+        R.with_provenance(df.drop("source_file"))
 
 
 def test_require_columns_names_every_missing(raw):

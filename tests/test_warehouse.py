@@ -77,26 +77,30 @@ def test_reports_edges(spark, raw):
     assert R.latest_trips(wh, n=2).count() == 2
 
 
-def test_pick_and_require():
-    cols = ["datetime_key", "ts", "date"]
-    assert R.pick(cols, ["date_time_key", "datetime_key"]) == "datetime_key"
-    assert R.pick(cols, ["nope"]) is None
+def test_resolve_columns():
     import pytest
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("seen", T.TimestampType()),
+                           T.StructField("ts2", T.TimestampNTZType()), T.StructField("datetime_key", T.LongType())])
+    role = R.Role
+    got = R.resolve_columns(schema, {"key": role(("date_time_key", "datetime_key")), "time": role(("ts",), any_timestamp=True),
+                                     "tip": role(("tip",), optional=True)})
+    assert got == {"key": "datetime_key", "time": "seen", "tip": None}
     with pytest.raises(ValueError) as e:
-        R.require(cols, {"key": ["datetime_key"], "label": ["label", "name"], "loc": ["location_key"]})
-    assert "label" in str(e.value) and "location_key" in str(e.value)
+        R.resolve_columns(schema, {"key": role(("datetime_key",)), "label": role(("label", "name")), "loc": role(("location_key",))})
+    assert "label" in str(e.value) and "location_key" in str(e.value) and "key (one of datetime_key" not in str(e.value)
 
 
 def test_saved_tables_keep_declared_schemas(spark, raw):
     from farelake import schemas as S
     wh, _, _ = _load(spark, raw, [trip()], "schemas")
-    declared = {"dim_vendor": S.DIM_VENDOR, "dim_datetime": S.DIM_DATETIME, "fact_trip": S.FACT_TRIP}
+    declared = {"dim_vendor": S.DIM_VENDOR, "dim_datetime": S.DIM_DATETIME, "fact_trip": S.FACT_STORED}
     for name, schema in declared.items():
         got = [(f.name, f.dataType) for f in getattr(wh, name).schema.fields]
         assert got == [(f.name, f.dataType) for f in schema.fields]
 
 
-def test_load_modes_and_order(spark, raw):
+def test_load_modes(spark, raw):
     import pytest
     from farelake.plans import modes as P
     base = scratch_path(spark, "test", "modes")
@@ -107,7 +111,111 @@ def test_load_modes_and_order(spark, raw):
     assert q2.warehouse.fact_trip.count() == 1
     with pytest.raises(ValueError):
         P.run(spark, rows, base, "q3")
-    assert P.STAGES.index("load") < P.STAGES.index("seed") < P.STAGES.index("reports")
+    with pytest.raises(ValueError):
+        P.run(spark, None, base, "full")
+
+
+def _clean_warehouse(wh):
+    return (all(r.violations == 0 for r in W.constraint_violations(wh).collect())
+            and all(r.orphans == 0 for r in W.fk_orphans(wh).collect()))
+
+
+def test_repeated_and_monthly_runs_keep_each_fact_once(spark, raw):
+    from farelake.plans import modes as P
+    march = raw([trip(pickup=f"2024-03-0{1 + i % 9} 10:0{i % 10}:00", dropoff=f"2024-03-0{1 + i % 9} 11:00:00") for i in range(20)])
+    april = raw([trip(pickup=f"2024-04-0{1 + i % 9} 10:00:00", dropoff=f"2024-04-0{1 + i % 9} 11:00:00", vendor=2) for i in range(9)])
+    base = scratch_path(spark, "test", "months")
+    per = lambda wh: {r.source_file[-10:-8]: r["count"] for r in wh.fact_trip.groupBy("source_file").count().collect()}
+    assert per(P.run(spark, march, base).warehouse) == {"03": 20}
+    assert per(P.run(spark, april, base).warehouse) == {"03": 20, "04": 9}
+    wh = P.run(spark, march.unionByName(april), base).warehouse
+    assert per(wh) == {"03": 20, "04": 9} and _clean_warehouse(wh)
+    again = ST.open_warehouse(spark, base)
+    assert per(again) == {"03": 20, "04": 9} and again.dim_vendor.count() == 2
+    assert ST.read_table(spark, base, "dim_datetime").count() == wh.dim_datetime.count()
+
+
+def test_a_folder_without_manifest_is_refused(spark, raw):
+    import pytest
+    from farelake.plans import modes as P
+    base = scratch_path(spark, "test", "unknown")
+    spark.range(3).write.parquet(f"{base}/fact_trip")
+    with pytest.raises(ValueError):
+        P.run(spark, raw([trip()]), base)
+    with pytest.raises(FileNotFoundError):
+        ST.read_table(spark, scratch_path(spark, "test", "nothing"), "fact_trip")
+
+
+def test_stray_trips_stay_with_their_file(spark, raw):
+    from farelake.plans import modes as P
+    feb, jan = "yellow_tripdata_2024-02.parquet", "yellow_tripdata_2024-01.parquet"
+    many = [trip(pickup=f"2024-02-1{i} 10:00:00", dropoff=f"2024-02-1{i} 11:00:00") for i in range(9)]
+    many.append(trip(pickup="2024-01-31 23:59:00", dropoff="2024-02-01 00:10:00"))     # stray, backwards
+    few = [trip(), trip(pickup="2024-02-01 00:03:00", dropoff="2024-02-01 00:20:00")]  # stray, forwards
+    base = scratch_path(spark, "test", "stray")
+    P.run(spark, raw(many, file=feb), base)
+    wh = P.run(spark, raw(few, file=jan), base).warehouse
+    for df in (spark.read.parquet(f"{base}/cleaned"), wh.fact_trip):
+        assert {r.source_file: r["count"] for r in df.groupBy("source_file").count().collect()} == {feb: 10, jan: 2}
+    assert spark.read.parquet(f"{base}/cleaned").where("month = 1").count() == 2
+
+
+def test_a_bad_month_does_not_stop_the_others(spark, raw):
+    from farelake.plans import modes as P
+    from farelake.sources import lake
+    base = scratch_path(spark, "test", "ledger")
+    for m in (1, 4):
+        raw([trip(pickup=f"2024-0{m}-01 10:00:00", dropoff=f"2024-0{m}-01 11:00:00")]).drop("source_file").write.parquet(
+            f"{base}/raw/yellow_tripdata_2024-0{m}.parquet")
+    spark.createDataFrame([("not parquet",)], "value string").write.text(f"{base}/raw/yellow_tripdata_2024-03.parquet")
+    plan = lake.month_plan(spark, "months", year=2024, months="1,2,3,4")
+    ledger = {r.month: r for r in P.run_months(spark, plan, f"{base}/raw", base).collect()}
+    assert {m: r.status for m, r in ledger.items()} == {1: "loaded", 2: "skipped", 3: "failed", 4: "loaded"}
+    assert ledger[3].error and ledger[4].rows == 1 and ledger[2].rows == 0
+    assert ST.open_warehouse(spark, base).fact_trip.count() == 2
+
+
+def test_the_whole_run(spark, raw):
+    from farelake.plans import modes as P
+    rows = [trip(pu=1 + i % 5, pickup=f"2024-0{1 + i % 3}-0{1 + i % 7} 10:00:00",
+                 dropoff=f"2024-0{1 + i % 3}-0{1 + i % 7} 10:30:00", total=10.0 + i % 9, dist=1.0 + i % 4) for i in range(60)]
+    zones = spark.createDataFrame([("77", "a", "b", None), ("x", "a", "b", None)],
+                                  "`Location ID` string, Zone string, Borough string, `Shape Geometry` string")
+    r = P.run_all(P.Run(spark, raw(rows), zones, scratch_path(spark, "test", "whole"), rounds=2))
+    assert [x.status for x in r.ledger.collect()] == ["loaded"] * 3
+    assert r.reports["kpi"].first().trips == 60 and r.model.rmse is not None
+    assert 77 in {x.location_id for x in r.warehouse.dim_location.collect()} and _clean_warehouse(r.warehouse)
+
+
+def test_windowed_reports_do_not_join_the_fact(spark, raw):
+    wh, _, _ = _load(spark, raw, [trip()], "window_plan")
+    for df in (R.kpi(wh, "2024-01-01", "2024-01-31"), R.daily_metrics(wh, "2024-01-01", "2024-01-31"),
+               R.latest_trips(wh, "2024-01-01", "2024-01-31"), R.time_bounds(wh)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan
+    assert "PushedFilters: [IsNotNull(pickup_ts)" in R.kpi(wh, "2024-01-01")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_planted_violations_are_counted(spark, raw):
+    wh, _, _ = _load(spark, raw, [trip(), trip(pickup="2024-01-05 10:00:00", dropoff="2024-01-05 11:00:00")], "violations")
+    dt = wh.dim_datetime.unionByName(wh.dim_datetime.limit(1)).unionByName(
+        wh.dim_datetime.limit(2).withColumn("ts", F.lit(None).cast("timestamp_ntz")).withColumn("date", F.lit(None).cast("date")))
+    got = {(r.table_name, r.check_name): r.violations for r in W.constraint_violations(wh.replace(dim_datetime=dt)).collect()}
+    n = dt.groupBy("datetime_key").count().where("count > 1").agg(F.sum(F.col("count") - 1)).first()[0]
+    bad = {k: v for k, v in got.items() if v}
+    assert bad == {("dim_datetime", "unique_ts"): 2, ("dim_datetime", "unique_datetime_key"): n,
+                   ("dim_datetime", "not_null_ts"): 2, ("dim_datetime", "not_null_date"): 2}
+
+
+def test_summary_and_histograms_cover_the_whole_fact(spark):
+    n = 230_000
+    fact = spark.range(1, n + 1).select(
+        F.col("id").alias("trip_key"), (F.col("id") % 40 / 2.0).alias("trip_distance"), (F.col("id") % 90 + 1.0).alias("total_amount"),
+        F.lit(1.0).alias("tip_amount"), F.lit(1).alias("passenger_count"))
+    wh = W.Warehouse(*([fact] * 6))
+    assert {r["count"] for r in R.measure_summary(wh).collect()} == {n}
+    assert sum(r.n for r in R.hist_distance(wh).collect()) == n
+    assert {r["count"] for r in R.measure_summary(wh, 1000).collect()} == {1000}
 
 
 def test_window_reports_after_a_load_of_earlier_times(spark, raw):
@@ -192,20 +300,15 @@ def test_first_by_key_with_keys_starting_high(spark):
     assert R.first_by_key(df.where(F.col("k") < 0), "k", 5).count() == 0
 
 
-def test_latest_trips_when_the_latest_seconds_are_dropoffs(spark, raw):
-    # Every dropoff is later than every pickup, so the newest seconds of the
-    # datetime dimension have no pickups and the candidate set has to grow.
+def test_latest_trips_match_the_join(spark, raw):
+    # Every dropoff is later than every pickup; two trips tie on the pickup.
     rows = [trip(pickup=f"2024-03-01 0{i // 6}:{i % 6}0:00", dropoff=f"2024-03-02 0{i // 6}:{i % 6}0:00",
-                 total=10.0 + i) for i in range(60)]
-    rows += [trip(pickup="2024-03-01 05:50:00", dropoff="2024-03-02 07:00:00", total=99.0)]  # a tie
+                 total=10.0 + i) for i in range(36)]
+    rows += [trip(pickup="2024-03-01 05:50:00", dropoff="2024-03-02 07:00:00", total=99.0)]
     wh, _, _ = _load(spark, raw, rows, "latest")
-    dt = wh.dim_datetime.select(F.col("datetime_key").alias("pickup_datetime_key"),
-                                F.col("ts").alias("pickup_time"))
-    for n in (1, 3, 5, 40, 100):
-        got = R.latest_trips(wh, n=n, first_k=1).select("trip_key", "pickup_time").collect()
-        want = (wh.fact_trip.join(dt, "pickup_datetime_key")
-                .orderBy(F.desc("pickup_time"), "trip_key").limit(n)
+    dt = wh.dim_datetime.select(F.col("datetime_key").alias("pickup_datetime_key"), F.col("ts").alias("pickup_time"))
+    for n in (1, 2, 5, 100):
+        got = R.latest_trips(wh, n=n).select("trip_key", "pickup_time").collect()
+        want = (wh.fact_trip.join(dt, "pickup_datetime_key").orderBy(F.desc("pickup_time"), "trip_key").limit(n)
                 .select("trip_key", "pickup_time").collect())
-        assert got == want, n
-    assert R.latest_trips(wh, n=5).select("trip_key").collect() == \
-        R.latest_trips(wh, n=5, first_k=1).select("trip_key").collect()
+        assert got == want
