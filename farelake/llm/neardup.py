@@ -19,8 +19,9 @@ sketch) is never expanded into all its pairs. First, every text is aligned
 with one text: the leader, random per bucket, that it shares most sketches
 with. Then with the leaders of its other buckets, where the two are not
 connected yet. Last, in buckets where some texts are still not connected to
-the leader, those are aligned with the bucket's others; pairs that are
-connected already are left out, as they cannot change a class.
+the leader, texts of different components are compared by their word counts,
+in blocks of bounded size, and those whose counts allow a link are aligned.
+Connected pairs are left out throughout, as they cannot change a class.
 
 Results on odd input: null and empty texts, and those without a word, are
 equal; texts of fewer than K words are one k-mer; a class id is the smallest
@@ -51,6 +52,9 @@ SKETCHES = 32
 SIMILARITY = 0.8
 CHUNK = 1 << 15
 NODES_MAX = 2_000_000
+#: Buckets up to FEW texts are paired by a join, larger ones in blocks of about BLOCK texts.
+FEW = 12
+BLOCK = 512
 
 U64 = np.uint64
 _WORD = re.compile(r"[^\W_]+")
@@ -125,7 +129,12 @@ def order_sketches(kmers: np.ndarray, ell: int, sketches: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-SIGNATURE = "doc_id long, th long, digest binary, n_words int, words binary, sketches array<long>"
+SIGNATURE = "doc_id long, th long, digest binary, n_words int, words binary, bag binary, sketches array<long>"
+
+
+def word_bag(words: np.ndarray) -> np.ndarray:
+    """Word counts by the last byte of the hash, at most 255."""
+    return np.minimum(np.bincount((words & U64(255)).astype(np.int64), minlength=256), 255).astype(np.uint8)
 
 
 def _signer(k: int, ell: int, sketches: int):
@@ -139,6 +148,7 @@ def _signer(k: int, ell: int, sketches: int):
                     "doc_id": cut["doc_id"].astype("Int64"), "th": cut["th"],
                     "digest": [xxhash.xxh128_digest(w.tobytes()) for w in words], "n_words": [len(w) for w in words],
                     "words": [w.astype(np.uint32).tobytes() for w in words],
+                    "bag": [word_bag(w).tobytes() for w in words],
                     "sketches": [order_sketches(labelled_kmers(w, k), ell, sketches) for w in words]})
     return run
 
@@ -154,6 +164,68 @@ def _aligner(least: float):
     return run
 
 
+def close_pairs(root: np.ndarray, size: np.ndarray, bags: np.ndarray, left: np.ndarray, right: np.ndarray,
+                least: float) -> list[tuple[int, int]]:
+    """Pairs (from left, from right) of texts that are not connected and whose words do not rule out a link.
+
+    Every word that one text has and the other lacks takes an edit, and the
+    bags can only show fewer of them, so no link is left out.
+    """
+    out = []
+    for x in left:
+        y = right[(root[right] != root[x]) & ((right > x) if left is right else True)]
+        longer = np.maximum(size[y], size[x])
+        y = y[np.abs(size[y] - size[x]) <= (1 - least) * longer + 1e-6]
+        gap = bags[y].astype(np.int16) - bags[x].astype(np.int16)
+        edits = np.maximum(np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1))
+        out += [(x, k) for k in y[edits <= (1 - least) * np.maximum(size[y], size[x]) + 1e-6]]
+    return out
+
+
+def _tile(least: float):
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        b, i, j = key
+        bags = np.frombuffer(b"".join(pdf["bag"]), np.uint8).reshape(-1, 256)
+        block, node = pdf["block"].to_numpy(), pdf["node"].to_numpy()
+        left = np.flatnonzero(block == i)
+        right = left if i == j else np.flatnonzero(block == j)
+        pairs = close_pairs(pdf["r"].to_numpy(), pdf["n_words"].to_numpy(), bags, left, right, least)
+        # A pair that shares several sketches comes out of the bucket of the first.
+        sketches = np.array(pdf["sketches"].tolist(), np.int64)
+        before = sketches[:, :int(np.flatnonzero(sketches[0] == b)[0])]
+        pairs = [(x, y) for x, y in pairs if not (before[x] == before[y]).any()]
+        ends = node[np.array(pairs, np.int64).reshape(-1, 2)]
+        return pd.DataFrame({"a": ends.min(axis=1, initial=np.iinfo(np.int64).max), "b": ends.max(
+            axis=1, initial=np.iinfo(np.int64).min)})
+    return run
+
+
+def _pairs_beside(stars: DataFrame, words: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) to align in buckets that are not one component.
+
+    ``stars``: b, node, n_words, r (root), lr (root of the bucket's leader).
+    Buckets of at most FEW texts are paired by a join, which yields at most FEW
+    pairs a row. Larger ones are cut into blocks by hash, and a pair of blocks
+    is one group of at most about 2 * BLOCK texts, of which only pairs with
+    enough common words come out.
+    """
+    sizes = stars.groupBy("b").agg(F.count(F.lit(1)).alias("g"), F.max(F.col("r") != F.col("lr")).alias("open"))
+    rows = stars.join(sizes.where("open AND g > 1").select("b", "g"), "b")
+    few = rows.where(F.col("g") <= FEW)
+    x = few.select("b", *[F.col(c).alias(f"x_{c}") for c in ("node", "r", "n_words")])
+    fits = F.abs(F.col("x_n_words") - F.col("n_words")) <= F.greatest("x_n_words", "n_words") * (1 - least) + 1e-6
+    joined = (few.join(x, "b").where((F.col("node") < F.col("x_node")) & (F.col("r") != F.col("x_r")) & fits)
+              .select(F.col("node").alias("a"), F.col("x_node").alias("b")))
+    many = rows.where(F.col("g") > FEW).join(words.select("node", "bag", "sketches"), "node")
+    many = many.withColumn("blocks", F.ceil(F.col("g") / BLOCK).cast("int"))
+    many = many.withColumn("block", F.pmod(F.xxhash64("node", "b"), F.col("blocks")).cast("int"))
+    many = many.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    many = many.select("b", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"),
+                       "block", "node", "r", "n_words", "bag", "sketches")
+    tiles = many.groupBy("b", "i", "j").applyInPandas(_tile(least), "a long, b long")
+    return joined.union(tiles).distinct()
+
+
 def _links(spark: SparkSession, pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) that alignment confirms."""
     side = lambda c: words.select(F.col("node").alias(c), F.col("words").alias(f"w{c}"))
@@ -178,10 +250,10 @@ def _merge(spark: SparkSession, roots: DataFrame | None, links: DataFrame) -> Da
     ends = _roots(_roots(links, roots, "a", "ra"), roots, "b", "rb")
     up = components(spark, ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
     up = up.select(F.col("node").alias("_u"), F.col("root").alias("_up"))
-    moved = roots.join(up, roots["root"] == up["_u"], "full").select(
-        F.coalesce("node", "_u").alias("node"), F.coalesce("_up", "root").alias("root"))
-    # A root that gained links only now appears once as itself and once through its own row.
-    return stored(spark, moved.groupBy("node").agg(F.min("root").alias("root")), "roots")
+    moved = roots.join(up, roots["root"] == up["_u"], "left").select("node", F.coalesce("_up", "root").alias("root"))
+    new = up.join(roots, up["_u"] == roots["node"], "left_anti").select(
+        F.col("_u").alias("node"), F.col("_up").alias("root"))
+    return stored(spark, moved.union(new), "roots")
 
 
 def near_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K,
@@ -201,7 +273,7 @@ def near_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     stars = stored(spark, members.join(leaders, "b").where("node <> lead").distinct(), "omh-stars")
     nodes = stars.select("node").union(stars.select("lead")).distinct()
     nodes = bounded(stored(spark, nodes, "omh-involved"), max_rows=NODES_MAX)
-    words = stored(spark, own.select("node", "words").join(nodes, "node", "left_semi").dropDuplicates(["node"]),
+    words = stored(spark, own.select("node", "words", "bag", "sketches").join(nodes, "node", "left_semi").dropDuplicates(["node"]),
                    "omh-words")
     near = F.least("n_words", "ln") >= F.greatest("n_words", "ln") * least - 1e-6
     # 1. Each text with the leader it shares most sketches with.
@@ -216,14 +288,7 @@ def near_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     roots = _merge(spark, roots, _links(spark, stored(spark, rest, "omh-rest"), words, least))
     # 3. In buckets that are not one component: texts apart from their leader with the others.
     star = stored(spark, _roots(_roots(stars, roots, "node", "r"), roots, "lead", "lr"), "omh-rooted")
-    apart = star.where("r <> lr").select("b", F.col("node").alias("x"), F.col("r").alias("rx"),
-                                         F.col("n_words").alias("nx"))
-    other = star.select("b", F.col("node").alias("y"), F.col("r").alias("ry"), F.col("lr"), F.col("n_words").alias("ny"))
-    close = F.least("nx", "ny") >= F.greatest("nx", "ny") * least - 1e-6
-    # A pair of two texts apart from the leader meets twice; it is taken once.
-    once = (F.col("ry") == F.col("lr")) | (F.col("x") < F.col("y"))
-    last = (apart.join(other, "b").where((F.col("rx") != F.col("ry")) & close & once)
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    last = _pairs_beside(star, words, least)
     roots = _merge(spark, roots, _links(spark, stored(spark, last, "omh-last"), words, least))
     out = sig.select("doc_id", "th", "digest").join(of, F.col("digest") == F.col("_g")).select("doc_id", "th", "node")
     return _roots(out, roots, "node", "class_id").select("doc_id", "th", "class_id")

@@ -141,3 +141,32 @@ def test_components(spark):
     want = {i: 0 for i in range(41)} | {2000: 0, 1000: 1000} | {1000 + i: 1000 for i in range(1, 60)}
     assert got == want
     assert graph.components(spark, spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_word_counts_never_rule_out_a_link():
+    rnd = random.Random(9)
+    texts = [[f"w{rnd.randrange(300)}" for _ in range(60)] for _ in range(12)]
+    texts += [edited(rnd, t, rnd.randrange(0, 16), [f"w{i}" for i in range(300)]) for t in texts * 6]
+    words = [neardup.Words()(" ".join(t)) for t in texts]
+    bags = np.stack([neardup.word_bag(w) for w in words])
+    at = np.arange(len(words))
+    got = set(neardup.close_pairs(at, np.array([len(w) for w in words]), bags, at, at, 0.8))
+    pairs = [(a, b) for a in range(len(words)) for b in range(a + 1, len(words))]
+    links = {p for p, ok in zip(pairs, align.similar([(words[a].astype(np.uint32), words[b].astype(np.uint32))
+                                                      for a, b in pairs], 0.8)) if ok}
+    assert links and links <= got and len(got) < len(pairs) / 3
+
+
+def test_large_buckets_go_in_blocks(spark, docs, monkeypatch):
+    """Texts that share a passage but are no copies, among them pairs that are."""
+    monkeypatch.setattr(neardup, "FEW", 3)
+    monkeypatch.setattr(neardup, "BLOCK", 10)
+    rnd = random.Random(5)
+    vocab = [f"w{i}" for i in range(3000)]
+    passage, rows = rnd.sample(vocab, 60), []
+    for i in range(60):
+        own = rnd.sample(vocab, 40)
+        rows.append((2 * i, " ".join(passage + own)))
+        rows.append((2 * i + 1, " ".join(passage + edited(rnd, own, 6, vocab))))
+    got = classes(spark, docs(rows))[1]
+    assert got == sorted(((i, i - i % 2) for i in range(120)), key=str)
