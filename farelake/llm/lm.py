@@ -40,12 +40,14 @@ from pyspark.sql import functions as F
 from farelake.llm.common import crc_mod, stored
 
 BLOCK_BYTES = 8 << 20
+#: Scoring holds the filter as well, so its blocks are smaller.
+SCORE_BLOCK_BYTES = 2 << 20
 PAGE_TOKENS = 400_000
 BITS = 8
 PROBES = 4
 SEGMENT_BYTES = 128 << 20
 TABLE_MAX = 2_000_000
-MU = 100.0
+MU = 300.0
 LEVELS = 48
 
 U64 = np.uint64
@@ -89,10 +91,11 @@ class Block:
         return total[self.ends] - total[np.r_[0, self.ends[:-1]]]
 
 
-def blocks(pdf: pd.DataFrame) -> Iterator[tuple[int, int]]:
+def blocks(pdf: pd.DataFrame, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``most`` characters of text."""
     at, size = 0, 0
     for i, t in enumerate(pdf["text"]):
-        if size and size + len(t or "") > BLOCK_BYTES:
+        if size and size + len(t or "") > most:
             yield at, i
             at, size = i, 0
         size += len(t or "")
@@ -117,7 +120,7 @@ def _counter(pages: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for a, b in blocks(pdf):
+            for a, b in blocks(pdf, BLOCK_BYTES):
                 block = Block(pdf["text"].iloc[a:b].tolist())
                 uh, un, uc = by_page(block.hashes, np.bincount(block.ids, minlength=len(block.hashes)))
                 bh, bn, bc = by_page(*np.unique(block.bigrams, return_counts=True))
@@ -215,7 +218,7 @@ def _pass(held, table, total: int, types: int, first: bool, last: bool, exact: b
         th, tn = table.value
         row = TaskContext.get().partitionId() << 40
         for pdf in batches:
-            for a, b in blocks(pdf):
+            for a, b in blocks(pdf, SCORE_BLOCK_BYTES):
                 cut = pdf.iloc[a:b]
                 block = Block(cut["text"].tolist())
                 grams, where = np.unique(block.bigrams, return_inverse=True)
