@@ -12,7 +12,8 @@ least MIN_WORDS words that occurred earlier are deleted. Earlier means a
 smaller (doc_id, text hash, line). Each window is compared with the first
 occurrence of its content, never pair by pair.
 
-All grouping is by hashes with partial aggregation. Only 64-bit hashes and
+All grouping is by hashes with partial aggregation, and joins on a hash are
+salted by document, so a hot line or passage is spread over tasks. Only 64-bit hashes and
 positions are shuffled, besides the texts once, to meet their deleted lines.
 
 Results on odd input: null texts stay null and empty ones empty; a text whose
@@ -25,12 +26,14 @@ gives no rows. When counts are asked for, they replace input columns named
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake.llm.common import text_hash
 
 MIN_WORDS = 50
+#: Parts in which a fingerprint or window that many documents share is joined.
+SALTS = 64
 BLANK = " \t\r"
 
 
@@ -66,19 +69,30 @@ def windows(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     F.xxhash64("x.hs").alias("c1"), F.hash("x.hs").alias("c2")))
 
 
-def _place(line: str):
+def _place(line: str) -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", F.col(line).alias("at"))
 
 
+def _repeated(df: DataFrame, keys: list[str], place: Column) -> DataFrame:
+    """(keys, salt, first): the values of ``keys`` that occur at two places or more, with the first.
+
+    ``df`` has a column salt. Counting goes by (keys, salt) first, and the result has a row for each
+    salt of a value, so a value that many rows share is joined in as many parts.
+    """
+    part = df.groupBy(*keys, "salt").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+    full = part.groupBy(*keys).agg(F.min("lo").alias("first"), F.max("hi").alias("hi"),
+                                   F.collect_list("salt").alias("salts"))
+    return full.where(F.col("first") != F.col("hi")).select(*keys, "first", F.explode("salts").alias("salt"))
+
+
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, th, lines): the positions (from 0) of each row's lines to delete."""
-    wins = windows(line_table(docs, key, text), min_words)
-    prints = (wins.groupBy("fp").agg(F.min(_place("m")).alias("lo"), F.max(_place("m")).alias("hi"))
-              .where(F.col("lo") != F.col("hi")).select("fp"))
-    wins = wins.join(prints, "fp", "left_semi").select("doc_id", "th", "a", "b", "c1", "c2")
-    first = (wins.groupBy("c1", "c2").agg(F.min(_place("a")).alias("lo"), F.max(_place("a")).alias("hi"))
-             .where(F.col("lo") != F.col("hi")).select("c1", "c2", "lo"))
-    later = wins.join(first, ["c1", "c2"]).where(_place("a") > F.col("lo"))
+    wins = windows(line_table(docs, key, text), min_words).withColumn(
+        "salt", F.pmod(F.xxhash64("doc_id", "th"), F.lit(SALTS)).cast("int"))
+    prints = _repeated(wins, ["fp"], _place("m")).select("fp", "salt")
+    wins = wins.join(prints, ["fp", "salt"], "left_semi").select("doc_id", "th", "a", "b", "c1", "c2", "salt")
+    first = _repeated(wins, ["c1", "c2"], _place("a"))
+    later = wins.join(first, ["c1", "c2", "salt"]).where(_place("a") > F.col("first"))
     runs = later.groupBy("doc_id", "th", "a").agg(F.max("b").alias("b"))
     return (runs.select("doc_id", "th", F.explode(F.sequence("a", "b")).alias("line"))
             .groupBy("doc_id", "th").agg(F.collect_set("line").alias("lines")))
