@@ -9,9 +9,9 @@ in growing batches, until the k-th best score exceeds every bound left, so
 the result is exact. The pivots themselves are candidates, which gives each
 query a first k-th best score before any block is read.
 
-Queries and candidates meet block by block. Candidate blocks go to groups by
-hash, the (50 times fewer) query blocks are copied to each group, and each
-pair of blocks yields at most k rows a query. The pivots are the only rows
+Queries and candidates meet block by block. Candidate blocks go to as many
+groups as there are shuffle partitions, the (50 times fewer) query blocks are
+copied to each group, and each pair of blocks yields at most k rows a query. The pivots are the only rows
 the driver holds: ``PIVOTS`` rows chosen from ``PIVOT_SAMPLE``.
 
 Results on odd input: vectors that are null, empty, or hold a null or
@@ -156,7 +156,8 @@ def top_k(spark: SparkSession, df: DataFrame, is_query: Column, k: int = 5, key:
     queries = (vectors.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
                .mapInPandas(_packer(pivots, QUERY_ROWS), BLOCK))
     queries = stored(spark, queries, "topk-queries")
-    groups = max(1, data.count())
+    # Each query block is copied to every group, so the groups are as many as the tasks, not as the blocks.
+    groups = max(1, min(data.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     data = data.withColumn("g", F.pmod(F.xxhash64("part", "block"), F.lit(groups)).cast("int"))
     queries = (queries.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
                .select("g", *[F.col(c).alias(f"q_{c}") for c in ("ids", "vecs", "dists")]))
