@@ -37,9 +37,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm.common import crc_mod, stored
+from farelake.llm.common import crc_mod, discard, stored
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Scoring holds the filter as well, so its blocks are smaller.
 SCORE_BLOCK_BYTES = 2 << 20
 PAGE_TOKENS = 400_000
@@ -300,14 +300,18 @@ def score(spark: SparkSession, docs: DataFrame, model: DataFrame, pages: int,
     table = sc.broadcast((th[order], tn[order]))
     segments = max(1, math.ceil(size / segment_bytes))
     df = docs.select("doc_id", "held_out", "text")
+    before: list[str] = []
     for s in range(segments):
         mine = model.where(F.col("page") % segments == s).select("page", "nbits", "bits").toArrow()
         held = sc.broadcast(Filter(pages, list(zip(mine["page"].to_pylist(), mine["nbits"].to_pylist(),
                                                    mine["bits"].to_pylist(), strict=True))))
         del mine
         last = s == segments - 1
+        after: list[str] = []
         df = stored(spark, df.mapInPandas(_pass(held, table, total, types, s == 0, last, exact),
-                                          SCORED if last else PASS), "lm-scores" if last else "lm-levels")
+                                          SCORED if last else PASS), "lm-scores" if last else "lm-levels", after)
+        discard(spark, before)
+        before = after
         held.destroy()
     table.destroy()
     if not exact:
