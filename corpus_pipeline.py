@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. ``run`` writes
 what a stage returns to the shared folder as Parquet, and the next stage reads
-it back, so no stage's lineage reaches into another's.
+it back, so no stage's lineage reaches into another's; what the stage before
+wrote is then removed.
 
 1. quality: documents that the classifier rejects go.
 2. line_dedup: later repeats of runs of lines are cut out of the texts; a
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm.common import stored, table
+from farelake.llm.common import discard, stored, table
 from farelake.llm.decontam import decontaminate
 from farelake.llm.linededup import dedup_lines
 from farelake.llm.mixing import poisson_mix
@@ -65,7 +66,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = stored(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+        after: list[str] = []
+        docs = stored(spark, stage(spark, docs, sf_dir), f"pipeline-{name}", after)
+        discard(spark, before)
+        before = after
     return docs
