@@ -12,6 +12,8 @@ import numpy as np
 
 FIRST_BAND = 8
 CELLS = 1 << 15
+#: Tokens of the pairs that go through the rows together.
+TOKENS = 1 << 20
 FAR = 1 << 29
 
 
@@ -96,8 +98,10 @@ def similar(pairs: list[tuple[np.ndarray, np.ndarray]], least: float) -> np.ndar
         at = 0
         while at < len(now):
             width = min(w, now[at][3])
-            size = max(1, CELLS // (2 * width + 1))
-            cut = [x for x in now[at:at + size] if min(w, x[3]) == width]
+            most = max(1, CELLS // (2 * width + 1))
+            # Lengths ascend, so the last text of a batch is its longest.
+            cut = [x for k, x in enumerate(now[at:at + most])
+                   if min(w, x[3]) == width and (k == 0 or (k + 1) * len(x[1]) <= TOKENS)]
             found = band_distances([(x[1], x[2]) for x in cut], width)
             for x, d in zip(cut, found, strict=True):
                 if d <= width:

@@ -4,8 +4,8 @@ Each round every vertex points to its smallest neighbour (a partial
 aggregate), and both ends of every edge move along the pointers; edges inside
 a vertex vanish and the rest are made distinct. A star, however large, is done
 in one round, and the vertices left at least halve each round. Edges and the
-map of vertices are stored in the shared folder after every round. Nothing is
-gathered on the driver but a row count.
+map of vertices are stored in the shared folder after every round, and those
+of the round before removed. Nothing is gathered on the driver.
 
 Null ends are dropped; loops and repeated edges change nothing; no edges give
 no rows.
@@ -16,29 +16,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm.common import stored
+from farelake.llm.common import discard, stored
 
 
-def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """(node, root) for every vertex of ``edges`` (a, b: long); root is the component's smallest vertex."""
+def components(spark: SparkSession, edges: DataFrame, scratch: list[str] | None = None) -> DataFrame:
+    """(node, root) for every vertex of ``edges`` (a, b: long); root is the component's smallest vertex.
+
+    The result is a stored table, added to ``scratch``.
+    """
     edges = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = stored(spark, edges, "edges")
-    nodes = None
+    used: list[str] = []
+    edges, nodes, kept = stored(spark, edges, "edges", used), None, []
     while True:
         both = edges.union(edges.select("b", "a"))
         to = both.groupBy("a").agg(F.min("b").alias("b")).select(
             F.col("a").alias("v"), F.least("a", "b").alias("to"))
-        to = stored(spark, to, "pointers")
+        to = stored(spark, to, "pointers", used)
         if nodes is None:
             nodes = to.select(F.col("v").alias("node"), F.col("to").alias("root"))
         else:
             nodes = nodes.join(to, nodes["root"] == to["v"], "left").select(
                 "node", F.coalesce("to", "root").alias("root"))
-        nodes = stored(spark, nodes, "roots")
+        used += kept
+        kept = []
+        nodes = stored(spark, nodes, "roots", kept)
         moved = (edges.join(to, edges["a"] == to["v"]).select(F.col("to").alias("a"), "b"))
         moved = (moved.join(to, moved["b"] == to["v"]).select("a", F.col("to").alias("b"))
                  .where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-        edges = stored(spark, moved, "edges")
+        later: list[str] = []
+        edges = stored(spark, moved, "edges", later)
+        discard(spark, used)
+        used = later
         if edges.isEmpty():
+            discard(spark, used)
+            if scratch is not None:
+                scratch += kept
             return nodes

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from farelake.functions.joins import bounded
 from farelake.llm.align import similar
-from farelake.llm.common import stored, text_hash
+from farelake.llm.common import discard, stored, text_hash
 from farelake.llm.graph import components
 
 K = 5
@@ -71,7 +71,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Words:
     """Hashes words; remembers those seen, up to a bound."""
 
-    def __init__(self, most: int = 1 << 20):
+    def __init__(self, most: int = 1 << 17):
         self.seen: dict[str, int] = {}
         self.most = most
 
@@ -226,11 +226,11 @@ def _pairs_beside(stars: DataFrame, words: DataFrame, least: float) -> DataFrame
     return joined.union(tiles).distinct()
 
 
-def _links(spark: SparkSession, pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
+def _links(spark: SparkSession, pairs: DataFrame, words: DataFrame, least: float, scratch: list[str]) -> DataFrame:
     """The pairs (a, b) that alignment confirms."""
     side = lambda c: words.select(F.col("node").alias(c), F.col("words").alias(f"w{c}"))
     met = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    return stored(spark, met.mapInPandas(_aligner(least), "a long, b long"), "links")
+    return stored(spark, met.mapInPandas(_aligner(least), "a long, b long"), "links", scratch)
 
 
 def _roots(df: DataFrame, roots: DataFrame | None, col: str, out: str) -> DataFrame:
@@ -241,57 +241,60 @@ def _roots(df: DataFrame, roots: DataFrame | None, col: str, out: str) -> DataFr
     return df.join(r, df[col] == r["_n"], "left").withColumn(out, F.coalesce("_r", col)).drop("_n", "_r")
 
 
-def _merge(spark: SparkSession, roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
+def _merge(spark: SparkSession, roots: DataFrame | None, links: DataFrame, scratch: list[str]) -> DataFrame | None:
     """Roots after joining the components that ``links`` connect."""
     if links.isEmpty():
         return roots
     if roots is None:
-        return components(spark, links)
+        return components(spark, links, scratch)
     ends = _roots(_roots(links, roots, "a", "ra"), roots, "b", "rb")
-    up = components(spark, ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    up = components(spark, ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")), scratch)
     up = up.select(F.col("node").alias("_u"), F.col("root").alias("_up"))
     moved = roots.join(up, roots["root"] == up["_u"], "left").select("node", F.coalesce("_up", "root").alias("root"))
     new = up.join(roots, up["_u"] == roots["node"], "left_anti").select(
         F.col("_u").alias("node"), F.col("_up").alias("root"))
-    return stored(spark, moved.union(new), "roots")
+    return stored(spark, moved.union(new), "roots", scratch)
 
 
 def near_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K,
                  ell: int = ELL, sketches: int = SKETCHES, least: float = SIMILARITY) -> DataFrame:
     """(doc_id, th, class_id): one row per row of ``docs``; th is the hash of its text."""
+    scratch: list[str] = []
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_hash(text).alias("th"), F.col(text).alias("text"))
-    sig = stored(spark, rows.mapInPandas(_signer(k, ell, sketches), SIGNATURE), "omh")
+    sig = stored(spark, rows.mapInPandas(_signer(k, ell, sketches), SIGNATURE), "omh", scratch)
     nameless = F.xxhash64("digest").bitwiseOR(F.lit(-(1 << 63)))
     of = stored(spark, sig.groupBy("digest").agg(F.min("doc_id").alias("id")).select(
-        F.col("digest").alias("_g"), F.coalesce("id", nameless).alias("node")), "omh-nodes")
+        F.col("digest").alias("_g"), F.coalesce("id", nameless).alias("node")), "omh-nodes", scratch)
     own = (sig.join(of, sig["digest"] == of["_g"]).drop("_g")
            .where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("node"))))
     members = own.select("node", "n_words", F.explode("sketches").alias("b"))
     lead = F.min(F.struct(F.xxhash64("node", "b").alias("o"), F.col("node").alias("lead"), F.col("n_words").alias("ln")))
     leaders = (members.groupBy("b").agg(lead.alias("l"), F.min("node").alias("lo"), F.max("node").alias("hi"))
                .where("lo <> hi").select("b", "l.lead", "l.ln"))
-    stars = stored(spark, members.join(leaders, "b").where("node <> lead").distinct(), "omh-stars")
+    stars = stored(spark, members.join(leaders, "b").where("node <> lead").distinct(), "omh-stars", scratch)
     nodes = stars.select("node").union(stars.select("lead")).distinct()
-    nodes = bounded(stored(spark, nodes, "omh-involved"), max_rows=NODES_MAX)
+    nodes = bounded(stored(spark, nodes, "omh-involved", scratch), max_rows=NODES_MAX)
     words = stored(spark, own.select("node", "words", "bag", "sketches").join(nodes, "node", "left_semi").dropDuplicates(["node"]),
-                   "omh-words")
+                   "omh-words", scratch)
     near = F.least("n_words", "ln") >= F.greatest("n_words", "ln") * least - 1e-6
     # 1. Each text with the leader it shares most sketches with.
     shared = stars.where(near).groupBy("node", "lead").agg(F.count(F.lit(1)).alias("c"))
     best = stored(spark, shared.groupBy("node").agg(F.max(F.struct("c", "lead")).alias("m")).select(
-        F.col("node").alias("a"), F.col("m.lead").alias("b")), "omh-best")
-    roots = _merge(spark, None, _links(spark, best, words, least))
+        F.col("node").alias("a"), F.col("m.lead").alias("b")), "omh-best", scratch)
+    roots = _merge(spark, None, _links(spark, best, words, least, scratch), scratch)
     # 2. With its other leaders, where not connected.
     rest = shared.select(F.col("node").alias("a"), F.col("lead").alias("b")).join(best, ["a", "b"], "left_anti")
     rest = _roots(_roots(rest, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb")
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    roots = _merge(spark, roots, _links(spark, stored(spark, rest, "omh-rest"), words, least))
+    roots = _merge(spark, roots, _links(spark, stored(spark, rest, "omh-rest", scratch), words, least, scratch), scratch)
     # 3. In buckets that are not one component: texts apart from their leader with the others.
-    star = stored(spark, _roots(_roots(stars, roots, "node", "r"), roots, "lead", "lr"), "omh-rooted")
+    star = stored(spark, _roots(_roots(stars, roots, "node", "r"), roots, "lead", "lr"), "omh-rooted", scratch)
     last = _pairs_beside(star, words, least)
-    roots = _merge(spark, roots, _links(spark, stored(spark, last, "omh-last"), words, least))
+    roots = _merge(spark, roots, _links(spark, stored(spark, last, "omh-last", scratch), words, least, scratch), scratch)
     out = sig.select("doc_id", "th", "digest").join(of, F.col("digest") == F.col("_g")).select("doc_id", "th", "node")
-    return _roots(out, roots, "node", "class_id").select("doc_id", "th", "class_id")
+    out = stored(spark, _roots(out, roots, "node", "class_id").select("doc_id", "th", "class_id"), "omh-classes")
+    discard(spark, scratch)
+    return out
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", **params) -> DataFrame:
