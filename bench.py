@@ -22,8 +22,7 @@ HEADLINE = [
     "measure_summary", "hist_total", "zone_map", "borough_mix", "zone_tiers", "fk_orphans",
     "constraint_violations", "clean_rejects", "ingest_ledger", "impute_median", "ordinal_encode",
     "daily_trips_window", "kpi_window", "date_window", "trip_sample", "zone_name_to_id", "request_rows",
-    "imputed_rows", "encoded_rows", "load_modes_full", "reload_idempotent", "load_batches_twice",
-    "model_train", "score_batch", "score_requests",
+    "imputed_rows", "encoded_rows", "load_modes_full", "reload_idempotent",
 ]
 
 

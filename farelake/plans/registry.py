@@ -1016,13 +1016,14 @@ def _rmse(spark, sf_dir):
 
 
 TARGET_COL = "total_amount"
-# Boosting rounds of the registered smoke queries; the library default is 300.
+# Boosting rounds of the model behind the registered queries, named in the key of
+# the fit; the library default is 300.
 QUERY_ROUNDS = 20
 _MODELS: dict = {}
 
 
 def _model(spark, sf_dir):
-    """The smoke model of ``sf_dir``: trained once and published next to the
+    """The model of ``sf_dir``: trained once and published next to the
     warehouse it was trained from, so later runs load it."""
     from farelake.plans.star import publish_json, read_json
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -1045,7 +1046,7 @@ def _model(spark, sf_dir):
     return _MODELS[key]
 
 
-@register("model_train")
+@register(f"model_train_{QUERY_ROUNDS}_rounds")
 def _model_train(spark, sf_dir):
     """Fit, evaluate on the test part, save and reload."""
     m, rows = _model(spark, sf_dir)
