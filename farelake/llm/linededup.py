@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelake.llm.common import text_hash
+from farelake.llm.common import discard, stored, text_hash
 
 MIN_WORDS = 50
 #: Parts in which a fingerprint or window that many documents share is joined.
@@ -86,16 +86,24 @@ def _repeated(df: DataFrame, keys: list[str], place: Column) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, th, lines): the positions (from 0) of each row's lines to delete."""
-    wins = windows(line_table(docs, key, text), min_words).withColumn(
+    """(doc_id, th, lines): the positions (from 0) of each row's lines to delete.
+
+    The windows are stored once, as three steps read them, and removed when the
+    result is stored.
+    """
+    spark, scratch = docs.sparkSession, []
+    wins = stored(spark, windows(line_table(docs, key, text), min_words), "windows", scratch).withColumn(
         "salt", F.pmod(F.xxhash64("doc_id", "th"), F.lit(SALTS)).cast("int"))
     prints = _repeated(wins, ["fp"], _place("m")).select("fp", "salt")
     wins = wins.join(prints, ["fp", "salt"], "left_semi").select("doc_id", "th", "a", "b", "c1", "c2", "salt")
     first = _repeated(wins, ["c1", "c2"], _place("a"))
     later = wins.join(first, ["c1", "c2", "salt"]).where(_place("a") > F.col("first"))
     runs = later.groupBy("doc_id", "th", "a").agg(F.max("b").alias("b"))
-    return (runs.select("doc_id", "th", F.explode(F.sequence("a", "b")).alias("line"))
-            .groupBy("doc_id", "th").agg(F.collect_set("line").alias("lines")))
+    out = (runs.select("doc_id", "th", F.explode(F.sequence("a", "b")).alias("line"))
+           .groupBy("doc_id", "th").agg(F.collect_set("line").alias("lines")))
+    out = stored(spark, out, "repeated-lines")
+    discard(spark, scratch)
+    return out
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
@@ -105,7 +113,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     gone = repeated_lines(docs, key, text, min_words).select(
         F.col("doc_id").alias("__llm_d"), F.col("th").alias("__llm_t"), F.col("lines").alias("__llm_gone"))
     same = F.col(key).eqNullSafe(F.col("__llm_d")) & (F.col("__llm_th") == F.col("__llm_t"))
-    joined = docs.withColumn("__llm_th", text_hash(text)).join(gone, same, "left")
+    # The rows to clean grow with the documents: a sort-merge join at every size.
+    joined = docs.withColumn("__llm_th", text_hash(text)).join(gone.hint("merge"), same, "left")
     lines = F.split(F.col(text), "\n", -1)
     joined = joined.withColumns({
         "__llm_lines": lines,
