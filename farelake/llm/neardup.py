@@ -10,18 +10,20 @@ candidates; a pair is a link when banded alignment finds an edit similarity
 of at least ``SIMILARITY`` (1 - word edits / longer length). Classes are the
 components of the links.
 
-With ``ELL`` 3 and 32 sketches, a pair whose labelled k-mers have Jaccard
-similarity J shares a sketch with probability 1 - (1 - J^3)^32: above
-0.9999999 at J = 0.8, 0.98 at 0.5, 0.87 at 0.4.
+An edit takes at most ``K`` k-mers, so with ``K`` 2 any pair at edit
+similarity 0.8 keeps 3/5 of them (Jaccard similarity 0.43) wherever its edits
+are, and shares one of 64 sketches of 3 with probability 0.995 (0.999 at the
+Jaccard similarity of 0.47 that random edits leave, above 0.99999 at edit
+similarity 0.85).
 
 Equal texts are one vertex from the start. A bucket (texts that share a
 sketch) is never expanded into all its pairs. First, every text is aligned
 with one text: the leader, random per bucket, that it shares most sketches
 with. Then with the leaders of its other buckets, where the two are not
 connected yet. Last, in buckets where some texts are still not connected to
-the leader, texts of different components are compared by their word counts,
-in blocks of bounded size, and those whose counts allow a link are aligned.
-Connected pairs are left out throughout, as they cannot change a class.
+the leader, texts of different components are compared with each other, in
+blocks of bounded size. Pairs whose word counts rule out a link are not
+aligned. Connected pairs are left out throughout, as they cannot change a class.
 
 Results on odd input: null and empty texts, and those without a word, are
 equal; texts of fewer than K words are one k-mer; a class id is the smallest
@@ -46,11 +48,11 @@ from farelake.llm.align import similar
 from farelake.llm.common import discard, stored, text_hash
 from farelake.llm.graph import components
 
-K = 5
+K = 2
 ELL = 3
-SKETCHES = 32
+SKETCHES = 64
 SIMILARITY = 0.8
-CHUNK = 1 << 15
+CHUNK = 1 << 12
 NODES_MAX = 2_000_000
 #: Buckets up to FEW texts are paired by a join, larger ones in blocks of about BLOCK texts.
 FEW = 12
@@ -109,23 +111,21 @@ def order_sketches(kmers: np.ndarray, ell: int, sketches: int) -> np.ndarray:
     """One hash per order: its ell smallest labelled k-mers, in text order."""
     if not len(kmers):
         return np.zeros(0, np.int64)
-    ell = min(ell, len(kmers))
-    best = np.zeros((0, sketches), np.int64)
+    ell, best = min(ell, len(kmers)), []
     for at in range(0, len(kmers), CHUNK):
-        here = np.arange(at, min(at + CHUNK, len(kmers)))
-        value = kmers[here][:, None] * _ORDERS[None, :sketches]
-        value ^= value >> U64(32)
-        some = min(ell, len(here))
-        pick = here[np.argpartition(value, some - 1, axis=0)[:some]]
-        best = np.concatenate([best, pick])
-        if len(best) > ell:
-            v = kmers[best] * _ORDERS[None, :sketches]
-            v ^= v >> U64(32)
-            best = np.take_along_axis(best, np.argpartition(v, ell - 1, axis=0)[:ell], axis=0)
-    best = np.sort(best, axis=0)
+        value = _ORDERS[:sketches, None] * kmers[None, at:at + CHUNK]
+        for _ in range(min(ell, value.shape[1])):
+            pick = value.argmin(axis=1)[:, None]
+            np.put_along_axis(value, pick, ~U64(0), axis=1)
+            best.append(pick + at)
+    best = np.concatenate(best, axis=1)
+    if best.shape[1] > ell:
+        value = _ORDERS[:sketches, None] * kmers[best]
+        best = np.take_along_axis(best, np.argpartition(value, ell - 1, axis=1)[:, :ell], axis=1)
+    best = np.sort(best, axis=1)
     out = np.arange(sketches).astype(U64)
     for j in range(ell):
-        out = mix(out * _POWERS[j + 8] + kmers[best[j]])
+        out = mix(out * _POWERS[j + 8] + kmers[best[:, j]])
     return out.view(np.int64)
 
 
@@ -149,7 +149,7 @@ def _signer(k: int, ell: int, sketches: int):
                     "digest": [xxhash.xxh128_digest(w.tobytes()) for w in words], "n_words": [len(w) for w in words],
                     "words": [w.astype(np.uint32).tobytes() for w in words],
                     "bag": [word_bag(w).tobytes() for w in words],
-                    "sketches": [order_sketches(labelled_kmers(w, k), ell, sketches) for w in words]})
+                    "sketches": [np.unique(order_sketches(labelled_kmers(w, k), ell, sketches)) for w in words]})
     return run
 
 
@@ -164,36 +164,54 @@ def _aligner(least: float):
     return run
 
 
-def close_pairs(root: np.ndarray, size: np.ndarray, bags: np.ndarray, left: np.ndarray, right: np.ndarray,
-                least: float) -> list[tuple[int, int]]:
-    """Pairs (from left, from right) of texts that are not connected and whose words do not rule out a link.
+def _rows(bags: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(bags), np.uint8).reshape(-1, 256)
+
+
+def few_edits(bag_a: np.ndarray, bag_b: np.ndarray, longer: np.ndarray, least: float) -> np.ndarray:
+    """Whether the word counts allow a link.
 
     Every word that one text has and the other lacks takes an edit, and the
     bags can only show fewer of them, so no link is left out.
     """
+    gap = bag_b.astype(np.int16) - bag_a.astype(np.int16)
+    edits = np.maximum(np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1))
+    return edits <= (1 - least) * longer + 1e-6
+
+
+def _bag_filter(least: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), 10_000):
+                cut = pdf.iloc[at:at + 10_000]
+                longer = np.maximum(cut["na"].to_numpy(), cut["nb"].to_numpy())
+                yield cut[["a", "b"]][few_edits(_rows(cut["ba"]), _rows(cut["bb"]), longer, least)]
+    return run
+
+
+def close_pairs(root: np.ndarray, size: np.ndarray, bags: np.ndarray, left: np.ndarray, right: np.ndarray,
+                least: float) -> list[tuple[int, int]]:
+    """Pairs (from left, from right) of texts that are not connected and whose words do not rule out a link."""
     out = []
     for x in left:
         y = right[(root[right] != root[x]) & ((right > x) if left is right else True)]
         longer = np.maximum(size[y], size[x])
         y = y[np.abs(size[y] - size[x]) <= (1 - least) * longer + 1e-6]
-        gap = bags[y].astype(np.int16) - bags[x].astype(np.int16)
-        edits = np.maximum(np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1))
-        out += [(x, k) for k in y[edits <= (1 - least) * np.maximum(size[y], size[x]) + 1e-6]]
+        out += [(x, k) for k in y[few_edits(bags[x], bags[y], np.maximum(size[y], size[x]), least)]]
     return out
 
 
 def _tile(least: float):
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         b, i, j = key
-        bags = np.frombuffer(b"".join(pdf["bag"]), np.uint8).reshape(-1, 256)
+        bags = _rows(pdf["bag"])
         block, node = pdf["block"].to_numpy(), pdf["node"].to_numpy()
         left = np.flatnonzero(block == i)
         right = left if i == j else np.flatnonzero(block == j)
         pairs = close_pairs(pdf["r"].to_numpy(), pdf["n_words"].to_numpy(), bags, left, right, least)
-        # A pair that shares several sketches comes out of the bucket of the first.
-        sketches = np.array(pdf["sketches"].tolist(), np.int64)
-        before = sketches[:, :int(np.flatnonzero(sketches[0] == b)[0])]
-        pairs = [(x, y) for x, y in pairs if not (before[x] == before[y]).any()]
+        # A pair that shares several sketches comes out of the bucket of the smallest.
+        before = [frozenset(s[s < b].tolist()) for s in pdf["sketches"]]
+        pairs = [(x, y) for x, y in pairs if before[x].isdisjoint(before[y])]
         ends = node[np.array(pairs, np.int64).reshape(-1, 2)]
         return pd.DataFrame({"a": ends.min(axis=1, initial=np.iinfo(np.int64).max), "b": ends.max(
             axis=1, initial=np.iinfo(np.int64).min)})
@@ -228,8 +246,10 @@ def _pairs_beside(stars: DataFrame, words: DataFrame, least: float) -> DataFrame
 
 def _links(spark: SparkSession, pairs: DataFrame, words: DataFrame, least: float, scratch: list[str]) -> DataFrame:
     """The pairs (a, b) that alignment confirms."""
+    bag = lambda c: words.select(F.col("node").alias(c), F.col("n_words").alias(f"n{c}"), F.col("bag").alias(f"b{c}"))
     side = lambda c: words.select(F.col("node").alias(c), F.col("words").alias(f"w{c}"))
-    met = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    fit = pairs.select("a", "b").join(bag("a"), "a").join(bag("b"), "b").mapInPandas(_bag_filter(least), "a long, b long")
+    met = stored(spark, fit, "fit", scratch).join(side("a"), "a").join(side("b"), "b")
     return stored(spark, met.mapInPandas(_aligner(least), "a long, b long"), "links", scratch)
 
 
@@ -273,9 +293,10 @@ def near_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
                .where("lo <> hi").select("b", "l.lead", "l.ln"))
     stars = stored(spark, members.join(leaders, "b").where("node <> lead").distinct(), "omh-stars", scratch)
     nodes = stars.select("node").union(stars.select("lead")).distinct()
-    nodes = bounded(stored(spark, nodes, "omh-involved", scratch), max_rows=NODES_MAX)
-    words = stored(spark, own.select("node", "words", "bag", "sketches").join(nodes, "node", "left_semi").dropDuplicates(["node"]),
-                   "omh-words", scratch)
+    # The words are met by the digests of the texts involved, so those of all other texts stay where they are.
+    nodes = bounded(stored(spark, of.join(nodes, "node", "left_semi"), "omh-involved", scratch), max_rows=NODES_MAX)
+    words = sig.join(nodes, sig["digest"] == nodes["_g"]).where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("node")))
+    words = stored(spark, words.select("node", "n_words", "words", "bag", "sketches").dropDuplicates(["node"]), "omh-words", scratch)
     near = F.least("n_words", "ln") >= F.greatest("n_words", "ln") * least - 1e-6
     # 1. Each text with the leader it shares most sketches with.
     shared = stars.where(near).groupBy("node", "lead").agg(F.count(F.lit(1)).alias("c"))

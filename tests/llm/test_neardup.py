@@ -170,3 +170,27 @@ def test_large_buckets_go_in_blocks(spark, docs, monkeypatch):
         rows.append((2 * i + 1, " ".join(passage + edited(rnd, own, 6, vocab))))
     got = classes(spark, docs(rows))[1]
     assert got == sorted(((i, i - i % 2) for i in range(120)), key=str)
+
+
+def brute_links(rows):
+    """Pairs of positions in ``rows`` with edit similarity 0.8."""
+    words = [neardup.Words()(t).astype(np.uint32) for _, t in rows]
+    pairs = [(a, b) for a in range(len(rows)) for b in range(a)]
+    return [p for p, ok in zip(pairs, align.similar([(words[a], words[b]) for a, b in pairs], 0.8)) if ok]
+
+
+@pytest.mark.parametrize("spread", ["random", "even"])
+def test_pairs_with_spread_edits_are_found(spark, docs, spread):
+    """Pairs at edit similarity 0.80 to 0.90, by one-word edits all over the text."""
+    rnd = random.Random(12)
+    rows = []
+    for i in range(240):
+        n = rnd.randrange(30, 300)
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+        other, d = list(base), int((0.20, 0.15, 0.10)[i % 3] * n)
+        for at in sorted(rnd.sample(range(n), d) if spread == "random" else [(2 * j + 1) * n // (2 * d) for j in range(d)]):
+            other[at] = f"x{rnd.randrange(10**6)}"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
+    assert brute_links(rows) == [(2 * i + 1, 2 * i) for i in range(240)]
+    got = dict(classes(spark, docs(rows))[1])
+    assert sum(got[2 * i + 1] == 2 * i for i in range(240)) >= 237
