@@ -16,6 +16,12 @@ are, and shares one of 64 sketches of 3 with probability 0.995 (0.999 at the
 Jaccard similarity of 0.47 that random edits leave, above 0.99999 at edit
 similarity 0.85).
 
+Pairs of texts of at most ``SHORT`` words are found for certain, without
+sketches drawn at random: what their labelled k-mers must have in common is
+known from the lengths, so the common ones with the smallest hashes are among
+the first few of both texts (prefix filter). Each pair of those first few is
+one key. Texts that could link to a longer text have the sketches as well.
+
 Equal texts are one vertex from the start. A bucket (texts that share a
 sketch) is never expanded into all its pairs. First, every text is aligned
 with one text: the leader, random per bucket, that it shares most sketches
@@ -36,6 +42,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -52,6 +59,8 @@ K = 2
 ELL = 3
 SKETCHES = 64
 SIMILARITY = 0.8
+#: Pairs of texts of at most SHORT words are candidates for certain.
+SHORT = 25
 CHUNK = 1 << 12
 NODES_MAX = 2_000_000
 #: Buckets up to FEW texts are paired by a join, larger ones in blocks of about BLOCK texts.
@@ -129,6 +138,50 @@ def order_sketches(kmers: np.ndarray, ell: int, sketches: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def edits_allowed(size: int, least: float) -> int:
+    """Most word edits of a link whose longer text has ``size`` words."""
+    return int((1 - least) * size + 1e-9)
+
+
+@cache
+def short_plan(least: float, most: int) -> tuple[int, int, dict[int, int]]:
+    """(k, t, need by length) of texts of at most ``most`` words: linked texts share at least ``need`` >= t k-mers."""
+    longer = [m for m in range(1, most + 1) if edits_allowed(m, least)]
+    for k, t in ((2, 2), (1, 2), (1, 1)):
+        # Each edit takes at most k of the longer text's m - k + 1 k-mers.
+        left = {m: m - k + 1 - k * edits_allowed(m, least) for m in longer}
+        if min(left.values(), default=t) >= t:
+            break
+    need = {}
+    for m in longer:
+        for n in range(max(1, m - edits_allowed(m, least)), m + 1):
+            need[n] = max(t, min(need.get(n, m), left[m]))
+    return k, t, need
+
+
+def short_sketches(words: np.ndarray, least: float, most: int | None = None) -> np.ndarray:
+    """Keys of a short text; any two that could link share one. Equal texts need none."""
+    k, t, need = short_plan(least, SHORT if most is None else most)
+    if len(words) not in need:
+        return np.zeros(0, np.int64)
+    kmers = np.sort(labelled_kmers(words, k))
+    first = kmers[:max(0, len(kmers) - need[len(words)] + t)]
+    if t == 1:
+        return mix(first ^ U64(0x5348)).view(np.int64)
+    i, j = np.triu_indices(len(first), 1)
+    return mix(first[i] * _POWERS[40] + first[j] * _POWERS[41]).view(np.int64)
+
+
+def sketches_of(words: np.ndarray, k: int, ell: int, sketches: int, least: float) -> np.ndarray:
+    """Sketches and keys of a text: those of long texts, of short ones, or both."""
+    out = []
+    if len(words) + edits_allowed(SHORT + 1, least) > SHORT:  # may link to a text of more than SHORT words
+        out.append(order_sketches(labelled_kmers(words, k), ell, sketches))
+    if len(words) <= SHORT:
+        out.append(short_sketches(words, least))
+    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.int64)
+
+
 SIGNATURE = "doc_id long, th long, digest binary, n_words int, words binary, bag binary, sketches array<long>"
 
 
@@ -137,7 +190,7 @@ def word_bag(words: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((words & U64(255)).astype(np.int64), minlength=256), 255).astype(np.uint8)
 
 
-def _signer(k: int, ell: int, sketches: int):
+def _signer(k: int, ell: int, sketches: int, least: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = Words()
         for pdf in batches:
@@ -149,7 +202,7 @@ def _signer(k: int, ell: int, sketches: int):
                     "digest": [xxhash.xxh128_digest(w.tobytes()) for w in words], "n_words": [len(w) for w in words],
                     "words": [w.astype(np.uint32).tobytes() for w in words],
                     "bag": [word_bag(w).tobytes() for w in words],
-                    "sketches": [np.unique(order_sketches(labelled_kmers(w, k), ell, sketches)) for w in words]})
+                    "sketches": [sketches_of(w, k, ell, sketches, least) for w in words]})
     return run
 
 
@@ -281,7 +334,7 @@ def near_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     """(doc_id, th, class_id): one row per row of ``docs``; th is the hash of its text."""
     scratch: list[str] = []
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_hash(text).alias("th"), F.col(text).alias("text"))
-    sig = stored(spark, rows.mapInPandas(_signer(k, ell, sketches), SIGNATURE), "omh", scratch)
+    sig = stored(spark, rows.mapInPandas(_signer(k, ell, sketches, least), SIGNATURE), "omh", scratch)
     nameless = F.xxhash64("digest").bitwiseOR(F.lit(-(1 << 63)))
     of = stored(spark, sig.groupBy("digest").agg(F.min("doc_id").alias("id")).select(
         F.col("digest").alias("_g"), F.coalesce("id", nameless).alias("node")), "omh-nodes", scratch)

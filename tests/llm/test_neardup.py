@@ -194,3 +194,34 @@ def test_pairs_with_spread_edits_are_found(spark, docs, spread):
     assert brute_links(rows) == [(2 * i + 1, 2 * i) for i in range(240)]
     got = dict(classes(spark, docs(rows))[1])
     assert sum(got[2 * i + 1] == 2 * i for i in range(240)) >= 237
+
+
+@pytest.mark.parametrize("least", [0.8, 0.9, 0.6])
+def test_short_pairs_share_a_key_for_certain(least):
+    rnd, hashes, met = random.Random(4), neardup.Words(), 0
+    for i in range(6000):
+        words = 5 if i % 2 else 1000
+        a = [f"w{rnd.randrange(words)}" for _ in range(rnd.randrange(1, neardup.SHORT + 1))]
+        b = edited(rnd, a, rnd.randrange(1, 8), [f"w{j}" for j in range(words)])
+        x, y = hashes(" ".join(a)), hashes(" ".join(b))
+        if a != b and max(len(a), len(b)) <= neardup.SHORT and align.similar([(x, y)], least)[0]:
+            met += 1
+            assert set(neardup.sketches_of(x, 2, 3, 0, least)) & set(neardup.sketches_of(y, 2, 3, 0, least)), (a, b)
+    assert met > 500
+
+
+def test_short_texts_equal_brute_force(spark, docs):
+    """Texts of 3 to 28 words, over the bound of what is certain, with up to a fifth of the words edited."""
+    rnd = random.Random(14)
+    vocab = [f"w{i}" for i in range(3000)]
+    rows = [(0, "a b c d e f g"), (1, "a b c d e f x"), (2, "k l m n o"), (3, "k l m n"), (4, "p q r s t u v y z j"), (5, "p q r s x u v y z j")]
+    for _ in range(300):
+        base = rnd.choices(vocab, k=rnd.randrange(3, 29))
+        rows.append((len(rows), " ".join(base)))
+        rows.append((len(rows), " ".join(edited(rnd, base, rnd.randrange(1, len(base) // 5 + 2), vocab))))
+    got = dict(classes(spark, docs(rows))[1])
+    links = brute_links(rows)
+    assert len(links) > 150 and [(a, b) for a, b in links if got[a] != got[b]] == []
+    assert got[1] == 0 and got[3] == 2 and got[5] == 4
+    root = {frozenset(p) for p in links}
+    assert all(frozenset((i, c)) in root for i, c in got.items() if i != c)
