@@ -7,9 +7,11 @@ joined with those of the benchmark. A hit puts a benchmark item on a diagonal
 of the document; the aligned words around it are compared, and the pair is an
 overlap when ``NEED`` of ``WINDOW`` consecutive aligned words are equal (for
 items shorter than a window: four fifths of their words). Each of the masks
-hits every window of 13 with up to two substitutions (checked by the tests),
-so the result is exact for that definition. Items shorter than a mask must
-occur whole; their seed is the first word.
+hits every window of 13 with up to two substitutions. Items of 8 to 12 words
+have masks of their own (``MID_MASKS``, 4 words over 6 positions), which
+together hit every tolerated pattern. Items of less than 8 words must occur
+whole; their seed is the first word. The tests check every pattern of every
+size, so the result is exact for that definition.
 
 The benchmark's seeds are broadcast when a count shows they are within
 ``SEEDS_MAX``: then the texts are read once and only verified overlaps are
@@ -32,6 +34,8 @@ from farelake.llm.common import text_hash
 
 MASKS = [(0, 1, 3, 6, 7), (0, 1, 4, 6, 7)]
 SPAN = 8
+#: For items of SPAN to WINDOW - 1 words.
+MID_MASKS = [(0, 1, 2, 5), (0, 1, 3, 5)]
 WINDOW = 13
 NEED = 11
 SEEDS_MAX = 4_000_000
@@ -42,27 +46,32 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(h: Column, at: Column) -> Column:
-    return F.array(*[F.xxhash64(F.lit(m), *[F.get(h, at + o) for o in mask]) for m, mask in enumerate(MASKS)])
+def _seeds(h: Column, at: Column, masks: list[tuple[int, ...]]) -> Column:
+    return F.array(*[F.xxhash64(F.lit(m), *[F.get(h, at + o) for o in mask]) for m, mask in enumerate(masks)])
 
 
 def _need(size: Column) -> Column:
     return F.when(size < SPAN, size).otherwise(F.least(F.lit(NEED), F.ceil(size * 0.8))).cast("int")
 
 
-def _hits(docs: DataFrame, items: DataFrame, short: bool) -> tuple[DataFrame, DataFrame]:
-    """Seeds of the documents (doc_id, th, h, p, seed) and of the items (seed, item_id, q)."""
-    if short:
+def _of_size(kind: str) -> Column:
+    size = F.col("size")
+    return {"short": (size > 0) & (size < SPAN), "mid": (size >= SPAN) & (size < WINDOW), "long": size >= WINDOW}[kind]
+
+
+def _hits(docs: DataFrame, items: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Seeds of the documents (doc_id, th, h, p, seed) and of the items of a kind (seed, item_id, q)."""
+    items = items.where(_of_size(kind))
+    if kind == "short":
         d = docs.select("doc_id", "th", "h", F.posexplode("h").alias("p", "seed"))
-        b = items.where((F.col("size") < SPAN) & (F.col("size") > 0)).select(
-            F.get("words", 0).alias("seed"), "item_id", F.lit(0).alias("q"))
-        return d, b
-    d = (docs.where(F.size("h") >= SPAN)
-         .select("doc_id", "th", "h", F.explode(F.sequence(F.lit(0), F.size("h") - SPAN)).alias("p"))
-         .select("doc_id", "th", "h", "p", F.explode(_seeds(F.col("h"), F.col("p"))).alias("seed")))
-    b = (items.where(F.col("size") >= SPAN)
-         .select("item_id", "words", F.explode(F.sequence(F.lit(0), F.col("size") - SPAN)).alias("q"))
-         .select(F.explode(_seeds(F.col("words"), F.col("q"))).alias("seed"), "item_id", "q"))
+        return d, items.select(F.get("words", 0).alias("seed"), "item_id", F.lit(0).alias("q"))
+    masks = MASKS if kind == "long" else MID_MASKS
+    span = max(masks[0]) + 1
+    d = (docs.where(F.size("h") >= span)
+         .select("doc_id", "th", "h", F.explode(F.sequence(F.lit(0), F.size("h") - span)).alias("p"))
+         .select("doc_id", "th", "h", "p", F.explode(_seeds(F.col("h"), F.col("p"), masks)).alias("seed")))
+    b = (items.select("item_id", "words", F.explode(F.sequence(F.lit(0), F.col("size") - span)).alias("q"))
+         .select(F.explode(_seeds(F.col("words"), F.col("q"), masks)).alias("seed"), "item_id", "q"))
     return d, b
 
 
@@ -75,13 +84,13 @@ def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
     docs = docs.select(F.col(key).alias("doc_id"), text_hash(text).alias("th"), word_hashes(F.col(text)).alias("h"))
     items = bench.select(F.col(item).alias("item_id"), word_hashes(F.col(item_text)).alias("words")).distinct()
     items = items.withColumn("size", F.size("words"))
-    kinds = items.agg(F.sum(F.when((F.col("size") > 0) & (F.col("size") < SPAN), 1).otherwise(0)).alias("short"),
+    kinds = items.agg(*[F.sum(F.when(_of_size(k), 1).otherwise(0)).alias(k) for k in ("short", "mid")],
                       F.sum("size").alias("words")).first()
     small = (kinds["words"] or 0) * len(MASKS) <= seeds_max and fits(items, seeds_max)
     hint = F.broadcast if small else (lambda df: df)
     found = None
-    for short in [False] + ([True] if kinds["short"] else []):
-        d, b = _hits(docs, items, short)
+    for kind in ["long"] + [k for k in ("mid", "short") if kinds[k]]:
+        d, b = _hits(docs, items, kind)
         if small:
             hit = d.join(F.broadcast(b), "seed").select("doc_id", "th", "h", "item_id",
                                                         (F.col("p") - F.col("q")).alias("diag"))

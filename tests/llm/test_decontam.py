@@ -90,3 +90,27 @@ def test_texts_are_read_once_and_no_python(spark, docs):
     d = docs([(1, "a b c")])
     plan = decontam.overlaps(d, bench_frame(spark, [(1, " ".join("abcdefghijklmnop"))]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_mid_masks_hit_every_tolerated_pattern():
+    """Words that lie outside the document count as wrong ones at the ends."""
+    assert {max(m) for m in decontam.MID_MASKS} == {5}
+    for size in range(decontam.SPAN, decontam.WINDOW):
+        for errors in range(size - -(-size * 4 // 5) + 1):
+            for wrong in itertools.combinations(range(size), errors):
+                assert any(all(s + o not in wrong for o in mask) for mask in decontam.MID_MASKS for s in range(size - 5))
+
+
+@pytest.mark.parametrize("seeds_max", [decontam.SEEDS_MAX, 0])
+def test_items_of_8_to_12_words_equal_brute_force(spark, docs, seeds_max):
+    bench = [(n, " ".join(f"i{n}x{j}" for j in range(n))) for n in range(8, 13)]
+    rows = [(1, "one two three")]
+    for n, text in bench:
+        for errors in (1, 2, 3):
+            for k, wrong in enumerate(itertools.combinations(range(n), errors)):
+                if errors < 3 or k % 20 == 0:
+                    words_ = [f"no{j}" if j in wrong else w for j, w in enumerate(text.split())]
+                    rows.append((len(rows) + 1, " ".join(["before"] * (k % 3) + words_ + ["after"] * (k % 2))))
+        rows += [(len(rows) + 1 + j, " ".join(text.split()[j:j + n - 1])) for j in range(2)]  # a word lies outside
+    want = brute(rows, bench)
+    assert len(want) > 200 and run(spark, docs(rows), bench, seeds_max=seeds_max) == want
