@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from farelake.llm import decontam, licences, linededup, lm, mixing, neardup, quality, secrets, topk, warc
+from farelake.llm import (audit, centroids, decontam, langid, licences, linededup, lm, mixing, neardup, quality, secrets,
+                          topk, warc)
 from farelake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +79,21 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark, table(spark, sf_dir, "embeddings"), F.pmod("id", F.lit(50)) == 0)
 
 
+@register("op11_langid")
+def op11_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_ids(spark, table(spark, sf_dir, "documents"))
+
+
+@register("op12_audit", audit.AUDIT_SQL)
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op13_centroids", centroids.cluster_sql())
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

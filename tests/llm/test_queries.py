@@ -12,7 +12,7 @@ import pytest
 import __spark_entry__ as E
 from farelake.llm import align, mixing, registry
 
-from . import test_decontam, test_linededup, test_lm, test_secrets
+from . import test_decontam, test_langid, test_linededup, test_lm, test_secrets
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -42,7 +42,7 @@ def same(a, b):
 
 def test_one_query_per_operator():
     names = [re.match(r"op(\d+)_", n)[1] for n in registry.QUERIES if n != "pipeline"]
-    assert sorted(map(int, names)) == list(range(1, 11)) and "pipeline" in registry.QUERIES
+    assert sorted(map(int, names)) == list(range(1, 14)) and "pipeline" in registry.QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(registry.SQL))
@@ -101,6 +101,18 @@ def test_op4_equals_brute_force(spark, rows):
         assert ",".join(s for s in out[i].spans.split(",") if s.split(":")[0] in base) == want[4]
 
 
+def test_op11_equals_brute_force(spark, duck):
+    rows = duck.execute("SELECT doc_id, text, lang FROM documents").fetchall()
+    held = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0}
+    brute = test_langid.brute_profiles([(t, x) for i, t, x in rows if i not in held])
+    out = {r.doc_id: r for r in run(spark, "op11_langid").collect()}
+    assert len(out) == len(rows)
+    for i, t, x in rows:
+        assert out[i].held_out == (i in held)
+        assert (out[i].lang_pred, round(out[i].score, 12)) == test_langid.brute_predict(brute, t)[:2]
+    assert sum(out[i].lang_pred == x for i, _, x in rows if i in held) >= 0.95 * len(held)
+
+
 def test_pipeline_equals_brute_force(spark, duck, rows):
     good = {r.doc_id for r in run(spark, "op3_quality").where("predicted = 1").collect()}
     kept = [r for r in rows if r[0] in good]
