@@ -9,6 +9,12 @@ in growing batches, until the k-th best score exceeds every bound left, so
 the result is exact. The pivots themselves are candidates, which gives each
 query a first k-th best score before any block is read.
 
+Components are 64-bit integers and scores exact integers: products are added
+in doubles while |q| |x| stays under 2^53, in 64-bit integers up to 2^62, and as
+Python integers beyond. Bounds are doubles, widened by what their rounding can
+take. A component of 2^62 or more in size, and a score that does not fit a
+long, raises.
+
 Queries and candidates meet block by block. Candidate blocks go to as many
 groups as there are shuffle partitions, the (50 times fewer) query blocks are
 copied to each group, and each pair of blocks yields at most k rows a query. The pivots are the only rows
@@ -39,17 +45,25 @@ PIVOT_SAMPLE = 2048
 BLOCK_ROWS = 4096
 QUERY_ROWS = 512
 SLACK = 1e-3
+#: Relative widening of bounds: of distances (a root of a difference of squares) and of products.
+DISTANCE_ERROR, PRODUCT_ERROR = 1e-6, 1e-12
+LARGEST = 1 << 62
 
 BLOCK = "part int, block int, ids binary, vecs binary, dists binary"
 
 
 def integer_vectors(df: DataFrame, key: str, vec: str, scale: int = 256) -> DataFrame:
-    """(id, v): usable vectors with components floor(scale * x), x as double."""
+    """(id, v): usable vectors with components floor(scale * x), x as double; one that is too large raises."""
     v = F.col(vec)
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     return (df.where(v.isNotNull() & (F.size(v) > 0) & F.col(key).isNotNull() & ~F.exists(v, bad))
             .select(F.col(key).cast("long").alias("id"),
-                    F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")))
+                    F.transform(v, lambda x: _component(x.cast("double") * scale)).alias("v")))
+
+
+def _component(x: Column) -> Column:
+    large = F.raise_error(F.lit("a component is too large for exact scores")).cast("long")
+    return F.when(F.abs(x) < float(LARGEST), F.floor(x).cast("long")).otherwise(large)
 
 
 def choose_pivots(vectors: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -83,35 +97,51 @@ def _packer(pivots: np.ndarray, rows: int):
             pdf = pdf[[len(v) == dim for v in pdf["v"]]]
             for at in range(0, len(pdf), rows):
                 cut = pdf.iloc[at:at + rows]
-                m = np.stack(cut["v"].to_numpy()).astype(np.float64)
+                whole = np.stack(cut["v"].to_numpy()).astype(np.int64)
+                m = whole.astype(np.float64)
                 yield pd.DataFrame({"part": [part], "block": [n], "ids": [cut["id"].to_numpy(np.int64).tobytes()],
-                                    "vecs": [m.astype(np.int32).tobytes()],
+                                    "vecs": [whole.tobytes()],
                                     "dists": [_distances(m, pivots).tobytes()]})
                 n += 1
     return pack
 
 
-def search_block(qid, q, qd, xid, x, xd, start, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def exact_scores(x: np.ndarray, q: np.ndarray, size: float) -> np.ndarray:
+    """Inner products of integer rows with an integer vector; ``size`` is at least every |x| |q|."""
+    if size < 2 ** 53:
+        return (x.astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
+    if size < 2 ** 62:
+        return x @ q
+    return x.astype(object) @ q.astype(object)
+
+
+def search_block(qid, q, qd, xid, x, xd, start, k: int, reach: float = 0.0, count: list[int] | None = None
+                 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query: (its index, candidate positions, scores) of at least its k best of the block.
 
-    ``start`` is a score that the query's k-th best reaches for certain.
+    ``start`` is a score that the query's k-th best reaches for certain, ``reach``
+    the largest norm of a pivot.
     """
-    qn, xn = (q * q).sum(1), (x * x).sum(1)
+    qf, xf = q.astype(np.float64), x.astype(np.float64)
+    qn, xn = (qf * qf).sum(1), (xf * xf).sum(1)
+    qs, xs = np.sqrt(qn), np.sqrt(xn)
     for i in range(len(q)):
-        low = np.abs(xd - qd[i]).max(axis=1)
-        bound = (qn[i] + xn - np.maximum(low - SLACK, 0) ** 2) / 2 + SLACK
+        low = np.abs(xd - qd[i]).max(axis=1) - SLACK - DISTANCE_ERROR * (qs[i] + xs + reach)
+        bound = (qn[i] + xn - np.maximum(low, 0) ** 2) / 2 + SLACK + PRODUCT_ERROR * (qn[i] + xn)
         order = np.flatnonzero((bound >= start[i]) & (xid != qid[i]))
         order = order[np.argsort(-bound[order], kind="stable")]
         kth, pos, got, step, at = start[i], [], [], 4 * k, 0
         while at < len(order) and bound[order[at]] >= kth:
             cut = order[at:at + step]
             cut = cut[bound[cut] >= kth]
-            s = x[cut] @ q[i]
+            s = exact_scores(x[cut], q[i], qs[i] * xs[cut].max() * 1.01)
             pos.append(cut)
             got.append(s)
             allv = np.concatenate(got)
             if len(allv) >= k:
-                kth = max(kth, np.partition(allv, -k)[-k])
+                kth = max(kth, float(np.sort(allv)[-k]) * (1 - 1e-15))
+            if count is not None:
+                count.append(len(cut))
             at += step
             step *= 2
         if pos:
@@ -123,21 +153,24 @@ def search_block(qid, q, qd, xid, x, xd, start, k: int) -> Iterator[tuple[int, n
 def _searcher(pivot_ids: np.ndarray, pivots: np.ndarray, k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         np_, dim = pivots.shape
+        reach = float(np.sqrt((pivots * pivots).sum(1).max()))
         for pdf in batches:
             for r in pdf.itertuples(index=False):
                 qid, xid = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.ids, np.int64)
-                q = np.frombuffer(r.q_vecs, np.int32).reshape(-1, dim).astype(np.float64)
-                x = np.frombuffer(r.vecs, np.int32).reshape(-1, dim).astype(np.float64)
+                q, x = (np.frombuffer(v, np.int64).reshape(-1, dim) for v in (r.q_vecs, r.vecs))
                 qd = np.frombuffer(r.q_dists, np.float64).reshape(-1, np_)
                 xd = np.frombuffer(r.dists, np.float64).reshape(-1, np_)
-                seen = q @ pivots.T
+                qf = q.astype(np.float64)
+                seen = qf @ pivots.T
+                # What rounding can add is taken off: the scores are reached for certain.
+                seen -= SLACK + PRODUCT_ERROR * ((qf * qf).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :])
                 seen[qid[:, None] == pivot_ids[None, :]] = -np.inf
                 start = np.sort(seen, axis=1)[:, -k] if np_ >= k else np.full(len(q), -np.inf)
-                out = list(search_block(qid, q, qd, xid, x, xd, start, k))
+                out = list(search_block(qid, q, qd, xid, x, xd, start, k, reach))
                 if out:
                     yield pd.DataFrame({"query_id": np.concatenate([np.full(len(p), qid[i]) for i, p, _ in out]),
                                         "vec_id": np.concatenate([xid[p] for _, p, _ in out]),
-                                        "score": np.concatenate([s for _, _, s in out]).astype(np.int64)})
+                                        "score": np.concatenate([s.astype(np.int64) for _, _, s in out])})
     return run
 
 

@@ -43,27 +43,49 @@ def test_equals_brute_force(spark, spread, monkeypatch):
 def test_pivots_eliminate(spark):
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(20, 16)) * 300
-    x = np.floor(centres[rng.integers(0, 20, 4000)] + rng.normal(size=(4000, 16)))
-    pivots = centres
+    x = np.floor(centres[rng.integers(0, 20, 4000)] + rng.normal(size=(4000, 16))).astype(np.int64)
     q, ids = x[:5], np.arange(4000)
-    seen = []
-    real = np.ndarray.__matmul__
-
-    class Counting(np.ndarray):
-        def __matmul__(self, other):
-            seen.append(len(self))
-            return real(np.asarray(self), np.asarray(other))
-
+    seen: list[int] = []
     start = np.full(5, -np.inf)
-    out = list(topk.search_block(ids[:5], q, topk._distances(q, pivots), ids, x.view(Counting),
-                                 topk._distances(x, pivots), start, 5))
+    out = list(topk.search_block(ids[:5], q, topk._distances(q.astype(float), centres), ids, x,
+                                 topk._distances(x.astype(float), centres), start, 5, 2000.0, seen))
     for i, p, s in out:
-        full = x @ q[i]
+        full = (x @ q[i]).astype(float)
         full[i] = -np.inf
         assert np.array_equal(np.sort(s), np.sort(full)[-5:])
     assert sum(seen) < 0.5 * 5 * 4000
 
 
+@pytest.mark.parametrize("size", [2.0 ** 15, 2.0 ** 20, 2.0 ** 22, 2.0 ** 22.5])
+def test_large_components_are_exact(spark, size):
+    """Components of 2^23 to 2^30.5: scores pass 2^53 and reach 2^61; neighbours differ in the last place."""
+    rng = np.random.default_rng(9)
+    signs = rng.choice([-1.0, 1.0, 0.5], size=(40, 2))
+    rows = [(i, (np.float32(size) * s).tolist()) for i, s in enumerate(signs)]
+    rows += [(100 + i, [float(np.float32(size * (1 - i / 2 ** 20))), 1 / 256 * i]) for i in range(30)]
+    rows += [(200 + i, rng.normal(size=2).tolist()) for i in range(30)]
+    assert search(spark, rows, 5) == brute(rows, 5, 5)
+
+
+def test_opposite_large_vectors_and_scores_beyond_a_long(spark):
+    rows = [(0, [1e7, 0.0]), (1, [1e7, 0.0]), (2, [-1e7, 0.0])]
+    s = math.floor(256 * 1e7) ** 2
+    assert search(spark, rows, 50) == [(0, 1, 1, s), (0, 2, 2, -s)]
+    with pytest.raises(Exception, match="(?i)too large|overflow"):
+        search(spark, [(0, [1e12, 1.0]), (1, [1e12, 1.0])], 50)
+    with pytest.raises(Exception, match="too large"):
+        search(spark, [(0, [1e30, 1.0]), (1, [1.0, 1.0])], 50)
+
+
+def test_exact_scores_at_every_size():
+    rng = np.random.default_rng(11)
+    for bits in (10, 26, 28, 30, 31, 40):
+        x, q = rng.integers(-(1 << bits), 1 << bits, (50, 6)), rng.integers(-(1 << bits), 1 << bits, 6)
+        size = float(np.sqrt((x.astype(float) ** 2).sum(1).max() * (q.astype(float) ** 2).sum())) * 1.01
+        want = [sum(int(a) * int(b) for a, b in zip(r, q, strict=True)) for r in x]
+        assert [int(v) for v in topk.exact_scores(x, q, size)] == want
+
+
 def test_odd_rows(spark):
     rows = [(None, [1, 2]), (0, [1, 2]), (0, [0, 2]), (1, None), (2, []), (3, [1, None]), (4, [1, float("nan")]),
             (5, [float("inf"), 0]), (6, [1, 1]), (7, [1, 1]), (7, [1, 1]), (8, [-1, 0.5]), (9, [1, 2, 3])]
