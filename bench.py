@@ -22,7 +22,8 @@ HEADLINE = [
     "measure_summary", "hist_total", "zone_map", "borough_mix", "zone_tiers", "fk_orphans",
     "constraint_violations", "clean_rejects", "ingest_ledger", "impute_median", "ordinal_encode",
     "daily_trips_window", "kpi_window", "date_window", "trip_sample", "zone_name_to_id", "request_rows",
-    "imputed_rows", "encoded_rows", "load_modes_full", "reload_idempotent",
+    "imputed_rows", "encoded_rows", "load_modes_full", "reload_idempotent", "rollup_kpi", "rollup_daily_metrics", "rollup_pickup_counts",
+    "summary_sketched", "split_share", "scan_drifted", "load_batches_twice", "model_train",
 ]
 
 

@@ -7,6 +7,7 @@ dictionaries) are small DataFrames or scalars learned on the training part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from farelake.functions.rules import (DROPOFF, ML_REQUIRED, PICKUP, TARGET, coerce_ts,
                                       drop_null_rows, ml_filter, require_columns)
+from farelake.functions.select import hash60, kth_smallest
 from farelake.functions.stats import exact_quantiles_long
 from farelake.operators.keys import dense_keys
 
@@ -64,25 +66,47 @@ def feature_matrix(df: DataFrame) -> tuple[DataFrame, dict]:
     return feature_columns(checked_rows(df))
 
 
-SPLIT_BUCKETS = 1000
+# What a row's split depends on: the raw columns that the model rows are made of.
+SPLIT_COLUMNS = [PICKUP, DROPOFF, "passenger_count", "trip_distance", TARGET, *CATEGORICAL_CANDIDATES]
 
 
-def split_bucket(df: DataFrame, seed: int = 42) -> Column:
-    """A bucket in [0, 1000) from row content only, so the split does not
-    depend on partitioning or file order; plain integer arithmetic, so any SQL
-    engine computes the same bucket."""
-    secs = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
-    cents = F.round(F.col(TARGET) * 100).cast("bigint")
-    h = (secs(PICKUP) * 1000003 + secs(DROPOFF) * 10007 + cents * 7919
-         + F.col("PULocationID").cast("bigint") * 131 + F.col("DOLocationID").cast("bigint")
-         + F.lit(seed).cast("bigint") * 104729)
-    return F.pmod(h, F.lit(SPLIT_BUCKETS))
+def split_hash(df: DataFrame, seed: int = 42) -> Column:
+    """60 bits of an md5 of the row's content and the seed: times in seconds,
+    amounts in hundredths, ids whole. It does not depend on partitioning or
+    file order, and any SQL engine computes the same."""
+    def part(c: str) -> Column:
+        if c in (PICKUP, DROPOFF):
+            return F.unix_seconds(F.col(c).cast("timestamp"))
+        if c in ("trip_distance", TARGET):
+            return F.round(F.col(c) * 100).cast("bigint")
+        return F.col(c).cast("bigint")
+
+    return hash60(F.lit(seed), *[part(c) for c in SPLIT_COLUMNS if c in df.columns])
 
 
 def with_split(df: DataFrame, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """Add ``split`` = train/test by content hash (M04); needs the raw columns."""
-    cut = int(round(test_size * SPLIT_BUCKETS))
-    return df.withColumn("split", F.when(split_bucket(df, seed) < cut, "test").otherwise("train"))
+    """Add ``split``: the ceil(test_size x rows) rows with the smallest content
+    hashes are ``test``, the others ``train`` (M04); needs the raw columns.
+
+    The cut is found by a radix histogram of the hash and applied as one
+    filter; nothing is sorted. Rows that tie at the cut are identical in all
+    that the hash covers; they alone are numbered, to take as many as are due.
+    """
+    hashed = df.withColumn("_h", split_hash(df, seed))
+    n = hashed.count()
+    if n == 0:
+        return df.withColumn("split", F.lit("train"))
+    k = math.ceil(round(test_size * n, 9))
+    if k <= 0:
+        return df.withColumn("split", F.lit("train"))
+    cut, below, equal = kth_smallest(hashed, "_h", k)
+    due = k - below
+    if due == equal:
+        return hashed.withColumn("split", F.when(F.col("_h") <= cut, "test").otherwise("train")).drop("_h")
+    ties = dense_keys(hashed.where(F.col("_h") == cut), df.columns, "_k")
+    ties = ties.withColumn("split", F.when(F.col("_k") <= due, "test").otherwise("train"))
+    rest = hashed.where(F.col("_h") != cut).withColumn("split", F.when(F.col("_h") < cut, "test").otherwise("train"))
+    return rest.select(*df.columns, "split").unionByName(ties.select(*df.columns, "split"))
 
 
 def model_rows(df: DataFrame, test_size: float = 0.2, seed: int = 42) -> tuple[DataFrame, dict]:

@@ -37,6 +37,7 @@ class FareModel:
     dictionary: DataFrame
     pipeline: PipelineModel
     rmse: float | None = None
+    rounds: int | None = None     # boosting rounds of the fitted model
 
 
 def rmse(df: DataFrame, y: str = TARGET, p: str = "prediction") -> DataFrame:
@@ -55,9 +56,21 @@ def prepare(df: DataFrame, m: "FareModel | dict", medians=None, modes=None, dict
     return FE.encode(d, dictionary, spec["categorical_cols"])
 
 
+# Rows of a partition of the training data: a round is a job per tree level, so small data gets few tasks.
+ROWS_PER_TASK = 50_000
+
+
 def train(rows: DataFrame, spec: dict, max_depth: int = MAX_DEPTH, step: float = LEARNING_RATE,
-          rounds: int = ROUNDS, seed: int = SEED, max_bins: int = MAX_BINS) -> FareModel:
-    """Fit preprocessing and boosting on ``split = 'train'`` rows."""
+          rounds: int = ROUNDS, seed: int = SEED, max_bins: int = MAX_BINS,
+          validation: float | None = None, tol: float = 0.002) -> FareModel:
+    """Fit preprocessing and boosting on ``split = 'train'`` rows.
+
+    With ``validation``, that share of the training rows (by row hash) is held
+    out of the trees, and boosting stops after the round that no longer lowers
+    its squared error by ``tol`` of it; ``rounds`` is then the most there can
+    be. Node ids are kept between levels and checkpointed, so the lineage of
+    many rounds stays short.
+    """
     tr = rows.where(F.col("split") == "train")
     medians = {r["column"]: r["median"] for r in FE.fit_median(tr, spec["numeric_cols"]).collect()}
     modes = {r["column"]: r["mode"] for r in FE.fit_mode(tr, spec["categorical_cols"]).collect()}
@@ -67,8 +80,15 @@ def train(rows: DataFrame, spec: dict, max_depth: int = MAX_DEPTH, step: float =
                                 handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, maxDepth=max_depth, stepSize=step,
                        maxIter=rounds, seed=seed, maxBins=max_bins)
+    if validation:
+        held = F.pmod(F.xxhash64(F.lit(seed), *spec["feature_cols"], TARGET), F.lit(1000)) < round(1000 * validation)
+        X = X.withColumn("_held", held)
+        tasks = -(-X.count() // ROWS_PER_TASK)
+        if tasks < X.sparkSession.sparkContext.defaultParallelism:
+            X = X.coalesce(tasks or 1)
+        gbt = gbt.setValidationIndicatorCol("_held").setValidationTol(tol).setCacheNodeIds(True).setCheckpointInterval(10)
     pipe = Pipeline(stages=[assembler, gbt]).fit(X)
-    return FareModel(spec, medians, modes, dictionary, pipe)
+    return FareModel(spec, medians, modes, dictionary, pipe, rounds=pipe.stages[-1].getNumTrees)
 
 
 def score(m: FareModel, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -115,7 +135,7 @@ def save(m: FareModel, path: str, spark: SparkSession) -> None:
     """Model, dictionaries and a one-row JSON spec with the metric."""
     m.pipeline.write().overwrite().save(f"{path}/pipeline")
     m.dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
-    payload = dict(m.spec, rmse=m.rmse, medians=m.medians, modes=m.modes)
+    payload = dict(m.spec, rmse=m.rmse, medians=m.medians, modes=m.modes, rounds=m.rounds)
     spark.createDataFrame([(json.dumps(payload),)], "spec string").coalesce(1).write.mode(
         "overwrite").text(f"{path}/feature_spec")
 
@@ -125,4 +145,4 @@ def load(path: str, spark: SparkSession) -> FareModel:
     spec = {k: payload[k] for k in ("numeric_cols", "categorical_cols", "feature_cols", "target")}
     return FareModel(spec, payload["medians"], payload["modes"],
                      spark.read.parquet(f"{path}/dictionary"),
-                     PipelineModel.load(f"{path}/pipeline"), payload.get("rmse"))
+                     PipelineModel.load(f"{path}/pipeline"), payload.get("rmse"), payload.get("rounds"))

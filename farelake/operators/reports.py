@@ -8,6 +8,10 @@ dimension to learn a time. A fact without a pickup time (an orphan; the load
 makes none and ``fk_orphans`` checks it) counts in reports without a window or
 time attribute only.
 
+Reports that count or sum trips (A01-A21, A23, A29-A32) are built from
+``partials``; over ``wh.answering_from_rollup()`` they read the kept partial
+sums of each month instead of the facts, with the same results.
+
 Time reports aggregate by the attribute with map-side partial sums, so a hot
 second is combined before the shuffle. Money follows ``farelake.functions.money``.
 """
@@ -25,6 +29,7 @@ from farelake.functions import money as M
 from farelake.functions.joins import bounded
 from farelake.functions.rules import date_window
 from farelake.functions.text import passenger_group, short_label, weekday_label
+from farelake.operators import rollups as RU
 from farelake.operators.warehouse import Warehouse
 
 PU_KEY = "pickup_datetime_key"
@@ -77,15 +82,27 @@ def _measure_partials(measures: Sequence[str]) -> list[Column]:
     return out
 
 
-def by_pickup_time(wh: Warehouse, start, end, attrs: Sequence[Column],
-                   measures: Sequence[str] = ()) -> DataFrame:
-    """Counts and exact sums per time attribute(s) of the pickup, in one
-    aggregation of the fact. ``attrs`` are expressions of ``ts``, the pickup time.
+def partials(wh: Warehouse, start, end, by: Sequence[Column | str] = (), measures: Sequence[str] = (),
+             keys: Sequence[str] = ()) -> DataFrame:
+    """Counts and exact sums per ``by`` (expressions of ``ts``, the pickup time, and of
+    ``keys``, fact columns): the groups plus ``_n``, ``_s_<m>``, ``_c_<m>``.
 
-    Returns the attribute columns plus ``_n``, ``_s_<m>``, ``_c_<m>``.
+    One aggregation of the facts; or, of a warehouse that answers from its
+    rollup, of the kept partial sums, without the facts.
     """
-    facts = trips(wh, start, end).withColumn("ts", F.col("pickup_ts"))
-    return facts.groupBy(*attrs).agg(*_measure_partials(measures))
+    if wh.from_rollup:
+        cube = RU.cube_for(list(keys))
+        if cube is None:
+            raise ValueError(f"no rollup has {', '.join(keys)}")
+        cells = date_window(wh.rollup.where(F.col("cube") == cube), "pickup_ts", start, end)
+        return cells.withColumn("ts", F.col("pickup_ts")).groupBy(*by).agg(*_measure_finals(measures))
+    return trips(wh, start, end).withColumn("ts", F.col("pickup_ts")).groupBy(*by).agg(*_measure_partials(measures))
+
+
+def by_pickup_time(wh: Warehouse, start, end, attrs: Sequence[Column],
+                   measures: Sequence[str] = ()) -> DataFrame:
+    """Counts and exact sums per time attribute(s) of the pickup, expressions of ``ts``."""
+    return partials(wh, start, end, attrs, measures)
 
 
 def _measure_finals(measures: Sequence[str]) -> list[Column]:
@@ -95,6 +112,10 @@ def _measure_finals(measures: Sequence[str]) -> list[Column]:
     return out
 
 
+def _count(name: str = "trips") -> Column:
+    return F.coalesce("_n", F.lit(0)).cast("bigint").alias(name)   # no cells: no trips
+
+
 def _avg(m: str) -> Column:
     return M.avg_of(F.col(f"_s_{m}"), F.col(f"_c_{m}"))
 
@@ -116,25 +137,25 @@ def kpi(wh: Warehouse, start=None, end=None) -> DataFrame:
         "passengers": Role(("passenger_count",)), "distance": Role(("trip_distance",)),
         "revenue": Role(("total_amount",), optional=True), "fare": Role(("fare_amount",), optional=True),
         "tip": Role(("tip_amount",), optional=True)})
-    aggs = [F.count(F.lit(1)).alias("trips"), M.avg_money(have["passengers"]).alias("avg_passengers"),
-            M.avg_money(have["distance"]).alias("avg_distance")]
+    measures = [c for c in have.values() if c]
+    out = [_count(), _avg(have["passengers"]).alias("avg_passengers"), _avg(have["distance"]).alias("avg_distance")]
     if have["revenue"]:
-        aggs.append(M.sum_money(have["revenue"]).alias("total_revenue"))
-    aggs += [M.avg_money(have[r]).alias(f"avg_{r}") for r in ("fare", "tip") if have[r]]
-    return trips(wh, start, end).agg(*aggs)
+        out.append(_sum(have["revenue"]).alias("total_revenue"))
+    out += [_avg(have[r]).alias(f"avg_{r}") for r in ("fare", "tip") if have[r]]
+    return partials(wh, start, end, measures=measures).select(*out)
 
 
 def kpi_rounded(wh: Warehouse, start=None, end=None) -> DataFrame:
-    f = trips(wh, start, end)
-    return f.agg(
-        F.count(F.lit(1)).alias("n_trips"),
-        M.avg_numeric("passenger_count").alias("avg_passengers"),
-        M.avg_numeric("trip_distance").alias("avg_distance"),
-        M.avg_numeric("fare_amount").alias("avg_fare"),
-        M.avg_numeric("total_amount").alias("avg_total"),
-        M.sum_numeric("total_amount").alias("sum_total"),
-        M.avg_numeric("tip_amount").alias("avg_tip"),
-        M.sum_numeric("tip_amount").alias("sum_tip"))
+    g = partials(wh, start, end, measures=["passenger_count", "trip_distance", "fare_amount", "total_amount", "tip_amount"])
+    return g.select(
+        _count("n_trips"),
+        _avg_numeric("passenger_count").alias("avg_passengers"),
+        _avg_numeric("trip_distance").alias("avg_distance"),
+        _avg_numeric("fare_amount").alias("avg_fare"),
+        _avg_numeric("total_amount").alias("avg_total"),
+        _sum("total_amount").cast("decimal(18,2)").alias("sum_total"),
+        _avg_numeric("tip_amount").alias("avg_tip"),
+        _sum("tip_amount").cast("decimal(18,2)").alias("sum_tip"))
 
 
 # ---- days (A03-A07, A31) ----------------------------------------------------
@@ -256,7 +277,7 @@ def dow_hour_matrix(wh: Warehouse, start=None, end=None) -> DataFrame:
 # ---- dimensions (A14-A21, A29, A30, A32) ------------------------------------
 
 def _count_by_key(wh: Warehouse, start, end, key: str) -> DataFrame:
-    return trips(wh, start, end).groupBy(key).agg(F.count(F.lit(1)).alias("trips"))
+    return partials(wh, start, end, [key], keys=[key]).select(key, F.col("_n").alias("trips"))
 
 
 def payment_mix(wh: Warehouse, start=None, end=None) -> DataFrame:
@@ -313,8 +334,7 @@ def rate_top_other(wh: Warehouse, start=None, end=None, n: int = 5) -> DataFrame
 
 def _stats_by_natural_id(wh: Warehouse, start, end, key: str, dim: DataFrame, ident: str,
                          measures: Sequence[str]) -> DataFrame:
-    f = trips(wh, start, end)
-    partial = f.groupBy(key).agg(*_measure_partials(measures))
+    partial = partials(wh, start, end, [key], measures, [key])
     j = partial.join(bounded(dim.select(key, ident), dim), key)
     g = j.groupBy(ident).agg(*_measure_finals(measures))
     return g.select(ident, F.col("_n").alias("trips"),
@@ -366,8 +386,8 @@ def top_dropoffs(wh: Warehouse, start=None, end=None, n: int = 8) -> DataFrame:
 
 def top_tip_locations(wh: Warehouse, start=None, end=None, n: int = 5) -> DataFrame:
     """Top n pickup locations by summed tips, the id as text."""
-    f = trips(wh, start, end)
-    s = f.groupBy("pu_location_key").agg(M.sum_dec("tip_amount").alias("_s"))
+    s = partials(wh, start, end, ["pu_location_key"], ["tip_amount"], ["pu_location_key"]).select(
+        "pu_location_key", F.col("_s_tip_amount").alias("_s"))
     d = wh.dim_location.select(F.col("location_key").alias("pu_location_key"), "location_id")
     return (s.join(bounded(d, wh.dim_location), "pu_location_key")
              .groupBy(F.col("location_id").cast("string").alias("pickup_location"))
@@ -378,8 +398,7 @@ def top_tip_locations(wh: Warehouse, start=None, end=None, n: int = 5) -> DataFr
 def pickup_location_stats(wh: Warehouse, start=None, end=None) -> DataFrame:
     """Per pickup location id: trips and the average tip, from one
     aggregation of the fact by location key."""
-    f = trips(wh, start, end)
-    s = f.groupBy("pu_location_key").agg(*_measure_partials(["tip_amount"]))
+    s = partials(wh, start, end, ["pu_location_key"], ["tip_amount"], ["pu_location_key"])
     d = wh.dim_location.select(F.col("location_key").alias("pu_location_key"), "location_id")
     g = s.join(bounded(d, wh.dim_location), "pu_location_key").groupBy(
         F.col("location_id").cast("int").alias("location_id")).agg(*_measure_finals(["tip_amount"]))

@@ -10,7 +10,7 @@ dimensions with left joins, so a null id keeps a null key.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, fields
 from dataclasses import replace as _replace
 
@@ -48,6 +48,31 @@ DIM_BY_NAME = {d.name: d for d in SMALL_DIMS}
 SMALL_DIM_MAX_ROWS = 1_000_000
 
 
+@dataclass(frozen=True)
+class State:
+    """Where the tables of a saved warehouse are. Every folder is written once
+    and never changed; a load adds folders and names them in a new state."""
+
+    # Folder of each table that is rewritten whole (the coded dimensions).
+    paths: dict[str, str] = field(default_factory=dict)
+    # Folders of the facts (and of their rollup and sketches), by month file.
+    months: dict[str, list[str]] = field(default_factory=dict)
+    rollups: dict[str, list[str]] = field(default_factory=dict)
+    sketches: dict[str, list[str]] = field(default_factory=dict)
+    # Folders of the datetime dimension: each load adds its new seconds.
+    datetimes: list[str] = field(default_factory=list)
+    # Largest keys given out so far.
+    max_trip_key: int = 0
+    max_datetime_key: int = 0
+    # Last micro-batch loaded, by stream.
+    streams: dict[str, int] = field(default_factory=dict)
+    # Whether the reference rows have been added; members are never removed.
+    seeded: bool = False
+
+    def replace(self, **kw) -> "State":
+        return _replace(self, **kw)
+
+
 @dataclass
 class Warehouse:
     dim_vendor: DataFrame
@@ -56,16 +81,36 @@ class Warehouse:
     dim_location: DataFrame
     dim_datetime: DataFrame
     fact_trip: DataFrame
-    # Roots of the tables that loads add to in place, once saved: the fact
-    # (partitioned by source_file) and the datetime dimension.
-    fact_path: str | None = None
-    datetime_path: str | None = None
-    # Folders of the saved tables that are rewritten whole.
-    paths: dict[str, str] = field(default_factory=dict)
+    # What the manifest of a saved warehouse names (``plans.star``).
+    state: "State" = field(default_factory=lambda: State())
+    version: int = 0             # number of the manifest it was read from or last published as
+    # Reads a table that is kept beside the facts ("rollup", "sketches") when it is asked for.
+    kept: Callable[[str], DataFrame] | None = None
+    from_rollup: bool = False
+
+    @property
+    def rollup(self) -> DataFrame:
+        """Kept partial sums of the facts (``operators.rollups``)."""
+        return self._kept("rollup")
+
+    @property
+    def sketches(self) -> DataFrame:
+        """Kept quantile sketches of the measures (``operators.sketches``)."""
+        return self._kept("sketches")
+
+    def _kept(self, name: str) -> DataFrame:
+        if self.kept is None:
+            raise ValueError(f"this warehouse keeps no {name}")
+        return self.kept(name)
+
+    def answering_from_rollup(self) -> "Warehouse":
+        """The same warehouse, whose counting reports read the rollup instead of the facts."""
+        rows = self.rollup
+        return self.replace(from_rollup=True, kept=lambda name: rows if name == "rollup" else self._kept(name))
 
     def tables(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)
-                if f.name not in ("fact_path", "datetime_path", "paths")}
+                if f.name not in ("state", "version", "kept", "from_rollup")}
 
     def replace(self, **kw) -> "Warehouse":
         return _replace(self, **kw)
@@ -109,7 +154,8 @@ def seed_dim(spec: DimSpec, existing: DataFrame) -> DataFrame:
 def upsert_small_dims(trips: DataFrame, wh: "Warehouse",
                       max_rows: int = SMALL_DIM_MAX_ROWS) -> dict[str, DataFrame]:
     """The four coded dimensions in one pass (W02): one distinct over
-    (dimension, id) pairs, one anti join against the known members.
+    (dimension, id) pairs, one anti join against the known members. Empty
+    when the batch has no new member.
 
     New members are numbered per dimension with a window only after a count
     shows they are few (one task per dimension then holds a bounded set);
@@ -128,7 +174,10 @@ def upsert_small_dims(trips: DataFrame, wh: "Warehouse",
     new = new.checkpoint(eager=True)
     starts = known.groupBy("dim").agg(F.max("key").alias("start"))
     out = {}
-    if new.count() <= max_rows:
+    n = new.count()
+    if n == 0:
+        return out
+    if n <= max_rows:
         w = Window.partitionBy("dim").orderBy("id")
         numbered = (new.join(F.broadcast(starts), "dim", "left")  # one row per dimension
                     .select("dim", "id", (F.coalesce("start", F.lit(0)) + F.row_number().over(w))
@@ -174,16 +223,19 @@ def datetime_attributes(ts) -> list:
 
 
 def new_datetime_rows(trips: DataFrame, existing: DataFrame,
-                      slice_max_rows: int = DATETIME_SLICE_MAX_ROWS) -> DataFrame:
+                      slice_max_rows: int = DATETIME_SLICE_MAX_ROWS, start: int | None = None,
+                      scratch: list[str] | None = None) -> DataFrame:
     """Datetime rows for the batch's seconds that the dimension lacks, keyed
     after its maximum (W03). The dimension grows with the facts, so the new
     rows are numbered with range partitions, never in one task. Known seconds
     can only lie in the batch's time span: the anti join reads that slice of
-    the dimension (broadcast after a checked count), not all of it."""
+    the dimension (broadcast after a checked count), not all of it. ``start`` is
+    the largest key given out, when it is known."""
     ts_cols = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
     known = bounded(datetime_slice(trips, existing, ts_cols), max_rows=slice_max_rows)
     new = new_members(trips, ts_cols, known, "ts", cast="timestamp_ntz")
-    keyed = dense_keys(new, ["ts"], "datetime_key", offset=max_key_value(existing, "datetime_key"))
+    offset = max_key_value(existing, "datetime_key") if start is None else start
+    keyed = dense_keys(new, ["ts"], "datetime_key", offset=offset, scratch=scratch)
     return keyed.select("datetime_key", "ts", *datetime_attributes(F.col("ts")))
 
 
@@ -239,9 +291,9 @@ def resolve_keys(cleaned: DataFrame, wh: Warehouse, broadcast_max_rows: int = SM
 
 
 def load_fact(cleaned: DataFrame, wh: Warehouse, existing_fact: DataFrame | None = None,
-              scratch: list[str] | None = None) -> DataFrame:
-    """New facts, numbered after the current max trip key in the order of all
-    fact columns (W05). Returns the new rows only.
+              scratch: list[str] | None = None, start: int | None = None) -> DataFrame:
+    """New facts, numbered after the current max trip key (``start``, when it is
+    known) in the order of all fact columns (W05). Returns the new rows only.
 
     The resolved facts are written once, so the seven joins run once: the
     numbering samples and shuffles the written table. Paths to remove after
@@ -254,7 +306,8 @@ def load_fact(cleaned: DataFrame, wh: Warehouse, existing_fact: DataFrame | None
     if scratch is not None:
         scratch.append(path)
     resolved = spark.read.schema(resolved.schema).parquet(path)
-    start = max_key_value(existing_fact, "trip_key") if existing_fact is not None else 0
+    if start is None:
+        start = max_key_value(existing_fact, "trip_key") if existing_fact is not None else 0
     return dense_keys(resolved, S.FACT_COLUMNS, "trip_key", offset=start, scratch=scratch).select(
         *S.FACT_STORED.fieldNames())
 
@@ -349,6 +402,47 @@ def constraint_violations(wh: Warehouse) -> DataFrame:
             ).cast("bigint").alias("violations")))
 
 
+def audit_batch(facts: DataFrame, dims: Warehouse, after: int = 0) -> DataFrame:
+    """The constraints of the facts of one batch, before they are published:
+    (check_name, violations), one row per check (W06, J11).
+
+    ``unique_trip_key``: rows beyond the first of a key in the batch.
+    ``new_trip_key``: keys that are not above ``after``, the largest published one
+    (so a new key cannot repeat an old one). ``not_null_*``: the columns the
+    fact table requires. ``orphan_*``: non-null foreign keys without a dimension
+    row. Only the batch is read, and of the datetime dimension the slice inside
+    the batch's time span; the published facts are not.
+    """
+    required = ["trip_key", "pickup_datetime_key", "dropoff_datetime_key"]
+    small = facts.agg(
+        F.sum(F.when(F.col("trip_key") <= after, 1).otherwise(0)).alias("new_trip_key"),
+        *[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"not_null_{c}") for c in required])
+    repeated = (facts.where("trip_key IS NOT NULL").groupBy("trip_key").agg(F.count(F.lit(1)).alias("n"))
+                .agg(F.sum(F.col("n") - 1).alias("unique_trip_key")))
+    pairs = F.explode(F.array(*[F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("bigint").alias("k"))
+                                for fk, _, _ in FK_CHECKS])).alias("p")
+    keys = (facts.select(pairs).select("p.fk", "p.k").where("k IS NOT NULL")
+            .groupBy("fk", "k").agg(F.count(F.lit(1)).alias("n")))
+    known, times = None, datetime_slice(facts, dims.dim_datetime)
+    for fk, dim, dk in FK_CHECKS:
+        d = times if dim == "dim_datetime" else dims.tables()[dim]
+        d = d.select(F.lit(fk).alias("fk"), F.col(dk).cast("bigint").alias("k"))
+        known = d if known is None else known.unionByName(d)
+    orphans = (keys.join(known, ["fk", "k"], "left_anti").groupBy(F.concat(F.lit("orphan_"), "fk").alias("check_name"))
+               .agg(F.sum("n").alias("violations")))
+    found = None
+    for one in (small, repeated):   # one row each
+        part = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("check_name"), F.col(c).alias("violations"))
+                                             for c in one.columns])))
+        found = part if found is None else found.unionByName(part)
+    found = found.unionByName(orphans)
+    names = facts.sparkSession.createDataFrame(
+        [(c,) for c in [*repeated.columns, *small.columns, *[f"orphan_{fk}" for fk, _, _ in FK_CHECKS]]], "check_name string")
+    # One row per check: a bounded broadcast.
+    return names.join(F.broadcast(found), "check_name", "left").select(
+        "check_name", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
+
+
 def key_ranges(wh: Warehouse) -> DataFrame:
     """Per table: rows, distinct keys, min and max key; dense keys give
     rows = distinct = max - min + 1 (W07)."""

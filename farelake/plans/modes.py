@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from farelake.functions.rules import clean, with_provenance
 from farelake.operators import features as FE
@@ -22,7 +23,7 @@ from farelake.operators import reports as R
 from farelake.operators import warehouse as W
 from farelake.plans.star import (load_batch, load_zone_ids, open_warehouse, save_table, seed)
 from farelake.sources import lake
-from farelake.streaming.ingest import land_month_files
+from farelake.streaming.ingest import land_month_files, start_ingest
 
 MODES = ("q1", "q2", "full")
 
@@ -47,17 +48,24 @@ def month_files(rows: DataFrame) -> list[str]:
 
 
 def load_months(spark: SparkSession, base: str, months: Sequence[str] | None = None,
-                max_rows: int | None = None) -> W.Warehouse:
-    """Load written months (all when None) onto the warehouse under ``base``
-    (created when there is none), then the reference rows."""
-    cleaned = lake.read_cleaned(spark, f"{base}/cleaned")
-    if months is not None:
-        cleaned = cleaned.where(F.col("source_file").isin(list(months)))
+                max_rows: int | None = None, stream: tuple[str, int] | None = None) -> W.Warehouse:
+    """Load written months onto the warehouse under ``base`` (created when there
+    is none), then the reference rows.
+
+    The load stands for ``months``: their facts are replaced, and those of a
+    month that the lake no longer has go. With None it stands for every month
+    of the lake and of the warehouse. ``stream`` is recorded with the load.
+    """
+    cleaned = lake.read_months(spark, f"{base}/cleaned", months)
+    wh = open_warehouse(spark, base) or W.empty_warehouse(spark)
+    if months is None:
+        replaced = sorted({*wh.state.months, *month_files(cleaned)})
+    else:
+        replaced = list(months)
     if max_rows is not None:
         # A total order and one materialisation: every load sees the same rows.
         cleaned = save_table(lake.row_cap(cleaned, max_rows), base, "capped")
-    wh = open_warehouse(spark, base) or W.empty_warehouse(spark)
-    return seed(load_batch(cleaned, wh, base, replace=True), base)
+    return seed(load_batch(cleaned, wh, base, replaced, stream), base)
 
 
 def run(spark: SparkSession, raw: DataFrame | None, base: str, mode: str = "full",
@@ -65,15 +73,16 @@ def run(spark: SparkSession, raw: DataFrame | None, base: str, mode: str = "full
     """Run one ingestion in the given mode under ``base``.
 
     ``raw`` (q1, full) carries ``source_file``. ``q2`` loads ``months``, by
-    default every written month; ``full`` loads the months of ``raw``.
+    default every written month; ``full`` loads the months of ``raw``. A month
+    of ``raw`` none of whose trips pass the rules ends up empty.
     """
     mode = check_mode(mode)
     cleaned_path = f"{base}/cleaned"
     if mode in ("q1", "full"):
         if raw is None:
             raise ValueError(f"mode {mode} starts from raw trips, and none are given")
-        lake.write_cleaned(with_provenance(clean(raw)), cleaned_path)
         months = month_files(raw) if months is None else months
+        lake.write_cleaned(with_provenance(clean(raw)), cleaned_path, months=lake.months_of(months))
     if mode == "q1":
         return RunResult(mode, cleaned_path, None)
     return RunResult(mode, cleaned_path, load_months(spark, base, months, max_rows))
@@ -83,11 +92,13 @@ def run_months(spark: SparkSession, plan: DataFrame, raw_root: str, base: str) -
     """Load the landed month files of a plan one by one (S10); the ledger.
 
     Each month is cleaned and loaded by jobs of its own. A month whose file
-    cannot be read or loaded is recorded and the others are loaded.
+    cannot be read or loaded is recorded and the others are loaded. A file none
+    of whose trips pass the rules takes the month out of lake and warehouse;
+    a month without a file is left as it is. Both are ``skipped``.
     """
     def one(year: int, month: int, file_name: str) -> int | None:
         rows = lake.clean_month(spark, raw_root, f"{base}/cleaned", year, month, file_name)
-        if rows:
+        if rows is not None:
             load_months(spark, base, [file_name])
         return rows
 
@@ -95,6 +106,24 @@ def run_months(spark: SparkSession, plan: DataFrame, raw_root: str, base: str) -
     return lake.ingest_months(spark, plan, one, threads=1)
 
 
+def stream_months(spark: SparkSession, raw_dir: str, base: str, checkpoint: str, stream: str = "months",
+                  available_now: bool = True, files_per_batch: int = 1) -> StreamingQuery:
+    """Month files as a stream into the warehouse under ``base``.
+
+    Each micro-batch rebuilds its months in the lake and loads them. The
+    manifest that publishes their facts also records the batch's number, so a
+    batch that is run again after a failure, published or not, loads its facts
+    once: published ones are passed over, and others replace their months.
+    """
+    def load(session: SparkSession, months: list[str], batch: int) -> None:
+        wh = open_warehouse(session, base)
+        if wh is not None and wh.state.streams.get(stream, -1) >= batch:
+            return
+        load_months(session, base, months, stream=(stream, batch))
+
+    return start_ingest(spark, raw_dir, f"{base}/cleaned", checkpoint, available_now, files_per_batch, load)
+
+
 # ---- the whole run (W09) ------------------------------------------------------
 
 @dataclass
@@ -127,7 +156,7 @@ def _load(r: Run) -> None:
 
     # Months are cleaned on their own (one that fails stops no other), then loaded together.
     r.ledger = lake.ingest_months(r.spark, plan, one)
-    loaded = [x.file_name for x in r.ledger.where("status = 'loaded'").collect()]
+    loaded = [x.file_name for x in r.ledger.where("status <> 'failed'").collect()]
     r.warehouse = load_months(r.spark, r.base, loaded)
 
 

@@ -325,10 +325,12 @@ from pyspark.sql import types as T  # noqa: E402
 from farelake.functions import rules as FR  # noqa: E402
 from farelake.functions.joins import bounded  # noqa: E402
 from farelake.functions.text import month_file_name  # noqa: E402
+from farelake.operators import sketches as SK  # noqa: E402
 from farelake.operators import zones as Z  # noqa: E402
 from farelake.plans import modes as P  # noqa: E402
-from farelake.plans.star import (load_batch, load_zone_ids, open_warehouse, read_table,  # noqa: E402
-                                 reload_source, save_path, save_table, star_for)
+from farelake.plans.star import (LoadRefused, load_batch, load_zone_ids, open_warehouse,  # noqa: E402
+                                 publish_batch, read_table, reload_source, save_path, save_table, stage_batch,
+                                 stage_facts, star_for)
 from farelake.session import scratch_path  # noqa: E402
 from farelake.sources import adapter as A  # noqa: E402
 from farelake.sources import lake as L  # noqa: E402
@@ -358,6 +360,53 @@ def _scan_raw(spark, sf_dir):
         T.StructField("source_file", T.StringType())]))
 
 
+# Trips whose month files differ: by the month of the file, ids and passenger counts
+# are int, bigint or double, and every fourth month has no surcharge column.
+DRIFT_TYPES = ("int", "bigint", "double")
+DRIFT_COLUMNS = ("VendorID", "RatecodeID", "payment_type", "PULocationID", "DOLocationID", "passenger_count")
+_FILE_MONTH_NO = "CAST(substr(source_file, 22, 2) AS INTEGER)"
+_DRIFTED = "CASE WHEN {} % 4 = 0 THEN NULL ELSE improvement_surcharge END AS improvement_surcharge".format(_FILE_MONTH_NO)
+
+
+def land_drifted(spark, sf_dir, root: str) -> None:
+    """Land the trips as month files of differing types: a few jobs, each writing the months of one type."""
+    raw = A.raw_trips(spark, sf_dir).withColumn("_m", F.substring("source_file", 22, 2).cast("int"))
+    for i, kind in enumerate(DRIFT_TYPES):
+        for absent in (False, True):
+            part = raw.where((F.col("_m") % 3 == i) & ((F.col("_m") % 4 == 0) == F.lit(absent)))
+            part = part.withColumns({c: F.col(c).cast(kind) for c in DRIFT_COLUMNS})
+            drop = ["_m", "improvement_surcharge"] if absent else ["_m"]
+            (part.drop(*drop).hint("rebalance", "source_file").write.mode("append").partitionBy("source_file").parquet(root))
+
+
+@register("scan_drifted", with_trips(f"SELECT * REPLACE ({_DRIFTED}) FROM trips"))
+def _scan_drifted(spark, sf_dir):
+    """Every month file of a landing whose types differ, read as one table in the pinned types."""
+    root = fresh(spark, "drifted")
+    land_drifted(spark, sf_dir, root)
+    months = [f"{root}/{f}" for f in L.folders(spark, root)]
+    return L.drift.conform(L.drift.read_files(spark, months, name_files=True))
+
+
+@register("drift_report", with_trips(f"""
+, files AS (SELECT DISTINCT source_file, {_FILE_MONTH_NO} AS m FROM trips),
+kinds AS (SELECT unnest(['VendorID', 'PULocationID', 'DOLocationID']) AS column_name, 'int' AS stored_type
+  UNION ALL SELECT unnest(['RatecodeID', 'payment_type', 'passenger_count']), 'bigint')
+SELECT column_name, ['int', 'bigint', 'double'][m % 3 + 1] AS file_type, 'double' AS read_type, stored_type,
+  CASE m % 3 WHEN 2 THEN 'narrowed' ELSE 'widened' END AS action, count(*) AS months
+FROM kinds, files GROUP BY ALL
+UNION ALL SELECT 'improvement_surcharge', CASE WHEN m % 4 <> 0 THEN 'double' END, 'double', 'double',
+  CASE WHEN m % 4 = 0 THEN 'absent' ELSE 'same' END, count(*) FROM files GROUP BY ALL"""))
+def _drift_report(spark, sf_dir):
+    """What is read as another type, narrowed or absent in a landing whose types differ, in months."""
+    root = fresh(spark, "drift_report")
+    land_drifted(spark, sf_dir, root)
+    months = [f"{root}/{f}" for f in L.folders(spark, root)]
+    report = L.drift.schema_report(spark, months, count="paths")
+    return (report.where(F.col("column_name").isin(*DRIFT_COLUMNS, "improvement_surcharge"))
+            .select("column_name", "file_type", "read_type", "stored_type", "action", F.col("files").cast("bigint").alias("months")))
+
+
 @register("land_raw", with_trips("SELECT * FROM trips"))
 def _land_raw(spark, sf_dir):
     return L.land_raw(A.raw_trips(spark, sf_dir), fresh(spark, "raw_landed"))
@@ -702,6 +751,114 @@ def _reload_idempotent(spark, sf_dir):
     return _per_file(wh.fact_trip)
 
 
+@register("reload_emptied_month", star(f"""
+, per_file AS ({_PER_FILE})
+SELECT p.*, 'skipped' AS ledger_status, CAST(0 AS BIGINT) AS lake_rows FROM per_file p WHERE source_file <> '{MONTH_FILE}'"""))
+def _reload_emptied_month(spark, sf_dir):
+    """A month whose new file has no trip that passes the rules: its facts go, the
+    others stay, and the ledger says so (S05, S10, W08, W10)."""
+    base = fresh(spark, "emptied")
+    raw = A.raw_trips(spark, sf_dir)
+    P.run(spark, raw, base)
+    month = raw.where(F.col("source_file") == MONTH_FILE)
+    L.land_raw(month.drop("source_file").withColumn("fare_amount", -F.col("fare_amount")), f"{base}/raw/{MONTH_FILE}")
+    ledger = P.run_months(spark, L.month_plan(spark, "single_month", *MONTH), f"{base}/raw", base)
+    left = L.read_months(spark, f"{base}/cleaned", [MONTH_FILE]).agg(F.count(F.lit(1))).scalar()
+    facts = open_warehouse(spark, base).fact_trip
+    return _per_file(facts).select("*", ledger.select("status").scalar().alias("ledger_status"), left.alias("lake_rows"))
+
+
+_AUDIT_BATCH = f"{_BATCH.replace('ingestion_year', 'y').replace('ingestion_month', 'm')}"
+
+
+@register("audit_batch", star(f"""
+, batch AS (SELECT * FROM (SELECT *, CAST(substr(source_file, 17, 4) AS INTEGER) AS y, {_FILE_MONTH_NO} AS m FROM fact_trip)
+  WHERE {_AUDIT_BATCH}),
+numbered AS (SELECT *, row_number() OVER (ORDER BY trip_key) AS k FROM batch),
+counts AS (SELECT count(*) FILTER (WHERE k % 1000 = 0) AS repeated, count(*) FILTER (WHERE k % 777 = 0) AS lost,
+  count(*) FILTER (WHERE k % 555 = 0 AND k % 777 <> 0) AS strayed FROM numbered)
+SELECT 'clean' AS batch, check_name, CAST(0 AS BIGINT) AS violations, FALSE AS refused
+FROM (SELECT unnest(['unique_trip_key', 'new_trip_key', 'not_null_trip_key', 'not_null_pickup_datetime_key',
+  'not_null_dropoff_datetime_key', {', '.join(f"'orphan_{fk}'" for fk, _, _ in W.FK_CHECKS)}]) AS check_name)
+UNION ALL SELECT 'planted', check_name, CASE check_name WHEN 'unique_trip_key' THEN repeated
+  WHEN 'not_null_pickup_datetime_key' THEN lost WHEN 'orphan_pu_location_key' THEN strayed ELSE 0 END, TRUE
+FROM counts, (SELECT unnest(['unique_trip_key', 'new_trip_key', 'not_null_trip_key', 'not_null_pickup_datetime_key',
+  'not_null_dropoff_datetime_key', {', '.join(f"'orphan_{fk}'" for fk, _, _ in W.FK_CHECKS)}]) AS check_name)"""))
+def _audit_batch(spark, sf_dir):
+    """The latest months staged onto the warehouse of the earlier ones and audited:
+    once as they are, and once with repeated keys, lost pickup keys and locations
+    without a dimension row planted, which is refused (W06, J11)."""
+    base = fresh(spark, "audit")
+    batch, earlier = _batch(star_for(spark, sf_dir).cleaned(spark))
+    wh = load_batch(earlier, W.empty_warehouse(spark), base)
+    clean = stage_batch(batch, wh, base)
+    k = F.col("trip_key") - wh.state.max_trip_key
+    facts = clean.facts.withColumns({
+        "pickup_datetime_key": F.when(k % 777 != 0, F.col("pickup_datetime_key")),
+        "pu_location_key": F.when((k % 555 == 0) & (k % 777 != 0), -1).otherwise(F.col("pu_location_key"))})
+    twice = clean.facts.where(k % 1000 == 0)
+    planted = stage_facts(facts.unionByName(twice), clean.wh, wh, base, "planted")
+    try:
+        publish_batch(planted, base)
+        refused = False
+    except LoadRefused:
+        refused = open_warehouse(spark, base).state == wh.state
+    return (clean.audit.select(F.lit("clean").alias("batch"), "*", F.lit(False).alias("refused"))
+            .unionByName(planted.audit.select(F.lit("planted").alias("batch"), "*", F.lit(refused).alias("refused"))))
+
+
+@register("stream_facts", star(_PER_FILE.replace("AS revenue", "AS revenue, CAST(0 AS BIGINT) AS violations")))
+def _stream_facts(spark, sf_dir):
+    """Month files as a stream into a warehouse; the landing folder holds them all
+    when the stream starts, and it is started twice: each fact is there once (S10)."""
+    base = fresh(spark, "stream_facts")
+    land_month_files(A.raw_trips(spark, sf_dir), f"{base}/raw")
+    for _ in range(2):
+        P.stream_months(spark, f"{base}/raw", base, f"{base}/stream", files_per_batch=1000).awaitTermination()
+    wh = open_warehouse(spark, base)
+    bad = W.constraint_violations(wh).agg(F.sum("violations")).scalar()
+    return _per_file(wh.fact_trip).withColumn("violations", bad.cast("bigint"))
+
+
+# The counting reports from the kept partial sums of each month, with the SQL of the reports over the facts.
+ROLLUP_REPORTS = ("kpi", "kpi_rounded", "daily_metrics", "daily_rounded", "daily_trimmed", "hourly_fares", "hourly_rounded",
+                  "dow_trips", "dow_rounded", "dow_hour", "dow_hour_matrix", "payment_mix", "payment_mix_fact", "rate_mix",
+                  "rate_top_other", "payment_stats", "vendor_stats", "rate_stats", "pickup_counts", "top_dropoffs",
+                  "top_tip_locations", "tip_by_location", "source_files", "passenger_share")
+
+
+def _rollup_report(name, fn, **params):
+    register(f"rollup_{name}", SQL[name])(
+        lambda spark, sf_dir: fn(warehouse(spark, sf_dir).answering_from_rollup(), **params))
+
+
+for _n in ROLLUP_REPORTS:
+    _rollup_report(_n, getattr(R, _n), **({"floor": DAY_FLOOR} if _n == "daily_trimmed" else {}))
+register("rollup_kpi_window", SQL["kpi_window"])(
+    lambda spark, sf_dir: R.kpi(warehouse(spark, sf_dir).answering_from_rollup(), *WINDOW))
+
+
+@register("split_share", with_cleaned(f"""
+SELECT count(*) AS rows, CAST(ceil(0.2 * count(*)) AS BIGINT) AS test_rows FROM cleaned WHERE
+  tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL AND passenger_count > 0 AND trip_distance > 0
+  AND total_amount > 0 AND PULocationID IS NOT NULL AND DOLocationID IS NOT NULL
+  AND tpep_pickup_datetime < tpep_dropoff_datetime AND trip_distance < 100 AND total_amount < 300"""))
+def _split_share(spark, sf_dir):
+    """The test part is exactly a fifth of the model rows, rounded up."""
+    return _rows(spark, sf_dir)[0].agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("split") == "test").alias("test_rows"))
+
+
+@register("summary_sketched", star(f""", {_MEASURED},
+v AS ({" UNION ALL ".join(f"SELECT '{m}' AS measure, CAST({m} AS DOUBLE) AS x FROM measured" for m in SK.MEASURES)})
+SELECT measure, count(x) AS n, min(x) AS low, max(x) AS high, TRUE AS within FROM v WHERE x IS NOT NULL GROUP BY 1""").replace(
+    "\n, measured AS", ",\nmeasured AS"))
+def _summary_sketched(spark, sf_dir):
+    """Quartiles from the kept sketches of all months, each within the stated rank error of the exact one."""
+    wh = warehouse(spark, sf_dir)
+    ok = SK.checked_quantiles(wh.fact_trip, wh.sketches).groupBy("measure").agg(F.bool_and("within").alias("within"))
+    return SK.quantiles(wh.sketches).select("measure", "n", "low", "high").join(ok, "measure")
+
+
 @register("reopened_warehouse", _TABLE_COUNTS_SQL)
 def _reopened_warehouse(spark, sf_dir):
     """The saved warehouse opened by its folder, and its tables read by name."""
@@ -748,8 +905,8 @@ UNION ALL SELECT CAST((SELECT max(location_key) FROM dim_location) + row_number(
 def _zone_ids_loaded(spark, sf_dir):
     """The lookup's ids numbered and added to the location dimension; again adds nothing."""
     b, base = star_for(spark, sf_dir), fresh(spark, "zone_ids")
-    text = b.zone_text(spark)
-    return load_zone_ids(load_zone_ids(b.wh, text, base), text, base).dim_location
+    text, wh = b.zone_text(spark), W.empty_warehouse(spark).replace(dim_location=b.wh.dim_location)
+    return load_zone_ids(load_zone_ids(wh, text, base), text, base).dim_location
 
 
 @register("location_map", O.with_zones("SELECT location_id, zone FROM zones WHERE location_id IS NOT NULL"))
@@ -838,9 +995,11 @@ from farelake.operators import model as MD  # noqa: E402
 
 _ML_WHERE = f"""{_ML_NOT_NULL} AND passenger_count > 0 AND trip_distance > 0 AND total_amount > 0
   AND tpep_pickup_datetime < tpep_dropoff_datetime AND trip_distance < 100 AND total_amount < 300"""
-_HASH = ("CAST(epoch(tpep_pickup_datetime) AS BIGINT) * 1000003 + CAST(epoch(tpep_dropoff_datetime) AS BIGINT) * 10007"
-         " + CAST(round(total_amount * 100) AS BIGINT) * 7919 + CAST(PULocationID AS BIGINT) * 131"
-         " + CAST(DOLocationID AS BIGINT) + 42 * 104729")
+_HASH_PARTS = ["CAST(epoch(tpep_pickup_datetime) AS BIGINT)", "CAST(epoch(tpep_dropoff_datetime) AS BIGINT)",
+               "CAST(passenger_count AS BIGINT)", "CAST(round(trip_distance * 100) AS BIGINT)",
+               "CAST(round(total_amount * 100) AS BIGINT)", *[f"CAST({c} AS BIGINT)" for c in FE.CATEGORICAL_CANDIDATES]]
+_HASH = ("CAST('0x' || substr(md5('42|' || " + " || '|' || ".join(f"coalesce(CAST({p} AS VARCHAR), 'None')" for p in _HASH_PARTS)
+         + "), 1, 15) AS BIGINT)")
 _CAT = ", ".join(f"coalesce(CAST(CAST({c} AS BIGINT) AS VARCHAR), 'None') AS {c}"
                  for c in FE.CATEGORICAL_CANDIDATES)
 _MROWS = f"""mrows AS (
@@ -849,7 +1008,7 @@ _MROWS = f"""mrows AS (
          CAST(isodow(tpep_pickup_datetime) - 1 AS DOUBLE) AS pickup_dayofweek,
          CAST(month(tpep_pickup_datetime) AS DOUBLE) AS pickup_month, {_CAT},
          CAST(total_amount AS DOUBLE) AS total_amount,
-         CASE WHEN (({_HASH}) % 1000 + 1000) % 1000 < 200 THEN 'test' ELSE 'train' END AS split
+         CASE WHEN row_number() OVER (ORDER BY {_HASH}) <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
   FROM cleaned WHERE {_ML_WHERE}),
 train AS (SELECT * FROM mrows WHERE split = 'train'),
 test AS (SELECT * FROM mrows WHERE split = 'test')"""
@@ -1016,58 +1175,86 @@ def _rmse(spark, sf_dir):
 
 
 TARGET_COL = "total_amount"
-# Boosting rounds of the model behind the registered queries, named in the key of
-# the fit; the library default is 300.
+# The scored model may take up to 300 rounds and stops by its validation rows; a second fit of
+# a fixed, small number of rounds is named in its key.
+VALIDATION = 0.1
 QUERY_ROUNDS = 20
 _MODELS: dict = {}
 
 
-def _model(spark, sf_dir):
-    """The model of ``sf_dir``: trained once and published next to the
+def _model(spark, sf_dir, rounds: int = MD.ROUNDS, validation: float | None = VALIDATION):
+    """A model of ``sf_dir``: trained once and published next to the
     warehouse it was trained from, so later runs load it."""
     from farelake.plans.star import publish_json, read_json
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, rounds)
     if key not in _MODELS:
         b = star_for(spark, sf_dir)
-        manifest = f"{b.base}/model-r{QUERY_ROUNDS}.json"
+        manifest = f"{b.base}/model-r{rounds}.json"
         m = read_json(spark, manifest)
         if m is None:
             rows, spec = _rows(spark, sf_dir)
             rows_path = save_path(rows, b.base, "model_rows")
             rows = spark.read.parquet(rows_path)
-            fit = MD.train(rows, spec, rounds=QUERY_ROUNDS)
+            fit = MD.train(rows, spec, rounds=rounds, validation=validation)
             fit.rmse = MD.evaluate(fit, rows)
             path = fresh(spark, "model")
             MD.save(fit, path, spark)
-            m = {"model": path, "rows": rows_path}
-            publish_json(spark, manifest, m)
+            publish_json(spark, manifest, {"model": path, "rows": rows_path})
             m = read_json(spark, manifest)
         _MODELS[key] = (MD.load(m["model"], spark), spark.read.parquet(m["rows"]))
     return _MODELS[key]
 
 
-@register(f"model_train_{QUERY_ROUNDS}_rounds")
-def _model_train(spark, sf_dir):
-    """Fit, evaluate on the test part, save and reload."""
-    m, rows = _model(spark, sf_dir)
+def _fit_report(m, rows):
     return rows.where(F.col("split") == "test").agg(F.count(F.lit(1)).alias("test_rows")).select(
-        F.lit(float(m.rmse)).alias("rmse"), F.lit(QUERY_ROUNDS).alias("rounds"),
+        F.lit(float(m.rmse)).alias("rmse"), F.lit(m.rounds).alias("rounds"),
         F.lit(MD.MAX_DEPTH).alias("max_depth"), F.lit(float(MD.LEARNING_RATE)).alias("learning_rate"),
         "test_rows")
 
 
+@register("model_train")
+def _model_train(spark, sf_dir):
+    """Fit with up to 300 rounds, stopped by the validation rows; evaluate on the test
+    part, save and reload (M08, M09, S17). ``rounds`` is how many it took."""
+    return _fit_report(*_model(spark, sf_dir))
+
+
+@register("model_beats_the_mean", with_mrows("SELECT count(*) AS test_rows, TRUE AS beats_mean, TRUE AS rounds_within, "
+                                             "TRUE AS rmse_of_scores FROM test"))
+def _model_beats_the_mean(spark, sf_dir):
+    """The full fit against the train-mean predictor on the test part: its error is
+    lower, its rounds are at most 300, and its stated error is that of its scores (M08-M10)."""
+    m, rows = _model(spark, sf_dir)
+    test = rows.where(F.col("split") == "test")
+    own = MD.rmse(MD.score(m, test, keep=(TARGET_COL,)))
+    mean = _rmse(spark, sf_dir).select("rmse").scalar()
+    return own.select(F.col("rows").alias("test_rows"), (F.col("rmse") < mean).alias("beats_mean"),
+                      F.lit(1 <= m.rounds <= MD.ROUNDS).alias("rounds_within"),
+                      (F.abs(F.col("rmse") - F.lit(float(m.rmse))) < 1e-3).alias("rmse_of_scores"))
+
+
+@register(f"model_train_{QUERY_ROUNDS}_rounds")
+def _model_train_rounds(spark, sf_dir):
+    """A fit of a fixed number of rounds without validation rows."""
+    return _fit_report(*_model(spark, sf_dir, QUERY_ROUNDS, None))
+
+
+def _scored(m, df, *keep):
+    return MD.score(m, df, keep=keep).withColumn("rounds", F.lit(m.rounds))
+
+
 @register("score_batch")
 def _score_batch(spark, sf_dir):
-    """Every model row scored."""
+    """Every model row scored, with the model's rounds."""
     m, rows = _model(spark, sf_dir)
-    return MD.score(m, rows, keep=(TARGET_COL,))
+    return _scored(m, rows, TARGET_COL)
 
 
 @register("score_scenarios")
 def _score_scenarios(spark, sf_dir):
     """The what-if rows scored."""
     m, _ = _model(spark, sf_dir)
-    return MD.score(m, _scenario_rows_df(spark, sf_dir), keep=("scenario",))
+    return _scored(m, _scenario_rows_df(spark, sf_dir), "scenario")
 
 
 @register("request_rows", zstar("""
@@ -1098,7 +1285,7 @@ def _request_rows(spark, sf_dir):
 def _score_requests(spark, sf_dir):
     """The form requests scored."""
     m, _ = _model(spark, sf_dir)
-    return MD.score(m, _request_rows(spark, sf_dir), keep=("trip_key",))
+    return _scored(m, _request_rows(spark, sf_dir), "trip_key")
 
 
 @register("score_counts", star("", zones=True) + ", " + _MROWS + """

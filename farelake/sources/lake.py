@@ -7,7 +7,9 @@ as the text of the partition directory. Reading the root gives ``year`` and
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 from farelake import schemas as S
 from farelake.functions.rules import clean, with_provenance
 from farelake.functions.text import month_file_name
+from farelake.sources import drift
 
 MODES = ("single_month", "one_year", "year_range", "months")
 
@@ -75,8 +78,9 @@ def month_span(trips: DataFrame, ts_col: str = "tpep_pickup_datetime") -> DataFr
 
 
 def read_raw(spark: SparkSession, path: str, schema=S.RAW_TRIP) -> DataFrame:
-    """Scan raw month file(s) with a pinned schema."""
-    return spark.read.schema(schema).parquet(path)
+    """Scan raw month file(s) in the pinned types (S01). The files may hold
+    other types or lack a column: see ``drift``."""
+    return drift.conform(drift.read_files(spark, [path], schema), schema)
 
 
 def land_raw(df: DataFrame, path: str) -> DataFrame:
@@ -90,12 +94,16 @@ def _partition_cols(df: DataFrame) -> DataFrame:
         "month", F.format_string("%02d", F.col("ingestion_month")))
 
 
-def write_cleaned(df: DataFrame, base: str, mode: str = "overwrite") -> None:
+def write_cleaned(df: DataFrame, base: str, mode: str = "overwrite",
+                  months: Iterable[tuple[int, int]] | None = None) -> None:
     """Write cleaned trips under year=/month=.
 
-    ``overwrite`` replaces only the months present in ``df`` (dynamic partition
-    overwrite), so re-running a month is repeat-safe; ``append`` adds files as
-    the reference job does.
+    ``overwrite`` replaces the months of ``df`` and those named in ``months``,
+    and no other: a named month of which ``df`` has no row loses its partition,
+    so a month that has become empty does not keep its old trips. The rows are
+    written beside the lake first and each month is then put in its place, so
+    a write that fails changes nothing. ``append`` adds files as the reference
+    job does.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be overwrite or append, got {mode}")
@@ -103,7 +111,35 @@ def write_cleaned(df: DataFrame, base: str, mode: str = "overwrite") -> None:
     # AQE splits a month larger than the advisory partition size over several
     # tasks, so no month is written by one task.
     out = _partition_cols(df).hint("rebalance", "year", "month")
-    write_partitions(out, base, ["year", "month"], mode)
+    if mode == "append":
+        write_partitions(out, base, ["year", "month"], mode)
+        return
+    spark = df.sparkSession
+    staged = f"{base}/_staged-{uuid.uuid4().hex[:12]}"   # readers skip names that start with _
+    try:
+        out.write.partitionBy("year", "month").parquet(staged)
+        leaves = [f"{y}/{m}" for y in folders(spark, staged) for m in folders(spark, f"{staged}/{y}")]
+        for leaf in leaves:
+            remove(spark, f"{base}/{leaf}")
+            move(spark, f"{staged}/{leaf}", f"{base}/{leaf}")
+        for year, month in months or ():
+            if month_leaf(year, month) not in leaves:
+                remove(spark, f"{base}/{month_leaf(year, month)}")
+    finally:
+        remove(spark, staged)
+
+
+def month_leaf(year: int, month: int) -> str:
+    return f"year={int(year):04d}/month={int(month):02d}"
+
+
+MONTH_NAME = re.compile(r"(\d{4})-(\d{2})\.parquet$")
+
+
+def months_of(files: Iterable[str]) -> list[tuple[int, int]]:
+    """(year, month) of month file names; names of another form have none."""
+    found = [MONTH_NAME.search(f) for f in files]
+    return [(int(m[1]), int(m[2])) for m in found if m]
 
 
 def write_partitions(df: DataFrame, path: str, cols: Sequence[str], mode: str) -> None:
@@ -113,18 +149,45 @@ def write_partitions(df: DataFrame, path: str, cols: Sequence[str], mode: str) -
     (df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path))
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The cluster's file system of a path, and the path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder of this library on the cluster's file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    """Delete a folder of this library on the cluster's file system."""
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; its new parent is made, and a refusal raises."""
+    fs, p = hadoop_path(spark, path)
+    _, q = hadoop_path(spark, to)
+    fs.mkdirs(q.getParent())
+    if not fs.rename(p, q):
+        raise OSError(f"{path} could not be moved to {to}")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on the cluster's file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def names(spark: SparkSession, path: str, only_folders: bool = False) -> list[str]:
+    """Names of what a folder holds (none if it does not exist), without what readers skip."""
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory() or not only_folders]
+    return sorted(n for n in found if not n.startswith(("_", ".")))
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    return names(spark, path, only_folders=True)
 
 
 def read_cleaned(spark: SparkSession, base: str, year: int | None = None,
@@ -142,6 +205,24 @@ def read_cleaned(spark: SparkSession, base: str, year: int | None = None,
     return df.drop("year", "month")
 
 
+def read_months(spark: SparkSession, base: str, files: Sequence[str] | None = None) -> DataFrame:
+    """The cleaned trips of some month files (all when None), with the pinned columns.
+
+    Only the folders of those months are listed and read; a month without rows,
+    or a lake without any, gives no rows.
+    """
+    keys = T.StructType([T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
+    schema = T.StructType(S.CLEANED_TRIP.fields + keys.fields)
+    if files is None:
+        paths = [base] if folders(spark, base) else []
+    else:
+        paths = [p for ym in sorted(set(months_of(files))) if path_exists(spark, p := f"{base}/{month_leaf(*ym)}")]
+    if not paths:
+        return spark.createDataFrame([], S.CLEANED_TRIP)
+    rows = spark.read.schema(schema).option("basePath", base).parquet(*paths).drop("year", "month")
+    return rows if files is None else rows.where(F.col("source_file").isin(list(files)))
+
+
 def append_if_rows(df: DataFrame, path: str) -> bool:
     """Append to a table only when there is something to add."""
     if df.isEmpty():
@@ -194,8 +275,8 @@ def ingest_months(spark: SparkSession, plan: DataFrame, load_month: Callable[[in
     """Load the planned months one by one and keep a ledger.
 
     ``load_month(year, month, file_name)`` loads a month as jobs of its own and
-    returns its row count, or None when there is nothing to load. A month that
-    raises is recorded as ``failed`` with its error, one without data as
+    returns its row count, or None (or 0) when there is nothing to load. A month
+    that raises is recorded as ``failed`` with its error, one without data as
     ``skipped``; the others go on. The plan is a list of calendar months, so
     the loop is short; independent months run on ``threads`` threads.
     """
@@ -204,7 +285,7 @@ def ingest_months(spark: SparkSession, plan: DataFrame, load_month: Callable[[in
             rows = load_month(r.year, r.month, r.file_name)
         except Exception as e:  # noqa: BLE001 - the ledger's purpose: one month's failure stops no other
             return r.year, r.month, r.file_name, "failed", 0, f"{type(e).__name__}: {e}"[:2000]
-        if rows is None:
+        if not rows:
             return r.year, r.month, r.file_name, "skipped", 0, f"no data for {r.file_name}"
         return r.year, r.month, r.file_name, "loaded", int(rows), None
 
@@ -216,15 +297,18 @@ def ingest_months(spark: SparkSession, plan: DataFrame, load_month: Callable[[in
 def clean_month(spark: SparkSession, raw_root: str, cleaned: str, year: int, month: int, file_name: str,
                 folder: str | None = None) -> int | None:
     """Clean one landed month file (``raw_root/folder``, by default its file name)
-    into the lake (S05); its row count, or None without rows."""
+    into the lake (S05): None when there is no such file, else its row count.
+
+    The rules run on the types that the files hold, and the rows are stored in
+    the pinned types. A file none of whose trips pass them takes the month's
+    partition away (0). The count reads the footers of the month's own files."""
     path = f"{raw_root}/{folder or file_name}"
     if not path_exists(spark, path):
         return None
-    rows = with_provenance(clean(read_raw(spark, path)), file_name, year, month)
-    write_cleaned(rows, cleaned)
-    stored = spark.read.schema(T.StructType(S.CLEANED_TRIP.fields + [
-        T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])).parquet(cleaned)
-    return stored.where((F.col("year") == year) & (F.col("month") == month)).count() or None
+    rows = drift.conform(clean(drift.read_files(spark, [path])))
+    write_cleaned(with_provenance(rows, file_name, year, month), cleaned, months=[(year, month)])
+    leaf = f"{cleaned}/{month_leaf(year, month)}"
+    return spark.read.schema(S.CLEANED_TRIP).parquet(leaf).count() if path_exists(spark, leaf) else 0
 
 
 def largest_file(spark: SparkSession, path: str) -> DataFrame:

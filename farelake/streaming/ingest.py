@@ -3,22 +3,22 @@
 The reference ingests month files one by one in a driver loop. As a stream,
 newly landed files are picked up by Spark's file source, which records the
 files it has processed in the checkpoint. A micro-batch names the months that
-got new files; each of those months is then rebuilt whole from the landing
-folder (a partition-pruned read of just those month folders), cleaned with
-the same rules and written to the ``year=/month=`` lake with dynamic partition
-overwrite. So a month whose files arrive over several batches ends up
-complete, and a retried batch writes the same rows again instead of adding
-them twice. Provenance comes from the month folder a row was read from.
+got new files; each of those months is then rebuilt whole from its own landing
+folder, cleaned with the same rules and put in its place in the ``year=/month=``
+lake. So a month whose files arrive over several batches ends up complete, and
+a retried batch writes the same rows again instead of adding them twice.
+Provenance comes from the month folder a row was read from.
+``plans.modes.stream_months`` takes the stream on into the warehouse.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from farelake import schemas as S
-from farelake.functions.rules import clean
 from farelake.sources import lake
 
 FILE_MONTH = r"yellow_tripdata_(\d{4})-(\d{2})\.parquet"
@@ -35,12 +35,6 @@ def land_month_files(raw: DataFrame, raw_dir: str) -> None:
         .partitionBy("source_file").parquet(raw_dir))
 
 
-def _file_provenance(name: Column) -> list[Column]:
-    return [F.regexp_extract(name, FILE_MONTH, 0).alias("source_file"),
-            F.regexp_extract(name, FILE_MONTH, 1).cast("int").alias("ingestion_year"),
-            F.regexp_extract(name, FILE_MONTH, 2).cast("int").alias("ingestion_month")]
-
-
 def month_stream(spark: SparkSession, raw_dir: str, files_per_batch: int = 1) -> DataFrame:
     """Month file names of newly landed parquet files: a ``binaryFile`` stream
     without its ``content`` column gives one row per file and reads no data."""
@@ -53,23 +47,22 @@ def month_stream(spark: SparkSession, raw_dir: str, files_per_batch: int = 1) ->
     return src.select(F.regexp_extract(F.col("path"), FILE_MONTH, 0).alias("source_file"))
 
 
-def months_from_landing(spark: SparkSession, raw_dir: str, months: list[str]) -> DataFrame:
-    """Cleaned trips of whole months, read from their landing folders only."""
-    raw = spark.read.schema(S.RAW_TRIP).parquet(raw_dir)   # source_file: partition column
-    rows = raw.where(F.col("source_file").isin(months))    # partition pruning
-    return clean(rows.select(*S.RAW_COLUMNS, *_file_provenance(F.col("source_file"))))
-
-
 def start_ingest(spark: SparkSession, raw_dir: str, cleaned_base: str, checkpoint: str,
-                 available_now: bool = True, files_per_batch: int = 1) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what is landed and stops."""
+                 available_now: bool = True, files_per_batch: int = 1,
+                 after_batch: Callable[[SparkSession, list[str], int], None] | None = None) -> StreamingQuery:
+    """Start the stream; with ``available_now`` it processes what is landed and
+    stops. ``after_batch(spark, month files, batch id)`` runs when a batch's
+    months are in the lake."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         # The months touched by this batch: at most one name per file of the
         # batch, and bounded by the calendar.
-        months = [r.source_file for r in batch.distinct().collect() if r.source_file]
-        if months:
-            lake.write_cleaned(months_from_landing(batch.sparkSession, raw_dir, months),
-                               cleaned_base, mode="overwrite")
+        session = batch.sparkSession
+        months = sorted(r.source_file for r in batch.distinct().collect() if r.source_file)
+        for name in months:
+            (year, month), = lake.months_of([name])
+            lake.clean_month(session, raw_dir, cleaned_base, year, month, name, folder=f"source_file={name}")
+        if months and after_batch is not None:
+            after_batch(session, months, epoch_id)
 
     writer = (month_stream(spark, raw_dir, files_per_batch).writeStream
               .foreachBatch(write_batch)

@@ -250,27 +250,20 @@ def test_second_load_shares_seconds_without_duplicates(spark, raw):
     assert all(r.orphans == 0 for r in W.fk_orphans(wh).collect())
 
 
-def _fact_files(spark, root):
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .option("recursiveFileLookup", "true").load(root).select("path").collect())
-    return {r.path for r in files}
-
-
 def test_loads_and_reloads_touch_only_their_own_month_files(spark, raw):
     rows = [trip(), trip(pickup="2024-02-01 10:00:00", dropoff="2024-02-01 10:30:00", total=20.0)]
     wh, cleaned, base = _load(spark, raw, rows, "reload_files")
-    root = wh.fact_path
-    first = _fact_files(spark, root)
-    first_dt = _fact_files(spark, wh.datetime_path)
+    files = lambda df: set(df.inputFiles())                    # noqa: E731
+    first, first_dt = files(wh.fact_trip), files(wh.dim_datetime)
     march = [trip(pickup="2024-03-03 10:00:00", dropoff="2024-03-03 10:30:00")]
     wh = ST.load_batch(with_provenance(clean(raw(march))), wh, base)
-    appended = _fact_files(spark, root)
+    appended = files(wh.fact_trip)
     assert first < appended                                   # append: old files kept as they are
-    assert first_dt < _fact_files(spark, wh.datetime_path)    # new seconds appended, old kept
+    assert first_dt < files(wh.dim_datetime)                  # new seconds appended, old kept
     assert wh.dim_datetime.count() == 6
     jan = cleaned.where(F.col("source_file") == "yellow_tripdata_2024-01.parquet")
     wh = ST.reload_source(wh, jan, base)
-    reloaded = _fact_files(spark, root)
+    reloaded = files(wh.fact_trip)
     is_jan = lambda p: "yellow_tripdata_2024-01" in p          # noqa: E731
     assert {p for p in appended if not is_jan(p)} == {p for p in reloaded if not is_jan(p)}
     assert {p for p in appended if is_jan(p)}.isdisjoint({p for p in reloaded if is_jan(p)})
