@@ -1,11 +1,15 @@
 """Connected components of an edge table by contraction.
 
-Each round every vertex points to its smallest neighbour (a partial
-aggregate), and both ends of every edge move along the pointers; edges inside
-a vertex vanish and the rest are made distinct. A star, however large, is done
-in one round, and the vertices left at least halve each round. Edges and the
-map of vertices are stored in the shared folder after every round, and those
-of the round before removed. Nothing is gathered on the driver.
+Each round the vertices get new random ranks (a hash of the vertex and the
+round), every vertex points to the lowest ranked of itself and its neighbours
+(a partial aggregate), and both ends of every edge move along the pointers;
+edges inside a vertex vanish and the rest are made distinct. A vertex stays
+only if one of its neighbours, or itself, finds it lowest, so a constant share of them
+vanishes in every round whatever the graph looks like: a chain of n takes
+about log n rounds, a star of any size one or two. At the end every component is named
+by its smallest vertex. Edges and the map of vertices are stored in the shared
+folder after every round, and those of the round before removed. Nothing is
+gathered on the driver.
 
 Null ends are dropped; loops and repeated edges change nothing; no edges give
 no rows.
@@ -27,12 +31,14 @@ def components(spark: SparkSession, edges: DataFrame, scratch: list[str] | None
     edges = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     used: list[str] = []
-    edges, nodes, kept = stored(spark, edges, "edges", used), None, []
+    edges, nodes, kept, n = stored(spark, edges, "edges", used), None, [], 0
     while True:
+        rank = lambda c: F.struct(F.xxhash64(c, F.lit(n)).alias("h"), F.col(c).alias("v"))  # noqa: E731, B023
         both = edges.union(edges.select("b", "a"))
-        to = both.groupBy("a").agg(F.min("b").alias("b")).select(
-            F.col("a").alias("v"), F.least("a", "b").alias("to"))
+        to = both.groupBy("a").agg(F.min(rank("b")).alias("m")).select(
+            F.col("a").alias("v"), F.least(rank("a"), F.col("m"))["v"].alias("to"))
         to = stored(spark, to, "pointers", used)
+        n += 1
         if nodes is None:
             nodes = to.select(F.col("v").alias("node"), F.col("to").alias("root"))
         else:
@@ -49,7 +55,11 @@ def components(spark: SparkSession, edges: DataFrame, scratch: list[str] | None
         discard(spark, used)
         used = later
         if edges.isEmpty():
-            discard(spark, used)
+            names = nodes.groupBy(F.col("root").alias("_r")).agg(F.min("node").alias("name"))
+            named: list[str] = []
+            out = stored(spark, nodes.join(names, nodes["root"] == names["_r"]).select("node", F.col("name").alias("root")),
+                         "components", named)
+            discard(spark, used + kept)
             if scratch is not None:
-                scratch += kept
-            return nodes
+                scratch += named
+            return out

@@ -16,20 +16,24 @@ are, and shares one of 64 sketches of 3 with probability 0.995 (0.999 at the
 Jaccard similarity of 0.47 that random edits leave, above 0.99999 at edit
 similarity 0.85).
 
-Pairs of texts of at most ``SHORT`` words are found for certain, without
-sketches drawn at random: what their labelled k-mers must have in common is
-known from the lengths, so the common ones with the smallest hashes are among
-the first few of both texts (prefix filter). Each pair of those first few is
-one key. Texts that could link to a longer text have the sketches as well.
+Pairs of texts of at most ``SHORT`` words are found for certain beside that:
+what their labelled k-mers must have in common is known from the lengths, so
+if every short text lists its k-mers in one order, the common ones are among
+the first few of both (prefix filter). The order is rarest first, by a count
+of the k-mers of all short texts, so a phrase that many texts share is no key
+unless a text has little else. Each pair of those first few is one key.
 
 Equal texts are one vertex from the start. A bucket (texts that share a
-sketch) is never expanded into all its pairs. First, every text is aligned
-with one text: the leader, random per bucket, that it shares most sketches
-with. Then with the leaders of its other buckets, where the two are not
-connected yet. Last, in buckets where some texts are still not connected to
-the leader, texts of different components are compared with each other, in
-blocks of bounded size. Pairs whose word counts rule out a link are not
-aligned. Connected pairs are left out throughout, as they cannot change a class.
+sketch or key) is never expanded into all its pairs. First, by ``LEADS`` of the
+sketches alone, every text is aligned with one text: the leader, random per
+bucket, that it shares most of them with. That connects groups of copies of
+any size. Then all sketches and keys are looked at, but only in buckets that
+hold more than one component, as links inside one cannot change a class:
+again with the leader of another component that a text shares most with, then
+with its other leaders, and last, in buckets where some texts are still not
+connected to the leader, texts of different components are compared with each
+other, in blocks of bounded size. Pairs whose word counts rule out a link are
+not aligned.
 
 Results on odd input: null and empty texts, and those without a word, are
 equal; texts of fewer than K words are one k-mer; a class id is the smallest
@@ -58,11 +62,16 @@ from farelake.llm.graph import components
 K = 2
 ELL = 3
 SKETCHES = 64
+#: Sketches that the first merge uses.
+LEADS = 8
 SIMILARITY = 0.8
 #: Pairs of texts of at most SHORT words are candidates for certain.
 SHORT = 25
 CHUNK = 1 << 12
 NODES_MAX = 2_000_000
+#: Short k-mers in at least FREQUENT texts are ordered by their count, rarer ones come before them.
+FREQUENT = 16
+FREQUENT_MAX = 1_000_000
 #: Buckets up to FEW texts are paired by a join, larger ones in blocks of about BLOCK texts.
 FEW = 12
 BLOCK = 512
@@ -159,30 +168,36 @@ def short_plan(least: float, most: int) -> tuple[int, int, dict[int, int]]:
     return k, t, need
 
 
-def short_sketches(words: np.ndarray, least: float, most: int | None = None) -> np.ndarray:
-    """Keys of a short text; any two that could link share one. Equal texts need none."""
-    k, t, need = short_plan(least, SHORT if most is None else most)
-    if len(words) not in need:
-        return np.zeros(0, np.int64)
-    kmers = np.sort(labelled_kmers(words, k))
-    first = kmers[:max(0, len(kmers) - need[len(words)] + t)]
-    if t == 1:
-        return mix(first ^ U64(0x5348)).view(np.int64)
-    i, j = np.triu_indices(len(first), 1)
-    return mix(first[i] * _POWERS[40] + first[j] * _POWERS[41]).view(np.int64)
+def short_kmers(words: np.ndarray, least: float) -> np.ndarray:
+    """The labelled k-mers that a short text is keyed by; none where equal texts alone could link."""
+    k, _, need = short_plan(least, SHORT)
+    return labelled_kmers(words, k).view(np.int64) if len(words) in need else np.zeros(0, np.int64)
 
 
-def sketches_of(words: np.ndarray, k: int, ell: int, sketches: int, least: float) -> np.ndarray:
-    """Sketches and keys of a text: those of long texts, of short ones, or both."""
-    out = []
-    if len(words) + edits_allowed(SHORT + 1, least) > SHORT:  # may link to a text of more than SHORT words
-        out.append(order_sketches(labelled_kmers(words, k), ell, sketches))
-    if len(words) <= SHORT:
-        out.append(short_sketches(words, least))
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.int64)
+def short_keys(short: DataFrame, least: float) -> DataFrame:
+    """(node, n_words, b): keys of short texts (node, n_words, kmers); any two that could link share one.
+
+    A text's k-mers are distinct and at most SHORT, so its group is small; the counts
+    of frequent k-mers are broadcast when they are within a bound.
+    """
+    _, t, need = short_plan(least, SHORT)
+    each = short.select("node", "n_words", F.explode("kmers").alias("kmer")).distinct()   # repeated rows count once
+    counts = each.groupBy("kmer").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT)
+    ranked = each.join(bounded(counts, max_rows=FREQUENT_MAX), "kmer", "left").groupBy("node", "n_words").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "kmer"))).alias("s"))
+    needed = F.element_at(F.array(*[F.lit(need.get(i, 0)) for i in range(1, SHORT + 1)]), F.col("n_words"))
+    first = ranked.select("node", "n_words", F.transform(
+        F.slice("s", F.lit(1), F.greatest(F.size("s") - needed + t, F.lit(0))), lambda x: x["kmer"]).alias("f"))
+    if t == 1:
+        keys = F.transform("f", lambda x: F.xxhash64(F.lit(1), x))
+    else:
+        keys = F.flatten(F.transform("f", lambda x, i: F.transform(
+            F.slice("f", i + 2, F.size("f")), lambda y: F.xxhash64(F.lit(2), x, y))))
+    return first.select("node", "n_words", F.explode(keys).alias("b"))
 
 
-SIGNATURE = "doc_id long, th long, digest binary, n_words int, words binary, bag binary, sketches array<long>"
+SIGNATURE = "doc_id long, th long, digest binary, n_words int, words binary, bag binary, " \
+            "sketches array<long>, leads array<long>, kmers array<long>"
 
 
 def word_bag(words: np.ndarray) -> np.ndarray:
@@ -197,12 +212,14 @@ def _signer(k: int, ell: int, sketches: int, least: float):
             for at in range(0, len(pdf), 1000):
                 cut = pdf.iloc[at:at + 1000]
                 words = [hashes(t) for t in cut["text"]]
+                drawn = [order_sketches(labelled_kmers(w, k), ell, sketches) for w in words]
                 yield pd.DataFrame({
                     "doc_id": cut["doc_id"].astype("Int64"), "th": cut["th"],
                     "digest": [xxhash.xxh128_digest(w.tobytes()) for w in words], "n_words": [len(w) for w in words],
                     "words": [w.astype(np.uint32).tobytes() for w in words],
                     "bag": [word_bag(w).tobytes() for w in words],
-                    "sketches": [sketches_of(w, k, ell, sketches, least) for w in words]})
+                    "sketches": drawn, "leads": [x[:LEADS] for x in drawn],
+                    "kmers": [short_kmers(w, least) for w in words]})
     return run
 
 
@@ -329,6 +346,37 @@ def _merge(spark: SparkSession, roots: DataFrame | None, links: DataFrame, scrat
     return stored(spark, moved.union(new), "roots", scratch)
 
 
+def _stars(members: DataFrame) -> DataFrame:
+    """(b, node, n_words, r, lead, ln, lr): members (node, n_words, r, b) of buckets of more than one root,
+    each with the bucket's leader."""
+    lead = F.min(F.struct(F.xxhash64("node", "b").alias("o"), F.col("node").alias("lead"), F.col("n_words").alias("ln"),
+                          F.col("r").alias("lr")))
+    open_buckets = (members.groupBy("b").agg(lead.alias("l"), F.min("r").alias("lo"), F.max("r").alias("hi"))
+                    .where("lo <> hi").select("b", "l.lead", "l.ln", "l.lr"))
+    return members.join(open_buckets, "b").where("node <> lead").distinct()
+
+
+def _shared(stars: DataFrame, least: float) -> DataFrame:
+    """(node, lead, c): the leaders of a text of a length that allows a link, and how many sketches it shares with them."""
+    near = F.least("n_words", "ln") >= F.greatest("n_words", "ln") * least - 1e-6
+    return stars.where(near).groupBy("node", "lead").agg(F.count(F.lit(1)).alias("c"))
+
+
+def _best(shared: DataFrame) -> DataFrame:
+    """Per text the leader that it shares most sketches with, as (a, b)."""
+    return shared.groupBy("node").agg(F.max(F.struct("c", "lead")).alias("m")).select(
+        F.col("node").alias("a"), F.col("m.lead").alias("b"))
+
+
+def _words(spark: SparkSession, sig: DataFrame, of: DataFrame, stars: DataFrame, scratch: list[str]) -> DataFrame:
+    """What is known of the texts that take part, one row each. They are met by their
+    digests, so the words of all other texts stay where they are."""
+    nodes = stars.select("node").union(stars.select("lead")).distinct()
+    nodes = bounded(stored(spark, of.join(nodes, "node", "left_semi"), "omh-involved", scratch), max_rows=NODES_MAX)
+    words = sig.join(nodes, sig["digest"] == nodes["_g"]).where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("node")))
+    return stored(spark, words.select("node", "n_words", "words", "bag", "sketches").dropDuplicates(["node"]), "omh-words", scratch)
+
+
 def near_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K,
                  ell: int = ELL, sketches: int = SKETCHES, least: float = SIMILARITY) -> DataFrame:
     """(doc_id, th, class_id): one row per row of ``docs``; th is the hash of its text."""
@@ -340,29 +388,36 @@ def near_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
         F.col("digest").alias("_g"), F.coalesce("id", nameless).alias("node")), "omh-nodes", scratch)
     own = (sig.join(of, sig["digest"] == of["_g"]).drop("_g")
            .where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("node"))))
-    members = own.select("node", "n_words", F.explode("sketches").alias("b"))
-    lead = F.min(F.struct(F.xxhash64("node", "b").alias("o"), F.col("node").alias("lead"), F.col("n_words").alias("ln")))
-    leaders = (members.groupBy("b").agg(lead.alias("l"), F.min("node").alias("lo"), F.max("node").alias("hi"))
-               .where("lo <> hi").select("b", "l.lead", "l.ln"))
-    stars = stored(spark, members.join(leaders, "b").where("node <> lead").distinct(), "omh-stars", scratch)
-    nodes = stars.select("node").union(stars.select("lead")).distinct()
-    # The words are met by the digests of the texts involved, so those of all other texts stay where they are.
-    nodes = bounded(stored(spark, of.join(nodes, "node", "left_semi"), "omh-involved", scratch), max_rows=NODES_MAX)
-    words = sig.join(nodes, sig["digest"] == nodes["_g"]).where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("node")))
-    words = stored(spark, words.select("node", "n_words", "words", "bag", "sketches").dropDuplicates(["node"]), "omh-words", scratch)
-    near = F.least("n_words", "ln") >= F.greatest("n_words", "ln") * least - 1e-6
-    # 1. Each text with the leader it shares most sketches with.
-    shared = stars.where(near).groupBy("node", "lead").agg(F.count(F.lit(1)).alias("c"))
-    best = stored(spark, shared.groupBy("node").agg(F.max(F.struct("c", "lead")).alias("m")).select(
-        F.col("node").alias("a"), F.col("m.lead").alias("b")), "omh-best", scratch)
-    roots = _merge(spark, None, _links(spark, best, words, least, scratch), scratch)
+    # 1. By a few sketches: each text with the leader it shares most of them with, then one pair of texts for any
+    # two components that a text and a leader are of.
+    members = own.select("node", "n_words", F.col("node").alias("r"), F.explode("leads").alias("b"))
+    stars = stored(spark, _stars(members), "omh-first", scratch)
+    words = _words(spark, sig, of, stars, scratch)
+    shared = stored(spark, _shared(stars, least), "omh-shared", scratch)
+    roots = _merge(spark, None, _links(spark, _best(shared), words, least, scratch), scratch)
+    apart = _roots(_roots(shared, roots, "node", "ra"), roots, "lead", "rb").where("ra <> rb")
+    apart = apart.groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(F.max(F.struct("c", "node", "lead")).alias("m"))
+    apart = stored(spark, apart.select(F.col("m.node").alias("a"), F.col("m.lead").alias("b")), "omh-apart", scratch)
+    roots = _merge(spark, roots, _links(spark, apart, words, least, scratch), scratch)
+    # By all sketches and keys, in buckets of more than one component: each text with the leader of another
+    # component that it shares most with.
+    rooted = stored(spark, _roots(own.select("node", "n_words", "sketches"), roots, "node", "r"), "omh-rooted", scratch)
+    keys = short_keys(own.where(F.size("kmers") > 0).select("node", "n_words", "kmers"), least)
+    keys = _roots(keys, roots, "node", "r").select("node", "n_words", "r", "b")
+    members = rooted.select("node", "n_words", "r", F.explode("sketches").alias("b")).union(keys)
+    stars = stored(spark, _stars(members), "omh-stars", scratch)
+    words = _words(spark, sig, of, stars, scratch)
+    shared = _shared(stars.where("r <> lr"), least)
+    best = stored(spark, _best(shared), "omh-best", scratch)
+    roots = _merge(spark, roots, _links(spark, best, words, least, scratch), scratch)
     # 2. With its other leaders, where not connected.
     rest = shared.select(F.col("node").alias("a"), F.col("lead").alias("b")).join(best, ["a", "b"], "left_anti")
     rest = _roots(_roots(rest, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb")
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     roots = _merge(spark, roots, _links(spark, stored(spark, rest, "omh-rest", scratch), words, least, scratch), scratch)
     # 3. In buckets that are not one component: texts apart from their leader with the others.
-    star = stored(spark, _roots(_roots(stars, roots, "node", "r"), roots, "lead", "lr"), "omh-rooted", scratch)
+    star = stored(spark, _roots(_roots(stars.drop("r", "lr"), roots, "node", "r"), roots, "lead", "lr"), "omh-last-stars",
+                  scratch)
     last = _pairs_beside(star, words, least)
     roots = _merge(spark, roots, _links(spark, stored(spark, last, "omh-last", scratch), words, least, scratch), scratch)
     out = sig.select("doc_id", "th", "digest").join(of, F.col("digest") == F.col("_g")).select("doc_id", "th", "node")

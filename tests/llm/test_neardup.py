@@ -143,6 +143,21 @@ def test_components(spark):
     assert graph.components(spark, spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_chain_takes_few_rounds(spark, monkeypatch):
+    n, rounds = 3000, []
+    real = graph.stored
+
+    def counted(session, df, name, *args):
+        rounds.append(name)
+        return real(session, df, name, *args)
+
+    monkeypatch.setattr(graph, "stored", counted)
+    edges = spark.range(n).selectExpr("id AS a", "id + 1 AS b")
+    got = graph.components(spark, edges)
+    assert got.count() == n + 1 and [r.root for r in got.select("root").distinct().collect()] == [0]
+    assert rounds.count("pointers") <= 25
+
+
 def test_word_counts_never_rule_out_a_link():
     rnd = random.Random(9)
     texts = [[f"w{rnd.randrange(300)}" for _ in range(60)] for _ in range(12)]
@@ -196,20 +211,75 @@ def test_pairs_with_spread_edits_are_found(spark, docs, spread):
     assert sum(got[2 * i + 1] == 2 * i for i in range(240)) >= 237
 
 
+def keys_of(spark, texts, least):
+    """Keys by position of short texts."""
+    hashes = neardup.Words()
+    words = [hashes(t) for t in texts]
+    rows = [(i, len(w), neardup.short_kmers(w, least).tolist()) for i, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "node long, n_words int, kmers array<long>")
+    out = {}
+    for r in neardup.short_keys(df.union(df.limit(50)), least).collect():
+        out.setdefault(r.node, set()).add(r.b)
+    return words, out
+
+
 @pytest.mark.parametrize("least", [0.8, 0.9, 0.6])
-def test_short_pairs_share_a_key_for_certain(least):
-    rnd, hashes, met = random.Random(4), neardup.Words(), 0
+def test_short_pairs_share_a_key_for_certain(spark, least):
+    rnd, texts = random.Random(4), []
     for i in range(6000):
         words = 5 if i % 2 else 1000
         a = [f"w{rnd.randrange(words)}" for _ in range(rnd.randrange(1, neardup.SHORT + 1))]
-        b = edited(rnd, a, rnd.randrange(1, 8), [f"w{j}" for j in range(words)])
-        x, y = hashes(" ".join(a)), hashes(" ".join(b))
-        if a != b and max(len(a), len(b)) <= neardup.SHORT and align.similar([(x, y)], least)[0]:
+        texts += [" ".join(a), " ".join(edited(rnd, a, rnd.randrange(1, 8), [f"w{j}" for j in range(words)]))]
+    words, keys = keys_of(spark, texts, least)
+    met = 0
+    for i in range(0, len(texts), 2):
+        x, y = words[i], words[i + 1]
+        if texts[i] != texts[i + 1] and max(len(x), len(y)) <= neardup.SHORT and align.similar([(x, y)], least)[0]:
             met += 1
-            assert set(neardup.sketches_of(x, 2, 3, 0, least)) & set(neardup.sketches_of(y, 2, 3, 0, least)), (a, b)
+            assert keys[i] & keys[i + 1], texts[i:i + 2]
     assert met > 500
 
 
+def test_a_common_opening_is_no_hot_key(spark):
+    """Unlike short texts that start alike: without the order by rarity most would share a key."""
+    from collections import Counter
+    rnd = random.Random(5)
+    texts = ["please click here to " + " ".join(f"w{rnd.randrange(10**6)}" for _ in range(8)) for _ in range(20_000)]
+    sizes = Counter(b for keys in keys_of(spark, texts, 0.8)[1].values() for b in keys)
+    assert max(sizes.values()) < 20
+
+
+def test_every_text_has_order_sketches(spark, docs):
+    import pandas as pd
+    texts = ["one", "one two", "a b c", "w " * 10, " ".join(f"w{i}" for i in range(40))]
+    pdf = pd.DataFrame({"doc_id": range(5), "th": range(5), "text": texts})
+    out = next(neardup._signer(2, 3, 64, 0.8)(iter([pdf])))
+    assert [len(s) for s in out["sketches"]] == [64] * 5 and [len(s) for s in out["leads"]] == [8] * 5
+    assert all(set(a) <= set(b) for a, b in zip(out["leads"], out["sketches"], strict=True))
+
+
+def test_a_group_of_copies_is_not_joined_once_a_sketch(spark, docs):
+    """Near copies of one text meet their leader by the first few sketches; the others are closed by then."""
+    rnd = random.Random(6)
+    vocab = [f"w{i}" for i in range(300)]
+    base = rnd.choices(vocab, k=120)
+    rows = [(i, " ".join(edited(rnd, base, 1, vocab))) for i in range(300)]
+    seen = []
+    real = neardup._stars
+
+    def counted(members):
+        out = real(members)
+        seen.append(out.count())
+        return out
+
+    neardup._stars = counted
+    try:
+        assert {c for _, c in classes(spark, docs(rows))[1]} == {0}
+    finally:
+        neardup._stars = real
+    assert seen[0] <= 8 * 300 and seen[1] < 300
+
+
 def test_short_texts_equal_brute_force(spark, docs):
     """Texts of 3 to 28 words, over the bound of what is certain, with up to a fifth of the words edited."""
     rnd = random.Random(14)

@@ -1,5 +1,6 @@
 """The registered queries on the given tables, against their SQL or brute force."""
 
+import math
 import re
 import sys
 import zlib
@@ -10,7 +11,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
-from farelake.llm import align, mixing, registry
+import corpus_pipeline
+from farelake.llm import align, mixing, quality, registry
 
 from . import test_decontam, test_langid, test_linededup, test_lm, test_secrets
 
@@ -91,6 +93,37 @@ def test_op3_scores_every_row(spark, rows):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.3) for r in out)
 
 
+def plain_features(text):
+    """The sixteen numbers of a text, counted one by one."""
+    words, lines = text.split(), [x for x in text.split("\n") if x]
+    n, raw = len(words), text.encode()
+    if n == 0:
+        return [math.log1p(len(text))] + [0.0] * 15
+    share = lambda kind: sum(map(kind, raw)) / len(raw)
+    upper, digit = (lambda c: 65 <= c <= 90), (lambda c: 48 <= c <= 57)
+    symbol = lambda c: 33 <= c <= 126 and not chr(c).isalnum()
+    pairs = [(words[i], words[i + 1]) for i in range(n - 1)]
+    count = lambda test: sum(1 for w in words if test(w)) / n
+    return [math.log1p(len(text)), math.log1p(n), len(text) / n, len(set(words)) / n, len(set(pairs)) / n,
+            max(words.count(w) for w in set(words)) / n, sum(a == b for a, b in pairs) / n, share(upper), share(digit),
+            share(symbol), count(lambda w: not w[0].isalnum() and not w[-1].isalnum()), count(lambda w: w[-1] in "!#$%&*|~^"),
+            count(lambda w: w[0].isupper()), count(lambda w: w[-1] in ".?!"), len(set(lines)) / len(lines), n / len(lines)]
+
+
+def test_op3_equals_a_rescored_model(spark, duck, rows):
+    """Features counted independently; the model fitted on the labelled training rows and added up entry by entry."""
+    x = {i: plain_features(t or "") for i, t in rows}
+    marks = duck.execute("SELECT doc_id, avg(quality) FROM labels WHERE quality IS NOT NULL GROUP BY 1 ORDER BY 1").fetchall()
+    train = [(x[i], q >= 0.5) for i, q in marks if i in x and zlib.crc32(str(i).encode()) % 5]
+    m = quality.AdditiveModel(np.array([f for f, _ in train]), np.array([float(y) for _, y in train]))
+    out = {r.doc_id: r.score for r in run(spark, "op3_quality").collect()}
+    for i, f in x.items():
+        at = lambda edges, v: sum(v >= e for e in edges)
+        z = m.intercept + sum(t[at(e, v)] for v, e, t in zip(f, m.edges, m.tables, strict=True))
+        z += sum(t[at(m.coarse[a], f[a]), at(m.coarse[b], f[b])] for a, b, t in m.pairs)
+        assert abs(out[i] - 1 / (1 + math.exp(-z))) < 1e-6, i
+
+
 def test_op4_equals_brute_force(spark, rows):
     base = {"assign", "access", "hex"}
     out = {r.doc_id: r for r in run(spark, "op4_secrets").collect()}
@@ -133,6 +166,24 @@ def test_pipeline_equals_brute_force(spark, duck, rows):
     assert 0 < len(kept) < len(rows) and leaks and same(out.select(*columns).collect(), want.fetchall())
 
 
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_on_odd_rows(spark, docs, odd, empty):
+    """Null ids and texts, repeated rows, a very long text, further columns; and an empty table."""
+    from farelake.session import scratch_path
+    sf = scratch_path(spark, "test", f"odd-pipeline-{empty}")
+    full = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    d = docs([] if empty else odd)
+    if not empty:
+        d = d.unionByName(full, allowMissingColumns=True)
+    d.write.mode("overwrite").parquet(f"{sf}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.mode("overwrite").parquet(f"{sf}/{t}.parquet")
+    out = corpus_pipeline.run(spark, sf)
+    assert set(d.columns) <= set(out.columns) and {"mix_copy", "mix_order"} <= set(out.columns)
+    got = out.collect()
+    assert (got == []) == empty and {r.doc_id for r in got} <= {r.doc_id for r in d.select("doc_id").collect()}
+
+
 def test_the_rest_works_without_the_subpackage(monkeypatch):
     from farelake.plans.registry import QUERIES
     monkeypatch.setitem(sys.modules, "farelake.llm", None)
