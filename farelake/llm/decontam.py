@@ -10,7 +10,9 @@ items shorter than a window: four fifths of their words). Each of the masks
 hits every window of 13 with up to two substitutions. Items of 8 to 12 words
 have masks of their own (``MID_MASKS``, 4 words over 6 positions), which
 together hit every tolerated pattern. Items of less than 8 words must occur
-whole; their seed is the first word. The tests check every pattern of every
+whole, so their seed is all of their words, hashed with their number; the
+documents have one such seed a position for each size that occurs among the
+short items (7 sizes at most). The tests check every pattern of every
 size, so the result is exact for that definition.
 
 The benchmark's seeds are broadcast when a count shows they are within
@@ -59,12 +61,18 @@ def _of_size(kind: str) -> Column:
     return {"short": (size > 0) & (size < SPAN), "mid": (size >= SPAN) & (size < WINDOW), "long": size >= WINDOW}[kind]
 
 
-def _hits(docs: DataFrame, items: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
-    """Seeds of the documents (doc_id, th, h, p, seed) and of the items of a kind (seed, item_id, q)."""
+def _hits(docs: DataFrame, items: DataFrame, kind: str, sizes: list[int]) -> tuple[DataFrame, DataFrame]:
+    """Seeds of the documents (doc_id, th, h, p, seed) and of the items of a kind (seed, item_id, q).
+
+    ``sizes``: the sizes of the short items.
+    """
     items = items.where(_of_size(kind))
     if kind == "short":
-        d = docs.select("doc_id", "th", "h", F.posexplode("h").alias("p", "seed"))
-        return d, items.select(F.get("words", 0).alias("seed"), "item_id", F.lit(0).alias("q"))
+        whole = F.array(*[F.when(F.col("p") + n <= F.size("h"), F.xxhash64(F.lit(n), F.slice("h", F.col("p") + 1, F.lit(n))))
+                          for n in sizes])
+        d = (docs.where(F.size("h") > 0).select("doc_id", "th", "h", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("p"))
+             .select("doc_id", "th", "h", "p", F.explode(whole).alias("seed")).where("seed IS NOT NULL"))
+        return d, items.select(F.xxhash64(F.col("size"), F.col("words")).alias("seed"), "item_id", F.lit(0).alias("q"))
     masks = MASKS if kind == "long" else MID_MASKS
     span = max(masks[0]) + 1
     d = (docs.where(F.size("h") >= span)
@@ -85,12 +93,12 @@ def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
     items = bench.select(F.col(item).alias("item_id"), word_hashes(F.col(item_text)).alias("words")).distinct()
     items = items.withColumn("size", F.size("words"))
     kinds = items.agg(*[F.sum(F.when(_of_size(k), 1).otherwise(0)).alias(k) for k in ("short", "mid")],
-                      F.sum("size").alias("words")).first()
+                      F.sum("size").alias("words"), F.collect_set(F.when(_of_size("short"), F.col("size"))).alias("sizes")).first()
     small = (kinds["words"] or 0) * len(MASKS) <= seeds_max and fits(items, seeds_max)
     hint = F.broadcast if small else (lambda df: df)
     found = None
     for kind in ["long"] + [k for k in ("mid", "short") if kinds[k]]:
-        d, b = _hits(docs, items, kind)
+        d, b = _hits(docs, items, kind, sorted(kinds["sizes"]))
         if small:
             hit = d.join(F.broadcast(b), "seed").select("doc_id", "th", "h", "item_id",
                                                         (F.col("p") - F.col("q")).alias("diag"))

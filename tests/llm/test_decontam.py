@@ -114,3 +114,21 @@ def test_items_of_8_to_12_words_equal_brute_force(spark, docs, seeds_max):
         rows += [(len(rows) + 1 + j, " ".join(text.split()[j:j + n - 1])) for j in range(2)]  # a word lies outside
     want = brute(rows, bench)
     assert len(want) > 200 and run(spark, docs(rows), bench, seeds_max=seeds_max) == want
+
+
+@pytest.mark.parametrize("seeds_max", [decontam.SEEDS_MAX, 0])
+def test_short_items_that_start_alike_meet_only_their_own_texts(spark, docs, seeds_max):
+    """1,000 items of 1 to 7 words that start with one common word: the seeds are of all their words."""
+    rnd = random.Random(21)
+    vocab = [f"w{i}" for i in range(40)]
+    bench = [(b, " ".join(["the", *rnd.choices(vocab, k=b % 7)])) for b in range(1000)]
+    rows = [(i, " ".join(rnd.choices([*vocab, "the", "the"], k=rnd.randrange(0, 30)))) for i in range(40)]
+    d = docs(rows)
+    assert run(spark, d, bench, seeds_max=seeds_max) == brute(rows, bench)
+    items = bench_frame(spark, bench[:700]).select("item_id", decontam.word_hashes(decontam.F.col("text")).alias("words"))
+    items = items.withColumn("size", decontam.F.size("words")).where("size > 1")
+    h = d.select("doc_id", decontam.text_hash("text").alias("th"), decontam.word_hashes(decontam.F.col("text")).alias("h"))
+    left, right = decontam._hits(h, items, "short", list(range(2, 8)))
+    # Every hit of a seed is an occurrence of the whole item, not of its first word.
+    hits = left.join(right, "seed").select("doc_id", "item_id").distinct().collect()
+    assert {tuple(r) for r in hits} == {(i, b) for i, b, _ in brute(rows, [x for x in bench[:700] if " " in x[1]])}
