@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.functions.joins import bounded
+from farelake.llm.licence_texts import WHOLE
 
 #: Spellings that licence matching treats as equal.
 SPELLINGS = [
@@ -29,25 +30,8 @@ SPELLINGS = [
     ("merchantibility", "merchantability"), ("non commercial", "noncommercial"),
     ("acknowledgement", "acknowledgment"), ("wilful", "willful"), ("fulfil", "fulfill"), ("https", "http"),
 ]
-#: Texts of known licences and their customary one-line notices.
-KNOWN = [
-    ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and '
-     'associated documentation files (the "Software"), to deal in the Software without restriction, including '
-     'without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell '
-     'copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the '
-     'following conditions: The above copyright notice and this permission notice shall be included in all copies '
-     'or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, '
-     'EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR '
-     'PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, '
-     'DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN '
-     'CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
-    ("ISC", 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is '
-     'hereby granted, provided that the above copyright notice and this permission notice appear in all copies. '
-     'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
-     'INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR '
-     'ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, '
-     'DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN '
-     'CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'),
+#: Customary one-line notices of known licences.
+NOTICES = [
     ("MIT", "MIT License."),
     ("MIT", "The MIT License (MIT)"),
     ("MIT", "Licensed under the MIT License."),
@@ -69,27 +53,38 @@ KNOWN = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "Licensed under CC0 1.0."),
 ]
+#: (licence, text): the whole texts, with and without their titles, and the notices.
+KNOWN = [(name, f"{title} {text}".strip()) for name, titles, text in WHOLE for title in titles] + NOTICES
 COPYRIGHT = r"^[^\p{L}\p{N}]*(copyright|\(c\)|©)([^\p{L}].*)?$"
+#: Words after which a line that starts with "copyright" is a wrapped line of a licence's text.
+BODY = (r"^[^\p{L}\p{N}]*copyright[^\p{L}\p{N}]+"
+        r"(notices?|owners?|holders?|license|licence|laws?|interest|statement|and|patent|permission)([^\p{L}].*)?$")
 KNOWN_MAX = 100_000
 
 
-def canonical_line(line: Column) -> Column:
-    """Canonical form of one line; '' when nothing counts."""
+def clean_line(line: Column) -> Column:
+    """One line in lower case without punctuation; '' when nothing counts, as in a copyright line."""
     low = F.lower(line)
-    c = F.regexp_replace(low, r"[^\p{L}\p{N}]+", " ")
-    c = F.concat(F.lit(" "), F.trim(c), F.lit(" "))
+    c = F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " "))
+    return F.when(low.rlike(COPYRIGHT) & ~low.rlike(BODY), F.lit("")).otherwise(c)
+
+
+def unified(text: Column) -> Column:
+    """A clean text with equivalent spellings unified."""
+    c = F.concat(F.lit(" "), text, F.lit(" "))
     for a, b in SPELLINGS:
         c = F.replace(c, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.when(low.rlike(COPYRIGHT), F.lit("")).otherwise(F.trim(c))
+    return F.trim(c)
 
 
 def _units(text: Column) -> Column:
     """array<(unit, line_no, digest)> of a text: the whole, and each line."""
-    lines = F.transform(F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n"), canonical_line)
+    lines = F.transform(F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n"), clean_line)
     each = F.transform(lines, lambda c, i: F.struct(F.lit("line").alias("unit"), (i + 1).alias("line_no"),
-                                                    c.alias("canonical")))
+                                                    unified(c).alias("canonical")))
+    # Spellings of two words may be wrapped over two lines: the whole is unified as one.
     whole = F.struct(F.lit("document").alias("unit"), F.lit(0).alias("line_no"),
-                     F.array_join(F.filter(lines, lambda c: c != ""), " ").alias("canonical"))
+                     unified(F.array_join(F.filter(lines, lambda c: c != ""), " ")).alias("canonical"))
     return F.filter(F.concat(F.array(whole), each), lambda u: u["canonical"] != "")
 
 
@@ -115,21 +110,25 @@ def licence_matches(spark: SparkSession, docs: DataFrame, known=KNOWN, key: str
 
 def licence_sql(docs: str) -> str:
     """DuckDB SQL for ``licence_matches`` with the built-in texts."""
-    def canon(c: str) -> str:
-        x = f"concat(' ', trim(regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')"
+    def clean(c: str) -> str:
+        x = f"trim(regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+        return (f"CASE WHEN regexp_matches(lower({c}), '{COPYRIGHT}') AND NOT regexp_matches(lower({c}), '{BODY}') "
+                f"THEN '' ELSE {x} END")
+
+    def unify(c: str) -> str:
+        x = f"concat(' ', {c}, ' ')"
         for a, b in SPELLINGS:
             x = f"replace({x}, ' {a} ', ' {b} ')"
-        pattern = COPYRIGHT.replace("'", "''")
-        return f"CASE WHEN regexp_matches(lower({c}), '{pattern}') THEN '' ELSE trim({x}) END"
+        return f"trim({x})"
     rows = ", ".join("('{}', '{}')".format(a, t.replace("'", "''")) for a, t in KNOWN)
     return f"""
-WITH k AS (SELECT min(licence) AS licence, c FROM (SELECT licence, {canon('t')} AS c FROM
+WITH k AS (SELECT min(licence) AS licence, c FROM (SELECT licence, {unify(clean('t'))} AS c FROM
   (VALUES {rows}) v(licence, t)) GROUP BY c),
 l AS (SELECT doc_id, row_number() OVER () AS r, string_split(replace(replace(text, chr(13) || chr(10), chr(10)),
   chr(13), chr(10)), chr(10)) AS ls FROM ({docs})),
 s AS (SELECT doc_id, r, unnest(ls) AS line, CAST(generate_subscripts(ls, 1) AS INTEGER) AS line_no FROM l),
-c AS (SELECT doc_id, r, line_no, {canon('line')} AS c FROM s),
-u AS (SELECT doc_id, 'line' AS unit, line_no, c FROM c WHERE c <> ''
-  UNION ALL SELECT any_value(doc_id), 'document', 0, string_agg(c, ' ' ORDER BY line_no)
+c AS (SELECT doc_id, r, line_no, {clean('line')} AS c FROM s),
+u AS (SELECT doc_id, 'line' AS unit, line_no, {unify('c')} AS c FROM c WHERE c <> ''
+  UNION ALL SELECT any_value(doc_id), 'document', 0, {unify("string_agg(c, ' ' ORDER BY line_no)")}
   FROM c WHERE c <> '' GROUP BY r)
 SELECT doc_id, unit, line_no, licence FROM u JOIN k USING (c)"""
