@@ -16,7 +16,7 @@ def test_registry_and_oracle_keys():
     assert set(o) <= set(q)
     assert len(q) >= 90
     rows_only = {k for k in set(q) - set(o) if k != "pipeline" and not re.match(r"op\d+_", k)}
-    assert rows_only == {"largest_file", "model_train_20_rounds", "score_batch", "score_scenarios", "score_requests"}
+    assert rows_only == {"largest_file", "model_train", "model_train_20_rounds", "score_batch", "score_scenarios", "score_requests"}
 
 
 def test_star_counts_match_fixture(spark):
