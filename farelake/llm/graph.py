@@ -1,15 +1,14 @@
 """Connected components of an edge table by contraction.
 
-Each round the vertices get new random ranks (a hash of the vertex and the
-round), every vertex points to the lowest ranked of itself and its neighbours
-(a partial aggregate), and both ends of every edge move along the pointers;
-edges inside a vertex vanish and the rest are made distinct. A vertex stays
-only if one of its neighbours, or itself, finds it lowest, so a constant share of them
-vanishes in every round whatever the graph looks like: a chain of n takes
-about log n rounds, a star of any size one or two. At the end every component is named
-by its smallest vertex. Edges and the map of vertices are stored in the shared
-folder after every round, and those of the round before removed. Nothing is
-gathered on the driver.
+Each round every vertex points to the lowest ranked of itself and its
+neighbours (a partial aggregate), and both ends of every edge move along the
+pointers; edges inside a vertex vanish and the rest are made distinct. Ranks
+hold for two rounds: in the first two they are the ids, which finishes a star
+of any size, and then hashes, new ones each time, of which a constant share of
+the vertices vanishes whatever the graph looks like: a chain of n takes about log
+n rounds. At the end every component is named by its smallest vertex. Edges
+and the map of vertices are stored in the shared folder after every round, and
+those of the round before removed. Nothing is gathered on the driver.
 
 Null ends are dropped; loops and repeated edges change nothing; no edges give
 no rows.
@@ -33,7 +32,8 @@ def components(spark: SparkSession, edges: DataFrame, scratch: list[str] | None
     used: list[str] = []
     edges, nodes, kept, n = stored(spark, edges, "edges", used), None, [], 0
     while True:
-        rank = lambda c: F.struct(F.xxhash64(c, F.lit(n)).alias("h"), F.col(c).alias("v"))  # noqa: E731, B023
+        rank = lambda c: F.struct((F.col(c) if n < 2 else F.xxhash64(c, F.lit(n // 2))).alias("h"),  # noqa: E731, B023
+                                  F.col(c).alias("v"))
         both = edges.union(edges.select("b", "a"))
         to = both.groupBy("a").agg(F.min(rank("b")).alias("m")).select(
             F.col("a").alias("v"), F.least(rank("a"), F.col("m"))["v"].alias("to"))
@@ -54,6 +54,11 @@ def components(spark: SparkSession, edges: DataFrame, scratch: list[str] | None
         edges = stored(spark, moved, "edges", later)
         discard(spark, used)
         used = later
+        if edges.isEmpty() and n <= 2:   # ranked by id: each root is its component's smallest vertex
+            discard(spark, used)
+            if scratch is not None:
+                scratch += kept
+            return nodes
         if edges.isEmpty():
             names = nodes.groupBy(F.col("root").alias("_r")).agg(F.min("node").alias("name"))
             named: list[str] = []

@@ -197,7 +197,7 @@ def short_keys(short: DataFrame, least: float) -> DataFrame:
 
 
 SIGNATURE = "doc_id long, th long, digest binary, n_words int, words binary, bag binary, " \
-            "sketches array<long>, leads array<long>, kmers array<long>"
+            "sketches array<long>, kmers array<long>"
 
 
 def word_bag(words: np.ndarray) -> np.ndarray:
@@ -218,7 +218,7 @@ def _signer(k: int, ell: int, sketches: int, least: float):
                     "digest": [xxhash.xxh128_digest(w.tobytes()) for w in words], "n_words": [len(w) for w in words],
                     "words": [w.astype(np.uint32).tobytes() for w in words],
                     "bag": [word_bag(w).tobytes() for w in words],
-                    "sketches": drawn, "leads": [x[:LEADS] for x in drawn],
+                    "sketches": drawn,
                     "kmers": [short_kmers(w, least) for w in words]})
     return run
 
@@ -291,7 +291,7 @@ def _tile(least: float):
 def _pairs_beside(stars: DataFrame, words: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) to align in buckets that are not one component.
 
-    ``stars``: b, node, n_words, r (root), lr (root of the bucket's leader).
+    ``stars``: b, node, n_words, r (root), lr (root of the bucket's leader), all texts of buckets that are open.
     Buckets of at most FEW texts are paired by a join, which yields at most FEW
     pairs a row. Larger ones are cut into blocks by hash, and a pair of blocks
     is one group of at most about 2 * BLOCK texts, of which only pairs with
@@ -346,14 +346,14 @@ def _merge(spark: SparkSession, roots: DataFrame | None, links: DataFrame, scrat
     return stored(spark, moved.union(new), "roots", scratch)
 
 
-def _stars(members: DataFrame) -> DataFrame:
-    """(b, node, n_words, r, lead, ln, lr): members (node, n_words, r, b) of buckets of more than one root,
-    each with the bucket's leader."""
-    lead = F.min(F.struct(F.xxhash64("node", "b").alias("o"), F.col("node").alias("lead"), F.col("n_words").alias("ln"),
-                          F.col("r").alias("lr")))
-    open_buckets = (members.groupBy("b").agg(lead.alias("l"), F.min("r").alias("lo"), F.max("r").alias("hi"))
-                    .where("lo <> hi").select("b", "l.lead", "l.ln", "l.lr"))
-    return members.join(open_buckets, "b").where("node <> lead").distinct()
+def _apart(members: DataFrame) -> DataFrame:
+    """(b, node, n_words, lead, ln): members (node, n_words, r, size, b) that are not of the root of their bucket's
+    leader. The leader is of the largest component that the bucket meets (``size``), at random among its texts."""
+    lead = F.min(F.struct((-F.col("size")).alias("s"), F.xxhash64("node", "b").alias("o"), F.col("node").alias("lead"),
+                          F.col("n_words").alias("ln"), F.col("r").alias("lr")))
+    buckets = members.groupBy("b").agg(lead.alias("l")).select(F.col("b").alias("_b"), "l.lead", "l.ln", "l.lr")
+    return (members.join(buckets, (F.col("b") == F.col("_b")) & (F.col("r") != F.col("lr")))
+            .select("b", "node", "n_words", "lead", "ln").distinct())
 
 
 def _shared(stars: DataFrame, least: float) -> DataFrame:
@@ -368,13 +368,14 @@ def _best(shared: DataFrame) -> DataFrame:
         F.col("node").alias("a"), F.col("m.lead").alias("b"))
 
 
-def _words(spark: SparkSession, sig: DataFrame, of: DataFrame, stars: DataFrame, scratch: list[str]) -> DataFrame:
+def _words(spark: SparkSession, sig: DataFrame, of: DataFrame, stars: DataFrame, scratch: list[str],
+           *more: str) -> DataFrame:
     """What is known of the texts that take part, one row each. They are met by their
     digests, so the words of all other texts stay where they are."""
     nodes = stars.select("node").union(stars.select("lead")).distinct()
     nodes = bounded(stored(spark, of.join(nodes, "node", "left_semi"), "omh-involved", scratch), max_rows=NODES_MAX)
     words = sig.join(nodes, sig["digest"] == nodes["_g"]).where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("node")))
-    return stored(spark, words.select("node", "n_words", "words", "bag", "sketches").dropDuplicates(["node"]), "omh-words", scratch)
+    return stored(spark, words.select("node", "n_words", "words", "bag", *more).dropDuplicates(["node"]), "omh-words", scratch)
 
 
 def near_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K,
@@ -390,8 +391,9 @@ def near_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
            .where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("node"))))
     # 1. By a few sketches: each text with the leader it shares most of them with, then one pair of texts for any
     # two components that a text and a leader are of.
-    members = own.select("node", "n_words", F.col("node").alias("r"), F.explode("leads").alias("b"))
-    stars = stored(spark, _stars(members), "omh-first", scratch)
+    members = own.select("node", "n_words", F.col("node").alias("r"), F.lit(1).alias("size"),
+                         F.explode(F.slice("sketches", 1, LEADS)).alias("b"))
+    stars = stored(spark, _apart(members), "omh-first", scratch)
     words = _words(spark, sig, of, stars, scratch)
     shared = stored(spark, _shared(stars, least), "omh-shared", scratch)
     roots = _merge(spark, None, _links(spark, _best(shared), words, least, scratch), scratch)
@@ -399,25 +401,35 @@ def near_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     apart = apart.groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(F.max(F.struct("c", "node", "lead")).alias("m"))
     apart = stored(spark, apart.select(F.col("m.node").alias("a"), F.col("m.lead").alias("b")), "omh-apart", scratch)
     roots = _merge(spark, roots, _links(spark, apart, words, least, scratch), scratch)
-    # By all sketches and keys, in buckets of more than one component: each text with the leader of another
-    # component that it shares most with.
-    rooted = stored(spark, _roots(own.select("node", "n_words", "sketches"), roots, "node", "r"), "omh-rooted", scratch)
+    # 2. By all sketches and keys: texts that are not of their bucket leader's component, with the leader that they
+    # share most with, then with their other leaders.
+    rooted = _roots(own.select("node", "n_words", "sketches"), roots, "node", "r")
+    if roots is not None:
+        sizes = roots.groupBy(F.col("root").alias("_r")).agg(F.count(F.lit(1)).cast("int").alias("size"))
+        rooted = rooted.join(bounded(sizes, max_rows=NODES_MAX), F.col("r") == F.col("_r"), "left").drop("_r")
+    else:
+        rooted = rooted.withColumn("size", F.lit(1))
+    rooted = stored(spark, rooted.withColumn("size", F.coalesce("size", F.lit(1))), "omh-rooted", scratch)
     keys = short_keys(own.where(F.size("kmers") > 0).select("node", "n_words", "kmers"), least)
-    keys = _roots(keys, roots, "node", "r").select("node", "n_words", "r", "b")
-    members = rooted.select("node", "n_words", "r", F.explode("sketches").alias("b")).union(keys)
-    stars = stored(spark, _stars(members), "omh-stars", scratch)
+    keys = stored(spark, keys, "omh-keys", scratch)
+    of_root = rooted.select("node", "r", "size")
+    members = rooted.select("node", "n_words", "r", "size", F.explode("sketches").alias("b")).union(
+        keys.join(of_root, "node").select("node", "n_words", "r", "size", "b"))
+    stars = stored(spark, _apart(members), "omh-stars", scratch)
     words = _words(spark, sig, of, stars, scratch)
-    shared = _shared(stars.where("r <> lr"), least)
+    shared = _shared(stars, least)
     best = stored(spark, _best(shared), "omh-best", scratch)
     roots = _merge(spark, roots, _links(spark, best, words, least, scratch), scratch)
-    # 2. With its other leaders, where not connected.
     rest = shared.select(F.col("node").alias("a"), F.col("lead").alias("b")).join(best, ["a", "b"], "left_anti")
     rest = _roots(_roots(rest, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb")
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     roots = _merge(spark, roots, _links(spark, stored(spark, rest, "omh-rest", scratch), words, least, scratch), scratch)
     # 3. In buckets that are not one component: texts apart from their leader with the others.
-    star = stored(spark, _roots(_roots(stars.drop("r", "lr"), roots, "node", "r"), roots, "lead", "lr"), "omh-last-stars",
-                  scratch)
+    still = _roots(_roots(stars.select("b", "node", "lead"), roots, "node", "r"), roots, "lead", "lr").where("r <> lr")
+    still = bounded(stored(spark, still.select("b", "lr").distinct(), "omh-open", scratch), max_rows=NODES_MAX)
+    plain = rooted.select("node", "n_words", F.explode("sketches").alias("b")).union(keys.select("node", "n_words", "b"))
+    star = stored(spark, _roots(plain.join(still, "b"), roots, "node", "r").distinct(), "omh-last-stars", scratch)
+    words = _words(spark, sig, of, star.select("node", F.col("node").alias("lead")), scratch, "sketches")
     last = _pairs_beside(star, words, least)
     roots = _merge(spark, roots, _links(spark, stored(spark, last, "omh-last", scratch), words, least, scratch), scratch)
     out = sig.select("doc_id", "th", "digest").join(of, F.col("digest") == F.col("_g")).select("doc_id", "th", "node")
