@@ -62,7 +62,7 @@ ROWS_PER_TASK = 50_000
 
 def train(rows: DataFrame, spec: dict, max_depth: int = MAX_DEPTH, step: float = LEARNING_RATE,
           rounds: int = ROUNDS, seed: int = SEED, max_bins: int = MAX_BINS,
-          validation: float | None = None, tol: float = 0.002) -> FareModel:
+          validation: float | None = None, tol: float = 0.0005) -> FareModel:
     """Fit preprocessing and boosting on ``split = 'train'`` rows.
 
     With ``validation``, that share of the training rows (by row hash) is held
@@ -78,15 +78,16 @@ def train(rows: DataFrame, spec: dict, max_depth: int = MAX_DEPTH, step: float =
     X = prepare(tr, spec, medians, modes, dictionary)
     assembler = VectorAssembler(inputCols=spec["feature_cols"], outputCol="features",
                                 handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, maxDepth=max_depth, stepSize=step,
-                       maxIter=rounds, seed=seed, maxBins=max_bins)
+    more = {}
     if validation:
         held = F.pmod(F.xxhash64(F.lit(seed), *spec["feature_cols"], TARGET), F.lit(1000)) < round(1000 * validation)
         X = X.withColumn("_held", held)
         tasks = -(-X.count() // ROWS_PER_TASK)
         if tasks < X.sparkSession.sparkContext.defaultParallelism:
             X = X.coalesce(tasks or 1)
-        gbt = gbt.setValidationIndicatorCol("_held").setValidationTol(tol).setCacheNodeIds(True).setCheckpointInterval(10)
+        more = {"validationIndicatorCol": "_held", "validationTol": tol, "cacheNodeIds": True, "checkpointInterval": 10}
+    gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, maxDepth=max_depth, stepSize=step,
+                       maxIter=rounds, seed=seed, maxBins=max_bins, **more)
     pipe = Pipeline(stages=[assembler, gbt]).fit(X)
     return FareModel(spec, medians, modes, dictionary, pipe, rounds=pipe.stages[-1].getNumTrees)
 

@@ -123,3 +123,19 @@ def test_row_cap_numbering_path_matches_top_k(spark):
         by_ranges = lake.row_cap(df, n, merge_max_rows=0).collect()
         assert sorted(by_top_k, key=str) == sorted(by_ranges, key=str), n
         assert len(by_top_k) == min(n, 2000)
+
+
+def test_boosting_stops_by_its_validation_rows(spark, raw):
+    """At most the asked rounds; the rounds used are kept with the saved model."""
+    rows = raw([trip(pu=1 + i % 7, do=1 + i % 5, dist=1.0 + i % 40 / 4, total=5.0 + 2.5 * (i % 40) + (i * 7919) % 13 / 10,
+                     pickup=f"2024-01-{1 + i % 27:02d} {i % 24:02d}:00:00", dropoff="2024-02-01 00:00:00") for i in range(600)])
+    X, spec = FE.model_rows(clean(rows))
+    fit = MD.train(X, spec, max_depth=3, rounds=6, validation=0.2)
+    fit.rmse = MD.evaluate(fit, X)
+    mean = X.where("split = 'train'").agg(F.avg("total_amount")).first()[0]
+    base = MD.rmse(X.where("split = 'test'").withColumn("prediction", F.lit(mean))).first().rmse
+    assert 1 <= fit.rounds <= 6 and fit.rmse < base
+    path = scratch_path(spark, "test", "model-rounds")
+    MD.save(fit, path, spark)
+    assert MD.load(path, spark).rounds == fit.rounds
+    assert MD.train(X, spec, max_depth=2, rounds=2).rounds == 2
