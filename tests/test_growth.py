@@ -4,11 +4,23 @@ import pytest
 from pyspark.sql import functions as F
 
 from farelake.functions.text import MONTH_FILE_FORMAT, month_file_name
+from farelake.operators import model as MD
 from farelake.plans import registry as Q
 from farelake.sources import adapter as A
 from tests.conftest import SF_SMALL
 
 
+def test_training_rows_are_dealt_by_rows(spark):
+    X = spark.range(1000).coalesce(1)
+    parts = lambda df: [r.n for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    many = parts(MD.dealt(X, rows_per_task=10, most=100))
+    assert len(many) == 10 and sum(many) == 1000 and max(many) <= 110
+    assert len(parts(MD.dealt(X, merge=False, rows_per_task=10))) == spark.sparkContext.defaultParallelism
+    small = spark.range(1000).repartition(8)
+    assert len(parts(MD.dealt(small, rows_per_task=400))) == 3
+    assert len(parts(MD.dealt(small, merge=False, rows_per_task=400))) == 8
+
+
 def test_pushed_rules_do_not_round_through_decimals(spark):
     plan = Q.QUERIES["ml_filter"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "round(" not in plan and "total_amount" in plan
