@@ -6,8 +6,33 @@ from pyspark.sql import functions as F
 from farelake.functions.text import MONTH_FILE_FORMAT, month_file_name
 from farelake.operators import model as MD
 from farelake.plans import registry as Q
+from farelake.session import scratch_path
 from farelake.sources import adapter as A
-from tests.conftest import SF_SMALL
+from farelake.sources import lake as L
+from tests.conftest import SF_SMALL, trip
+
+
+def test_a_drifted_landing_makes_the_trips_once(spark, raw, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def seen(v):
+        made.add(1)
+        return v
+
+    months = [raw([trip(vendor=m % 3, pickup=f"2024-{m:02d}-05 10:00:00") for _ in range(m)]) for m in range(1, 13)]
+    trips = months[0]
+    for m in months[1:]:
+        trips = trips.unionByName(m)
+    trips = trips.localCheckpoint()
+    monkeypatch.setattr(A, "raw_trips", lambda *_: trips.withColumn("VendorID", seen("VendorID")))
+    root = scratch_path(spark, "test", "drift_once")
+    Q.land_drifted(spark, SF_SMALL, root)
+    assert made.value == trips.count() == 78
+    got = L.drift.read_files(spark, [f"{root}/{f}" for f in L.folders(spark, root)], name_files=True)
+    per = {r.source_file: (r.n, r.v) for r in got.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("n"), F.max("VendorID").alias("v")).collect()}
+    assert per == {f"yellow_tripdata_2024-{m:02d}.parquet": (m, m % 3) for m in range(1, 13)}
 
 
 def test_training_rows_are_dealt_by_rows(spark):
