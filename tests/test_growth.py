@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from farelake.functions.text import MONTH_FILE_FORMAT, month_file_name
 from farelake.operators import model as MD
+from farelake.operators import rollups as RU
 from farelake.plans import registry as Q
 from farelake.session import scratch_path
 from farelake.sources import adapter as A
@@ -12,6 +13,12 @@ from farelake.sources import lake as L
 from tests.conftest import SF_SMALL, trip
 
 
+def test_a_rollup_shuffles_the_facts_once(spark):
+    facts = Q.warehouse(spark, SF_SMALL).fact_trip
+    plan = RU.rollup(facts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning(source_file" in plan
+
+
 def test_a_drifted_landing_makes_the_trips_once(spark, raw, monkeypatch):
     made = spark.sparkContext.accumulator(0)
 
