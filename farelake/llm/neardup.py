@@ -33,7 +33,7 @@ again with the leader of another component that a text shares most with, then
 with its other leaders, and last, in buckets where some texts are still not
 connected to the leader, texts of different components are compared with each
 other, in blocks of bounded size. Pairs whose word counts rule out a link are
-not aligned.
+not aligned; the last step looks at finer counts.
 
 Results on odd input: null and empty texts, and those without a word, are
 equal; texts of fewer than K words are one k-mer; a class id is the smallest
@@ -75,6 +75,8 @@ FREQUENT_MAX = 1_000_000
 #: Buckets up to FEW texts are paired by a join, larger ones in blocks of about BLOCK texts.
 FEW = 12
 BLOCK = 512
+#: Counts of the bags of the last step, whose texts have much in common.
+FINE = 1 << 12
 
 U64 = np.uint64
 _WORD = re.compile(r"[^\W_]+")
@@ -198,11 +200,19 @@ def short_keys(short: DataFrame, least: float) -> DataFrame:
 
 SIGNATURE = "doc_id long, th long, digest binary, n_words int, words binary, bag binary, " \
             "sketches array<long>, kmers array<long>"
+#: What the last step knows of a text.
+WORDS = "node long, n_words int, words binary, bag binary, sketches array<long>, fine binary"
 
 
-def word_bag(words: np.ndarray) -> np.ndarray:
-    """Word counts by the last byte of the hash, at most 255."""
-    return np.minimum(np.bincount((words & U64(255)).astype(np.int64), minlength=256), 255).astype(np.uint8)
+def word_bag(words: np.ndarray, width: int = 256) -> np.ndarray:
+    """Word counts by the last bits of the hash (``width``: a power of two), at most 255."""
+    at = words & words.dtype.type(width - 1)
+    return np.minimum(np.bincount(at.astype(np.int64), minlength=width), 255).astype(np.uint8)
+
+
+def _fine_bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        yield pdf.assign(fine=[word_bag(np.frombuffer(w, np.uint32), FINE).tobytes() for w in pdf["words"]])
 
 
 def _signer(k: int, ell: int, sketches: int, least: float):
@@ -234,8 +244,8 @@ def _aligner(least: float):
     return run
 
 
-def _rows(bags: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(bags), np.uint8).reshape(-1, 256)
+def _rows(bags: pd.Series, width: int = 256) -> np.ndarray:
+    return np.frombuffer(b"".join(bags), np.uint8).reshape(-1, width)
 
 
 def few_edits(bag_a: np.ndarray, bag_b: np.ndarray, longer: np.ndarray, least: float) -> np.ndarray:
@@ -260,14 +270,18 @@ def _bag_filter(least: float):
 
 
 def close_pairs(root: np.ndarray, size: np.ndarray, bags: np.ndarray, left: np.ndarray, right: np.ndarray,
-                least: float) -> list[tuple[int, int]]:
-    """Pairs (from left, from right) of texts that are not connected and whose words do not rule out a link."""
+                least: float, fine: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs (from left, from right) of texts that are not connected and whose bags, and ``fine`` ones if given, do
+    not rule out a link."""
     out = []
     for x in left:
         y = right[(root[right] != root[x]) & ((right > x) if left is right else True)]
         longer = np.maximum(size[y], size[x])
         y = y[np.abs(size[y] - size[x]) <= (1 - least) * longer + 1e-6]
-        out += [(x, k) for k in y[few_edits(bags[x], bags[y], np.maximum(size[y], size[x]), least)]]
+        y = y[few_edits(bags[x], bags[y], np.maximum(size[y], size[x]), least)]
+        if fine is not None:
+            y = y[few_edits(fine[x], fine[y], np.maximum(size[y], size[x]), least)]
+        out += [(x, k) for k in y]
     return out
 
 
@@ -278,7 +292,8 @@ def _tile(least: float):
         block, node = pdf["block"].to_numpy(), pdf["node"].to_numpy()
         left = np.flatnonzero(block == i)
         right = left if i == j else np.flatnonzero(block == j)
-        pairs = close_pairs(pdf["r"].to_numpy(), pdf["n_words"].to_numpy(), bags, left, right, least)
+        pairs = close_pairs(pdf["r"].to_numpy(), pdf["n_words"].to_numpy(), bags, left, right, least,
+                            _rows(pdf["fine"], FINE))
         # A pair that shares several sketches comes out of the bucket of the smallest.
         before = [frozenset(s[s < b].tolist()) for s in pdf["sketches"]]
         pairs = [(x, y) for x, y in pairs if before[x].isdisjoint(before[y])]
@@ -291,25 +306,24 @@ def _tile(least: float):
 def _pairs_beside(stars: DataFrame, words: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) to align in buckets that are not one component.
 
-    ``stars``: b, node, n_words, r (root), lr (root of the bucket's leader), all texts of buckets that are open.
-    Buckets of at most FEW texts are paired by a join, which yields at most FEW
-    pairs a row. Larger ones are cut into blocks by hash, and a pair of blocks
-    is one group of at most about 2 * BLOCK texts, of which only pairs with
-    enough common words come out.
+    ``stars``: b, node, n_words, r (root) and g (number of texts of the bucket), all texts of buckets that are open
+    but their leaders, with which all were aligned before. ``words``: node,
+    bag, fine, sketches. Buckets of at most FEW texts are paired by a join, which
+    yields at most FEW pairs a row. Larger ones are cut into blocks by hash, and
+    a pair of blocks is one group of at most about 2 * BLOCK texts, of which only
+    pairs with enough common words come out.
     """
-    sizes = stars.groupBy("b").agg(F.count(F.lit(1)).alias("g"), F.max(F.col("r") != F.col("lr")).alias("open"))
-    rows = stars.join(sizes.where("open AND g > 1").select("b", "g"), "b")
-    few = rows.where(F.col("g") <= FEW)
+    few = stars.where(F.col("g") <= FEW)
     x = few.select("b", *[F.col(c).alias(f"x_{c}") for c in ("node", "r", "n_words")])
     fits = F.abs(F.col("x_n_words") - F.col("n_words")) <= F.greatest("x_n_words", "n_words") * (1 - least) + 1e-6
     joined = (few.join(x, "b").where((F.col("node") < F.col("x_node")) & (F.col("r") != F.col("x_r")) & fits)
               .select(F.col("node").alias("a"), F.col("x_node").alias("b")))
-    many = rows.where(F.col("g") > FEW).join(words.select("node", "bag", "sketches"), "node")
+    many = stars.where(F.col("g") > FEW).join(words.select("node", "bag", "fine", "sketches"), "node")
     many = many.withColumn("blocks", F.ceil(F.col("g") / BLOCK).cast("int"))
     many = many.withColumn("block", F.pmod(F.xxhash64("node", "b"), F.col("blocks")).cast("int"))
     many = many.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     many = many.select("b", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"),
-                       "block", "node", "r", "n_words", "bag", "sketches")
+                       "block", "node", "r", "n_words", "bag", "fine", "sketches")
     tiles = many.groupBy("b", "i", "j").applyInPandas(_tile(least), "a long, b long")
     return joined.union(tiles).distinct()
 
@@ -347,13 +361,15 @@ def _merge(spark: SparkSession, roots: DataFrame | None, links: DataFrame, scrat
 
 
 def _apart(members: DataFrame) -> DataFrame:
-    """(b, node, n_words, lead, ln): members (node, n_words, r, size, b) that are not of the root of their bucket's
-    leader. The leader is of the largest component that the bucket meets (``size``), at random among its texts."""
+    """(b, node, n_words, lead, ln, g): members (node, n_words, r, size, b) that are not of the root of their bucket's
+    leader. The leader is of the largest component that the bucket meets (``size``), at random among its texts; ``g``
+    is the number of members."""
     lead = F.min(F.struct((-F.col("size")).alias("s"), F.xxhash64("node", "b").alias("o"), F.col("node").alias("lead"),
                           F.col("n_words").alias("ln"), F.col("r").alias("lr")))
-    buckets = members.groupBy("b").agg(lead.alias("l")).select(F.col("b").alias("_b"), "l.lead", "l.ln", "l.lr")
+    buckets = members.groupBy("b").agg(lead.alias("l"), F.count(F.lit(1)).cast("int").alias("g")).select(
+        F.col("b").alias("_b"), "l.lead", "l.ln", "l.lr", "g")
     return (members.join(buckets, (F.col("b") == F.col("_b")) & (F.col("r") != F.col("lr")))
-            .select("b", "node", "n_words", "lead", "ln").distinct())
+            .select("b", "node", "n_words", "lead", "ln", "g").distinct())
 
 
 def _shared(stars: DataFrame, least: float) -> DataFrame:
@@ -424,12 +440,16 @@ def near_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     rest = _roots(_roots(rest, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb")
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     roots = _merge(spark, roots, _links(spark, stored(spark, rest, "omh-rest", scratch), words, least, scratch), scratch)
-    # 3. In buckets that are not one component: texts apart from their leader with the others.
-    still = _roots(_roots(stars.select("b", "node", "lead"), roots, "node", "r"), roots, "lead", "lr").where("r <> lr")
-    still = bounded(stored(spark, still.select("b", "lr").distinct(), "omh-open", scratch), max_rows=NODES_MAX)
+    # 3. In buckets that are not one component: texts apart from their leader with the others, of which a bucket of
+    # two has none.
+    still = stars.where("g > 2").select("b", "node", "lead", "g")
+    still = _roots(_roots(still, roots, "node", "r"), roots, "lead", "lr").where("r <> lr")
+    still = bounded(stored(spark, still.select("b", "lead", "g").distinct(), "omh-open", scratch), max_rows=NODES_MAX)
     plain = rooted.select("node", "n_words", F.explode("sketches").alias("b")).union(keys.select("node", "n_words", "b"))
-    star = stored(spark, _roots(plain.join(still, "b"), roots, "node", "r").distinct(), "omh-last-stars", scratch)
+    star = plain.join(still, "b").where("node <> lead").select("b", "node", "n_words", "g")   # the leader is done
+    star = stored(spark, _roots(star, roots, "node", "r").distinct(), "omh-last-stars", scratch)
     words = _words(spark, sig, of, star.select("node", F.col("node").alias("lead")), scratch, "sketches")
+    words = stored(spark, words.mapInPandas(_fine_bags, WORDS), "omh-fine", scratch)
     last = _pairs_beside(star, words, least)
     roots = _merge(spark, roots, _links(spark, stored(spark, last, "omh-last", scratch), words, least, scratch), scratch)
     out = sig.select("doc_id", "th", "digest").join(of, F.col("digest") == F.col("_g")).select("doc_id", "th", "node")

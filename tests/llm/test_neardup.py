@@ -172,6 +172,38 @@ def test_word_counts_never_rule_out_a_link():
     assert links and links <= got and len(got) < len(pairs) / 3
 
 
+def test_fine_counts_tell_texts_of_many_common_words_apart():
+    """Texts with three quarters in common pass the small bags; the fine ones leave the links."""
+    rnd = random.Random(12)
+    common, texts = [f"c{rnd.randrange(60)}" for _ in range(600)], []
+    for _ in range(12):
+        own = common + [f"w{rnd.randrange(5000)}" for _ in range(185)]
+        texts += [own, edited(rnd, own, 60, [f"w{i}" for i in range(5000)])]
+    words = [neardup.Words()(" ".join(t)) for t in texts]
+    at, size = np.arange(len(words)), np.array([len(w) for w in words])
+    bags = np.stack([neardup.word_bag(w) for w in words])
+    fine = np.stack([neardup.word_bag(w.astype(np.uint32), neardup.FINE) for w in words])
+    got = set(neardup.close_pairs(at, size, bags, at, at, 0.8, fine))
+    pairs = [(a, b) for a in range(len(words)) for b in range(a + 1, len(words))]
+    links = {p for p, ok in zip(pairs, align.similar([(words[a].astype(np.uint32), words[b].astype(np.uint32))
+                                                      for a, b in pairs], 0.8)) if ok}
+    plain = neardup.close_pairs(at, size, bags, at, at, 0.8)
+    assert len(links) >= 12 and links <= got and len(got) < len(plain) / 4
+
+
+def test_last_step_makes_few_pairs_of_texts_with_a_common_part(spark, docs, monkeypatch):
+    """Unlike texts that share most of their words keep their buckets open; few of their pairs are made rows."""
+    made, stored = [], neardup.stored
+    monkeypatch.setattr(neardup, "stored", lambda s, df, name, *a: (
+        made.append(out.count()) if name == "omh-last" else None, out)[1] if (out := stored(s, df, name, *a)) else None)
+    rnd = random.Random(13)
+    common, rows = [f"c{rnd.randrange(60)}" for _ in range(600)], []
+    for i in range(60):
+        rows.append((i, " ".join(common + [f"w{rnd.randrange(5000)}" for _ in range(185)])))
+    assert classes(spark, docs(rows))[1] == sorted(((i, i) for i in range(60)), key=str)
+    assert made and max(made) < 60 * 59 / 2 / 4
+
+
 def test_large_buckets_go_in_blocks(spark, docs, monkeypatch):
     """Texts that share a passage but are no copies, among them pairs that are."""
     monkeypatch.setattr(neardup, "FEW", 3)
