@@ -3,10 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from farelake.functions.rules import clean, with_provenance
 from farelake.functions.text import MONTH_FILE_FORMAT, month_file_name
 from farelake.operators import model as MD
 from farelake.operators import rollups as RU
+from farelake.operators import warehouse as W
 from farelake.plans import registry as Q
+from farelake.plans import star as ST
 from farelake.session import scratch_path
 from farelake.sources import adapter as A
 from farelake.sources import lake as L
@@ -19,6 +22,15 @@ def test_a_rollup_shuffles_the_facts_once(spark):
     assert plan.count("Exchange") == 1 and "rangepartitioning(source_file" in plan
 
 
+def test_a_rollup_is_dealt_by_rows(spark):
+    facts = Q.warehouse(spark, SF_SMALL).fact_trip
+    parts = lambda df: df.rdd.getNumPartitions()
+    n = facts.count()
+    assert parts(RU.rollup(facts, rows_per_task=n // 20)) >= 20
+    many, few = RU.rollup(facts, rows_per_task=n // 20), RU.rollup(facts)
+    assert many.exceptAll(few).isEmpty() and few.exceptAll(many).isEmpty() and few.count() > 0
+
+
 def test_a_drifted_landing_makes_the_trips_once(spark, raw, monkeypatch):
     made = spark.sparkContext.accumulator(0)
 
@@ -71,3 +83,43 @@ def test_month_names_are_those_of_the_format(spark, y, m):
     row = spark.createDataFrame([(y, m)], "y int, m int").select(
         month_file_name(F.col("y"), F.col("m")).alias("a"), F.format_string(MONTH_FILE_FORMAT, "y", "m").alias("b")).first()
     assert row.a == row.b
+
+
+def test_a_long_datetime_slice_joins_without_shuffling_the_facts(spark, raw, monkeypatch):
+    """Above the slice's bound the keys come from bitmaps of the seconds; a second load, fractions
+    of a second and times before 1970 give the same keys as the shuffle joins."""
+    def trips(n, year, frac="", late=0):
+        return with_provenance(clean(raw([trip(pickup=f"{year}-03-{1 + i % 5:02d} {i % 24:02d}:{i % 60:02d}:{(i * 7 + late) % 60:02d}{frac}",
+                                               dropoff=f"{year}-03-{6 + i % 9:02d} 23:{i % 60:02d}:{late:02d}") for i in range(n)])))
+
+    def facts_plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+    base = scratch_path(spark, "test", "second_index")
+    first = trips(300, 2024)
+    wh = ST.load_batch(first, W.empty_warehouse(spark), base)
+    dt = wh.dim_datetime.select("datetime_key", "ts")
+    index = W.second_index(dt, 40)
+    assert index is not None and index.count() <= 40 and W.second_index(dt, 3) is None
+    got = W.with_second_key(dt, index, "ts", "k")
+    assert got.where("k = datetime_key").count() == dt.count() == 300
+    lone = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-01 00:00:01' AS ts UNION ALL SELECT TIMESTAMP_NTZ'2031-01-01 00:00:00' "
+                     "UNION ALL SELECT CAST(NULL AS TIMESTAMP_NTZ) UNION ALL SELECT TIMESTAMP_NTZ'2024-03-01 00:00:00.5'")
+    assert [r.k for r in W.with_second_key(lone, index, "ts", "k").collect()] == [None] * 4
+    old = ST.load_batch(trips(300, 1960), W.empty_warehouse(spark), scratch_path(spark, "test", "second_index_old"))
+    assert W.second_index(old.dim_datetime, 40) is not None
+
+    def keys(w, rows, n):
+        return sorted(W.resolve_keys(rows, w, datetime_max_rows=n).select(
+            "pickup_ts", "pickup_datetime_key", "dropoff_ts", "dropoff_datetime_key").collect())
+
+    monkeypatch.setattr(W, "SLICE_ROWS_PER_BUCKET", 1)   # few rows in the slice, more than its bound
+    by_index = W.resolve_keys(first, wh, datetime_max_rows=40)
+    assert "SortMergeJoin" not in facts_plan(by_index) and "_bits" in facts_plan(by_index)
+    assert keys(wh, first, 40) == keys(wh, first, 0) and len(keys(wh, first, 40)) == 300
+    more = trips(300, 2024, late=3)       # seconds between those of the first load
+    wh = ST.load_batch(more, wh, base)
+    assert W.second_index(wh.dim_datetime, 40) is None
+    assert keys(wh, more, 40) == keys(wh, more, 0)
+    halves = trips(300, 2024, ".500000")
+    assert W.second_index(ST.load_batch(halves, W.empty_warehouse(spark), scratch_path(
+        spark, "test", "second_index_half")).dim_datetime, 40) is None
