@@ -93,3 +93,64 @@ def test_odd_rows(spark):
     assert search(spark, rows, 4) == want and {r[0] for r in want} == {0, 8}
     assert search(spark, [], 4) == [] and search(spark, [(1, [1, 2])], 4) == []
     assert search(spark, [(0, [1, 2])], 4) == []
+
+
+def blocks_equal_full(rng, x, ids, q, qid, k):
+    piv = x[rng.integers(0, len(x), 4)].astype(float)
+    got = {i: (p, s) for i, p, s in topk.search_block(
+        qid, q, topk._distances(q.astype(float), piv), ids, x, topk._distances(x.astype(float), piv), np.full(len(q), -np.inf), k,
+        float(np.sqrt((piv * piv).sum(1).max())))}
+    for i in range(len(q)):
+        want = sorted((-sum(int(a) * int(b) for a, b in zip(q[i], r, strict=True)), int(j)) for j, r in zip(ids, x, strict=True)
+                      if j != qid[i])[:k]
+        p, s = got.get(i, ([], []))
+        assert [(-int(v), int(ids[j])) for j, v in zip(p, s, strict=True)] == want
+
+
+@pytest.mark.parametrize("bits", [1, 4, 27, 29])
+@pytest.mark.parametrize("run_rows", [3, 64])
+def test_a_block_gives_the_best_of_all_its_rows(bits, run_rows, monkeypatch):
+    """Ties, repeated ids, own rows, fewer rows than k, scores beyond doubles, query chunks and runs of every size."""
+    monkeypatch.setattr(topk, "RUN_ROWS", run_rows)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 5)
+    rng = np.random.default_rng(bits)
+    for n, k in ((1, 3), (4, 5), (90, 5), (300, 2)):
+        x = rng.integers(-(1 << bits), 1 << bits, (n, 3))
+        x[: n // 4] //= 1 << (bits // 2)   # norms of several sizes: products in doubles and beyond
+        ids = rng.integers(0, max(2, n - n // 5), n)
+        qid, at = np.unique(ids, return_index=True)
+        blocks_equal_full(rng, x, ids, x[at][:12], qid[:12], k)
+
+
+def test_pivots_are_all_different(spark):
+    """One far row and copies of another: a pivot that counted twice would bound the k-th best too high."""
+    rows = [(0, [1.0, 0.0]), (1, [9.0, 0.0])] + [(2 + i, [-1.0, 0.0]) for i in range(60)]
+    assert search(spark, rows, 100) == brute(rows, 100, 5)
+
+
+def test_segments_groups_and_widths(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    monkeypatch.setattr(topk, "SEGMENT_ROWS", 8)
+    monkeypatch.setattr(topk, "GROUP_BLOCKS", 2)
+    rng = np.random.default_rng(13)
+    rows = [(i, (rng.normal(size=4) * 10.0 ** rng.integers(-1, 6)).tolist()) for i in range(400)]
+    assert search(spark, rows, 9, 3) == brute(rows, 9, 3)
+
+
+def test_the_driver_gets_a_bounded_sample_and_no_blocks(spark, monkeypatch):
+    """Rows of the pivot sample sent to the driver do not grow with the partitions, and no join may broadcast the
+    copied query blocks."""
+    rows = spark.range(40_000, numPartitions=40).select(F.col("id").alias("vec_id"), F.array(
+        *[((F.col("id") * 7919 * j) % 1009 / 100).cast("float") for j in range(1, 5)]).alias("embedding"))
+    read = []
+    monkeypatch.setattr(topk, "integer_vectors", lambda df, *a, real=topk.integer_vectors: read.append(df.count()) or real(df, *a))
+    sample = topk.pivot_sample(rows, "vec_id", "embedding", 256)
+    monkeypatch.undo()
+    want = topk.integer_vectors(rows, "vec_id", "embedding").orderBy(F.xxhash64("id"), "id").limit(topk.PIVOT_SAMPLE).collect()
+    assert [(r.id, r.v) for r in sample] == [(r.id, r.v) for r in want] and sum(r.rows for r in sample) == topk.PIVOT_SAMPLE
+    assert len(read) == 1 and topk.PIVOT_SAMPLE <= read[0] <= 6 * topk.PIVOT_SAMPLE
+    plan = topk.top_k(spark, rows, F.col("id") < 40)._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.split("\n") if "Join" in x]
+    assert joins and all("[part" in x and "[g" not in x for x in joins)
+    assert "BroadcastNestedLoopJoin" not in plan and "Cartesian" not in plan
