@@ -123,3 +123,20 @@ def test_a_long_datetime_slice_joins_without_shuffling_the_facts(spark, raw, mon
     halves = trips(300, 2024, ".500000")
     assert W.second_index(ST.load_batch(halves, W.empty_warehouse(spark), scratch_path(
         spark, "test", "second_index_half")).dim_datetime, 40) is None
+
+
+def test_a_second_is_looked_up_in_a_short_piece_of_its_bitmap(spark):
+    """The joined bitmaps are 128 bytes, not 4 KB; keys are right at both ends of pieces and buckets, before 1970 too."""
+    seconds = [b * (1 << 15) + p * 1024 + s for b in (-3, 0, 40_000) for p in (0, 1, 13, 31) for s in (0, 1, 7, 8, 511, 1023)]
+    dim = spark.createDataFrame([(100 + k, s) for k, s in enumerate(sorted(seconds))], "datetime_key long, s long").select(
+        "datetime_key", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"))
+    index = W.second_index(dim, 10)
+    assert index is not None and index.count() == 3
+    cut = W.pieces(index)
+    assert {r.n for r in cut.select(F.octet_length("_bits").alias("n")).collect()} == {128} and cut.count() == 12
+    out = W.with_second_key(dim, index, "ts", "k")
+    assert out.where(F.col("k").eqNullSafe(F.col("datetime_key"))).count() == len(seconds)
+    assert "_piece" in out._jdf.queryExecution().executedPlan().toString()
+    absent = spark.createDataFrame([(s,) for s in (-98_304 + 2, 9, 14 * 1024, 1 << 15, 40_001 << 15)], "s long").select(
+        F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"))
+    assert [r.k for r in W.with_second_key(absent, index, "ts", "k").collect()] == [None] * 5
