@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from farelake.functions.rules import clean, with_provenance
 from farelake.functions.text import MONTH_FILE_FORMAT, month_file_name
+from farelake.operators import features as FE
 from farelake.operators import model as MD
 from farelake.operators import rollups as RU
 from farelake.operators import warehouse as W
@@ -140,3 +141,21 @@ def test_a_second_is_looked_up_in_a_short_piece_of_its_bitmap(spark):
     absent = spark.createDataFrame([(s,) for s in (-98_304 + 2, 9, 14 * 1024, 1 << 15, 40_001 << 15)], "s long").select(
         F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"))
     assert [r.k for r in W.with_second_key(absent, index, "ts", "k").collect()] == [None] * 5
+
+
+def test_a_split_reads_and_hashes_its_rows_once(spark, raw, monkeypatch):
+    """The cut takes one pass over the rows, not one for the count and one for each step of the histogram."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def seen(v):
+        made.add(1)
+        return v
+
+    rows = raw([trip(pax=1 + i % 4, dist=1.0 + i / 100) for i in range(50)]).localCheckpoint()
+    want = sorted(map(str, FE.with_split(rows).collect()))
+    monkeypatch.setattr(FE, "split_hash", lambda df, seed, real=FE.split_hash: seen(real(df, seed)))
+    split = FE.with_split(rows)
+    assert made.value == 50
+    assert sorted(map(str, split.collect())) == want and sum("split='test'" in r for r in want) == 10
+    assert FE.with_split(rows.limit(0)).columns == [*rows.columns, "split"] and FE.with_split(rows.limit(0)).isEmpty()
